@@ -206,7 +206,9 @@ SELECT group_size, count(*) AS n_groups, CAST(sum(group_size) AS BIGINT) AS n_ro
 
 # --- fitted statistics, fills, z-scores, one-hot -------------------------------------------------
 
-SUB_POP = (F.col("port_raw") == "1-URGENT") & (F.col("class_raw") == 3)
+def _sub_pop():
+    return (F.col("port_raw") == "1-URGENT") & (F.col("class_raw") == 3)
+
 SQL_SUB_POP = "port_raw = '1-URGENT' AND class_raw = 3"
 
 
@@ -215,7 +217,7 @@ def q_fill_statistics(spark, sf):
     tickets = p.select(text.first_digits("name_raw").alias("ticket"))
     m = stats.moments(p, ["fare_raw"])["fare_raw"]
     row = (stats.mode_value(p, "port_raw"), stats.mode_value(tickets, "ticket"),
-           round(stats.exact_median(p, "fare_raw"), A), round(stats.exact_median(p, "fare_raw", SUB_POP), A),
+           round(stats.exact_median(p, "fare_raw"), A), round(stats.exact_median(p, "fare_raw", _sub_pop()), A),
            round(m[0], A), round(m[1], A), round(stats.mean_value(p, "age_raw"), A))
     schema = ("port_mode string, ticket_mode string, fare_median double, fare_median_sub double, "
               "fare_mean double, fare_std_pop double, age_mean double")
@@ -238,7 +240,7 @@ SELECT (SELECT port_raw FROM people WHERE port_raw IS NOT NULL GROUP BY port_raw
 def q_impute_fills(spark, sf):
     p = people(spark, sf)
     fills = fit_fill(p, {"port_raw": "mode", "fare_raw": "median", "age_raw": "mean"})
-    sub = fit_fill(p, {"fare_raw": ("median", SUB_POP)})
+    sub = fit_fill(p, {"fare_raw": ("median", _sub_pop())})
     out = fills.apply(p, suffix="_filled")
     out = sub.apply(out, suffix="_sub_filled")
     out = fill_constant(out.withColumn("port_const", F.col("port_raw")), {"port_const": "UNKNOWN"})
