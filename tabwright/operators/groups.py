@@ -24,16 +24,24 @@ def _valid(keys: list[str]) -> Column:
     return reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
 
 
+_SALT = "__tw_salt"
+
+
 def attach_group_stats(df: DataFrame, keys: list[str], aggs: list[Column]) -> DataFrame:
-    """Join per-key aggregates back onto every row; null-key rows get nulls without shuffling."""
+    """Join per-key aggregates back onto every row (null key -> null statistics).
+
+    The join carries an extra key, 0 for rows with a complete key and a positive hash of the
+    whole row for rows with a null in the key: the per-key table only holds 0, so null-key rows
+    never match, and the salt spreads them over all join partitions instead of hashing every one
+    of them to the partition of "null".  The salt is a deterministic function of the row, so a
+    retried task sends every row to the same partition again."""
     keys = list(keys)
-    per_key = df.filter(_valid(keys)).groupBy(*keys).agg(*aggs)
-    stat_cols = [c for c in per_key.columns if c not in keys]
-    matched = df.filter(_valid(keys)).join(per_key, keys, "inner")
-    unmatched = df.filter(~_valid(keys)).select("*", *[F.lit(None).alias(c) for c in stat_cols])
-    # restore the input column order, stats appended
-    order = df.columns + stat_cols
-    return matched.select(*order).unionByName(unmatched.select(*order))
+    per_key = (df.filter(_valid(keys)).groupBy(*keys).agg(*aggs).withColumn(_SALT, F.lit(0).cast("long")))
+    stat_cols = [c for c in per_key.columns if c not in keys and c != _SALT]
+    salted = df.withColumn(_SALT, F.when(_valid(keys), F.lit(0).cast("long"))
+                           .otherwise(F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(2 ** 30)) + 1))
+    out = salted.join(per_key, keys + [_SALT], "left")
+    return out.select(*[F.col(c) for c in df.columns], *[F.col(c) for c in stat_cols])
 
 
 def group_size(df: DataFrame, keys, out: str = "group_size") -> DataFrame:

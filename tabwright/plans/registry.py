@@ -21,7 +21,7 @@ from tabwright.operators.encode import fit_one_hot
 from tabwright.operators.impute import fill_constant, fit_fill
 from tabwright.operators.numbering import row_number_within
 from tabwright.operators.scale import fill_with_mean, fit_zscore
-from tabwright.plans.prepare import PrepareConfig, prepare
+from tabwright.plans.prepare import PrepareConfig, materialize, prepare
 from tabwright.session import scratch_path
 from tabwright.sources import io
 from tabwright.sources.people import people, with_people
@@ -58,7 +58,7 @@ SQL_WS = "' ' || chr(9) || chr(10) || chr(13)"
 # --- sources and union -----------------------------------------------------------------------
 
 def q_people_union(spark: SparkSession, sf: str) -> DataFrame:
-    return people(spark, sf)
+    return people(spark, sf, via_union=True)
 
 
 SQL_PEOPLE_UNION = with_people("SELECT * FROM people")
@@ -213,7 +213,7 @@ SQL_SUB_POP = "port_raw = '1-URGENT' AND class_raw = 3"
 
 
 def q_fill_statistics(spark, sf):
-    p = people(spark, sf)
+    p = materialize(people(spark, sf))
     tickets = p.select(text.first_digits("name_raw").alias("ticket"))
     m = stats.moments(p, ["fare_raw"])["fare_raw"]
     row = (stats.mode_value(p, "port_raw"), stats.mode_value(tickets, "ticket"),
@@ -238,7 +238,7 @@ SELECT (SELECT port_raw FROM people WHERE port_raw IS NOT NULL GROUP BY port_raw
 
 
 def q_impute_fills(spark, sf):
-    p = people(spark, sf)
+    p = materialize(people(spark, sf))
     fills = fit_fill(p, {"port_raw": "mode", "fare_raw": "median", "age_raw": "mean"})
     sub = fit_fill(p, {"fare_raw": ("median", _sub_pop())})
     out = fills.apply(p, suffix="_filled")
@@ -265,7 +265,7 @@ FROM people, s
 
 
 def q_zscore_fare(spark, sf):
-    p = people(spark, sf)
+    p = materialize(people(spark, sf))
     filled = fit_fill(p, {"fare_raw": "median"}).apply(p)
     z_all = fit_zscore(filled, ["fare_raw"], digits=A)
     z_train = fit_zscore(filled, ["fare_raw"], F.col("is_test") == 0, digits=A)
@@ -322,7 +322,7 @@ UNION SELECT DISTINCT 'sex_raw', sex_raw FROM people WHERE sex_raw IS NOT NULL
 
 
 def q_summary_fare_age(spark, sf):
-    p = people(spark, sf)
+    p = materialize(people(spark, sf).select("fare_raw", "age_raw"))
     s = stats.summary_exact(p, ["fare_raw", "age_raw"])
     return s.select("column", *[F.round(c, A).alias(c) for c in s.columns if c != "column"])
 

@@ -48,14 +48,23 @@ def _base(spark: SparkSession, sf_dir: str) -> DataFrame:
             ))
 
 
-def people(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Labelled rows (status F/O) stacked with scoring rows (status P); the scoring side has no
-    label column, so the union gives it a null label."""
+def _label() -> F.Column:
+    return F.when(F.col("o_orderstatus") == "F", 1.0).when(F.col("o_orderstatus") == "O", 0.0).cast("double")
+
+
+def people(spark: SparkSession, sf_dir: str, via_union: bool = False) -> DataFrame:
+    """Labelled rows (status F/O) and scoring rows (status P, no label) in one table.
+
+    The default builds it in one pass over the joins (source flag and label are expressions).
+    ``via_union=True`` builds the two sources separately and stacks them with
+    :func:`union_sources` (the scoring side has no label column, so it gets a null label) — the
+    same rows, but the inputs are read once per source."""
     base = _base(spark, sf_dir)
-    train = (base.filter(F.col("o_orderstatus") != "P")
-             .withColumn("label", F.when(F.col("o_orderstatus") == "F", 1.0)
-                         .when(F.col("o_orderstatus") == "O", 0.0).cast("double"))
-             .drop("o_orderstatus"))
+    if not via_union:
+        return (base.withColumn("is_test", F.when(F.col("o_orderstatus") == "P", 1).otherwise(0))
+                .withColumn("label", F.when(F.col("o_orderstatus") == "P", F.lit(None)).otherwise(_label()))
+                .select(*PEOPLE_COLUMNS))
+    train = base.filter(F.col("o_orderstatus") != "P").withColumn("label", _label()).drop("o_orderstatus")
     scoring = base.filter(F.col("o_orderstatus") == "P").drop("o_orderstatus")
     return union_sources(train, scoring, "is_test").select(*PEOPLE_COLUMNS)
 
