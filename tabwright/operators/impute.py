@@ -34,23 +34,19 @@ class FillModel:
         return df.withColumns({c + suffix: F.coalesce(F.col(c), F.lit(v)) for c, v in self.values.items()})
 
 
-def _fit_one(df: DataFrame, col: str, how, fit_on: Column | None):
-    where = fit_on
-    if isinstance(how, tuple):  # ("median", condition): statistic of a sub-population
-        how, cond = how
-        where = cond if where is None else (where & cond)
-    if how == "mode":
-        return stats.mode_value(df, col, where)
-    if how == "median":
-        return stats.exact_median(df, col, where)
-    if how == "mean":
-        return stats.mean_value(df, col, where)
-    raise ValueError(f"unknown fill statistic {how!r}")
-
-
 def fit_fill(df: DataFrame, spec: dict, fit_on: Column | None = None) -> FillModel:
-    """``spec`` maps column -> "mode" | "median" | "mean" | (statistic, row condition)."""
-    return FillModel({c: _fit_one(df, c, how, fit_on) for c, how in spec.items()})
+    """``spec`` maps column -> "mode" | "median" | "mean" | (statistic, row condition).
+    All statistics are fitted together in at most three passes (:func:`stats.fit_many`)."""
+    many = {}
+    for c, how in spec.items():
+        where = fit_on
+        if isinstance(how, tuple):  # ("median", condition): statistic of a sub-population
+            how, cond = how
+            where = cond if where is None else (where & cond)
+        if how not in ("mode", "median", "mean"):
+            raise ValueError(f"unknown fill statistic {how!r}")
+        many[c] = (how, c, where)
+    return FillModel(stats.fit_many(df, many))
 
 
 # --- chained-equation (iterative regression) imputation ------------------------------------

@@ -21,6 +21,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
 NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DecimalType)
 
@@ -78,14 +79,83 @@ def exact_median(df: DataFrame, col: str, where: Column | None = None, **kw):
     return exact_quantile(df, col, 0.5, where, **kw)
 
 
+def _interp(arr: list, q: float):
+    if not arr:
+        return None
+    pos = (len(arr) - 1) * q
+    k1, k2 = math.floor(pos), math.ceil(pos)
+    a, b = arr[k1], arr[k2]
+    return float(a + (b - a) * (pos - k1))
+
+
+def fit_many(df: DataFrame, spec: dict, max_bracket: int = 1_000_000) -> dict:
+    """Several statistics in a fixed number of passes, whatever their number.
+
+    ``spec`` maps a name to ``(kind, column, where)`` with kind in ``mean``, ``std_pop``,
+    ``mode``, ``median``; ``where`` (a Column or None) restricts the rows.
+
+    * pass 1: one aggregate with every mean and deviation, and the row count of every median;
+    * pass 2: all modes at once with GROUPING SETS (one set per column), ranked by count
+      descending then value ascending, top row per set (a per-task group limit runs before the
+      shuffle, so at most one row per set and task moves);
+    * pass 3: medians whose rows fit in ``max_bracket`` are sorted in one aggregate; larger ones
+      fall back to :func:`exact_quantile` (bracket narrowing).
+    """
+    def restricted(col, where):
+        return F.col(col) if where is None else F.when(where, F.col(col))
+
+    out: dict = {}
+    p1 = []
+    for name, (kind, col, where) in spec.items():
+        x = restricted(col, where)
+        if kind == "mean":
+            p1.append(F.avg(x).alias(name))
+        elif kind == "std_pop":
+            p1.append(F.stddev_pop(x).alias(name))
+        elif kind == "median":
+            xd = x.cast("double")
+            p1.append(F.count(F.when(~F.isnan(xd), xd)).alias(name))
+    first = df.agg(*p1).first() if p1 else None
+    for name, (kind, _, _) in spec.items():
+        if kind in ("mean", "std_pop"):
+            out[name] = first[name]
+
+    modes = [(name, col, where) for name, (kind, col, where) in spec.items() if kind == "mode"]
+    if modes:
+        cols = [f"__m{i}" for i in range(len(modes))]
+        sel = df.select(*[restricted(col, where).alias(c) for (_, col, where), c in zip(modes, cols)])
+        g = sel.groupingSets([[F.col(c)] for c in cols], *[F.col(c) for c in cols]).agg(
+            F.count(F.lit(1)).alias("__n"), *[F.grouping(c).alias(f"__g{i}") for i, c in enumerate(cols)])
+        own = F.coalesce(*[F.when(F.col(f"__g{i}") == 0, F.lit(i)) for i in range(len(cols))])
+        valid = F.coalesce(*[F.when(F.col(f"__g{i}") == 0, F.col(c).isNotNull()) for i, c in enumerate(cols)])
+        w = Window.partitionBy("__set").orderBy(F.desc("__n"), *[F.asc(c) for c in cols])
+        top = (g.withColumn("__set", own).filter(valid)
+               .withColumn("__rn", F.row_number().over(w)).filter(F.col("__rn") == 1)
+               .select("__set", *cols).collect())
+        found = {r["__set"]: r[cols[r["__set"]]] for r in top}
+        for i, (name, _, _) in enumerate(modes):
+            out[name] = found.get(i)
+
+    medians = [(name, col, where) for name, (kind, col, where) in spec.items() if kind == "median"]
+    small = [(n, c, w) for n, c, w in medians if first[n] <= max_bracket]
+    if small:
+        def vals(col, where):
+            xd = restricted(col, where).cast("double")
+            return F.sort_array(F.collect_list(F.when(~F.isnan(xd), xd)))
+        row = df.agg(*[vals(c, w).alias(n) for n, c, w in small]).first()
+        for n, _, _ in small:
+            out[n] = _interp(row[n], 0.5)
+    for n, c, w in medians:
+        if first[n] > max_bracket:
+            out[n] = exact_quantile(df, c, 0.5, w, max_bracket=max_bracket)
+    return out
+
+
 def moments(df: DataFrame, cols: list[str], where: Column | None = None) -> dict:
     """Mean and population standard deviation of each column in one pass."""
-    aggs = []
-    for c in cols:
-        x = F.col(c) if where is None else F.when(where, F.col(c))
-        aggs += [F.avg(x).alias(f"{c}__mean"), F.stddev_pop(x).alias(f"{c}__std")]
-    row = df.agg(*aggs).first()
-    return {c: (row[f"{c}__mean"], row[f"{c}__std"]) for c in cols}
+    got = fit_many(df, {**{f"{c}__mean": ("mean", c, where) for c in cols},
+                        **{f"{c}__std": ("std_pop", c, where) for c in cols}})
+    return {c: (got[f"{c}__mean"], got[f"{c}__std"]) for c in cols}
 
 
 def mean_value(df: DataFrame, col: str, where: Column | None = None):

@@ -164,29 +164,29 @@ def q_drift_reduced_features(spark, sf):
 
 def q_impute_age_chained(spark, sf):
     """IMP6: chained regression of age on several columns, clipped to [0, 80]."""
-    p = people(spark, sf).select(KEY, F.col("age_raw").alias("age"),
+    p = materialize(people(spark, sf).select(KEY, F.col("age_raw").alias("age"),
                                  F.col("class_raw").cast("double").alias("pclass"),
                                  F.col("n_relatives").cast("double").alias("relatives"),
-                                 F.col("ticket_group_key").cast("double").alias("month"))
+                                 F.col("ticket_group_key").cast("double").alias("month")))
     out = impute_chained(p, ["age"], ["pclass", "relatives", "month"], max_iter=20, lo=0.0, hi=80.0)
     return out.select(KEY, F.round("age", 6).alias("age"))
 
 
 def q_impute_age_chained_train_fit(spark, sf):
     """IMP7: the same fitted on labelled rows only, applied to all rows."""
-    p = people(spark, sf).select(KEY, "is_test", F.col("age_raw").alias("age"),
+    p = materialize(people(spark, sf).select(KEY, "is_test", F.col("age_raw").alias("age"),
                                  F.col("class_raw").cast("double").alias("pclass"),
-                                 F.col("n_relatives").cast("double").alias("relatives"))
+                                 F.col("n_relatives").cast("double").alias("relatives")))
     out = impute_chained(p, ["age"], ["pclass", "relatives"], lo=0.0, hi=80.0, fit_on=F.col("is_test") == 0)
     return out.select(KEY, F.round("age", 6).alias("age"))
 
 
 def q_impute_age_forest(spark, sf):
     """IMP8: 100-tree forest regression of age on class, sex, relatives."""
-    p = people(spark, sf).select(KEY, F.col("age_raw").alias("age"),
+    p = materialize(people(spark, sf).select(KEY, F.col("age_raw").alias("age"),
                                  F.col("class_raw").cast("double").alias("pclass"),
                                  F.when(F.col("sex_raw") == "female", 1.0).otherwise(0.0).alias("sex"),
-                                 F.col("n_relatives").cast("double").alias("relatives"))
+                                 F.col("n_relatives").cast("double").alias("relatives")))
     out = impute_forest(p, "age", ["pclass", "sex", "relatives"], num_trees=100, seed=0)
     return out.select(KEY, F.round("age", 6).alias("age"))
 

@@ -213,12 +213,15 @@ SQL_SUB_POP = "port_raw = '1-URGENT' AND class_raw = 3"
 
 
 def q_fill_statistics(spark, sf):
-    p = materialize(people(spark, sf))
-    tickets = p.select(text.first_digits("name_raw").alias("ticket"))
-    m = stats.moments(p, ["fare_raw"])["fare_raw"]
-    row = (stats.mode_value(p, "port_raw"), stats.mode_value(tickets, "ticket"),
-           round(stats.exact_median(p, "fare_raw"), A), round(stats.exact_median(p, "fare_raw", _sub_pop()), A),
-           round(m[0], A), round(m[1], A), round(stats.mean_value(p, "age_raw"), A))
+    p = materialize(people(spark, sf).select("port_raw", "fare_raw", "age_raw", "class_raw",
+                                             text.first_digits("name_raw").alias("ticket")))
+    got = stats.fit_many(p, {
+        "port_mode": ("mode", "port_raw", None), "ticket_mode": ("mode", "ticket", None),
+        "fare_median": ("median", "fare_raw", None), "fare_median_sub": ("median", "fare_raw", _sub_pop()),
+        "fare_mean": ("mean", "fare_raw", None), "fare_std_pop": ("std_pop", "fare_raw", None),
+        "age_mean": ("mean", "age_raw", None)})
+    names = ["port_mode", "ticket_mode", "fare_median", "fare_median_sub", "fare_mean", "fare_std_pop", "age_mean"]
+    row = tuple(got[n] if isinstance(got[n], str) else round(got[n], A) for n in names)
     schema = ("port_mode string, ticket_mode string, fare_median double, fare_median_sub double, "
               "fare_mean double, fare_std_pop double, age_mean double")
     return spark.createDataFrame([row], schema)

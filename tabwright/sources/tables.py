@@ -2,6 +2,11 @@
 
 Only the named columns are read, so the parquet scan's ``ReadSchema`` is the projection and any
 filter applied afterwards is pushed into the scan by Catalyst.
+
+:func:`balanced` spreads a frame that has fewer partitions than the session has task slots (one
+small file, one row group) before it is read many times (multi-pass statistics, model fits).
+On a cluster reading many files the frame already has more partitions than slots and nothing
+is added.
 """
 
 from __future__ import annotations
@@ -20,6 +25,12 @@ def table_path(sf_dir: str, name: str) -> str:
     return f"{sf_dir.rstrip('/')}/{name}.parquet"
 
 
+def balanced(df: DataFrame) -> DataFrame:
+    """Round-robin repartition only when the frame has fewer partitions than task slots."""
+    slots = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(slots) if df.rdd.getNumPartitions() < slots else df
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str, columns: list[str] | None = None) -> DataFrame:
     df = spark.read.parquet(table_path(sf_dir, name))
     return df.select(*columns) if columns else df

@@ -245,3 +245,20 @@ def test_metrics(spark):
     assert cells == {(0, 0): 4, (0, 1): 2, (1, 0): 1, (1, 1): 3}
     empty = spark.createDataFrame([(0, 0)], "y int, p int")
     assert metrics.binary_metrics(empty, "y", "p").first()["f1"] == 0.0
+
+
+def test_fit_many_matches_single_statistics(spark):
+    rnd = random.Random(5)
+    rows = [(rnd.choice([9, 10, 10, 9, None]), rnd.choice(["x", "y", None]), rnd.random() * 100) for _ in range(500)]
+    df = spark.createDataFrame(rows, "a int, b string, c double")
+    cond = F.col("b") == "x"
+    got = stats.fit_many(df, {"ma": ("mode", "a", None), "mb": ("mode", "b", None), "mc": ("mode", "a", cond),
+                              "med": ("median", "c", None), "medx": ("median", "c", cond),
+                              "mean": ("mean", "c", None), "sd": ("std_pop", "c", cond)}, max_bracket=100)
+    assert got["ma"] == stats.mode_value(df, "a") and got["mb"] == stats.mode_value(df, "b")
+    assert got["mc"] == stats.mode_value(df, "a", cond)
+    assert math.isclose(got["med"], float(np.median([r[2] for r in rows])))
+    assert math.isclose(got["medx"], float(np.median([r[2] for r in rows if r[1] == "x"])))
+    assert math.isclose(got["sd"], float(np.std([r[2] for r in rows if r[1] == "x"])))
+    tie = spark.createDataFrame([(10,), (9,), (10,), (9,)], "a int")
+    assert stats.fit_many(tie, {"m": ("mode", "a", None)})["m"] == 9
