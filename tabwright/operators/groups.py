@@ -50,12 +50,15 @@ def group_size(df: DataFrame, keys, out: str = "group_size") -> DataFrame:
     return attach_group_stats(df, keys, [F.count(F.lit(1)).alias(out)])
 
 
-def _is(label: str, v: float) -> Column:
-    return F.when(F.col(label) == v, 1).otherwise(0)
+def _is(label: str, v: float, visible: Column | None = None) -> Column:
+    hit = F.col(label) == v
+    if visible is not None:
+        hit = hit & visible
+    return F.when(hit, 1).otherwise(0)
 
 
 def loo_group_label(df: DataFrame, keys, label: str, out: str = "group_label", default: float = 0.5,
-                    prev: str | None = None) -> DataFrame:
+                    prev: str | None = None, visible: Column | None = None) -> DataFrame:
     """Leave-one-out group label.
 
     Without ``prev`` (pass 1): 1 if another member of the group has label 1, else 0 if another
@@ -63,12 +66,16 @@ def loo_group_label(df: DataFrame, keys, label: str, out: str = "group_label", d
     With ``prev`` (pass 2): rows whose ``prev`` is already 1 keep it; the others become 1 / 0 by
     the same rule, or keep ``prev`` when the other members are unlabelled.
     Null-key rows get ``default`` (pass 1) or keep ``prev`` (pass 2).
+
+    ``visible`` (a row condition) makes the feature fold-aware: only labels of rows where it holds
+    count, so hold-out labels cannot leak into the feature (the reference counts every label).
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
     n1, n0 = "__n1", "__n0"
-    with_stats = attach_group_stats(df, keys, [F.sum(_is(label, 1.0)).alias(n1), F.sum(_is(label, 0.0)).alias(n0)])
-    others1 = F.col(n1) - _is(label, 1.0)
-    others0 = F.col(n0) - _is(label, 0.0)
+    with_stats = attach_group_stats(df, keys, [F.sum(_is(label, 1.0, visible)).alias(n1),
+                                               F.sum(_is(label, 0.0, visible)).alias(n0)])
+    others1 = F.col(n1) - _is(label, 1.0, visible)
+    others0 = F.col(n0) - _is(label, 0.0, visible)
     fallback = F.lit(float(default)) if prev is None else F.col(prev)
     value = F.when(others1 > 0, F.lit(1.0)).when(others0 > 0, F.lit(0.0)).otherwise(fallback)
     if prev is not None:
@@ -77,8 +84,8 @@ def loo_group_label(df: DataFrame, keys, label: str, out: str = "group_label", d
 
 
 def loo_two_pass(df: DataFrame, keys1, keys2, label: str, out: str = "group_label",
-                 default: float = 0.5) -> DataFrame:
+                 default: float = 0.5, visible: Column | None = None) -> DataFrame:
     """WIN1 then WIN2: the reference's family/ticket group label."""
-    first = loo_group_label(df, keys1, label, out="__pass1", default=default)
-    second = loo_group_label(first, keys2, label, out=out, prev="__pass1")
+    first = loo_group_label(df, keys1, label, out="__pass1", default=default, visible=visible)
+    second = loo_group_label(first, keys2, label, out=out, prev="__pass1", visible=visible)
     return second.drop("__pass1")

@@ -108,16 +108,33 @@ def impute_chained(df: DataFrame, targets: list[str], features: list[str], max_i
     return cur.drop(*miss.values())
 
 
+def reimpute_out_of_range(df: DataFrame, target: str, features: list[str], lo: float, hi: float,
+                          **kw) -> DataFrame:
+    """UPD4: values outside [lo, hi] become missing and are filled again by chained regression."""
+    bad = (F.col(target) < lo) | (F.col(target) > hi)
+    cleared = df.withColumn(target, F.when(bad, F.lit(None)).otherwise(F.col(target)))
+    return impute_chained(cleared, [target], features, lo=lo, hi=hi, **kw)
+
+
 def impute_forest(df: DataFrame, target: str, features: list[str], num_trees: int = 100, seed: int = 0,
-                  max_depth: int = 10, fit_on: Column | None = None) -> DataFrame:
+                  max_depth: int = 10, fit_on: Column | None = None, max_memory_mb: int = 1024) -> DataFrame:
     """IMP8: random-forest regression of ``target`` on ``features`` over rows where it is known;
-    missing values take the forest's prediction."""
+    missing values take the forest's prediction.  String features are one-hot encoded first
+    (ENC2) with a fitted value list."""
+    from tabwright.operators.encode import fit_one_hot, string_columns
+    strings = [c for c in string_columns(df.select(*features))]
+    if strings:
+        oh = fit_one_hot(df, strings)
+        df = oh.apply(df, keep_source=True)
+        features = [c for c in features if c not in strings] + oh.dummy_names()
     assembled = _assemble(df, features)
     train = assembled.filter(F.col(target).isNotNull())
     if fit_on is not None:
         train = train.filter(fit_on)
     model = RandomForestRegressor(featuresCol="__features", labelCol=target, predictionCol="__pred",
-                                  numTrees=num_trees, maxDepth=max_depth, seed=seed).fit(train)
-    return (model.transform(assembled)
-            .withColumn(target, F.coalesce(F.col(target), F.col("__pred")))
-            .drop("__features", "__pred"))
+                                  numTrees=num_trees, maxDepth=max_depth, seed=seed,
+                                  maxMemoryInMB=max_memory_mb).fit(train)
+    out = (model.transform(assembled)
+           .withColumn(target, F.coalesce(F.col(target), F.col("__pred")))
+           .drop("__features", "__pred"))
+    return out.drop(*oh.dummy_names()) if strings else out

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tabwright.operators import history, metrics
-from tabwright.operators.impute import impute_chained, impute_forest
+from tabwright.operators.impute import impute_chained, impute_forest, reimpute_out_of_range
 from tabwright.operators.select import drop_drifting
 from tabwright.operators.split import kfold
 from tabwright.plans import models
@@ -181,11 +181,20 @@ def q_impute_age_chained_train_fit(spark, sf):
     return out.select(KEY, F.round("age", 6).alias("age"))
 
 
+def q_impute_age_refill(spark, sf):
+    """UPD4 + FLT1: ages outside [0, 40] are cleared and filled again by chained regression."""
+    p = materialize(people(spark, sf).select(KEY, F.col("age_raw").alias("age"),
+                                 F.col("class_raw").cast("double").alias("pclass"),
+                                 F.col("n_relatives").cast("double").alias("relatives")))
+    out = reimpute_out_of_range(p, "age", ["pclass", "relatives"], 0.0, 40.0)
+    return out.select(KEY, F.round("age", 6).alias("age"))
+
+
 def q_impute_age_forest(spark, sf):
     """IMP8: 100-tree forest regression of age on class, sex, relatives."""
     p = materialize(people(spark, sf).select(KEY, F.col("age_raw").alias("age"),
                                  F.col("class_raw").cast("double").alias("pclass"),
-                                 F.when(F.col("sex_raw") == "female", 1.0).otherwise(0.0).alias("sex"),
+                                 F.col("sex_raw").alias("sex"),
                                  F.col("n_relatives").cast("double").alias("relatives")))
     out = impute_forest(p, "age", ["pclass", "sex", "relatives"], num_trees=100, seed=0)
     return out.select(KEY, F.round("age", 6).alias("age"))
@@ -228,6 +237,7 @@ MODEL_QUERIES = {
     "impute_age_chained": q_impute_age_chained,
     "impute_age_chained_train_fit": q_impute_age_chained_train_fit,
     "impute_age_forest": q_impute_age_forest,
+    "impute_age_refill": q_impute_age_refill,
     "submission": q_submission,
     "run_log": q_run_log,
 }

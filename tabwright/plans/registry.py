@@ -397,6 +397,31 @@ UNION ALL SELECT group_label, count(*) AS n, 2 AS pass FROM p2 GROUP BY group_la
 """)
 
 
+def q_loo_fold_aware(spark, sf):
+    """Q7 variant: labels of hold-out rows (SPL1, seed 42) do not count in the group label."""
+    p = split.holdout_flag(people(spark, sf).select("person_id", "family_key", "ticket_group_key", "label"),
+                           "person_id", 0.2, 42)
+    out = groups.loo_group_label(p, ["family_key", "ticket_group_key"], "label", "group_label",
+                                 visible=F.col("is_holdout") == 0)
+    return out.select("person_id", "is_holdout", "group_label")
+
+
+_SQL_VIS = "(s.is_holdout = 0)"
+SQL_LOO_FOLD_AWARE = with_people(f"""
+WITH h AS (SELECT person_id, family_key, ticket_group_key, label,
+                  CAST({_sql_hash_hex('person_id', 42)} < '33333333' AS INTEGER) AS is_holdout FROM people),
+g AS (SELECT family_key, ticket_group_key,
+             sum(CASE WHEN label = 1 AND is_holdout = 0 THEN 1 ELSE 0 END) AS n1,
+             sum(CASE WHEN label = 0 AND is_holdout = 0 THEN 1 ELSE 0 END) AS n0
+      FROM h WHERE family_key IS NOT NULL AND ticket_group_key IS NOT NULL GROUP BY family_key, ticket_group_key)
+SELECT s.person_id, s.is_holdout,
+       CAST(CASE WHEN g.n1 - CASE WHEN s.label = 1 AND {_SQL_VIS} THEN 1 ELSE 0 END > 0 THEN 1.0
+                 WHEN g.n0 - CASE WHEN s.label = 0 AND {_SQL_VIS} THEN 1 ELSE 0 END > 0 THEN 0.0
+                 ELSE 0.5 END AS DOUBLE) AS group_label
+FROM h s LEFT JOIN g ON s.family_key = g.family_key AND s.ticket_group_key = g.ticket_group_key
+""")
+
+
 # --- family rules -----------------------------------------------------------------------------------
 
 def _with_surname(spark, sf):
@@ -730,6 +755,31 @@ SQL_IO_ROUNDTRIP = with_people(
     "SELECT person_id, CAST(n_relatives >= 4 AS INTEGER) AS label FROM people WHERE is_test = 1")
 
 
+def q_label_sidecar(spark, sf):
+    """SNK4: the label of the labelled rows as its own (key, label) table."""
+    return io.label_sidecar(people(spark, sf).filter(F.col("is_test") == 0), "person_id", "label")
+
+
+SQL_LABEL_SIDECAR = with_people("SELECT person_id, label FROM people WHERE is_test = 0")
+
+
+def q_override_roundtrip(spark, sf):
+    """SRC3 + SNK1 + JN4: the rule-override table is written to the shared folder, read back
+    with its schema and applied to a rule-of-thumb prediction by key."""
+    p = _with_surname(spark, sf)
+    path = scratch_path(spark, "override")
+    io.write_table(rules.override_table(p, _lists(p), "person_id", "surname"), path)
+    ov = io.read_override_table(spark, path)
+    pred = p.filter(F.col("is_test") == 1).select("person_id", (F.col("n_relatives") >= 4).cast("int").alias("prediction"))
+    return rules.apply_overrides(pred, ov, "person_id")
+
+
+SQL_OVERRIDE_ROUNDTRIP = with_people(f"""WITH {_SQL_FAM},
+o AS (SELECT person_id, coalesce(CAST(b.rule AS INTEGER), -1) AS rule FROM s LEFT JOIN b USING (surname))
+SELECT s.person_id, coalesce(nullif(o.rule, -1), CAST(s.n_relatives >= 4 AS INTEGER)) AS prediction
+FROM s LEFT JOIN o ON s.person_id = o.person_id WHERE s.is_test = 1""")
+
+
 # --- the full preparation (flagship) -------------------------------------------------------------------
 
 def q_prepare_features(spark, sf):
@@ -804,6 +854,7 @@ SQL_QUERIES = {
     "loo_pass1": (q_loo_pass1, SQL_LOO_PASS1),
     "loo_two_pass": (q_loo_two_pass, SQL_LOO_TWO_PASS),
     "loo_distribution": (q_loo_distribution, SQL_LOO_DISTRIBUTION),
+    "loo_fold_aware": (q_loo_fold_aware, SQL_LOO_FOLD_AWARE),
     "family_rule_lists": (q_family_rule_lists, SQL_FAMILY_RULE_LISTS),
     "rule_filled_labels": (q_rule_filled_labels, SQL_RULE_FILLED_LABELS),
     "rule_rewrites": (q_rule_rewrites, SQL_RULE_REWRITES),
@@ -825,4 +876,6 @@ SQL_QUERIES = {
     "quality_confusion": (q_quality_confusion, SQL_QUALITY_CONFUSION),
     "quality_class_report": (q_quality_class_report, SQL_QUALITY_CLASS_REPORT),
     "io_roundtrip": (q_io_roundtrip, SQL_IO_ROUNDTRIP),
+    "label_sidecar": (q_label_sidecar, SQL_LABEL_SIDECAR),
+    "override_roundtrip": (q_override_roundtrip, SQL_OVERRIDE_ROUNDTRIP),
 }
