@@ -27,19 +27,25 @@ def _valid(keys: list[str]) -> Column:
 _SALT = "__tw_salt"
 
 
-def attach_group_stats(df: DataFrame, keys: list[str], aggs: list[Column]) -> DataFrame:
+def attach_group_stats(df: DataFrame, keys: list[str], aggs: list[Column], spread: list[str] | None = None) -> DataFrame:
     """Join per-key aggregates back onto every row (null key -> null statistics).
 
-    The join carries an extra key, 0 for rows with a complete key and a positive hash of the
-    whole row for rows with a null in the key: the per-key table only holds 0, so null-key rows
-    never match, and the salt spreads them over all join partitions instead of hashing every one
-    of them to the partition of "null".  The salt is a deterministic function of the row, so a
-    retried task sends every row to the same partition again."""
+    The join carries an extra key, 0 for rows with a complete key and a positive hash of
+    ``spread`` (default: the first non-key column, normally the row id) for rows with a null in
+    the key: the per-key table only holds 0, so null-key rows never match, and the salt spreads
+    them over all join partitions instead of hashing every one of them to the partition of
+    "null".  The salt is a deterministic function of the row, so a retried task sends every row
+    to the same partition again.  (Hashing every column would inline each upstream expression
+    into the salt and bloat the plan.)"""
     keys = list(keys)
-    per_key = (df.filter(_valid(keys)).groupBy(*keys).agg(*aggs).withColumn(_SALT, F.lit(0).cast("long")))
+    spread = spread or [next((c for c in df.columns if c not in keys), df.columns[0])]
+    salt = F.when(_valid(keys), F.lit(0).cast("long")).otherwise(
+        F.pmod(F.xxhash64(*[F.col(c) for c in spread]), F.lit(2 ** 30)) + 1)
+    salted = df.withColumn(_SALT, salt)
+    # The salt is a grouping column here (not a literal), so it stays a join key and the
+    # exchange hashes on it; a literal 0 would be folded into a join condition instead.
+    per_key = salted.filter(F.col(_SALT) == 0).groupBy(*keys, _SALT).agg(*aggs)
     stat_cols = [c for c in per_key.columns if c not in keys and c != _SALT]
-    salted = df.withColumn(_SALT, F.when(_valid(keys), F.lit(0).cast("long"))
-                           .otherwise(F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(2 ** 30)) + 1))
     out = salted.join(per_key, keys + [_SALT], "left")
     return out.select(*[F.col(c) for c in df.columns], *[F.col(c) for c in stat_cols])
 
