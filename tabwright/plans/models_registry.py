@@ -33,7 +33,7 @@ _cache: dict = {}
 def prepared(spark: SparkSession, sf: str) -> DataFrame:
     k = (spark.sparkContext.applicationId, sf)
     if k not in _cache:
-        _cache[k] = materialize(models.ml_names(prepare(people(spark, sf), PrepareConfig())))
+        _cache[k] = materialize(models.ml_names(prepare(people(spark, sf), PrepareConfig(stat_digits=6))))
     return _cache[k]
 
 
@@ -220,6 +220,36 @@ def q_run_log(spark, sf):
     return spark.read.parquet(path).select("run_id", "key", "value")
 
 
+# DRF3 with an explicit list has an exact SQL form: the flagship's columns minus the drifting ones.
+def _sql_drift_reduced() -> str:
+    from tabwright.plans.registry import SQL_PREPARE_FEATURES
+    cols = (["person_id", "title_0", "class_1", "class_2", "class_3"]
+            + [f'"family_survival_{v}" AS family_survival_{v.replace(".", "_")}' for v in ("0.0", "0.5", "1.0")]
+            + ["cabin_0", "cabin_1", "cabin_5", "cabin_8", "sex", "n_relatives", "fare_std", "ticket_std", "age",
+               "label"])
+    return f"WITH x AS ({SQL_PREPARE_FEATURES}) SELECT {', '.join(cols)} FROM x"
+
+
+SQL_MODEL_QUERIES = {"drift_reduced_features": (q_drift_reduced_features, _sql_drift_reduced())}
+
+def q_stream_submission(spark, sf):
+    """Streaming SNK3: scoring rows arrive as parquet files (two drops), a file-stream query
+    scores each micro-batch with the fitted forest and appends submission rows; the sink is read
+    back."""
+    from tabwright.operators.split import key_hash_int
+    from tabwright.streaming.scoring import score_stream
+    prep = drop_drifting(prepared(spark, sf), DRIFTING)
+    feats = _features(prep)
+    model = models.pipeline(feats, models.random_forest(), k=25).fit(prep.filter(F.col("label").isNotNull()))
+    scoring = prep.filter(F.col("label").isNull()).drop("label")
+    src, sink, ckpt = (scratch_path(spark, n) for n in ("stream-src", "stream-sink", "stream-ckpt"))
+    for part in (0, 1):  # two file drops
+        scoring.filter(key_hash_int(KEY, 7) % 2 == part).write.parquet(f"{src}/drop={part}")
+    q = score_stream(spark, f"{src}/*", scoring.schema, model, KEY, sink, ckpt, THRESHOLD)
+    q.awaitTermination()
+    return spark.read.parquet(sink).select(KEY, "label")
+
+
 MODEL_QUERIES = {
     "model_random_forest": q_model_random_forest,
     "model_soft_vote": q_model_soft_vote,
@@ -233,11 +263,11 @@ MODEL_QUERIES = {
     "model_perceptron_history": q_model_perceptron_history,
     "drift_importance": q_drift_importance,
     "drift_summary": q_drift_summary,
-    "drift_reduced_features": q_drift_reduced_features,
     "impute_age_chained": q_impute_age_chained,
     "impute_age_chained_train_fit": q_impute_age_chained_train_fit,
     "impute_age_forest": q_impute_age_forest,
     "impute_age_refill": q_impute_age_refill,
     "submission": q_submission,
     "run_log": q_run_log,
+    "stream_submission": q_stream_submission,
 }

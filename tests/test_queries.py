@@ -47,7 +47,7 @@ def test_query_matches_sql(spark, duck, name):
 def test_every_query_has_a_callable():
     q = E.queries()
     assert set(E.oracle_sql()) <= set(q)
-    assert len(q) >= 50
+    assert len(q) >= 60
 
 
 def test_entry_smoke(spark):
@@ -91,3 +91,10 @@ def test_run_log(spark):
     rows = E.queries()["run_log"](spark, SF_SMALL).collect()
     keys = {r["key"]: r["value"] for r in rows}
     assert keys["num_trees"] == "26" and math.isclose(float(keys["threshold"]), 0.5)
+
+
+def test_stream_submission_equals_batch(spark):
+    q = E.queries()
+    streamed = {(r["person_id"], r["label"]) for r in q["stream_submission"](spark, SF_SMALL).collect()}
+    batch = {(r["person_id"], r["label"]) for r in q["submission"](spark, SF_SMALL).collect()}
+    assert streamed == batch and len(batch) > 0
