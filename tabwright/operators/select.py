@@ -26,12 +26,15 @@ def anova_f(df: DataFrame, features: list[str], label: str) -> DataFrame:
     long = per_class.select("n", F.explode(F.array(*[
         F.struct(F.lit(f).alias("feature"), F.col(f"m{i}").alias("mean"), F.col(f"v{i}").alias("var"))
         for i, f in enumerate(features)])).alias("s")).select("n", "s.*")
-    totals = long.groupBy("feature").agg(
-        F.sum("n").alias("n_total"), (F.sum(F.col("n") * F.col("mean")) / F.sum("n")).alias("grand"),
-        F.count(F.lit(1)).alias("n_classes"), F.sum(F.col("n") * F.col("var")).alias("ssw"))
-    ssb = (long.join(totals, "feature")
-           .groupBy("feature", "n_total", "n_classes", "ssw")
-           .agg(F.sum(F.col("n") * (F.col("mean") - F.col("grand")) * (F.col("mean") - F.col("grand"))).alias("ssb")))
+    # Window sums over the per-class rows of each feature (a table of classes x features rows)
+    # keep this to one read of the input: no join back onto a second evaluation of per_class.
+    w = Window.partitionBy("feature")
+    grand = F.sum(F.col("n") * F.col("mean")).over(w) / F.sum("n").over(w)
+    terms = long.select("feature", "n", "var", (F.col("mean") - grand).alias("dev"),
+                        F.sum("n").over(w).alias("n_total"), F.count(F.lit(1)).over(w).alias("n_classes"))
+    ssb = terms.groupBy("feature").agg(
+        F.sum(F.col("n") * F.col("dev") * F.col("dev")).alias("ssb"), F.sum(F.col("n") * F.col("var")).alias("ssw"),
+        F.first("n_total").alias("n_total"), F.first("n_classes").alias("n_classes"))
     f_value = F.try_divide(F.col("ssb") / (F.col("n_classes") - 1),
                            F.col("ssw") / (F.col("n_total") - F.col("n_classes")))
     return ssb.select("feature", f_value.alias("f_value"))

@@ -262,3 +262,39 @@ def test_fit_many_matches_single_statistics(spark):
     assert math.isclose(got["sd"], float(np.std([r[2] for r in rows if r[1] == "x"])))
     tie = spark.createDataFrame([(10,), (9,), (10,), (9,)], "a int")
     assert stats.fit_many(tie, {"m": ("mode", "a", None)})["m"] == 9
+
+
+def test_loo_with_hot_and_null_keys(spark):
+    """A third of the rows share one key, a third have no key: same result as the rule applied
+    by counting (the set form checked against the loops above)."""
+    rnd = random.Random(11)
+    rows = []
+    for i in range(3000):
+        k = "hot" if i % 3 == 0 else (None if i % 3 == 1 else f"k{rnd.randint(0, 300)}")
+        rows.append((i, k, rnd.choice([0.0, 1.0, None])))
+    df = spark.createDataFrame(rows, "id long, k string, y double")
+    got = {r["id"]: r["g"] for r in groups.loo_group_label(df, "k", "y", "g").collect()}
+    ones, zeros = {}, {}
+    for _, k, y in rows:
+        ones[k] = ones.get(k, 0) + (y == 1.0)
+        zeros[k] = zeros.get(k, 0) + (y == 0.0)
+    for i, k, y in rows:
+        if k is None:
+            exp = 0.5
+        elif ones[k] - (y == 1.0) > 0:
+            exp = 1.0
+        elif zeros[k] - (y == 0.0) > 0:
+            exp = 0.0
+        else:
+            exp = 0.5
+        assert got[i] == exp
+
+
+def test_partition_count_does_not_change_results(spark):
+    rows = [(i, f"g{i % 13}", float(i % 2)) for i in range(1500)]
+    df = spark.createDataFrame(rows, "id long, g string, y double")
+    a = {r["id"]: (r["rn"], r["lab"]) for r in groups.loo_group_label(
+        row_number_within(df.repartition(1), ["id"], ["g"], "rn", num_partitions=1), "g", "y", "lab").collect()}
+    b = {r["id"]: (r["rn"], r["lab"]) for r in groups.loo_group_label(
+        row_number_within(df.repartition(8), ["id"], ["g"], "rn", num_partitions=8), "g", "y", "lab").collect()}
+    assert a == b
