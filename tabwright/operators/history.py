@@ -11,7 +11,9 @@ Running minima and "last ok row" are prefix scans.  A run may be very long (one
 large share of all rows), so the scans are two-level: rows are numbered inside the run by a
 distributed range sort, cut into chunks of ``chunk_rows`` consecutive steps, scanned inside each
 chunk, and the chunk results are combined through a per-chunk summary table (one row per chunk).
-No task ever holds more than one chunk of one run.
+No task ever holds more than one chunk of one run.  Each scan pass reads its input twice (chunk
+summary and rows), so the numbered rows and the first pass are checkpointed: the plan stays
+flat instead of re-deriving the numbering in every branch.
 """
 
 from __future__ import annotations
@@ -21,6 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tabwright.operators.numbering import row_number_within
+from tabwright.session import materialize
 
 _NEG = -1
 
@@ -39,7 +42,7 @@ def patience(df: DataFrame, run_keys, order_cols, loss: str, patience: int = 15,
     ``is_stop`` (the first row of the run whose counter reaches ``patience``)."""
     run_keys = [run_keys] if isinstance(run_keys, str) else list(run_keys)
     cur = row_number_within(df, list(order_cols), run_keys, name="step")
-    cur = cur.withColumn("__chunk", F.floor(F.col("step") / F.lit(chunk_rows)))
+    cur = materialize(cur.withColumn("__chunk", F.floor(F.col("step") / F.lit(chunk_rows))))
     local = Window.partitionBy(*run_keys, "__chunk").orderBy("step")
     before = local.rowsBetween(Window.unboundedPreceding, -1)
     upto = local.rowsBetween(Window.unboundedPreceding, 0)
@@ -54,7 +57,7 @@ def patience(df: DataFrame, run_keys, order_cols, loss: str, patience: int = 15,
     cur = cur.withColumn("is_ok", best_before.isNull() | better)
     # pass 2: step of the last ok row up to this one
     cur = cur.withColumn("__okstep", F.when(F.col("is_ok"), F.col("step")).otherwise(F.lit(_NEG)))
-    cur = cur.withColumn("__lok", F.max("__okstep").over(upto))
+    cur = materialize(cur.withColumn("__lok", F.max("__okstep").over(upto)))
     prev_ok = _prefix_over_chunks(cur, run_keys, "__okstep", "max", "__cok")
     cur = cur.join(prev_ok, run_keys + ["__chunk"], "left")
     cur = cur.withColumn("counter", F.col("step") - F.greatest(F.col("__lok"), F.coalesce(F.col("__cok"), F.lit(_NEG))))

@@ -31,8 +31,7 @@ from tabwright.functions.fixed import (AGE_CLIP, CABIN_CODES, MISSING_CABIN, RAR
 from tabwright.operators import groups, impute, stats
 from tabwright.operators.encode import fit_one_hot
 from tabwright.operators.scale import fit_zscore
-from tabwright.session import ensure_checkpoint_dir
-from tabwright.sources.tables import balanced
+from tabwright.session import materialize  # noqa: F401  (re-exported)
 
 # The people view's priorities play the part of the port of embarkation.
 FIXTURE_PORT_CODES = {"1-URGENT": 0, "2-HIGH": 1, "3-MEDIUM": 2, "4-NOT SPECIFIED": 3, "5-LOW": 4}
@@ -64,13 +63,6 @@ class PrepareConfig:
     stat_digits: int | None = None           # round fitted means/deviations/coefficients (engine parity)
 
 
-def materialize(df: DataFrame) -> DataFrame:
-    """Cut the lineage with a reliable checkpoint in the shared checkpoint folder (spread over
-    the task slots first when the frame has fewer partitions than slots)."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return balanced(df).checkpoint(eager=True)
-
-
 def prepare(people: DataFrame, cfg: PrepareConfig = PrepareConfig(), checkpoint: bool = True) -> DataFrame:
     c = cfg
     fit_on = (F.col(c.flag) == 0) if c.fit_on_train_only else None

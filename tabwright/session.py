@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every tabwright job relies on.  Timestamps in the inputs are written without a zone
 # (they load as TIMESTAMP_NTZ), but the session zone is pinned anyway so no result depends on
@@ -59,3 +59,18 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A new, unique folder under the shared checkpoint folder for a written intermediate."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/tabwright/{name}-{uuid.uuid4().hex}"
+
+
+def balanced(df: DataFrame) -> DataFrame:
+    """Round-robin repartition only when the frame has fewer partitions than task slots (a small
+    single-file input); on a cluster reading many files this adds nothing."""
+    slots = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(slots) if df.rdd.getNumPartitions() < slots else df
+
+
+def materialize(df: DataFrame) -> DataFrame:
+    """Cut the lineage with a reliable checkpoint in the shared checkpoint folder (spread over
+    the task slots first when the frame has fewer partitions than slots).  Later jobs read the
+    written copy instead of re-running the plan behind it, and survive executor loss."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return balanced(df).checkpoint(eager=True)
