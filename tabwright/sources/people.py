@@ -21,20 +21,28 @@ PEOPLE_COLUMNS = [
 ]
 
 
-def _base(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders = read_table(spark, sf_dir, "orders",
-                        ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"])
-    customer = read_table(spark, sf_dir, "customer", ["c_custkey", "c_name", "c_nationkey", "c_mktsegment"])
+def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     # Aggregated on the join key, so the aggregate's hash partitioning serves the join as well.
-    lines = (read_table(spark, sf_dir, "lineitem", ["l_orderkey", "l_quantity"])
-             .groupBy("l_orderkey")
-             .agg(F.count(F.lit(1)).alias("n_lines"), F.max("l_quantity").alias("qty")))
+    return (read_table(spark, sf_dir, "lineitem", ["l_orderkey", "l_quantity"])
+            .groupBy("l_orderkey")
+            .agg(F.count(F.lit(1)).alias("n_lines"), F.max("l_quantity").alias("qty")))
+
+
+def _orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read_table(spark, sf_dir, "orders",
+                      ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"])
+
+
+def _shape(orders: DataFrame, spark: SparkSession, sf_dir: str, extra: list[str]) -> DataFrame:
+    """orders (+ any extra columns) joined to customer and the per-order line aggregate."""
+    customer = read_table(spark, sf_dir, "customer", ["c_custkey", "c_name", "c_nationkey", "c_mktsegment"])
+    lines = _lines(spark, sf_dir)
     key = F.col("o_orderkey")
     return (orders.join(customer, orders.o_custkey == customer.c_custkey)
             .join(lines, orders.o_orderkey == lines.l_orderkey, "left")
             .select(
                 key.alias("person_id"),
-                F.col("o_orderstatus"),
+                *[F.col(c) for c in extra],
                 F.col("o_custkey").alias("family_key"),
                 F.col("c_mktsegment").alias("cabin_raw"),
                 F.when(key % 11 == 0, F.lit(None)).otherwise(F.col("o_orderpriority")).alias("port_raw"),
@@ -56,17 +64,19 @@ def people(spark: SparkSession, sf_dir: str, via_union: bool = False) -> DataFra
     """Labelled rows (status F/O) and scoring rows (status P, no label) in one table.
 
     The default builds it in one pass over the joins (source flag and label are expressions).
-    ``via_union=True`` builds the two sources separately and stacks them with
-    :func:`union_sources` (the scoring side has no label column, so it gets a null label) — the
-    same rows, but the inputs are read once per source."""
-    base = _base(spark, sf_dir)
+    ``via_union=True`` stacks the two sources first with :func:`union_sources` (the scoring
+    side has no label column, so it gets a null label) and joins the dimension and the line
+    aggregate once, after the union — the same rows."""
+    orders = _orders(spark, sf_dir)
     if not via_union:
-        return (base.withColumn("is_test", F.when(F.col("o_orderstatus") == "P", 1).otherwise(0))
+        shaped = _shape(orders, spark, sf_dir, ["o_orderstatus"])
+        return (shaped.withColumn("is_test", F.when(F.col("o_orderstatus") == "P", 1).otherwise(0))
                 .withColumn("label", F.when(F.col("o_orderstatus") == "P", F.lit(None)).otherwise(_label()))
                 .select(*PEOPLE_COLUMNS))
-    train = base.filter(F.col("o_orderstatus") != "P").withColumn("label", _label()).drop("o_orderstatus")
-    scoring = base.filter(F.col("o_orderstatus") == "P").drop("o_orderstatus")
-    return union_sources(train, scoring, "is_test").select(*PEOPLE_COLUMNS)
+    train = orders.filter(F.col("o_orderstatus") != "P").withColumn("label", _label()).drop("o_orderstatus")
+    scoring = orders.filter(F.col("o_orderstatus") == "P").drop("o_orderstatus")
+    stacked = union_sources(train, scoring, "is_test")
+    return _shape(stacked, spark, sf_dir, ["is_test", "label"]).select(*PEOPLE_COLUMNS)
 
 
 PEOPLE_SQL = """
