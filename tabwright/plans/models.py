@@ -9,6 +9,7 @@ fitted models, never from collected data.
 from __future__ import annotations
 
 import re
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.ml import Pipeline, PipelineModel
@@ -148,11 +149,30 @@ class SoftVoter:
         return base.select(*keep, s.alias("score"), (s > F.lit(threshold)).cast("int").alias("prediction"))
 
 
+def fit_parallel(jobs: dict, parallelism: int = 4) -> dict:
+    """Run independent fits (name -> zero-argument callable) from a small thread pool; Spark runs
+    their jobs concurrently, as ``CrossValidator(parallelism=...)`` does.  Exceptions are returned
+    in place of results."""
+    def run(fn):
+        try:
+            return fn()
+        except Exception as e:  # noqa: BLE001 — handed back to the caller
+            return e
+    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
+        futures = {n: pool.submit(run, fn) for n, fn in jobs.items()}
+        return {n: f.result() for n, f in futures.items()}
+
+
 def fit_soft_voter(train: DataFrame, features: list[str], estimators: dict, weights: dict | None = None,
-                   k: int | None = None) -> SoftVoter:
+                   k: int | None = None, parallelism: int = 4) -> SoftVoter:
     weights = weights or {n: 1.0 for n in estimators}
-    models = {n: pipeline(features, est, k).fit(train) for n, est in estimators.items() if weights.get(n, 0)}
-    return SoftVoter(models, weights)
+    jobs = {n: (lambda est=est: pipeline(features, est, k).fit(train))
+            for n, est in estimators.items() if weights.get(n, 0)}
+    fitted = fit_parallel(jobs, parallelism)
+    for n, m in fitted.items():
+        if isinstance(m, Exception):
+            raise m
+    return SoftVoter(fitted, weights)
 
 
 # --- boosted regression with patience (MOD4, EVL7, Q13) -------------------------------------------------
@@ -242,18 +262,23 @@ def grid_search(df: DataFrame, features: list[str], estimator, grid: dict, fold_
 
 
 def leaderboard(train: DataFrame, test: DataFrame, features: list[str], estimators: dict, key: str,
-                threshold: float = 0.5) -> DataFrame:
-    """LDB1/LDB2/EVL6: hold-out accuracy, f1 and hard AUC per model, best first.  A model that
-    fails to fit is kept as a row with its error instead of being skipped silently."""
+                threshold: float = 0.5, parallelism: int = 4) -> DataFrame:
+    """LDB1/LDB2/EVL6: hold-out accuracy, f1 and hard AUC per model, best first.  Models are
+    fitted concurrently (``parallelism``).  A model that fails to fit is kept as a row with its
+    error instead of being skipped silently."""
     spark = train.sparkSession
+
+    def evaluate(est):
+        model = pipeline(features, est).fit(train)
+        return metrics.binary_metrics(score(model, test, key, threshold), "label", "prediction").first()
+
+    results = fit_parallel({n: (lambda est=est: evaluate(est)) for n, est in estimators.items()}, parallelism)
     rows = []
-    for name, est in estimators.items():
-        try:
-            model = pipeline(features, est).fit(train)
-            m = metrics.binary_metrics(score(model, test, key, threshold), "label", "prediction").first()
+    for name, m in results.items():
+        if isinstance(m, Exception):
+            rows.append((name, None, None, None, str(m).splitlines()[0][:200]))
+        else:
             rows.append((name, float(m["accuracy"]), float(m["f1"]), float(m["auc_hard"]), None))
-        except Exception as e:  # noqa: BLE001 — recorded in the table
-            rows.append((name, None, None, None, str(e).splitlines()[0][:200]))
     board = spark.createDataFrame(rows, "model string, accuracy double, f1 double, auc_hard double, error string")
     return board.orderBy(F.desc_nulls_last("accuracy"), "model")
 
