@@ -31,7 +31,10 @@ _cache: dict = {}
 
 
 def prepared(spark: SparkSession, sf: str) -> DataFrame:
-    k = (spark.sparkContext.applicationId, sf)
+    try:
+        k = (spark.sparkContext.applicationId, sf)
+    except Exception:  # noqa: BLE001 — no local SparkContext
+        k = (id(spark), sf)
     if k not in _cache:
         _cache[k] = materialize(models.ml_names(prepare(people(spark, sf), PrepareConfig(stat_digits=6))))
     return _cache[k]

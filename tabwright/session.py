@@ -46,12 +46,16 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     On a cluster that setting names a shared file system; it is only set here when the session
     has none (local tests), in which case a fresh folder under the system temp dir is used.
     """
-    path = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 — a session without a local SparkContext (remote client)
+        sc = None
+    path = spark.conf.get("spark.checkpoint.dir", None) or (sc.getCheckpointDir() if sc else None)
     if not path:
         path = tempfile.mkdtemp(prefix="tabwright-ckpt-")
         spark.conf.set("spark.checkpoint.dir", path)
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(path)
+    if sc is not None and not sc.getCheckpointDir():
+        sc.setCheckpointDir(path)
     return spark.conf.get("spark.checkpoint.dir", None) or path
 
 
@@ -64,8 +68,12 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 def balanced(df: DataFrame) -> DataFrame:
     """Round-robin repartition only when the frame has fewer partitions than task slots (a small
     single-file input); on a cluster reading many files this adds nothing."""
-    slots = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(slots) if df.rdd.getNumPartitions() < slots else df
+    try:
+        slots = df.sparkSession.sparkContext.defaultParallelism
+        parts = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 — no local SparkContext: leave the partitioning alone
+        return df
+    return df.repartition(slots) if parts < slots else df
 
 
 def materialize(df: DataFrame) -> DataFrame:
