@@ -12,6 +12,9 @@ Each statistic is one aggregate over the table and comes back as a few numbers,
 * category lists: one pass that emits (column, value) pairs, ``distinct``, and a collect capped
   at ``max_values + 1`` rows so an unexpectedly wide column fails loudly instead of flooding the
   driver.
+* :func:`fit_many` fits any number of the above together in at most three passes over the
+  table, which is what the fitting code paths use; the single-statistic functions remain for
+  direct use and as references in the tests.
 """
 
 from __future__ import annotations

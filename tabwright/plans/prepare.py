@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from tabwright.functions import codes, text
 from tabwright.functions.fixed import (AGE_CLIP, CABIN_CODES, MISSING_CABIN, RARE_TITLES, SEX_CODES,
                                        TITLE_CODES, TITLE_DEFAULT)
-from tabwright.operators import groups, impute, stats
+from tabwright.operators import groups, impute
 from tabwright.operators.encode import fit_one_hot
 from tabwright.operators.scale import fit_zscore
 from tabwright.session import materialize  # noqa: F401  (re-exported)
