@@ -40,6 +40,18 @@ def prepared(spark: SparkSession, sf: str) -> DataFrame:
     return _cache[k]
 
 
+def _shared(spark: SparkSession, sf: str, name: str, build):
+    """One fit per application, source folder and name, shared by the queries that report on it."""
+    try:
+        app = spark.sparkContext.applicationId
+    except Exception:  # noqa: BLE001 — no local SparkContext
+        app = id(spark)
+    k = (app, sf, name)
+    if k not in _cache:
+        _cache[k] = build()
+    return _cache[k]
+
+
 def _features(df: DataFrame) -> list[str]:
     return [c for c in df.columns if c not in (KEY, "label")]
 
@@ -67,17 +79,21 @@ def q_model_soft_vote(spark, sf):
     return voter.transform(ho, KEY, THRESHOLD)
 
 
+def _boost(spark, sf):
+    _, feats, tr, ho = _train_holdout(spark, sf)
+    return _shared(spark, sf, "boost", lambda: models.boost_with_patience(tr, ho, feats, max_rounds=200, patience=15))
+
+
 def q_model_boost_rounds(spark, sf):
     """MOD4 + EVL7: per-round train/eval rmse of boosted regression with patience 15."""
-    _, feats, tr, ho = _train_holdout(spark, sf)
-    pb = models.boost_with_patience(tr, ho, feats, max_rounds=200, patience=15)
+    pb = _boost(spark, sf)
     return pb.rounds.withColumn("stop_round", F.lit(pb.stop_round)).withColumn("best_round", F.lit(pb.best_round))
 
 
 def q_model_boost_predictions(spark, sf):
     """MOD4 + MTH3: boosted-regression score thresholded at 0.4 (strictly above)."""
-    _, feats, tr, ho = _train_holdout(spark, sf)
-    pb = models.boost_with_patience(tr, ho, feats, max_rounds=200, patience=15)
+    _, _, _, ho = _train_holdout(spark, sf)
+    pb = _boost(spark, sf)
     out = pb.model.transform(ho)
     return out.select(KEY, "label", F.col("prediction").alias("score"),
                       (F.col("prediction") > THRESHOLD_BOOST).cast("int").alias("prediction"))
@@ -144,20 +160,21 @@ def q_model_perceptron_history(spark, sf):
     return df.join(tail, "run")
 
 
-def q_drift_importance(spark, sf):
-    """DRF1 + DRF2: feature importances (gain, split count) of the source-telling model."""
+def _drift(spark, sf):
     prep = prepared(spark, sf)
     feats = [c for c in _features(prep) if c != "is_test"]
-    rep = models.adversarial_validation(prep.filter("is_test = 0"), prep.filter("is_test = 1"), feats, KEY)
-    return rep.importance
+    return _shared(spark, sf, "drift", lambda: models.adversarial_validation(
+        prep.filter("is_test = 0"), prep.filter("is_test = 1"), feats, KEY))
+
+
+def q_drift_importance(spark, sf):
+    """DRF1 + DRF2: feature importances (gain, split count) of the source-telling model."""
+    return _drift(spark, sf).importance
 
 
 def q_drift_summary(spark, sf):
     """DRF1: accuracy / AUC of telling the sources apart, next to the majority share."""
-    prep = prepared(spark, sf)
-    feats = [c for c in _features(prep) if c != "is_test"]
-    rep = models.adversarial_validation(prep.filter("is_test = 0"), prep.filter("is_test = 1"), feats, KEY)
-    return rep.summary
+    return _drift(spark, sf).summary
 
 
 def q_drift_reduced_features(spark, sf):
