@@ -298,3 +298,10 @@ def test_partition_count_does_not_change_results(spark):
     b = {r["id"]: (r["rn"], r["lab"]) for r in groups.loo_group_label(
         row_number_within(df.repartition(8), ["id"], ["g"], "rn", num_partitions=8), "g", "y", "lab").collect()}
     assert a == b
+
+
+def test_stratified_approximate_is_hash_fold(spark):
+    df = spark.range(1000).withColumnRenamed("id", "k").withColumn("y", (F.col("k") % 3).cast("double"))
+    a = {r["k"]: r["fold"] for r in split.stratified_kfold(df, "k", "y", 4, 1, exact=False).collect()}
+    b = {r["k"]: r["fold"] for r in split.kfold(df, "k", 4, 1).collect()}
+    assert a == b and set(a.values()) == {0, 1, 2, 3}

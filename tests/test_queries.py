@@ -98,3 +98,11 @@ def test_stream_submission_equals_batch(spark):
     streamed = {(r["person_id"], r["label"]) for r in q["stream_submission"](spark, SF_SMALL).collect()}
     batch = {(r["person_id"], r["label"]) for r in q["submission"](spark, SF_SMALL).collect()}
     assert streamed == batch and len(batch) > 0
+
+
+def test_model_queries_are_reproducible(spark):
+    a = {(r["person_id"], r["prediction"], round(r["score"], 12)) for r in
+         E.queries()["model_random_forest"](spark, SF_SMALL).collect()}
+    b = {(r["person_id"], r["prediction"], round(r["score"], 12)) for r in
+         E.queries()["model_random_forest"](spark, SF_SMALL).collect()}
+    assert a == b
