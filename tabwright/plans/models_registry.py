@@ -133,12 +133,17 @@ def q_model_results_table(spark, sf):
 
 
 def q_model_grid_search(spark, sf):
-    """GRD1 (+ SPL2 folds): 3-fold grid over forest size and depth, best by accuracy."""
+    """GRD1 (+ SPL2 folds): 3-fold grids, best by accuracy — forest size and depth, and the
+    logistic regression's inverse strength C in {0.1, 1, 10} (regParam = 1 / (C n))."""
     _, feats, tr, _ = _train_holdout(spark, sf)
-    folds = kfold(tr, KEY, 3, 1)
-    table, _ = models.grid_search(folds, feats, models.random_forest(),
-                                  {"numTrees": [10, 26], "maxDepth": [5, 10]}, "fold", 3)
-    return table
+    folds = materialize(kfold(tr, KEY, 3, 1))
+    n = folds.count()
+    rf, _ = models.grid_search(folds, feats, models.random_forest(),
+                               {"numTrees": [10, 26], "maxDepth": [5, 10]}, "fold", 3)
+    lr, _ = models.grid_search(folds, feats, models.logistic(c=1.0, n_rows=n),
+                               {"regParam": [1.0 / (c * n) for c in (0.1, 1.0, 10.0)]}, "fold", 3)
+    return (rf.withColumn("model", F.lit("random_forest"))
+            .unionByName(lr.withColumn("model", F.lit("logistic_regression"))))
 
 
 def q_model_cross_val(spark, sf):
