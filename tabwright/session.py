@@ -27,6 +27,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
     builder = SparkSession.builder.master(f"local[{cores}]").appName(app)
     conf = dict(BASE_CONF)
     conf.update({
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
         "spark.sql.shuffle.partitions": str(shuffle_partitions),
         "spark.driver.memory": "16g",
         "spark.sql.files.maxPartitionBytes": str(64 * 1024 * 1024),
