@@ -50,6 +50,20 @@ def attach_group_stats(df: DataFrame, keys: list[str], aggs: list[Column], sprea
     return out.select(*[F.col(c) for c in df.columns], *[F.col(c) for c in stat_cols])
 
 
+def join_back(df: DataFrame, table: DataFrame, keys: list[str], spread: list[str] | None = None) -> DataFrame:
+    """Left join of a per-key table (one row per key) onto every row of ``df``, with the same
+    null-key salt as :func:`attach_group_stats`: rows with a null key are spread over the join
+    partitions and get nulls."""
+    keys = list(keys)
+    spread = spread or [next((c for c in df.columns if c not in keys), df.columns[0])]
+    salted = df.withColumn(_SALT, F.when(_valid(keys), F.lit(0).cast("long")).otherwise(
+        F.pmod(F.xxhash64(*[F.col(c) for c in spread]), F.lit(2 ** 30)) + 1))
+    # grouping by the salt keeps it a column (a literal would be folded into a join condition)
+    right = (table.withColumn(_SALT, F.when(_valid(keys), F.lit(0).cast("long")).otherwise(F.lit(-1).cast("long")))
+             .groupBy(*keys, _SALT).agg(*[F.first(c).alias(c) for c in table.columns if c not in keys]))
+    return salted.join(right, keys + [_SALT], "left").drop(_SALT)
+
+
 def group_size(df: DataFrame, keys, out: str = "group_size") -> DataFrame:
     """WIN3 / JN2: number of rows sharing the key (null key -> null)."""
     keys = [keys] if isinstance(keys, str) else list(keys)

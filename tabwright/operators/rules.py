@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tabwright.functions.fixed import CHILD_AGE
-from tabwright.operators.groups import group_size
+from tabwright.operators.groups import group_size, join_back
 
 
 @dataclass(frozen=True)
@@ -63,7 +63,7 @@ def _rule_value(df: DataFrame, lists: DataFrame, surname: str) -> DataFrame:
     """Attach ``__rule``: the assigned value of the last matching rule (later rules win)."""
     best = (lists.groupBy(surname)
             .agg(F.max_by("assign", "rule_index").alias("__rule")))
-    return df.join(best, surname, "left")
+    return join_back(df, best, [surname])
 
 
 def fill_by_rules(df: DataFrame, lists: DataFrame, surname: str, label: str, out: str | None = None) -> DataFrame:
@@ -108,4 +108,4 @@ def apply_overrides(pred: DataFrame, overrides: DataFrame, key: str, pred_col: s
 def in_key_set(df: DataFrame, keys: DataFrame, col: str, out: str) -> DataFrame:
     """FLT5 / JN3 as a flag: whether ``col`` is in the key table (a distinct left join)."""
     k = keys.select(F.col(col)).distinct().withColumn(out, F.lit(True))
-    return df.join(k, col, "left").withColumn(out, F.coalesce(F.col(out), F.lit(False)))
+    return join_back(df, k, [col]).withColumn(out, F.coalesce(F.col(out), F.lit(False)))

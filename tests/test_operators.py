@@ -305,3 +305,11 @@ def test_stratified_approximate_is_hash_fold(spark):
     a = {r["k"]: r["fold"] for r in split.stratified_kfold(df, "k", "y", 4, 1, exact=False).collect()}
     b = {r["k"]: r["fold"] for r in split.kfold(df, "k", 4, 1).collect()}
     assert a == b and set(a.values()) == {0, 1, 2, 3}
+
+
+def test_in_key_set_and_join_back_nulls(spark):
+    from tabwright.operators.rules import in_key_set
+    df = spark.createDataFrame([(1, "a"), (2, "b"), (3, None)], "id long, s string")
+    keys = spark.createDataFrame([("a",), ("a",), (None,)], "s string")
+    got = {r["id"]: r["f"] for r in in_key_set(df, keys, "s", "f").collect()}
+    assert got == {1: True, 2: False, 3: False}
