@@ -108,6 +108,10 @@ def prepare(people: DataFrame, cfg: PrepareConfig = PrepareConfig(), checkpoint:
         raise ValueError(c.age_method)
     # a negative age would be refilled; the clip above already rules it out
 
+    # the group label is two aggregations and joins: write the rows once, so fitting the value
+    # lists and the final projection both read them instead of recomputing it
+    df = materialize(df) if checkpoint else df
+
     # 9: one-hot with fitted value lists
     oh = fit_one_hot(df, list(c.onehot), fit_on)
     df = oh.apply(df)
