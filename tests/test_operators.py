@@ -313,3 +313,34 @@ def test_in_key_set_and_join_back_nulls(spark):
     keys = spark.createDataFrame([("a",), ("a",), (None,)], "s string")
     got = {r["id"]: r["f"] for r in in_key_set(df, keys, "s", "f").collect()}
     assert got == {1: True, 2: False, 3: False}
+
+
+def test_chained_imputation_matches_least_squares(spark):
+    from tabwright.operators.impute import impute_chained
+    rnd = np.random.default_rng(3)
+    n = 400
+    x1, x2 = rnd.normal(0, 1, n), rnd.normal(5, 2, n)
+    y = 10 + 3 * x1 - 2 * x2 + rnd.normal(0, 0.5, n)
+    miss = rnd.random(n) < 0.25
+    rows = [(i, float(a), float(b), None if m else float(c)) for i, (a, b, c, m) in enumerate(zip(x1, x2, y, miss))]
+    df = spark.createDataFrame(rows, "id long, x1 double, x2 double, y double")
+    got = {r["id"]: r["y"] for r in impute_chained(df, ["y"], ["x1", "x2"], lo=-5.0, hi=12.0).collect()}
+    X = np.column_stack([np.ones(n), x1, x2])
+    coef, *_ = np.linalg.lstsq(X[~miss], y[~miss], rcond=None)
+    for i in range(n):
+        exp = float(np.clip(X[i] @ coef, -5.0, 12.0)) if miss[i] else float(y[i])
+        assert math.isclose(got[i], exp, rel_tol=1e-6, abs_tol=1e-6)
+
+
+def test_adversarial_validation_finds_the_separating_column(spark):
+    from tabwright.plans.models import adversarial_validation
+    rnd = random.Random(4)
+    rows = [(i, float(i % 2), rnd.random(), rnd.random()) for i in range(600)]
+    df = spark.createDataFrame(rows, "id long, src double, noise1 double, noise2 double")
+    train = df.filter("src = 0").withColumn("shift", F.col("noise1"))
+    scoring = df.filter("src = 1").withColumn("shift", F.col("noise1") + 10.0)
+    rep = adversarial_validation(train, scoring, ["shift", "noise2"], "id", max_rounds=20, patience=5)
+    summary = {r["metric"]: r["value"] for r in rep.summary.collect()}
+    assert summary["accuracy"] > 0.95 and summary["auc"] > 0.95
+    top = rep.importance.orderBy(F.desc("gain")).first()
+    assert top["feature"] == "shift" and top["weight"] >= 1
