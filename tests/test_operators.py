@@ -344,3 +344,26 @@ def test_adversarial_validation_finds_the_separating_column(spark):
     assert summary["accuracy"] > 0.95 and summary["auc"] > 0.95
     top = rep.importance.orderBy(F.desc("gain")).first()
     assert top["feature"] == "shift" and top["weight"] >= 1
+
+
+def test_soft_vote_and_leaderboard_errors(spark):
+    from pyspark.ml.classification import NaiveBayes
+    from tabwright.plans import models
+    rnd = random.Random(8)
+    rows = []
+    for i in range(400):
+        a, b = rnd.gauss(0, 1), rnd.gauss(0, 1)
+        rows.append((i, a, b, 1.0 if a + 0.5 * b + rnd.gauss(0, 0.5) > 0 else 0.0))
+    df = spark.createDataFrame(rows, "id long, a double, b double, label double")
+    est = {"lr": models.logistic(c=1.0, n_rows=400), "dt": models.decision_tree(max_depth=3),
+           "rf": models.random_forest(num_trees=5, max_depth=3)}
+    voter = models.fit_soft_voter(df, ["a", "b"], est, {"lr": 1, "dt": 0, "rf": 1})
+    assert set(voter.models) == {"lr", "rf"}
+    voted = {r["id"]: r["score"] for r in voter.transform(df, "id").collect()}
+    singles = {n: {r["id"]: r["score"] for r in models.score(voter.models[n], df, "id").collect()} for n in ("lr", "rf")}
+    for i in range(400):
+        assert math.isclose(voted[i], (singles["lr"][i] + singles["rf"][i]) / 2, rel_tol=1e-12)
+    board = {r["model"]: r for r in models.leaderboard(
+        df, df, ["a", "b"], {"lr": est["lr"], "nb": NaiveBayes(featuresCol="features", labelCol="label")}, "id").collect()}
+    assert board["lr"]["accuracy"] > 0.8 and board["lr"]["error"] is None
+    assert board["nb"]["accuracy"] is None and board["nb"]["error"]  # negative inputs: kept as an error row
