@@ -247,7 +247,8 @@ def q_impute_fills(spark, sf):
     out = fills.apply(p, suffix="_filled")
     out = sub.apply(out, suffix="_sub_filled")
     out = fill_constant(out.withColumn("port_const", F.col("port_raw")), {"port_const": "UNKNOWN"})
-    return out.select("person_id", "port_raw_filled", "fare_raw_filled", "fare_raw_sub_filled",
+    return out.select("person_id", "port_raw_filled", F.round("fare_raw_filled", A).alias("fare_raw_filled"),
+                      F.round("fare_raw_sub_filled", A).alias("fare_raw_sub_filled"),
                       F.round("age_raw_filled", Z).alias("age_raw_filled"), "port_const")
 
 
@@ -259,8 +260,8 @@ WITH s AS (
          (SELECT quantile_cont(fare_raw, 0.5) FROM people WHERE {SQL_SUB_POP}) AS fare_median_sub,
          (SELECT avg(age_raw) FROM people) AS age_mean)
 SELECT person_id, coalesce(port_raw, s.port_mode) AS port_raw_filled,
-       coalesce(fare_raw, s.fare_median) AS fare_raw_filled,
-       coalesce(fare_raw, s.fare_median_sub) AS fare_raw_sub_filled,
+       round(coalesce(fare_raw, s.fare_median), {A}) AS fare_raw_filled,
+       round(coalesce(fare_raw, s.fare_median_sub), {A}) AS fare_raw_sub_filled,
        round(coalesce(age_raw, s.age_mean), {Z}) AS age_raw_filled,
        coalesce(port_raw, 'UNKNOWN') AS port_const
 FROM people, s
