@@ -367,3 +367,19 @@ def test_soft_vote_and_leaderboard_errors(spark):
         df, df, ["a", "b"], {"lr": est["lr"], "nb": NaiveBayes(featuresCol="features", labelCol="label")}, "id").collect()}
     assert board["lr"]["accuracy"] > 0.8 and board["lr"]["error"] is None
     assert board["nb"]["accuracy"] is None and board["nb"]["error"]  # negative inputs: kept as an error row
+
+
+def test_patience_boost_keeps_last_or_best(spark):
+    from tabwright.plans import models
+    rnd = random.Random(9)
+    rows = [(i, rnd.random(), rnd.random(), float(rnd.random() < 0.5)) for i in range(300)]
+    df = spark.createDataFrame(rows, "id long, a double, b double, label double")
+    tr, ho = models.holdout(df, "id", 0.3, 1)
+    last = models.boost_with_patience(tr, ho, ["a", "b"], max_rounds=40, patience=3, first_stage=8, use="last")
+    best = models.boost_with_patience(tr, ho, ["a", "b"], max_rounds=40, patience=3, first_stage=8, use="best")
+    assert last.stop_round is not None  # noise labels: the validation error stops improving
+    assert last.model.stages[-1].getNumTrees == last.stop_round + 1
+    assert best.model.stages[-1].getNumTrees == best.best_round + 1
+    evals = sorted((r["round"], r["rmse"]) for r in last.rounds.filter("set = 'eval'").collect())
+    assert len(evals) == last.stop_round + 1
+    assert min(v for _, v in evals) == evals[last.best_round][1]
