@@ -606,8 +606,12 @@ def q_mixup_people(spark, sf):
     p = people(spark, sf).filter(F.col("is_test") == 0).select(
         "person_id", *[F.col(c).cast("double").alias(c) for c in MIX_FEATURES], "label")
     m = mixup(p, "person_id", MIX_FEATURES, "label", alpha=0.1, num=350, seed=622)
-    return m.select("person_id", *[F.round(c, Z).alias(c) for c in MIX_FEATURES + ["label"]],
-                    "partner_key", "is_synthetic")
+    out = m.select("person_id", *[F.round(c, Z).alias(c) for c in MIX_FEATURES + ["label"]],
+                   "partner_key", "is_synthetic")
+    # SNK6: originals and mixed rows, features and soft label together, as one parquet table
+    path = scratch_path(spark, "augmented")
+    io.write_table(out, path)
+    return io.read_prepared(spark, path)
 
 
 _SQL_MIX_SEL = ", ".join(f"CAST({c} AS DOUBLE) AS {c}" for c in MIX_FEATURES)
