@@ -94,33 +94,50 @@ def _interp(arr: list, q: float):
 def fit_many(df: DataFrame, spec: dict, max_bracket: int = 1_000_000) -> dict:
     """Several statistics in a fixed number of passes, whatever their number.
 
-    ``spec`` maps a name to ``(kind, column, where)`` with kind in ``mean``, ``std_pop``,
-    ``mode``, ``median``; ``where`` (a Column or None) restricts the rows.
+    ``spec`` maps a name to ``(kind, column, where)``; kind is ``count``, ``mean``, ``min``,
+    ``max``, ``std_pop``, ``std_samp``, ``mode``, ``median`` or ``("quantile", q)``; ``where`` (a
+    Column or None) restricts the rows.
 
-    * pass 1: one aggregate with every mean and deviation, and the row count of every median;
+    * pass 1: one aggregate with every count, mean, extreme and deviation, and the row count
+      behind every quantile;
     * pass 2: all modes at once with GROUPING SETS (one set per column), ranked by count
       descending then value ascending, top row per set (a per-task group limit runs before the
       shuffle, so at most one row per set and task moves);
-    * pass 3: medians whose rows fit in ``max_bracket`` are sorted in one aggregate; larger ones
-      fall back to :func:`exact_quantile` (bracket narrowing).
+    * pass 3: quantiles whose rows fit in ``max_bracket`` are read from one sorted collection per
+      column (shared by all quantiles of that column); larger ones fall back to
+      :func:`exact_quantile` (bracket narrowing).
     """
     def restricted(col, where):
         return F.col(col) if where is None else F.when(where, F.col(col))
 
+    def qof(kind):
+        if kind == "median":
+            return 0.5
+        if isinstance(kind, tuple) and kind[0] == "quantile":
+            return float(kind[1])
+        return None
+
+    simple = {"count": F.count, "mean": F.avg, "min": F.min, "max": F.max,
+              "std_pop": F.stddev_pop, "std_samp": F.stddev_samp}
     out: dict = {}
     p1 = []
+    quantiles = []           # (name, col, where, q, count alias)
+    counted: dict = {}       # (col, where text) -> count alias
     for name, (kind, col, where) in spec.items():
         x = restricted(col, where)
-        if kind == "mean":
-            p1.append(F.avg(x).alias(name))
-        elif kind == "std_pop":
-            p1.append(F.stddev_pop(x).alias(name))
-        elif kind == "median":
-            xd = x.cast("double")
-            p1.append(F.count(F.when(~F.isnan(xd), xd)).alias(name))
+        q = qof(kind)
+        if q is not None:
+            k = (col, str(where))
+            if k not in counted:
+                counted[k] = f"__cnt{len(counted)}"
+                xd = x.cast("double")
+                p1.append(F.count(F.when(~F.isnan(xd), xd)).alias(counted[k]))
+            quantiles.append((name, col, where, q, counted[k]))
+        elif kind in simple:
+            p1.append(simple[kind](x).alias(name))
     first = df.agg(*p1).first() if p1 else None
     for name, (kind, _, _) in spec.items():
-        if kind in ("mean", "std_pop"):
+        if kind in simple:
             out[name] = first[name]
 
     modes = [(name, col, where) for name, (kind, col, where) in spec.items() if kind == "mode"]
@@ -139,18 +156,21 @@ def fit_many(df: DataFrame, spec: dict, max_bracket: int = 1_000_000) -> dict:
         for i, (name, _, _) in enumerate(modes):
             out[name] = found.get(i)
 
-    medians = [(name, col, where) for name, (kind, col, where) in spec.items() if kind == "median"]
-    small = [(n, c, w) for n, c, w in medians if first[n] <= max_bracket]
+    small = {}
+    for name, col, where, q, cnt in quantiles:
+        if first[cnt] <= max_bracket:
+            small.setdefault(cnt, (col, where))
     if small:
         def vals(col, where):
             xd = restricted(col, where).cast("double")
             return F.sort_array(F.collect_list(F.when(~F.isnan(xd), xd)))
-        row = df.agg(*[vals(c, w).alias(n) for n, c, w in small]).first()
-        for n, _, _ in small:
-            out[n] = _interp(row[n], 0.5)
-    for n, c, w in medians:
-        if first[n] > max_bracket:
-            out[n] = exact_quantile(df, c, 0.5, w, max_bracket=max_bracket)
+        row = df.agg(*[vals(c, w).alias(cnt) for cnt, (c, w) in small.items()]).first()
+        for name, _, _, q, cnt in quantiles:
+            if cnt in small:
+                out[name] = _interp(row[cnt], q)
+    for name, col, where, q, cnt in quantiles:
+        if cnt not in small:
+            out[name] = exact_quantile(df, col, q, where, max_bracket=max_bracket)
     return out
 
 
@@ -195,16 +215,21 @@ def category_values(df: DataFrame, cols: list[str], max_values: int = 1000) -> d
 
 
 def summary_exact(df: DataFrame, cols: list[str]) -> DataFrame:
-    """count, mean, sample std, min, exact quartiles, max per column (rows = statistics)."""
+    """count, mean, sample std, min, exact quartiles, max per column (rows = statistics), fitted
+    together by :func:`fit_many`."""
     spark = df.sparkSession
-    first = df.agg(*[x for c in cols for x in (
-        F.count(c).alias(f"{c}__count"), F.avg(c).alias(f"{c}__mean"), F.stddev_samp(c).alias(f"{c}__std"),
-        F.min(c).cast("double").alias(f"{c}__min"), F.max(c).cast("double").alias(f"{c}__max"))]).first()
-    rows = []
+    spec = {}
     for c in cols:
-        qs = [exact_quantile(df, c, q) for q in (0.25, 0.5, 0.75)]
-        rows.append((c, float(first[f"{c}__count"]), first[f"{c}__mean"], first[f"{c}__std"],
-                     first[f"{c}__min"], qs[0], qs[1], qs[2], first[f"{c}__max"]))
+        spec.update({f"{c}|count": ("count", c, None), f"{c}|mean": ("mean", c, None),
+                     f"{c}|std": ("std_samp", c, None), f"{c}|min": ("min", c, None), f"{c}|max": ("max", c, None),
+                     f"{c}|q25": (("quantile", 0.25), c, None), f"{c}|q50": ("median", c, None),
+                     f"{c}|q75": (("quantile", 0.75), c, None)})
+    got = fit_many(df, spec)
+
+    def num(v):
+        return None if v is None else float(v)
+    rows = [(c, *[num(got[f"{c}|{k}"]) for k in ("count", "mean", "std", "min", "q25", "q50", "q75", "max")])
+            for c in cols]
     schema = ("column string, count double, mean double, std double, min double, "
               "q25 double, q50 double, q75 double, max double")
     return spark.createDataFrame(rows, schema)

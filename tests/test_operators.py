@@ -383,3 +383,17 @@ def test_patience_boost_keeps_last_or_best(spark):
     evals = sorted((r["round"], r["rmse"]) for r in last.rounds.filter("set = 'eval'").collect())
     assert len(evals) == last.stop_round + 1
     assert min(v for _, v in evals) == evals[last.best_round][1]
+
+
+@pytest.mark.parametrize("max_bracket", [10, 10_000])
+def test_fit_many_quantiles_and_extremes(spark, max_bracket):
+    rnd = np.random.default_rng(12)
+    vals = np.round(rnd.normal(0, 5, 777), 3)
+    df = spark.createDataFrame([(float(v),) for v in vals], "x double")
+    got = stats.fit_many(df, {"q1": (("quantile", 0.1), "x", None), "q9": (("quantile", 0.9), "x", None),
+                              "med": ("median", "x", None), "lo": ("min", "x", None), "hi": ("max", "x", None),
+                              "n": ("count", "x", None), "sd": ("std_samp", "x", None)}, max_bracket=max_bracket)
+    for name, q in (("q1", 0.1), ("q9", 0.9), ("med", 0.5)):
+        assert math.isclose(got[name], float(np.quantile(vals, q)), rel_tol=1e-12, abs_tol=1e-12)
+    assert got["lo"] == vals.min() and got["hi"] == vals.max() and got["n"] == 777
+    assert math.isclose(got["sd"], float(np.std(vals, ddof=1)), rel_tol=1e-9)
