@@ -20,7 +20,7 @@ from tabwright.operators.augment import mixup
 from tabwright.operators.encode import fit_one_hot
 from tabwright.operators.impute import fill_constant, fit_fill
 from tabwright.operators.numbering import row_number_within
-from tabwright.operators.scale import fill_with_mean, fit_zscore
+from tabwright.operators.scale import ZScoreModel, fill_with_mean
 from tabwright.plans.prepare import PrepareConfig, materialize, prepare
 from tabwright.session import scratch_path
 from tabwright.sources import io
@@ -270,15 +270,21 @@ FROM people, s
 
 def q_zscore_fare(spark, sf):
     p = materialize(people(spark, sf))
-    filled = fit_fill(p, {"fare_raw": "median"}).apply(p)
-    z_all = fit_zscore(filled, ["fare_raw"], digits=A)
-    z_train = fit_zscore(filled, ["fare_raw"], F.col("is_test") == 0, digits=A)
-    z_raw = fit_zscore(p, ["fare_raw"], F.col("is_test") == 0, digits=A)
-    raw = fill_with_mean(p.withColumn("fare_z_train_filled", z_raw.expr("fare_raw")), ["fare_z_train_filled"])
-    out = filled.select("person_id", F.round(z_all.expr("fare_raw"), Z).alias("fare_z_all"),
-                        F.round(z_train.expr("fare_raw"), Z).alias("fare_z_train"))
-    return out.join(raw.select("person_id", F.round("fare_z_train_filled", Z).alias("fare_z_train_filled")),
-                    "person_id")
+    med = fit_fill(p, {"fare_raw": "median"}).values["fare_raw"]
+    filled = p.withColumn("fare", F.coalesce(F.col("fare_raw"), F.lit(med)))
+    train = F.col("is_test") == 0
+    # SCL1, SCL2 and the raw-column fit in one pass
+    got = stats.fit_many(filled, {"ma": ("mean", "fare", None), "sa": ("std_pop", "fare", None),
+                                  "mt": ("mean", "fare", train), "st": ("std_pop", "fare", train),
+                                  "mr": ("mean", "fare_raw", train), "sr": ("std_pop", "fare_raw", train)})
+    r = {k: round(v, A) for k, v in got.items()}
+    z_all = ZScoreModel({"fare": (r["ma"], r["sa"])})
+    z_train = ZScoreModel({"fare": (r["mt"], r["st"])})
+    z_raw = ZScoreModel({"fare_raw": (r["mr"], r["sr"])})
+    raw = fill_with_mean(filled.withColumn("fare_z_train_filled", z_raw.expr("fare_raw")), ["fare_z_train_filled"])
+    return raw.select("person_id", F.round(z_all.expr("fare"), Z).alias("fare_z_all"),
+                      F.round(z_train.expr("fare"), Z).alias("fare_z_train"),
+                      F.round("fare_z_train_filled", Z).alias("fare_z_train_filled"))
 
 
 SQL_ZSCORE_FARE = with_people(f"""
