@@ -397,3 +397,23 @@ def test_fit_many_quantiles_and_extremes(spark, max_bracket):
         assert math.isclose(got[name], float(np.quantile(vals, q)), rel_tol=1e-12, abs_tol=1e-12)
     assert got["lo"] == vals.min() and got["hi"] == vals.max() and got["n"] == 777
     assert math.isclose(got["sd"], float(np.std(vals, ddof=1)), rel_tol=1e-9)
+
+
+def test_score_stream_is_exactly_once(spark):
+    from tabwright.plans import models
+    from tabwright.session import scratch_path
+    from tabwright.streaming.scoring import score_stream
+    rows = [(i, float(i % 7), float(i % 3), float(i % 2)) for i in range(200)]
+    df = spark.createDataFrame(rows, "id long, a double, b double, label double")
+    model = models.pipeline(["a", "b"], models.logistic(c=1.0, n_rows=200)).fit(df)
+    scoring = df.drop("label")
+    src, sink, ckpt = (scratch_path(spark, n) for n in ("t-src", "t-sink", "t-ckpt"))
+    scoring.filter("id < 100").write.parquet(f"{src}/p=0")
+    score_stream(spark, f"{src}/*", scoring.schema, model, "id", sink, ckpt).awaitTermination()
+    assert spark.read.parquet(sink).count() == 100
+    score_stream(spark, f"{src}/*", scoring.schema, model, "id", sink, ckpt).awaitTermination()  # replay
+    assert spark.read.parquet(sink).count() == 100
+    scoring.filter("id >= 100").write.parquet(f"{src}/p=1")
+    score_stream(spark, f"{src}/*", scoring.schema, model, "id", sink, ckpt).awaitTermination()
+    out = spark.read.parquet(sink)
+    assert out.count() == 200 and out.select("id").distinct().count() == 200
