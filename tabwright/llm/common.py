@@ -61,3 +61,27 @@ def bounded(df: DataFrame, bytes_per_row: int) -> DataFrame:
 def table(spark: SparkSession, sf_dir: str, name: str, *cols: str) -> DataFrame:
     df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
     return df.select(*cols) if cols else df
+
+
+def map_texts(docs: DataFrame, fn, columns: str, extra: tuple[str, ...] = ()) -> DataFrame:
+    """``doc_id`` and text (plus ``extra`` columns) through a per-document Python function in Arrow
+    batches: ``fn()`` is called once per task and returns ``text, *extra -> tuple`` in the order of
+    ``columns`` (DDL).  Ids pass through as they are, so null ids keep their type."""
+    import pyarrow as pa
+    from pyspark.sql.pandas.types import to_arrow_schema
+    from pyspark.sql.types import StructField, StructType, _parse_datatype_string
+
+    id_type = docs.schema["doc_id"].dataType
+    out = StructType([StructField("doc_id", id_type), *_parse_datatype_string(columns).fields])
+    schema = to_arrow_schema(out)
+
+    def run(batches):
+        one = fn()
+        for b in batches:
+            rows = [one(*x) for x in zip(*(b.column(i).to_pylist() for i in range(1, b.num_columns)), strict=True)]
+            cols = list(zip(*rows, strict=True)) if rows else [()] * (len(schema) - 1)
+            yield pa.RecordBatch.from_arrays(
+                [b.column(0).cast(schema.field(0).type),
+                 *(pa.array(c, f.type) for c, f in zip(cols, list(schema)[1:], strict=True))], schema=schema)
+
+    return docs.select("doc_id", "text", *extra).mapInArrow(run, out)

@@ -5,7 +5,7 @@ and position inside each partition; one streaming pass marks the first occurrenc
 each document, and the marks are summed per key.  Occurrences of keys at or over ``min_docs``
 return to their documents as a run-length compressed keep bitmap (``keep`` lines, then ``drop``
 lines, ...), never as text.  The salt spreads a key that holds a third of all lines over many
-range partitions; the sums need one row per key and salt only.
+range partitions, in the join back too; the sums need one row per key and salt only.
 
 Edge cases: null or empty text is one empty line and is kept; empty keys never drop; rows equal
 in id and text count as one document; an empty table gives an empty result; other columns are
@@ -21,7 +21,7 @@ from pyspark.sql.window import Window
 from tabwright.llm.common import K1, K2, ROW, ascii_lower, hash_pair, keyed, keyed_rows
 
 BLANK = " \t\n\x0b\x0c\r"
-SALTS = 64
+SALTS = 256
 
 
 def line_key(line: Column) -> Column:
@@ -48,9 +48,11 @@ def keep_runs(docs: DataFrame, min_docs: int = 10, min_chars: int = 1,
     w = Window.partitionBy("h1", "h2", "salt").orderBy(K1, K2, "pos")
     doc = F.struct(K1, K2)
     first = F.coalesce((F.lag(doc).over(w) != doc).cast("long"), F.lit(1))
-    common = (occ.withColumn("first", first).groupBy("h1", "h2").agg(F.sum("first").alias("n_docs"))
-              .where(F.col("n_docs") >= min_docs).select("h1", "h2"))
-    dropped = occ.join(common, ["h1", "h2"]).select(K1, K2, "pos").distinct()
+    common = (occ.withColumn("first", first).groupBy("h1", "h2")
+              .agg(F.sum("first").alias("n_docs"), F.collect_set("salt").alias("salts"))
+              .where(F.col("n_docs") >= min_docs).select("h1", "h2", F.explode("salts").alias("salt")))
+    # joined with the salt, so a common key's occurrences stay spread
+    dropped = occ.join(common, ["h1", "h2", "salt"]).select(K1, K2, "pos").distinct()
     by_doc = Window.partitionBy(K1, K2).orderBy("pos")
     islands = (dropped.withColumn("island", F.col("pos") - F.row_number().over(by_doc))
                .groupBy(K1, K2, "island")

@@ -7,13 +7,36 @@ from pyspark.sql import functions as F
 
 from tabwright.llm import decontaminate as dc
 from tabwright.llm import line_dedup as ld
+from tabwright.llm import minhash_dedup as mh
+from tabwright.llm import packing as pk
 from tabwright.llm import preference_format as pf
+from tabwright.llm import repetition as rp
 from tabwright.llm import secret_scan as ss
+from tabwright.llm import toxicity_mil as tm
 from tabwright.llm.common import table
 
 ASCII_LOWER_SQL = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 
+def tokenizer_path() -> str:
+    import public_tokenizers
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+# -- op1 ---------------------------------------------------------------------------------------
+def op1_dart_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its near-duplicate class (its smallest doc_id) and the class's size."""
+    c = mh.near_duplicates(table(spark, sf_dir, "documents", "doc_id", "text"))
+    return c.select("doc_id", "class_id", "class_size")
+
+
+# -- op2 ---------------------------------------------------------------------------------------
+def op2_nnls_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    p = pk.pack(table(spark, sf_dir, "documents", "doc_id", "text"), tokenizer_path())
+    return p.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens",
+                    "sequence_id", "offset", "sequence_length")
+
+
 # -- op3 ---------------------------------------------------------------------------------------
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = ld.dedup_lines(table(spark, sf_dir, "documents", "doc_id", "text"))
@@ -111,6 +134,22 @@ SELECT dw.doc_id, CAST(len(dw.w) AS BIGINT) AS n_words, coalesce(cov.n_hit, 0) A
 FROM dw LEFT JOIN cov ON cov.doc_id = dw.doc_id LEFT JOIN its ON its.doc_id = dw.doc_id"""
 
 
+# -- op6 ---------------------------------------------------------------------------------------
+def op6_repetition(spark: SparkSession, sf_dir: str) -> DataFrame:
+    r = rp.repetition(table(spark, sf_dir, "documents", "doc_id", "text"))
+    return r.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+                    "base_failed", "kept", "line_share", "line_char_share", "top_shares", "dup_shares")
+
+
+# -- op8 ---------------------------------------------------------------------------------------
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    model = tm.fit(docs, table(spark, sf_dir, "labels", "doc_id", "toxic"))
+    return tm.score(docs, model).select(
+        "doc_id", tm.held_out(F.col("doc_id")).alias("held_out"), "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"), "offending")
+
+
 # -- op9 ---------------------------------------------------------------------------------------
 def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents as paths with one version each, scanned from an empty ledger."""
@@ -153,9 +192,13 @@ FROM d LEFT JOIN a ON a.doc_id = d.doc_id"""
 
 
 QUERIES = {
+    "op1_dart_minhash": op1_dart_minhash,
+    "op2_nnls_packing": op2_nnls_packing,
     "op3_line_dedup": op3_line_dedup,
     "op4_preference_format": op4_preference_format,
     "op5_decontaminate": op5_decontaminate,
+    "op6_repetition": op6_repetition,
+    "op8_toxicity": op8_toxicity,
     "op9_secret_scan": op9_secret_scan,
 }
 
