@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tabwright.llm import cotrain_quality as cq
 from tabwright.llm import decontaminate as dc
 from tabwright.llm import line_dedup as ld
 from tabwright.llm import minhash_dedup as mh
@@ -191,6 +192,13 @@ SELECT d.doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_a
 FROM d LEFT JOIN a ON a.doc_id = d.doc_id"""
 
 
+# -- op10 --------------------------------------------------------------------------------------
+def op10_cotrain_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    c = cq.co_train(table(spark, sf_dir, "documents", "doc_id", "text", "source", "lang", "n_chars"),
+                    table(spark, sf_dir, "labels", "doc_id", "quality"))
+    return c.select("doc_id", "score", "content_score", "meta_score", "kept")
+
+
 QUERIES = {
     "op1_dart_minhash": op1_dart_minhash,
     "op2_nnls_packing": op2_nnls_packing,
@@ -200,6 +208,7 @@ QUERIES = {
     "op6_repetition": op6_repetition,
     "op8_toxicity": op8_toxicity,
     "op9_secret_scan": op9_secret_scan,
+    "op10_cotrain_quality": op10_cotrain_quality,
 }
 
 ORACLES = {
