@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabwright.session import ensure_checkpoint_dir
+from tabwright.session import ensure_checkpoint_dir, scratch_path
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 K1, K2 = "__k1", "__k2"
@@ -52,6 +52,13 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def written(df: DataFrame, name: str) -> DataFrame:
+    """Write a table to the shared folder and read it back (columns can then be pruned)."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def bounded(df: DataFrame, bytes_per_row: int) -> DataFrame:
     """Mark ``df`` for broadcast when its counted rows stay below BROADCAST_BYTES; beyond that
     return it as it is, and Spark joins it by a shuffle (AQE splits skewed keys there)."""

@@ -13,6 +13,7 @@ from tabwright.llm import packing as pk
 from tabwright.llm import preference_format as pf
 from tabwright.llm import repetition as rp
 from tabwright.llm import secret_scan as ss
+from tabwright.llm import suffix_dedup as sd
 from tabwright.llm import toxicity_mil as tm
 from tabwright.llm.common import table
 
@@ -142,6 +143,14 @@ def op6_repetition(spark: SparkSession, sf_dir: str) -> DataFrame:
                     "base_failed", "kept", "line_share", "line_char_share", "top_shares", "dup_shares")
 
 
+# -- op7 ---------------------------------------------------------------------------------------
+def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    r = sd.remove_repeats(table(spark, sf_dir, "documents", "doc_id", "text"))
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["begin"])
+    return r.select("doc_id", "n_bytes", removed.alias("n_removed"),
+                    F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 # -- op8 ---------------------------------------------------------------------------------------
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents", "doc_id", "text")
@@ -206,6 +215,7 @@ QUERIES = {
     "op4_preference_format": op4_preference_format,
     "op5_decontaminate": op5_decontaminate,
     "op6_repetition": op6_repetition,
+    "op7_suffix_dedup": op7_suffix_dedup,
     "op8_toxicity": op8_toxicity,
     "op9_secret_scan": op9_secret_scan,
     "op10_cotrain_quality": op10_cotrain_quality,
