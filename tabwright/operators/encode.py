@@ -32,9 +32,9 @@ class OneHotModel:
         return df.select(*kept, *dummies)
 
 
-def fit_one_hot(df: DataFrame, cols: list[str], fit_on=None, max_values: int = 1000) -> OneHotModel:
+def fit_one_hot(df: DataFrame, cols: list[str], fit_on=None) -> OneHotModel:
     src = df if fit_on is None else df.filter(fit_on)
-    return OneHotModel(stats.category_values(src, cols, max_values))
+    return OneHotModel(stats.category_values(src, cols))
 
 
 def string_columns(df: DataFrame, exclude=()) -> list[str]:

@@ -19,6 +19,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tabwright.session import materialize
+
 
 def _valid(keys: list[str]) -> Column:
     return reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
@@ -27,21 +29,20 @@ def _valid(keys: list[str]) -> Column:
 _SALT = "__tw_salt"
 
 
-def attach_group_stats(df: DataFrame, keys: list[str], aggs: list[Column], spread: list[str] | None = None) -> DataFrame:
-    """Join per-key aggregates back onto every row (null key -> null statistics).
+def _salted(df: DataFrame, keys: list[str], row_id: str) -> DataFrame:
+    """An extra join key: 0 for rows with a complete key, a positive hash of the row's id for rows
+    with a null in the key.  Per-key tables only hold 0, so null-key rows never match, and they
+    spread over all join partitions instead of piling up in the partition of "null".  The salt is
+    a function of the row, so a retried task sends every row to the same partition again."""
+    return df.withColumn(_SALT, F.when(_valid(keys), F.lit(0).cast("long")).otherwise(
+        F.pmod(F.xxhash64(F.col(row_id)), F.lit(2 ** 30)) + 1))
+
 
-    The join carries an extra key, 0 for rows with a complete key and a positive hash of
-    ``spread`` (default: the first non-key column, normally the row id) for rows with a null in
-    the key: the per-key table only holds 0, so null-key rows never match, and the salt spreads
-    them over all join partitions instead of hashing every one of them to the partition of
-    "null".  The salt is a deterministic function of the row, so a retried task sends every row
-    to the same partition again.  (Hashing every column would inline each upstream expression
-    into the salt and bloat the plan.)"""
+def attach_group_stats(df: DataFrame, keys: list[str], aggs: list[Column], row_id: str) -> DataFrame:
+    """Join per-key aggregates back onto every row (null key -> null statistics); ``row_id`` is a
+    column of many values that spreads the null-key rows."""
     keys = list(keys)
-    spread = spread or [next((c for c in df.columns if c not in keys), df.columns[0])]
-    salt = F.when(_valid(keys), F.lit(0).cast("long")).otherwise(
-        F.pmod(F.xxhash64(*[F.col(c) for c in spread]), F.lit(2 ** 30)) + 1)
-    salted = df.withColumn(_SALT, salt)
+    salted = _salted(df, keys, row_id)
     # The salt is a grouping column here (not a literal), so it stays a join key and the
     # exchange hashes on it; a literal 0 would be folded into a join condition instead.
     per_key = salted.filter(F.col(_SALT) == 0).groupBy(*keys, _SALT).agg(*aggs)
@@ -50,24 +51,27 @@ def attach_group_stats(df: DataFrame, keys: list[str], aggs: list[Column], sprea
     return out.select(*[F.col(c) for c in df.columns], *[F.col(c) for c in stat_cols])
 
 
-def join_back(df: DataFrame, table: DataFrame, keys: list[str], spread: list[str] | None = None) -> DataFrame:
-    """Left join of a per-key table (one row per key) onto every row of ``df``, with the same
-    null-key salt as :func:`attach_group_stats`: rows with a null key are spread over the join
-    partitions and get nulls."""
+def require_unique(table: DataFrame, keys: list[str], what: str) -> None:
+    """Raise when a key occurs twice: a join would pick or multiply rows."""
+    twice = table.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1).limit(1).collect()
+    if twice:
+        raise ValueError(f"{what}: key {[twice[0][k] for k in keys]} occurs {twice[0]['n']} times")
+
+
+def join_back(df: DataFrame, table: DataFrame, keys: list[str], row_id: str) -> DataFrame:
+    """Left join of a per-key table (one row per key, checked) onto every row of ``df``, null keys
+    salted as in :func:`attach_group_stats`.  The table is written first: both join inputs are then
+    plain shuffles, and AQE can split a hot key on the side of ``df``."""
     keys = list(keys)
-    spread = spread or [next((c for c in df.columns if c not in keys), df.columns[0])]
-    salted = df.withColumn(_SALT, F.when(_valid(keys), F.lit(0).cast("long")).otherwise(
-        F.pmod(F.xxhash64(*[F.col(c) for c in spread]), F.lit(2 ** 30)) + 1))
-    # grouping by the salt keeps it a column (a literal would be folded into a join condition)
-    right = (table.withColumn(_SALT, F.when(_valid(keys), F.lit(0).cast("long")).otherwise(F.lit(-1).cast("long")))
-             .groupBy(*keys, _SALT).agg(*[F.first(c).alias(c) for c in table.columns if c not in keys]))
-    return salted.join(right, keys + [_SALT], "left").drop(_SALT)
+    right = materialize(table.where(_valid(keys)).withColumn(_SALT, F.lit(0).cast("long")))
+    require_unique(right, keys, "join_back")
+    return _salted(df, keys, row_id).join(right, keys + [_SALT], "left").drop(_SALT)
 
 
-def group_size(df: DataFrame, keys, out: str = "group_size") -> DataFrame:
+def group_size(df: DataFrame, keys, out: str = "group_size", *, row_id: str) -> DataFrame:
     """WIN3 / JN2: number of rows sharing the key (null key -> null)."""
     keys = [keys] if isinstance(keys, str) else list(keys)
-    return attach_group_stats(df, keys, [F.count(F.lit(1)).alias(out)])
+    return attach_group_stats(df, keys, [F.count(F.lit(1)).alias(out)], row_id)
 
 
 def _is(label: str, v: float, visible: Column | None = None) -> Column:
@@ -78,7 +82,7 @@ def _is(label: str, v: float, visible: Column | None = None) -> Column:
 
 
 def loo_group_label(df: DataFrame, keys, label: str, out: str = "group_label", default: float = 0.5,
-                    prev: str | None = None, visible: Column | None = None) -> DataFrame:
+                    prev: str | None = None, visible: Column | None = None, *, row_id: str) -> DataFrame:
     """Leave-one-out group label.
 
     Without ``prev`` (pass 1): 1 if another member of the group has label 1, else 0 if another
@@ -93,7 +97,7 @@ def loo_group_label(df: DataFrame, keys, label: str, out: str = "group_label", d
     keys = [keys] if isinstance(keys, str) else list(keys)
     n1, n0 = "__n1", "__n0"
     with_stats = attach_group_stats(df, keys, [F.sum(_is(label, 1.0, visible)).alias(n1),
-                                               F.sum(_is(label, 0.0, visible)).alias(n0)])
+                                               F.sum(_is(label, 0.0, visible)).alias(n0)], row_id)
     others1 = F.col(n1) - _is(label, 1.0, visible)
     others0 = F.col(n0) - _is(label, 0.0, visible)
     fallback = F.lit(float(default)) if prev is None else F.col(prev)
@@ -104,8 +108,8 @@ def loo_group_label(df: DataFrame, keys, label: str, out: str = "group_label", d
 
 
 def loo_two_pass(df: DataFrame, keys1, keys2, label: str, out: str = "group_label",
-                 default: float = 0.5, visible: Column | None = None) -> DataFrame:
+                 default: float = 0.5, visible: Column | None = None, *, row_id: str) -> DataFrame:
     """WIN1 then WIN2: the reference's family/ticket group label."""
-    first = loo_group_label(df, keys1, label, out="__pass1", default=default, visible=visible)
-    second = loo_group_label(first, keys2, label, out=out, prev="__pass1", visible=visible)
+    first = loo_group_label(df, keys1, label, out="__pass1", default=default, visible=visible, row_id=row_id)
+    second = loo_group_label(first, keys2, label, out=out, prev="__pass1", visible=visible, row_id=row_id)
     return second.drop("__pass1")

@@ -10,10 +10,10 @@ the number of rows since the last ok row; training stops at the first row whose
 Running minima and "last ok row" are prefix scans.  A run may be very long (one run may hold a
 large share of all rows), so the scans are two-level: rows are numbered inside the run by a
 distributed range sort, cut into chunks of ``chunk_rows`` consecutive steps, scanned inside each
-chunk, and the chunk results are combined through a per-chunk summary table (one row per chunk).
-No task ever holds more than one chunk of one run.  Each scan pass reads its input twice (chunk
-summary and rows), so the numbered rows and the first pass are checkpointed: the plan stays
-flat instead of re-deriving the numbering in every branch.
+chunk, and the chunk results are combined through per-chunk tables (one row per chunk), which carry
+the state into the next chunks.  All joins and windows over rows are keyed by (run, chunk), so no
+task holds more than one chunk of one run.  The numbered rows are written once; beside them only
+chunk tables are.
 """
 
 from __future__ import annotations
@@ -43,31 +43,29 @@ def patience(df: DataFrame, run_keys, order_cols, loss: str, patience: int = 15,
     run_keys = [run_keys] if isinstance(run_keys, str) else list(run_keys)
     cur = row_number_within(df, list(order_cols), run_keys, name="step")
     cur = materialize(cur.withColumn("__chunk", F.floor(F.col("step") / F.lit(chunk_rows))))
-    local = Window.partitionBy(*run_keys, "__chunk").orderBy("step")
+    by_chunk = run_keys + ["__chunk"]
+    local = Window.partitionBy(*by_chunk).orderBy("step")
     before = local.rowsBetween(Window.unboundedPreceding, -1)
     upto = local.rowsBetween(Window.unboundedPreceding, 0)
-    # pass 1: best loss of all earlier rows of the run
-    cur = cur.withColumn("__lmin_before", F.min(loss).over(before)) \
-             .withColumn("__lmin_upto", F.min(loss).over(upto))
-    prev_chunks = _prefix_over_chunks(cur, run_keys, loss, "min", "__cmin")
-    cur = cur.join(prev_chunks, run_keys + ["__chunk"], "left")
+    # best loss of all earlier chunks, then of all earlier rows
+    best_in = materialize(_prefix_over_chunks(cur, run_keys, loss, "min", "__cmin"))
+    rows = cur.withColumns({"__lmin_before": F.min(loss).over(before), "__lmin_upto": F.min(loss).over(upto)})
+    rows = rows.join(best_in, by_chunk, "left")
     best_before = F.least(F.col("__cmin"), F.col("__lmin_before"))
-    cur = cur.withColumn("best", F.least(F.col("__cmin"), F.col("__lmin_upto")))
     better = (F.col(loss) < best_before) if strict else (F.col(loss) <= best_before)
-    cur = cur.withColumn("is_ok", best_before.isNull() | better)
-    # pass 2: step of the last ok row up to this one
-    cur = cur.withColumn("__okstep", F.when(F.col("is_ok"), F.col("step")).otherwise(F.lit(_NEG)))
-    cur = materialize(cur.withColumn("__lok", F.max("__okstep").over(upto)))
-    prev_ok = _prefix_over_chunks(cur, run_keys, "__okstep", "max", "__cok")
-    cur = cur.join(prev_ok, run_keys + ["__chunk"], "left")
-    cur = cur.withColumn("counter", F.col("step") - F.greatest(F.col("__lok"), F.coalesce(F.col("__cok"), F.lit(_NEG))))
-    # first row reaching the patience
-    first_stop = (cur.filter(F.col("counter") >= patience).groupBy(*run_keys)
-                  .agg(F.min("step").alias("__stop_step")))
-    cur = cur.join(first_stop, run_keys, "left")
-    cur = cur.withColumn("is_stop", F.coalesce(F.col("step") == F.col("__stop_step"), F.lit(False)))
-    return cur.drop("__chunk", "__lmin_before", "__lmin_upto", "__cmin", "__okstep", "__lok", "__cok",
-                    "__stop_step")
+    rows = rows.withColumns({"best": F.least(F.col("__cmin"), F.col("__lmin_upto")),
+                             "is_ok": best_before.isNull() | better})
+    rows = rows.withColumn("__okstep", F.when(F.col("is_ok"), F.col("step")).otherwise(F.lit(_NEG)))
+    # step of the last ok row up to this one
+    ok_in = materialize(_prefix_over_chunks(rows, run_keys, "__okstep", "max", "__cok"))
+    rows = rows.withColumn("__lok", F.max("__okstep").over(upto)).join(ok_in, by_chunk, "left")
+    rows = rows.withColumn("counter", F.col("step") - F.greatest(F.col("__lok"), F.coalesce(F.col("__cok"), F.lit(_NEG))))
+    # the first row that reaches the patience, found per run and looked up by its chunk
+    stops = materialize(rows.filter(F.col("counter") >= patience).groupBy(*run_keys).agg(F.min("step").alias("__stop"))
+                        .withColumn("__chunk", F.floor(F.col("__stop") / F.lit(chunk_rows))))
+    rows = rows.join(stops, by_chunk, "left")
+    rows = rows.withColumn("is_stop", F.coalesce(F.col("step") == F.col("__stop"), F.lit(False)))
+    return rows.drop("__chunk", "__lmin_before", "__lmin_upto", "__cmin", "__okstep", "__lok", "__cok", "__stop")
 
 
 def stop_points(hist: DataFrame, run_keys) -> DataFrame:

@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from tabwright.functions.codes import clip
 from tabwright.operators import stats
+from tabwright.session import materialize
 
 
 def fill_constant(df: DataFrame, values: dict) -> DataFrame:
@@ -52,7 +53,7 @@ def fit_fill(df: DataFrame, spec: dict, fit_on: Column | None = None) -> FillMod
 # --- chained-equation (iterative regression) imputation ------------------------------------
 
 def _assemble(df: DataFrame, features: list[str], out: str = "__features") -> DataFrame:
-    return VectorAssembler(inputCols=features, outputCol=out, handleInvalid="keep").transform(df)
+    return VectorAssembler(inputCols=features, outputCol=out, handleInvalid="error").transform(df)
 
 
 def impute_linear_one(df: DataFrame, target: str, predictor: str, lo: float | None = None,
@@ -77,15 +78,17 @@ def impute_chained(df: DataFrame, targets: list[str], features: list[str], max_i
     """IMP6/IMP7: start every incomplete column at its mean, then for ``max_iter`` rounds refit
     each incomplete column on the rows where it was observed (other columns at their current
     values) and refill the missing rows, clipped to [lo, hi].  Stops early when no fill moves by
-    more than ``tol``.  With a single incomplete column the first round is already the fixed point.
+    more than ``tol`` times the column's largest absolute value.  With a single incomplete column
+    the first round is already the fixed point.  Null features are an error: fill them first.
 
     Each round cuts the lineage with a reliable ``checkpoint()`` (to ``spark.checkpoint.dir``)."""
     miss = {t: f"__miss_{t}" for t in targets}
+    last = {t: f"__last_{t}" for t in targets}
+    means = {t: stats.mean_value(df, t, fit_on) for t in targets}
     cur = df.withColumns({m: F.col(t).isNull() for t, m in miss.items()})
-    means = {t: stats.mean_value(cur, t, fit_on) for t in targets}
-    cur = cur.withColumns({t: F.coalesce(F.col(t), F.lit(means[t])) for t in targets})
-    prev = None
+    cur = cur.withColumns({t: F.coalesce(F.col(t).cast("double"), F.lit(means[t])) for t in targets})
     for _ in range(max_iter):
+        cur = cur.withColumns({p: F.col(t) for t, p in last.items()})
         for t in targets:
             inputs = [c for c in features + targets if c != t]
             assembled = _assemble(cur, inputs)
@@ -98,14 +101,14 @@ def impute_chained(df: DataFrame, targets: list[str], features: list[str], max_i
                    .withColumn(t, F.when(F.col(miss[t]), clip(F.col("__pred"), lo, hi)).otherwise(F.col(t)))
                    .drop("__features", "__pred"))
         if checkpoint:
-            cur = cur.checkpoint()
-        fills = cur.agg(*[F.sum(F.when(F.col(miss[t]), F.col(t))).alias(t) for t in targets]).first()
-        if prev is not None and all(abs((fills[t] or 0) - (prev[t] or 0)) <= tol for t in targets):
-            break
-        prev = fills
+            cur = materialize(cur)
         if len(targets) == 1:
             break  # the other inputs never change, so a refit returns the same fill
-    return cur.drop(*miss.values())
+        moved = cur.agg(*[F.max(F.abs(F.col(t) - F.col(last[t]))).alias(t) for t in targets],
+                        *[F.max(F.abs(F.col(t))).alias(f"{t}__size") for t in targets]).first()
+        if all((moved[t] or 0.0) <= tol * (moved[f"{t}__size"] or 0.0) for t in targets):
+            break
+    return cur.drop(*miss.values(), *last.values())
 
 
 def reimpute_out_of_range(df: DataFrame, target: str, features: list[str], lo: float, hi: float,

@@ -40,8 +40,9 @@ def row_number_within(df: DataFrame, order_cols, group_cols=(), name: str = "row
     (globally when no group is given)."""
     group_cols = list(group_cols)
     keys = _as_cols(group_cols) + _as_cols(order_cols)
-    n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranged = (df.repartitionByRange(n, *keys)
+    # without a stated count AQE sizes the range partitions from the data
+    spread = df.repartitionByRange(num_partitions, *keys) if num_partitions else df.repartitionByRange(*keys)
+    ranged = (spread
               .sortWithinPartitions(*keys)
               .withColumn(_PID, F.spark_partition_id())
               .withColumn(_POS, F.monotonically_increasing_id() - F.shiftleft(F.col(_PID).cast("long"), 33)))

@@ -59,10 +59,10 @@ def select_k_best(df: DataFrame, features: list[str], label: str, k: int) -> lis
 
 def drop_drifting(df: DataFrame, drifting) -> DataFrame:
     """DRF3: drop the named columns, or those whose importance row passes a threshold when
-    ``drifting`` is ``(importance_frame, threshold)`` with columns (feature, importance)."""
+    ``drifting`` is ``(report, threshold)``: the drift report's rows (feature, gain, ...)."""
     if isinstance(drifting, tuple):
         imp, thr = drifting
-        names = [r["feature"] for r in imp.filter(F.col("importance") > thr).select("feature").collect()]
+        names = [r["feature"] for r in imp.filter(F.col("gain") > thr).select("feature").collect()]
     else:
         names = list(drifting)
     return df.drop(*names)

@@ -25,8 +25,7 @@ def key_hash_int(key: str, seed: int) -> Column:
 def holdout_flag(df: DataFrame, key: str, test_fraction: float = 0.2, seed: int = 42,
                  out: str = "is_holdout") -> DataFrame:
     """SPL1: 1 for the hold-out share (``test_fraction`` of the hash range), else 0."""
-    cut = format(int(test_fraction * 2 ** 32), "08x")
-    return df.withColumn(out, (key_hash_hex(key, seed) < F.lit(cut)).cast("int"))
+    return df.withColumn(out, (key_hash_int(key, seed) < F.lit(int(test_fraction * 2 ** 32))).cast("int"))
 
 
 def kfold(df: DataFrame, key: str, k: int = 3, seed: int = 1, out: str = "fold") -> DataFrame:

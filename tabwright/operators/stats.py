@@ -4,17 +4,18 @@ Each statistic is one aggregate over the table and comes back as a few numbers,
 
 * mode: ``groupBy(value).count()`` (map-side partial counts) and a distributed top-1 ordered by
   count descending, value ascending (ties -> smallest value, as the reference's ``mode()[0]``).
-* exact median / quantile: Spark's exact ``percentile`` keeps every value of a group in one
-  buffer, which does not hold at scale.  Instead an approximate quantile brackets the wanted
-  ranks, the bracket is narrowed until it holds at most ``max_bracket`` rows, and only that
-  bracket is sorted.  The result equals linear interpolation between the two order statistics
-  around ``(n - 1) * q`` (pandas ``median``, SQL ``quantile_cont``).
-* category lists: one pass that emits (column, value) pairs, ``distinct``, and a collect capped
-  at ``max_values + 1`` rows so an unexpectedly wide column fails loudly instead of flooding the
-  driver.
+* exact median / quantile: values are counted (``groupBy(value).count()``, so ties cost one row),
+  the distinct values are range-partitioned, per-partition totals give every partition its offset,
+  and only the partitions that hold the wanted ranks are read again (:func:`values_at_ranks`).
+  Equals linear interpolation between the two order statistics around ``(n - 1) * q`` (pandas
+  ``median``, SQL ``quantile_cont``).  One path at every size; two values per quantile come back.
+* category lists: one pass that emits (column, value) pairs and ``distinct``; the lists become
+  columns of the encoded table, so the table's own width bounds them.
 * :func:`fit_many` fits any number of the above together in at most three passes over the
   table, which is what the fitting code paths use; the single-statistic functions remain for
   direct use and as references in the tests.
+
+NaN counts as missing in every statistic.
 """
 
 from __future__ import annotations
@@ -26,12 +27,21 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
+from tabwright.session import materialize
+
 NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DecimalType)
 
 
+def _present(df: DataFrame, col: str, where: Column | None = None) -> Column:
+    """The column with NaN as null, null outside ``where``."""
+    x = F.col(col)
+    if isinstance(df.schema[col].dataType, (T.FloatType, T.DoubleType)):
+        x = F.when(~F.isnan(x), x)
+    return x if where is None else F.when(where, x)
+
+
 def _restrict(df: DataFrame, col: str, where: Column | None) -> DataFrame:
-    v = F.col(col) if where is None else F.when(where, F.col(col))
-    return df.select(v.alias("v")).filter(F.col("v").isNotNull())
+    return df.select(_present(df, col, where).alias("v")).filter(F.col("v").isNotNull())
 
 
 def mode_value(df: DataFrame, col: str, where: Column | None = None):
@@ -41,57 +51,46 @@ def mode_value(df: DataFrame, col: str, where: Column | None = None):
     return rows[0]["v"] if rows else None
 
 
-def exact_quantile(df: DataFrame, col: str, q: float = 0.5, where: Column | None = None,
-                   max_bracket: int = 1_000_000, accuracy: int = 100_000, max_rounds: int = 8):
-    """Exact linear-interpolated quantile of the non-null (and non-NaN) values."""
-    vals = _restrict(df, col, where).select(F.col("v").cast("double").alias("v")).filter(~F.isnan("v"))
-    n = vals.count()
-    if n == 0:
-        return None
+def values_at_ranks(counts: DataFrame, ranks: dict[int, set[int]]) -> dict[tuple[int, int], float]:
+    """Values at 0-based ranks.  ``counts``: ``c`` (column number), ``v`` (distinct value), ``n`` (its
+    rows); ``ranks`` maps a column number to the wanted ranks.  The distinct values stay on the
+    executors; one row per wanted rank comes back."""
+    wanted = [(c, k) for c, ks in ranks.items() for k in sorted(ks)]
+    if not wanted:
+        return {}
+    spark = counts.sparkSession
+    # range bounds come from sampling: written once, so totals and lookups see one layout
+    laid = materialize(counts.repartitionByRange("c", "v").withColumn("pid", F.spark_partition_id()))
+    totals = laid.groupBy("c", "pid").agg(F.sum("n").alias("total"))
+    # a row per column and partition
+    before = F.coalesce(F.sum("total").over(
+        Window.partitionBy("c").orderBy("pid").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    want = F.broadcast(spark.createDataFrame(wanted, "c int, k long"))
+    place = (totals.withColumn("before", before).join(want, "c")
+             .where((F.col("k") >= F.col("before")) & (F.col("k") < F.col("before") + F.col("total")))
+             .select("c", "pid", "before", "k"))
+    inside = F.sum("n").over(Window.partitionBy("c", "pid", "k").orderBy("v"))
+    rows = (laid.join(F.broadcast(place), ["c", "pid"]).withColumn("upto", F.col("before") + inside)
+            .where((F.col("k") < F.col("upto")) & (F.col("k") >= F.col("upto") - F.col("n")))
+            .select("c", "k", "v").collect())
+    return {(r["c"], r["k"]): r["v"] for r in rows}
+
+
+def _neighbours(n: int, q: float) -> tuple[int, int, float]:
     pos = (n - 1) * q
-    k1, k2 = math.floor(pos), math.ceil(pos)
-    frac = pos - k1
-    cur, m, below = vals, n, 0
-    for _ in range(max_rounds):
-        if m <= max_bracket:
-            break
-        margin = 2.0 / accuracy
-        p_lo = max(0.0, (k1 - below) / m - margin)
-        p_hi = min(1.0, (k2 - below) / m + margin)
-        lo, hi = cur.agg(F.percentile_approx("v", [p_lo, p_hi], accuracy).alias("b")).first()["b"]
-        cnt = cur.agg(F.count_if(F.col("v") < lo).alias("lt"),
-                      F.count_if((F.col("v") >= lo) & (F.col("v") <= hi)).alias("inb")).first()
-        lt, inb = cnt["lt"], cnt["inb"]
-        if not (below + lt <= k1 and k2 < below + lt + inb):
-            break  # bracket missed a rank: keep the current (still exact) set
-        if lo == hi:  # both ranks sit in one block of equal values
-            return float(lo)
-        if inb >= m:
-            break  # no progress (heavy ties); the current set is still exact
-        below += lt
-        cur = cur.filter((F.col("v") >= lo) & (F.col("v") <= hi))
-        m = inb
-    if m > max_bracket:
-        raise RuntimeError(f"quantile bracket of {m} rows exceeds max_bracket={max_bracket}")
-    arr = cur.agg(F.sort_array(F.collect_list("v")).alias("a")).first()["a"]
-    a, b = arr[k1 - below], arr[k2 - below]
-    return float(a + (b - a) * frac)
-
-
-def exact_median(df: DataFrame, col: str, where: Column | None = None, **kw):
-    return exact_quantile(df, col, 0.5, where, **kw)
-
-
-def _interp(arr: list, q: float):
-    if not arr:
-        return None
-    pos = (len(arr) - 1) * q
-    k1, k2 = math.floor(pos), math.ceil(pos)
-    a, b = arr[k1], arr[k2]
-    return float(a + (b - a) * (pos - k1))
+    return math.floor(pos), math.ceil(pos), pos - math.floor(pos)
+
+
+def exact_quantile(df: DataFrame, col: str, q: float = 0.5, where: Column | None = None):
+    """Exact linear-interpolated quantile of the non-null (and non-NaN) values."""
+    return fit_many(df, {"q": (("quantile", q), col, where)})["q"]
+
+
+def exact_median(df: DataFrame, col: str, where: Column | None = None):
+    return exact_quantile(df, col, 0.5, where)
 
 
-def fit_many(df: DataFrame, spec: dict, max_bracket: int = 1_000_000) -> dict:
+def fit_many(df: DataFrame, spec: dict) -> dict:
     """Several statistics in a fixed number of passes, whatever their number.
 
     ``spec`` maps a name to ``(kind, column, where)``; kind is ``count``, ``mean``, ``min``,
@@ -103,12 +102,11 @@ def fit_many(df: DataFrame, spec: dict, max_bracket: int = 1_000_000) -> dict:
     * pass 2: all modes at once with GROUPING SETS (one set per column), ranked by count
       descending then value ascending, top row per set (a per-task group limit runs before the
       shuffle, so at most one row per set and task moves);
-    * pass 3: quantiles whose rows fit in ``max_bracket`` are read from one sorted collection per
-      column (shared by all quantiles of that column); larger ones fall back to
-      :func:`exact_quantile` (bracket narrowing).
+    * pass 3: the distinct values of all quantile columns with their counts, then
+      :func:`values_at_ranks` on those.
     """
     def restricted(col, where):
-        return F.col(col) if where is None else F.when(where, F.col(col))
+        return _present(df, col, where)
 
     def qof(kind):
         if kind == "median":
@@ -130,8 +128,7 @@ def fit_many(df: DataFrame, spec: dict, max_bracket: int = 1_000_000) -> dict:
             k = (col, str(where))
             if k not in counted:
                 counted[k] = f"__cnt{len(counted)}"
-                xd = x.cast("double")
-                p1.append(F.count(F.when(~F.isnan(xd), xd)).alias(counted[k]))
+                p1.append(F.count(x.cast("double")).alias(counted[k]))
             quantiles.append((name, col, where, q, counted[k]))
         elif kind in simple:
             p1.append(simple[kind](x).alias(name))
@@ -156,21 +153,25 @@ def fit_many(df: DataFrame, spec: dict, max_bracket: int = 1_000_000) -> dict:
         for i, (name, _, _) in enumerate(modes):
             out[name] = found.get(i)
 
-    small = {}
-    for name, col, where, q, cnt in quantiles:
-        if first[cnt] <= max_bracket:
-            small.setdefault(cnt, (col, where))
-    if small:
-        def vals(col, where):
-            xd = restricted(col, where).cast("double")
-            return F.sort_array(F.collect_list(F.when(~F.isnan(xd), xd)))
-        row = df.agg(*[vals(c, w).alias(cnt) for cnt, (c, w) in small.items()]).first()
-        for name, _, _, q, cnt in quantiles:
-            if cnt in small:
-                out[name] = _interp(row[cnt], q)
-    for name, col, where, q, cnt in quantiles:
-        if cnt not in small:
-            out[name] = exact_quantile(df, col, q, where, max_bracket=max_bracket)
+    wanted: dict[int, set[int]] = {}
+    stacked = {}             # count alias -> (number, col, where)
+    for _, col, where, q, cnt in quantiles:
+        if first[cnt]:
+            number = stacked.setdefault(cnt, (len(stacked), col, where))[0]
+            wanted.setdefault(number, set()).update(_neighbours(first[cnt], q)[:2])
+    if stacked:
+        counts = (df.select(F.explode(F.array(*[
+            F.struct(F.lit(i).alias("c"), restricted(col, where).cast("double").alias("v"))
+            for i, col, where in stacked.values()])).alias("x"))
+            .select("x.c", "x.v").where(F.col("v").isNotNull()).groupBy("c", "v").agg(F.count(F.lit(1)).alias("n")))
+        at = values_at_ranks(counts, wanted)
+    for name, _, _, q, cnt in quantiles:
+        if not first[cnt]:
+            out[name] = None
+            continue
+        k1, k2, part = _neighbours(first[cnt], q)
+        a, b = at[stacked[cnt][0], k1], at[stacked[cnt][0], k2]
+        out[name] = float(a + (b - a) * part)
     return out
 
 
@@ -182,8 +183,7 @@ def moments(df: DataFrame, cols: list[str], where: Column | None = None) -> dict
 
 
 def mean_value(df: DataFrame, col: str, where: Column | None = None):
-    x = F.col(col) if where is None else F.when(where, F.col(col))
-    return df.agg(F.avg(x)).first()[0]
+    return df.agg(F.avg(_present(df, col, where))).first()[0]
 
 
 def _sort_key(value: str, numeric: bool):
@@ -195,20 +195,18 @@ def _sort_key(value: str, numeric: bool):
     return (1, 0.0, value)
 
 
-def category_values(df: DataFrame, cols: list[str], max_values: int = 1000) -> dict[str, list[str]]:
+def category_values(df: DataFrame, cols: list[str]) -> dict[str, list[str]]:
     """Sorted distinct non-null values of each column (as strings), in one pass."""
     pairs = (df.select(F.explode(F.array(*[
                 F.struct(F.lit(c).alias("name"), F.col(c).cast("string").alias("value")) for c in cols
              ])).alias("p"))
              .select("p.name", "p.value").filter(F.col("value").isNotNull()).distinct())
-    rows = pairs.limit(max_values * len(cols) + 1).collect()
+    rows = pairs.collect()
     out: dict[str, list[str]] = {c: [] for c in cols}
     for r in rows:
         out[r["name"]].append(r["value"])
     types = {f.name: f.dataType for f in df.schema.fields}
     for c in cols:
-        if len(out[c]) > max_values:
-            raise ValueError(f"column {c!r} has more than {max_values} distinct values")
         numeric = isinstance(types.get(c), NUMERIC)
         out[c].sort(key=lambda v, nm=numeric: _sort_key(v, nm))
     return out

@@ -38,7 +38,7 @@ def ml_names(df: DataFrame) -> DataFrame:
 
 
 def assembler(features: list[str]) -> VectorAssembler:
-    return VectorAssembler(inputCols=features, outputCol=FEATURES, handleInvalid="keep")
+    return VectorAssembler(inputCols=features, outputCol=FEATURES, handleInvalid="error")
 
 
 def selector(k: int, n_features: int) -> UnivariateFeatureSelector:

@@ -89,7 +89,8 @@ def prepare(people: DataFrame, cfg: PrepareConfig = PrepareConfig(), checkpoint:
     df = df.withColumns({"ticket_std": z.expr("ticket"), "fare_std": z.expr("fare")})
 
     # 6: group label, two passes (pass 2 groups by ticket number)
-    df = groups.loo_two_pass(df, list(c.group_keys1), ["ticket_digits"], c.label, out="family_survival")
+    df = groups.loo_two_pass(df, list(c.group_keys1), ["ticket_digits"], c.label, out="family_survival",
+                              row_id=c.key)
 
     # 7: family size and its bin
     df = df.withColumn("family_size", F.col(c.relatives) + 1)

@@ -171,7 +171,7 @@ WHERE class_raw >= 2 AND (age_raw <= 16 OR sex_raw = 'female') AND fare_raw IS N
 
 def q_group_size_bins(spark, sf):
     p = people(spark, sf).select("person_id", "family_key", "n_relatives")
-    g = groups.group_size(p, "family_key", "group_size")
+    g = groups.group_size(p, "family_key", "group_size", row_id="person_id")
     return g.select("person_id", "family_key", "group_size",
                     codes.group_size_bin("group_size").alias("ticket_bin"),
                     (F.col("n_relatives") + 1).alias("family_size"),
@@ -349,7 +349,7 @@ FROM people""" for c in ("fare_raw", "age_raw")))
 
 def q_loo_pass1(spark, sf):
     p = people(spark, sf).select("person_id", "family_key", "ticket_group_key", "label")
-    return groups.loo_group_label(p, ["family_key", "ticket_group_key"], "label", "group_label") \
+    return groups.loo_group_label(p, ["family_key", "ticket_group_key"], "label", "group_label", row_id="person_id") \
         .select("person_id", "group_label")
 
 
@@ -374,8 +374,8 @@ SQL_LOO_PASS1 = with_people(
 def _loo_two(spark, sf):
     p = people(spark, sf).select("person_id", "family_key", "ticket_group_key", "label",
                                  text.first_digits("name_raw").alias("ticket"))
-    first = groups.loo_group_label(p, ["family_key", "ticket_group_key"], "label", "pass1")
-    return groups.loo_group_label(first, ["ticket"], "label", "group_label", prev="pass1")
+    first = groups.loo_group_label(p, ["family_key", "ticket_group_key"], "label", "pass1", row_id="person_id")
+    return groups.loo_group_label(first, ["ticket"], "label", "group_label", prev="pass1", row_id="person_id")
 
 
 def q_loo_two_pass(spark, sf):
@@ -409,7 +409,7 @@ def q_loo_fold_aware(spark, sf):
     p = split.holdout_flag(people(spark, sf).select("person_id", "family_key", "ticket_group_key", "label"),
                            "person_id", 0.2, 42)
     out = groups.loo_group_label(p, ["family_key", "ticket_group_key"], "label", "group_label",
-                                 visible=F.col("is_holdout") == 0)
+                                 visible=F.col("is_holdout") == 0, row_id="person_id")
     return out.select("person_id", "is_holdout", "group_label")
 
 
@@ -443,22 +443,26 @@ def q_family_rule_lists(spark, sf):
     return _lists(_with_surname(spark, sf))
 
 
-_SQL_FAM = """
+def _sql_fam(women: int = 0, men: int = 1) -> str:
+    return f"""
 s AS (SELECT *, trim(split_part(name_raw, ',', 1)) AS surname FROM people),
 f AS (SELECT s.*, count(*) OVER (PARTITION BY surname) AS fam FROM s WHERE surname IS NOT NULL),
 m AS (SELECT * FROM f WHERE fam >= 2 AND label IN (0, 1)),
 r AS (SELECT surname, 0 AS rule_index, CAST(0.0 AS DOUBLE) AS assign FROM m
-        WHERE age_raw <= 16 OR sex_raw = 'female' GROUP BY surname HAVING avg(label) = 0
+        WHERE age_raw <= 16 OR sex_raw = 'female' GROUP BY surname HAVING avg(label) = {women}
       UNION ALL
       SELECT surname, 1 AS rule_index, CAST(1.0 AS DOUBLE) AS assign FROM m
-        WHERE age_raw > 16 AND sex_raw = 'male' GROUP BY surname HAVING avg(label) = 1),
+        WHERE age_raw > 16 AND sex_raw = 'male' GROUP BY surname HAVING avg(label) = {men}),
 b AS (SELECT surname, arg_max(assign, rule_index) AS rule FROM r GROUP BY surname)"""
+
+
+_SQL_FAM = _sql_fam()
 SQL_FAMILY_RULE_LISTS = with_people(f"WITH {_SQL_FAM}\nSELECT surname, rule_index, assign FROM r")
 
 
 def q_rule_filled_labels(spark, sf):
     p = _with_surname(spark, sf)
-    return rules.fill_by_rules(p, _lists(p), "surname", "label", out="label_filled").select("person_id", "label_filled")
+    return rules.fill_by_rules(p, _lists(p), "surname", "label", out="label_filled", row_id="person_id").select("person_id", "label_filled")
 
 
 SQL_RULE_FILLED_LABELS = with_people(f"""WITH {_SQL_FAM}
@@ -472,7 +476,7 @@ def q_rule_rewrites(spark, sf):
     p = _with_surname(spark, sf).withColumns({
         "sex": codes.lookup("sex_raw", SEX_CODES), "age": F.col("age_raw"),
         "title": codes.lookup(codes.collapse(text.honorific("name_raw"), RARE_TITLES), TITLE_CODES, TITLE_DEFAULT)})
-    out = rules.rewrite_by_rules(p, _lists(p), "surname", "label", REWRITES)
+    out = rules.rewrite_by_rules(p, _lists(p), "surname", "label", REWRITES, row_id="person_id")
     return out.select("person_id", "sex", "age", "title")
 
 
@@ -497,6 +501,17 @@ SQL_OVERRIDE_TABLE = with_people(f"""WITH {_SQL_FAM}
 SELECT person_id, coalesce(CAST(b.rule AS INTEGER), -1) AS rule FROM s LEFT JOIN b USING (surname)""")
 
 
+def q_override_table_copy_sense(spark, sf):
+    """RUL4 in the sense of the exported table: all-1 women and children -> 0, all-0 men -> 1."""
+    p = _with_surname(spark, sf)
+    lists = rules.rule_lists(p, "surname", "label", "sex_raw", "age_raw", rules.COPY_RULES)
+    return rules.override_table(p, lists, "person_id", "surname")
+
+
+SQL_OVERRIDE_TABLE_COPY_SENSE = with_people(f"""WITH {_sql_fam(women=1, men=0)}
+SELECT person_id, coalesce(CAST(b.rule AS INTEGER), -1) AS rule FROM s LEFT JOIN b USING (surname)""")
+
+
 def q_override_predictions(spark, sf):
     p = _with_surname(spark, sf)
     ov = rules.override_table(p, _lists(p), "person_id", "surname")
@@ -870,6 +885,7 @@ SQL_QUERIES = {
     "rule_filled_labels": (q_rule_filled_labels, SQL_RULE_FILLED_LABELS),
     "rule_rewrites": (q_rule_rewrites, SQL_RULE_REWRITES),
     "override_table": (q_override_table, SQL_OVERRIDE_TABLE),
+    "override_table_copy_sense": (q_override_table_copy_sense, SQL_OVERRIDE_TABLE_COPY_SENSE),
     "override_predictions": (q_override_predictions, SQL_OVERRIDE_PREDICTIONS),
     "listed_members": (q_listed_members, SQL_LISTED_MEMBERS),
     "holdout_split": (q_holdout_split, SQL_HOLDOUT_SPLIT),

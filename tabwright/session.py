@@ -44,15 +44,18 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    On a cluster that setting names a shared file system; it is only set here when the session
-    has none (local tests), in which case a fresh folder under the system temp dir is used.
-    """
+    On a cluster that setting must name a shared file system; without it this raises, because a
+    machine's own temp folder would be invisible to the other executors.  A single-machine session
+    (master ``local`` or ``local[...]``, as in tests) gets a fresh folder under the temp dir."""
     try:
         sc = spark.sparkContext
     except Exception:  # noqa: BLE001 — a session without a local SparkContext (remote client)
         sc = None
     path = spark.conf.get("spark.checkpoint.dir", None) or (sc.getCheckpointDir() if sc else None)
     if not path:
+        master = sc.master if sc else ""
+        if master != "local" and not master.startswith("local["):
+            raise RuntimeError("spark.checkpoint.dir is not set: name a shared folder for written intermediates")
         path = tempfile.mkdtemp(prefix="tabwright-ckpt-")
         spark.conf.set("spark.checkpoint.dir", path)
     if sc is not None and not sc.getCheckpointDir():
@@ -66,20 +69,15 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/tabwright/{name}-{uuid.uuid4().hex}"
 
 
-def balanced(df: DataFrame) -> DataFrame:
-    """Round-robin repartition only when the frame has fewer partitions than task slots (a small
-    single-file input); on a cluster reading many files this adds nothing."""
-    try:
-        slots = df.sparkSession.sparkContext.defaultParallelism
-        parts = df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001 — no local SparkContext: leave the partitioning alone
-        return df
-    return df.repartition(slots) if parts < slots else df
-
-
 def materialize(df: DataFrame) -> DataFrame:
-    """Cut the lineage with a reliable checkpoint in the shared checkpoint folder (spread over
-    the task slots first when the frame has fewer partitions than slots).  Later jobs read the
-    written copy instead of re-running the plan behind it, and survive executor loss."""
+    """Cut the lineage with a reliable checkpoint in the shared checkpoint folder.  Later jobs read
+    the written copy instead of re-running the plan behind it, and survive executor loss."""
     ensure_checkpoint_dir(df.sparkSession)
-    return balanced(df).checkpoint(eager=True)
+    return df.checkpoint(eager=True)
+
+
+def laid_out(df: DataFrame, key: str, partitions: int = 16) -> DataFrame:
+    """A copy in a stated number of partitions by key, sorted inside them.  Bagging in Spark ML draws
+    by partition and row order, so a model fitted on this copy is the same on any cluster; size
+    ``partitions`` to the table (the default suits up to a few GB of features)."""
+    return materialize(df.repartition(partitions, key).sortWithinPartitions(key))

@@ -2,19 +2,12 @@
 
 Only the named columns are read, so the parquet scan's ``ReadSchema`` is the projection and any
 filter applied afterwards is pushed into the scan by Catalyst.
-
-:func:`balanced` spreads a frame that has fewer partitions than the session has task slots (one
-small file, one row group) before it is read many times (multi-pass statistics, model fits).
-On a cluster reading many files the frame already has more partitions than slots and nothing
-is added.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tabwright.session import balanced  # noqa: F401  (re-exported)
-
 TABLES = (
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
     "documents", "embeddings", "pages", "benchmark", "labels", "conversations",

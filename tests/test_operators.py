@@ -43,13 +43,13 @@ def test_loo_fixture_cases(spark):
     df = spark.createDataFrame(
         [(1, "a", 1.0), (2, "b", 1.0), (3, "b", None), (4, "c", 0.0), (5, "c", 0.0), (6, "c", None),
          (7, None, 1.0)], "id long, k string, y double")
-    got = {r["id"]: r["g"] for r in groups.loo_group_label(df, "k", "y", "g").collect()}
+    got = {r["id"]: r["g"] for r in groups.loo_group_label(df, "k", "y", "g", row_id="id").collect()}
     assert got == {1: 0.5, 2: 0.5, 3: 1.0, 4: 0.0, 5: 0.0, 6: 0.0, 7: 0.5}
 
 
 def test_loo_pass2_never_lowers_one(spark):
     df = spark.createDataFrame([(1, "t", 0.0, 1.0), (2, "t", 0.0, 0.5)], "id long, k string, y double, p double")
-    got = {r["id"]: r["g"] for r in groups.loo_group_label(df, "k", "y", "g", prev="p").collect()}
+    got = {r["id"]: r["g"] for r in groups.loo_group_label(df, "k", "y", "g", prev="p", row_id="id").collect()}
     assert got == {1: 1.0, 2: 0.0}
 
 
@@ -59,7 +59,7 @@ def test_loo_two_pass_matches_brute_force(spark, seed):
     rows = [(i, rnd.choice(["a", "b", "c", "d", None]), rnd.choice(["x", "y", None]),
              rnd.choice([0.0, 1.0, None])) for i in range(300)]
     df = spark.createDataFrame(rows, "id long, k1 string, k2 string, y double")
-    got = {r["id"]: r["g"] for r in groups.loo_two_pass(df, ["k1"], ["k2"], "y", "g").collect()}
+    got = {r["id"]: r["g"] for r in groups.loo_two_pass(df, ["k1"], ["k2"], "y", "g", row_id="id").collect()}
     p1 = _loo_brute([(r[0], r[1], r[3]) for r in rows], 1)
     p2 = _loo_brute([(r[0], r[2], r[3]) for r in rows], 1, prev=p1)
     assert got == p2
@@ -67,7 +67,7 @@ def test_loo_two_pass_matches_brute_force(spark, seed):
 
 def test_group_size_null_key(spark):
     df = spark.createDataFrame([(1, "a"), (2, "a"), (3, None)], "id long, k string")
-    got = {r["id"]: r["n"] for r in groups.group_size(df, "k", "n").collect()}
+    got = {r["id"]: r["n"] for r in groups.group_size(df, "k", "n", row_id="id").collect()}
     assert got == {1: 2, 2: 2, 3: None}
 
 
@@ -109,8 +109,7 @@ def test_exact_quantile_matches_numpy(spark, n, q):
     vals = np.round(rnd.normal(50, 20, n), 2)
     vals[::7] = 13.0  # ties
     df = spark.createDataFrame([(float(v),) for v in vals], "x double")
-    # a tiny bracket forces the narrowing rounds
-    got = stats.exact_quantile(df, "x", q, max_bracket=50, accuracy=1000)
+    got = stats.exact_quantile(df, "x", q)
     assert math.isclose(got, float(np.quantile(vals, q)), rel_tol=1e-12, abs_tol=1e-12)
 
 
@@ -254,7 +253,7 @@ def test_fit_many_matches_single_statistics(spark):
     cond = F.col("b") == "x"
     got = stats.fit_many(df, {"ma": ("mode", "a", None), "mb": ("mode", "b", None), "mc": ("mode", "a", cond),
                               "med": ("median", "c", None), "medx": ("median", "c", cond),
-                              "mean": ("mean", "c", None), "sd": ("std_pop", "c", cond)}, max_bracket=100)
+                              "mean": ("mean", "c", None), "sd": ("std_pop", "c", cond)})
     assert got["ma"] == stats.mode_value(df, "a") and got["mb"] == stats.mode_value(df, "b")
     assert got["mc"] == stats.mode_value(df, "a", cond)
     assert math.isclose(got["med"], float(np.median([r[2] for r in rows])))
@@ -273,7 +272,7 @@ def test_loo_with_hot_and_null_keys(spark):
         k = "hot" if i % 3 == 0 else (None if i % 3 == 1 else f"k{rnd.randint(0, 300)}")
         rows.append((i, k, rnd.choice([0.0, 1.0, None])))
     df = spark.createDataFrame(rows, "id long, k string, y double")
-    got = {r["id"]: r["g"] for r in groups.loo_group_label(df, "k", "y", "g").collect()}
+    got = {r["id"]: r["g"] for r in groups.loo_group_label(df, "k", "y", "g", row_id="id").collect()}
     ones, zeros = {}, {}
     for _, k, y in rows:
         ones[k] = ones.get(k, 0) + (y == 1.0)
@@ -294,9 +293,9 @@ def test_partition_count_does_not_change_results(spark):
     rows = [(i, f"g{i % 13}", float(i % 2)) for i in range(1500)]
     df = spark.createDataFrame(rows, "id long, g string, y double")
     a = {r["id"]: (r["rn"], r["lab"]) for r in groups.loo_group_label(
-        row_number_within(df.repartition(1), ["id"], ["g"], "rn", num_partitions=1), "g", "y", "lab").collect()}
+        row_number_within(df.repartition(1), ["id"], ["g"], "rn", num_partitions=1), "g", "y", "lab", row_id="id").collect()}
     b = {r["id"]: (r["rn"], r["lab"]) for r in groups.loo_group_label(
-        row_number_within(df.repartition(8), ["id"], ["g"], "rn", num_partitions=8), "g", "y", "lab").collect()}
+        row_number_within(df.repartition(8), ["id"], ["g"], "rn", num_partitions=8), "g", "y", "lab", row_id="id").collect()}
     assert a == b
 
 
@@ -311,7 +310,7 @@ def test_in_key_set_and_join_back_nulls(spark):
     from tabwright.operators.rules import in_key_set
     df = spark.createDataFrame([(1, "a"), (2, "b"), (3, None)], "id long, s string")
     keys = spark.createDataFrame([("a",), ("a",), (None,)], "s string")
-    got = {r["id"]: r["f"] for r in in_key_set(df, keys, "s", "f").collect()}
+    got = {r["id"]: r["f"] for r in in_key_set(df, keys, "s", "f", "id").collect()}
     assert got == {1: True, 2: False, 3: False}
 
 
@@ -385,14 +384,13 @@ def test_patience_boost_keeps_last_or_best(spark):
     assert min(v for _, v in evals) == evals[last.best_round][1]
 
 
-@pytest.mark.parametrize("max_bracket", [10, 10_000])
-def test_fit_many_quantiles_and_extremes(spark, max_bracket):
+def test_fit_many_quantiles_and_extremes(spark):
     rnd = np.random.default_rng(12)
     vals = np.round(rnd.normal(0, 5, 777), 3)
     df = spark.createDataFrame([(float(v),) for v in vals], "x double")
     got = stats.fit_many(df, {"q1": (("quantile", 0.1), "x", None), "q9": (("quantile", 0.9), "x", None),
                               "med": ("median", "x", None), "lo": ("min", "x", None), "hi": ("max", "x", None),
-                              "n": ("count", "x", None), "sd": ("std_samp", "x", None)}, max_bracket=max_bracket)
+                              "n": ("count", "x", None), "sd": ("std_samp", "x", None)})
     for name, q in (("q1", 0.1), ("q9", 0.9), ("med", 0.5)):
         assert math.isclose(got[name], float(np.quantile(vals, q)), rel_tol=1e-12, abs_tol=1e-12)
     assert got["lo"] == vals.min() and got["hi"] == vals.max() and got["n"] == 777
@@ -417,3 +415,85 @@ def test_score_stream_is_exactly_once(spark):
     score_stream(spark, f"{src}/*", scoring.schema, model, "id", sink, ckpt).awaitTermination()
     out = spark.read.parquet(sink)
     assert out.count() == 200 and out.select("id").distinct().count() == 200
+
+
+# --- exactness without size switches, repairs --------------------------------------------------
+
+def test_median_of_many_ties(spark):
+    df = spark.range(4_000_000).select((F.col("id") % 2).cast("double").alias("x"))
+    assert stats.exact_median(df, "x") == 0.5
+
+
+def test_nan_counts_as_missing_everywhere(spark):
+    df = spark.createDataFrame([(1.0,), (float("nan"),), (3.0,), (None,)], "x double")
+    got = stats.fit_many(df, {k: (k, "x", None) for k in ("count", "mean", "min", "max", "std_pop", "mode", "median")})
+    assert got == {"count": 2, "mean": 2.0, "min": 1.0, "max": 3.0, "std_pop": 1.0, "mode": 1.0, "median": 2.0}
+
+
+@pytest.mark.parametrize("fraction,low,high", [(1.0, 1.0, 1.0), (0.0, 0.0, 0.0), (0.5, 0.45, 0.55)])
+def test_holdout_fraction_bounds(spark, fraction, low, high):
+    from tabwright.operators.split import holdout_flag
+    share = holdout_flag(spark.range(2000), "id", fraction).agg(F.avg("is_holdout")).first()[0]
+    assert low <= share <= high
+
+
+def test_duplicate_keys_are_refused(spark):
+    from tabwright.operators.groups import join_back
+    from tabwright.operators.rules import apply_overrides
+    rows = spark.createDataFrame([(1, "a"), (2, "b")], "id long, k string")
+    twice = spark.createDataFrame([("a", 1), ("a", 2)], "k string, v int")
+    with pytest.raises(ValueError, match="occurs 2 times"):
+        join_back(rows, twice, ["k"], "id")
+    pred = spark.createDataFrame([(1, 0)], "id long, prediction int")
+    with pytest.raises(ValueError, match="occurs 2 times"):
+        apply_overrides(pred, spark.createDataFrame([(1, 1), (1, 0)], "id long, rule int"), "id")
+
+
+def test_missing_shared_folder_is_an_error_on_a_cluster():
+    from tabwright.session import ensure_checkpoint_dir
+
+    class Conf:
+        def get(self, *_):
+            return None
+
+    class Context:
+        master = "spark://host:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        conf, sparkContext = Conf(), Context()
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        ensure_checkpoint_dir(Session())
+
+
+def test_patience_over_chunks_and_a_run_that_never_stops(spark):
+    rows = [("a", i, float(100 - i)) for i in range(50)] + [("b", i, float(v)) for i, v in enumerate([5, 4, 4, 6, 7, 8, 1])]
+    df = spark.createDataFrame(rows, "run string, i int, loss double")
+    for chunk_rows in (3, 1000):
+        h = history.patience(df, "run", ["i"], "loss", patience=2, chunk_rows=chunk_rows)
+        stop = {r["run"]: r["stop_step"] for r in history.stop_points(h, "run").collect()}
+        assert stop == {"a": None, "b": 4}
+        assert [r["counter"] for r in h.where("run = 'b'").orderBy("i").collect()] == [0, 0, 0, 1, 2, 3, 0]
+
+
+def test_chained_imputation_stops_on_the_largest_move(spark):
+    """Two incomplete columns whose moves cancel in the sum still iterate to the joint fixed point."""
+    from tabwright.operators.impute import impute_chained
+    rnd = np.random.default_rng(3)
+    x = rnd.normal(0, 1, 300)
+    a, b = 2 * x + 1, -2 * x + 5
+    rows = [(i, float(x[i]), None if i % 5 == 0 else float(a[i]), None if i % 5 == 1 else float(b[i])) for i in range(300)]
+    df = spark.createDataFrame(rows, "id long, x double, a double, b double")
+    got = {r["id"]: (r["a"], r["b"]) for r in impute_chained(df, ["a", "b"], ["x"]).collect()}
+    for i in range(300):
+        assert abs(got[i][0] - a[i]) < 1e-2 and abs(got[i][1] - b[i]) < 1e-2
+
+
+def test_drop_drifting_by_measured_gain(spark):
+    report = spark.createDataFrame([("moved", 0.9, 10), ("same", 0.02, 3)], "feature string, gain double, weight int")
+    df = spark.createDataFrame([(1, 2.0, 3.0)], "id long, moved double, same double")
+    from tabwright.operators.select import drop_drifting
+    assert drop_drifting(df, (report, 0.1)).columns == ["id", "same"]
