@@ -5,7 +5,7 @@
 2. Every window is represented by its rarest words.  The index stores, for those words only,
    postings (term, document, sorted positions); the rest of the corpus vocabulary is never stored.
 3. A window's posting lists are shifted by the word's offset in the window and intersected inside
-   each document, rarest first; what remains are start positions, which are compared with all
+   each document, rarest first (only documents with the rarest word are looked into); what remains are start positions, which are compared with all
    words of the window for an exact phrase match.  ``proximity`` instead reports documents in
    which the shifted lists of the rarest words come within ``slop`` words of each other.
 
@@ -21,10 +21,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tabwright.llm.common import K1, K2, ROW, ascii_lower, bounded, cut, keyed, keyed_rows
+from tabwright.llm.common import K1, K2, ROW, ascii_lower, bounded, cut, keyed, keyed_rows, written
 
 NOT_WORD = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-WORD_ANY_CASE = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 RAREST = 3
 
 
@@ -32,10 +31,6 @@ def words_of(text: Column) -> Column:
     return F.array_remove(F.split(ascii_lower(text), NOT_WORD, -1), "")
 
 
-def n_words_of(text: Column) -> Column:
-    return F.regexp_count(text, F.lit(WORD_ANY_CASE)).cast("long")
-
-
 def item_windows(items: DataFrame, window: int, id_col: str, text_col: str) -> DataFrame:
     """Distinct windows: ``win`` (long id), ``words`` and the ``items`` that hold it."""
     w = items.select(F.col(id_col).cast("string").alias("item"),
@@ -49,50 +44,58 @@ def item_windows(items: DataFrame, window: int, id_col: str, text_col: str) -> D
 
 
 def rarest_slots(docs: DataFrame, windows: DataFrame) -> DataFrame:
-    """``win, term, offset, n_slots`` of each window's rarest words by corpus frequency; windows
-    with a word that no document holds cannot occur and are left out."""
+    """``win, slots``: each window's rarest words as (freq, offset, term), rarest first; windows with
+    a word that no document holds cannot occur and are left out."""
     slots = windows.select("win", F.posexplode("words").alias("offset", "term"))
     terms = cut(slots.select("term").distinct())
     counts = (docs.select(F.explode(words_of(F.col("text"))).alias("term"))
               .join(bounded(terms, 64), "term").groupBy("term").agg(F.count(F.lit(1)).alias("freq")))
-    ranked = (slots.join(counts, "term", "left")
-              .groupBy("win").agg(F.sort_array(F.collect_list(
-                  F.struct(F.coalesce("freq", F.lit(0)).alias("freq"), "offset", "term"))).alias("s"))
-              .where(F.col("s")[0]["freq"] > 0).withColumn("s", F.slice("s", 1, RAREST)))
-    return ranked.select("win", F.size("s").alias("n_slots"), F.explode("s").alias("x")) \
-        .select("win", "n_slots", "x.term", "x.offset")
+    return (slots.join(counts, "term", "left")
+            .groupBy("win").agg(F.sort_array(F.collect_list(
+                F.struct(F.coalesce("freq", F.lit(0)).alias("freq"), "offset", "term"))).alias("slots"))
+            .where(F.col("slots")[0]["freq"] > 0).withColumn("slots", F.slice("slots", 1, RAREST)))
 
 
 def positional_index(docs: DataFrame, slots: DataFrame) -> DataFrame:
-    """Postings of the chosen terms: row key, ``term`` and its sorted ``positions``."""
-    terms = bounded(slots.select("term").distinct(), 64)
-    return (docs.select(K1, K2, F.posexplode(words_of(F.col("text"))).alias("pos", "term"))
-            .join(terms, "term")
-            .groupBy(K1, K2, "term").agg(F.sort_array(F.collect_set("pos")).alias("positions")))
-
-
-def shifted_lists(index: DataFrame, slots: DataFrame) -> DataFrame:
-    """Row key, window and the offset-adjusted lists of all its rarest words, shortest first."""
-    return (index.join(bounded(slots, 64), "term")
-            .select(K1, K2, "win", "n_slots", F.transform(
-                "positions", lambda p: p - F.col("offset")).alias("starts"))
-            .groupBy(K1, K2, "win", "n_slots")
-            .agg(F.sort_array(F.collect_list(F.struct(F.size("starts").alias("n"), "starts"))).alias("lists"))
-            .where(F.size("lists") == F.col("n_slots")))
+    """Postings of the chosen terms, stored in the shared folder: row key, ``term`` and its sorted
+    ``positions``."""
+    terms = bounded(slots.select(F.explode("slots.term").alias("term")).distinct(), 64)
+    postings = (docs.select(K1, K2, F.posexplode(words_of(F.col("text"))).alias("pos", "term"))
+                .join(terms, "term")
+                .groupBy(K1, K2, "term").agg(F.sort_array(F.collect_set("pos")).alias("positions")))
+    return written(postings, "positional-index")
+
+
+def shifted_lists(index: DataFrame, slots: DataFrame, slop: int = 0) -> DataFrame:
+    """Row key, ``win`` and ``starts``: where the window would begin by its rarest word, kept while
+    every further word's shifted list has a start within ``slop``.  The rarest word chooses the
+    documents; the next ones only look into these."""
+    lists = (index.join(bounded(slots.select(F.col("slots")[0]["term"].alias("term"), "win", "slots"), 256), "term")
+             .select(K1, K2, "win", "slots", F.transform(
+                 "positions", lambda p: p - F.col("slots")[0]["offset"]).alias("starts")))
+    for i in range(1, RAREST):
+        slot = F.get("slots", F.lit(i))
+        shifted = F.transform("positions", lambda p: p - slot["offset"])
+        near = F.array_intersect("starts", shifted) if slop == 0 else F.filter(
+            "starts", lambda s: F.exists(shifted, lambda t: F.abs(t - s) <= slop))
+        # windows of fewer words have no such slot: their lists pass as they are
+        lists = (lists.withColumn("term", slot["term"]).join(index, [K1, K2, "term"], "left")
+                 .select(K1, K2, "win", "slots", F.when(F.size("slots") <= i, F.col("starts"))
+                         .otherwise(F.coalesce(near, F.array().cast("array<int>"))).alias("starts"))
+                 .where(F.size("starts") > 0))
+    return lists.select(K1, K2, "win", "starts")
 
 
 def phrase_matches(docs: DataFrame, windows: DataFrame) -> DataFrame:
     """Row key, ``win``, ``n`` (its words) and ``at`` (0-based start word) of exact matches."""
     slots = cut(rarest_slots(docs, windows))
     lists = shifted_lists(positional_index(docs, slots), slots)
-    both = F.aggregate(F.slice("lists", 2, RAREST), F.col("lists")[0]["starts"],
-                       lambda acc, x: F.array_intersect(acc, x["starts"]))
-    cand = lists.select(K1, K2, "win", F.filter(both, lambda s: s >= 0).alias("starts")) \
+    cand = lists.select(K1, K2, "win", F.filter("starts", lambda s: s >= 0).alias("starts")) \
         .where(F.size("starts") > 0)
     cand = cut(cand.join(windows.select("win", "words"), "win"))
     # a row key's equal rows hold the same words: one copy is enough to compare
     full = (docs.select(K1, K2, "text")
-            .join(cand.select(K1, K2).distinct(), [K1, K2], "left_semi").dropDuplicates([K1, K2])
+            .join(bounded(cand.select(K1, K2).distinct(), 32), [K1, K2], "left_semi").dropDuplicates([K1, K2])
             .select(K1, K2, words_of(F.col("text")).alias("doc_words")))
     ok = F.filter("starts", lambda s: F.slice(F.col("doc_words"), s + 1, F.size("words")) == F.col("words"))
     return (cand.join(full, [K1, K2]).select(K1, K2, "win", F.size("words").alias("n"), ok.alias("starts"))
@@ -104,14 +107,13 @@ def proximity_matches(docs: DataFrame, items: DataFrame, window: int = 10, slop:
                       id_col: str = "doc_id", text_col: str = "text",
                       item_id: str = "item_id", item_text: str = "text") -> DataFrame:
     """``doc_id, item, at``: documents where the rarest words of one of the item's windows all stand
-    within ``slop`` words of where the phrase would put them (exact matches included)."""
+    within ``slop`` words of where the phrase would put them (exact matches included); ``at`` is
+    where the window would begin by its rarest word."""
     d = keyed(docs, id_col, text_col)
     windows = cut(item_windows(items, window, item_id, item_text))
     slots = cut(rarest_slots(d, windows))
-    lists = shifted_lists(positional_index(d, slots), slots)
-    near = F.filter(F.col("lists")[0]["starts"], lambda s: F.forall(
-        "lists", lambda x: F.exists(x["starts"], lambda t: F.abs(t - s) <= slop)))
-    hit = (lists.select(K1, K2, "win", F.explode(near).alias("at"))
+    hit = (shifted_lists(positional_index(d, slots), slots, slop)
+           .select(K1, K2, "win", F.explode("starts").alias("at"))
            .join(windows.select("win", F.explode("items").alias("item")), "win")
            .select(K1, K2, "item", "at").distinct())
     return d.select("doc_id", K1, K2).join(hit, [K1, K2]).select("doc_id", "item", "at")
@@ -135,7 +137,7 @@ def decontaminate(docs: DataFrame, items: DataFrame, window: int = 10,
     """Per input row: ``doc_id, n_words, n_hit, items`` (ids whose windows occur, sorted as strings)."""
     d = keyed(docs, id_col, text_col)
     h = hits(d, items, window, item_id, item_text)
-    return (d.select("doc_id", K1, K2, n_words_of(F.col("text")).alias("n_words")).join(h, [K1, K2], "left")
+    return (d.select("doc_id", K1, K2, F.size(words_of(F.col("text"))).cast("long").alias("n_words")).join(h, [K1, K2], "left")
             .select("doc_id", "n_words", F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"),
                     F.coalesce("items", F.array().cast("array<string>")).alias("items")))
 
