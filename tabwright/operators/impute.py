@@ -56,22 +56,6 @@ def _assemble(df: DataFrame, features: list[str], out: str = "__features") -> Da
     return VectorAssembler(inputCols=features, outputCol=out, handleInvalid="error").transform(df)
 
 
-def impute_linear_one(df: DataFrame, target: str, predictor: str, lo: float | None = None,
-                      hi: float | None = None, fit_on: Column | None = None, digits: int | None = None) -> DataFrame:
-    """One-predictor regression fill with the SQL aggregates ``regr_slope`` / ``regr_intercept``
-    (exactly what an SQL engine computes), then clipped."""
-    cond = F.col(target).isNotNull() & F.col(predictor).isNotNull()
-    if fit_on is not None:
-        cond = cond & fit_on
-    row = df.agg(F.regr_slope(F.when(cond, F.col(target)), F.when(cond, F.col(predictor))).alias("b"),
-                 F.regr_intercept(F.when(cond, F.col(target)), F.when(cond, F.col(predictor))).alias("a")).first()
-    a, b = row["a"], row["b"]
-    if digits is not None and a is not None and b is not None:
-        a, b = round(a, digits), round(b, digits)
-    pred = F.lit(a) + F.lit(b) * F.col(predictor)
-    return df.withColumn(target, F.coalesce(F.col(target), clip(pred, lo, hi)))
-
-
 def impute_chained(df: DataFrame, targets: list[str], features: list[str], max_iter: int = 20,
                    lo: float | None = None, hi: float | None = None, fit_on: Column | None = None,
                    tol: float = 1e-3, checkpoint: bool = True) -> DataFrame:

@@ -16,10 +16,11 @@ from tabwright.operators.impute import impute_chained, impute_forest, reimpute_o
 from tabwright.operators.select import drop_drifting
 from tabwright.operators.split import kfold
 from tabwright.plans import models
-from tabwright.plans.prepare import PrepareConfig, materialize, prepare
+from tabwright.plans.registry import AGE_DIGITS, sql_least_squares
+from tabwright.plans.prepare import materialize, prepare
 from tabwright.session import scratch_path
 from tabwright.sources import io
-from tabwright.sources.people import people
+from tabwright.sources.people import people, with_people
 
 KEY = "person_id"
 # DRF3: the features the adversarial check found drifting in the reference, by our names
@@ -36,7 +37,7 @@ def prepared(spark: SparkSession, sf: str) -> DataFrame:
     except Exception:  # noqa: BLE001 — no local SparkContext
         k = (id(spark), sf)
     if k not in _cache:
-        _cache[k] = materialize(models.ml_names(prepare(people(spark, sf), PrepareConfig(stat_digits=6))))
+        _cache[k] = materialize(models.ml_names(prepare(people(spark, sf))))
     return _cache[k]
 
 
@@ -184,7 +185,8 @@ def q_drift_summary(spark, sf):
 
 def q_drift_reduced_features(spark, sf):
     """DRF3 + PRJ8: the prepared table without the drifting features."""
-    return drop_drifting(prepared(spark, sf), DRIFTING)
+    out = drop_drifting(prepared(spark, sf), DRIFTING)
+    return out.withColumn("age", F.round("age", AGE_DIGITS))
 
 
 def q_impute_age_chained(spark, sf):
@@ -194,7 +196,7 @@ def q_impute_age_chained(spark, sf):
                                  F.col("n_relatives").cast("double").alias("relatives"),
                                  F.col("ticket_group_key").cast("double").alias("month")))
     out = impute_chained(p, ["age"], ["pclass", "relatives", "month"], max_iter=20, lo=0.0, hi=80.0)
-    return out.select(KEY, F.round("age", 6).alias("age"))
+    return out.select(KEY, F.round("age", AGE_DIGITS).alias("age"))
 
 
 def q_impute_age_chained_train_fit(spark, sf):
@@ -203,7 +205,7 @@ def q_impute_age_chained_train_fit(spark, sf):
                                  F.col("class_raw").cast("double").alias("pclass"),
                                  F.col("n_relatives").cast("double").alias("relatives")))
     out = impute_chained(p, ["age"], ["pclass", "relatives"], lo=0.0, hi=80.0, fit_on=F.col("is_test") == 0)
-    return out.select(KEY, F.round("age", 6).alias("age"))
+    return out.select(KEY, F.round("age", AGE_DIGITS).alias("age"))
 
 
 def q_impute_age_refill(spark, sf):
@@ -212,7 +214,7 @@ def q_impute_age_refill(spark, sf):
                                  F.col("class_raw").cast("double").alias("pclass"),
                                  F.col("n_relatives").cast("double").alias("relatives")))
     out = reimpute_out_of_range(p, "age", ["pclass", "relatives"], 0.0, 40.0)
-    return out.select(KEY, F.round("age", 6).alias("age"))
+    return out.select(KEY, F.round("age", AGE_DIGITS).alias("age"))
 
 
 def q_impute_age_forest(spark, sf):
@@ -222,7 +224,7 @@ def q_impute_age_forest(spark, sf):
                                  F.col("sex_raw").alias("sex"),
                                  F.col("n_relatives").cast("double").alias("relatives")))
     out = impute_forest(p, "age", ["pclass", "sex", "relatives"], num_trees=100, seed=0)
-    return out.select(KEY, F.round("age", 6).alias("age"))
+    return out.select(KEY, F.round("age", AGE_DIGITS).alias("age"))
 
 
 def q_submission(spark, sf):
@@ -250,12 +252,31 @@ def _sql_drift_reduced() -> str:
     from tabwright.plans.registry import SQL_PREPARE_FEATURES
     cols = (["person_id", "title_0", "class_1", "class_2", "class_3"]
             + [f'"family_survival_{v}" AS family_survival_{v.replace(".", "_")}' for v in ("0.0", "0.5", "1.0")]
-            + ["cabin_0", "cabin_1", "cabin_5", "cabin_8", "sex", "n_relatives", "fare_std", "ticket_std", "age",
+            + ["cabin_0", "cabin_1", "cabin_5", "cabin_8", "sex", "n_relatives", "age",
                "label"])
     return f"WITH x AS ({SQL_PREPARE_FEATURES}) SELECT {', '.join(cols)} FROM x"
 
 
-SQL_MODEL_QUERIES = {"drift_reduced_features": (q_drift_reduced_features, _sql_drift_reduced())}
+def _sql_age(xs: dict, where: str = "true", cleared: str = "age_raw", hi: float = 80.0) -> str:
+    """One incomplete column: the chained fill is one least-squares fit."""
+    table, pred = sql_least_squares("v", "age", list(xs), where)
+    cols = ", ".join(f"CAST({c} AS DOUBLE) AS {n}" for n, c in xs.items())
+    return with_people(f"""
+WITH v AS (SELECT person_id, is_test, CAST({cleared} AS DOUBLE) AS age, {cols} FROM people), s AS {table}
+SELECT person_id, round(coalesce(age, greatest(least({pred}, {hi}), 0.0)), {AGE_DIGITS}) AS age FROM v, s""")
+
+
+SQL_MODEL_QUERIES = {
+    "drift_reduced_features": (q_drift_reduced_features, _sql_drift_reduced()),
+    "impute_age_chained": (q_impute_age_chained, _sql_age(
+        {"pclass": "class_raw", "relatives": "n_relatives", "month": "ticket_group_key"})),
+    "impute_age_chained_train_fit": (q_impute_age_chained_train_fit, _sql_age(
+        {"pclass": "class_raw", "relatives": "n_relatives"}, "is_test = 0")),
+    "impute_age_refill": (q_impute_age_refill, _sql_age(
+        {"pclass": "class_raw", "relatives": "n_relatives"}, hi=40.0,
+        cleared="CASE WHEN age_raw BETWEEN 0 AND 40 THEN age_raw END")),
+}
+
 
 def q_stream_submission(spark, sf):
     """Streaming SNK3: scoring rows arrive as parquet files (two drops), a file-stream query
@@ -288,10 +309,7 @@ MODEL_QUERIES = {
     "model_perceptron_history": q_model_perceptron_history,
     "drift_importance": q_drift_importance,
     "drift_summary": q_drift_summary,
-    "impute_age_chained": q_impute_age_chained,
-    "impute_age_chained_train_fit": q_impute_age_chained_train_fit,
     "impute_age_forest": q_impute_age_forest,
-    "impute_age_refill": q_impute_age_refill,
     "submission": q_submission,
     "run_log": q_run_log,
     "stream_submission": q_stream_submission,

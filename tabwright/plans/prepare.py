@@ -4,14 +4,18 @@ Order of work, as in the reference:
 
 1. cabin: first letter, missing -> "M", letter -> code
 2. port: missing -> mode, then code by dictionary
-3. ticket: first digit run, missing -> mode, z-score over all rows
+3. ticket: first digit run, missing -> mode (z-score over all rows where it is a feature)
 4. sex code; honorific from the name, rare ones collapsed, code (unmapped -> 0)
-5. fare: missing -> median, z-score
+5. fare: missing -> median (z-score where it is a feature)
 6. two-pass leave-one-out group label: pass 1 on ``group_keys1``, pass 2 on the ticket
 7. family size = relatives + 1, binned
-8. age: regression fill, clipped to [0, 80]
+8. age: chained regression fill on several columns, clipped to [0, 80]
 9. one-hot of title, class, group label, cabin, port with fitted value lists
-10. feature selection by prefix + plain columns, cast to double, label and key kept
+10. feature selection by prefix + plain columns, cast to double, label and key kept; on request a
+    final scaler, fitted on the labelled rows
+
+The snapshots of the preparation differ in these options only: ``onehot`` and ``feature_prefixes``
+(port dummies, one-hot bins), ``plain_features``, ``scale_features``, ``fit_on_train_only``.
 
 Fitted statistics are gathered by small aggregates over a checkpointed copy of the input (the
 lineage is cut once, so every statistic reads the same materialised rows instead of re-running
@@ -53,14 +57,15 @@ class PrepareConfig:
     pclass: str = "class_raw"
     relatives: str = "n_relatives"
     group_keys1: tuple = ("family_key", "ticket_group_key")
-    age_method: str = "linear_one"          # "linear_one" | "chained" | "forest"
-    age_predictors: tuple = ("n_relatives",)
+    age_method: str = "chained"              # "chained" | "forest"
+    # Of the reference's six predictors the title is constant on the people view and the family size
+    # is the relatives plus one, so neither changes a least-squares fit; relatives come as one column.
+    age_predictors: tuple = ("class", "port", "n_relatives")
     fit_on_train_only: bool = False          # False = statistics over labelled + scoring rows
     onehot: tuple = ("title", "class", "family_survival", "cabin", "port")
     feature_prefixes: tuple = ("class_", "title_", "family_survival_", "cabin_")
-    plain_features: tuple = ("sex", "n_relatives", "family_size", "is_test", "fare_std", "ticket_std", "age")
-    round_digits: int = 9
-    stat_digits: int | None = None           # round fitted means/deviations/coefficients (engine parity)
+    plain_features: tuple = ("sex", "n_relatives", "family_size", "is_test", "age")
+    scale_features: tuple = ()               # z-scored at the end, fitted on labelled rows
 
 
 def prepare(people: DataFrame, cfg: PrepareConfig = PrepareConfig(), checkpoint: bool = True) -> DataFrame:
@@ -84,9 +89,11 @@ def prepare(people: DataFrame, cfg: PrepareConfig = PrepareConfig(), checkpoint:
         "ticket": F.col("ticket_digits").cast("double"),
         "fare": F.col(c.fare).cast("double"),
     })
-    # level-2 statistics: z-scores
-    z = fit_zscore(df, ["ticket", "fare"], fit_on, digits=c.stat_digits)
-    df = df.withColumns({"ticket_std": z.expr("ticket"), "fare_std": z.expr("fare")})
+    # level-2 statistics: z-scores, where they are features
+    scaled = [x for x in ("ticket", "fare") if f"{x}_std" in c.plain_features]
+    if scaled:
+        z = fit_zscore(df, scaled, fit_on)
+        df = df.withColumns({f"{x}_std": z.expr(x) for x in scaled})
 
     # 6: group label, two passes (pass 2 groups by ticket number)
     df = groups.loo_two_pass(df, list(c.group_keys1), ["ticket_digits"], c.label, out="family_survival",
@@ -99,9 +106,7 @@ def prepare(people: DataFrame, cfg: PrepareConfig = PrepareConfig(), checkpoint:
     # 8: age
     lo, hi = AGE_CLIP
     df = df.withColumn("age", F.col(c.age).cast("double"))
-    if c.age_method == "linear_one":
-        df = impute.impute_linear_one(df, "age", c.age_predictors[0], lo, hi, fit_on, digits=c.stat_digits)
-    elif c.age_method == "chained":
+    if c.age_method == "chained":
         df = impute.impute_chained(df, ["age"], list(c.age_predictors), lo=lo, hi=hi, fit_on=fit_on)
     elif c.age_method == "forest":
         df = impute.impute_forest(df, "age", list(c.age_predictors), fit_on=fit_on)
@@ -117,12 +122,14 @@ def prepare(people: DataFrame, cfg: PrepareConfig = PrepareConfig(), checkpoint:
     oh = fit_one_hot(df, list(c.onehot), fit_on)
     df = oh.apply(df)
 
-    # 10: selection, cast, rounding of the fitted real values
+    # 10: selection, cast, final scaler
     dummies = [n for n in oh.dummy_names() if n.startswith(tuple(c.feature_prefixes))]
-    rounded = {"fare_std", "ticket_std", "age"}
-    feats = [F.round(text.qcol(n).cast("double"), c.round_digits).alias(n) if n in rounded
-             else text.qcol(n).cast("double").alias(n) for n in dummies + list(c.plain_features)]
-    return df.select(F.col(c.key), *feats, F.col(c.label))
+    feats = [text.qcol(n).cast("double").alias(n) for n in dummies + list(c.plain_features)]
+    out = df.select(F.col(c.key), *feats, F.col(c.label))
+    if c.scale_features:
+        z = fit_zscore(out, list(c.scale_features), F.col("is_test") == 0)
+        out = z.apply(out)
+    return out
 
 
 def prepared_feature_names(prepared: DataFrame, cfg: PrepareConfig = PrepareConfig()) -> list[str]:

@@ -808,11 +808,42 @@ FROM s LEFT JOIN o ON s.person_id = o.person_id WHERE s.is_test = 1""")
 
 # --- the full preparation (flagship) -------------------------------------------------------------------
 
+AGE_DIGITS = 4   # digits of a least-squares fill that two engines' summation orders agree on
+
+
+def _det(m: list[list[str]]) -> str:
+    if len(m) == 1:
+        return m[0][0]
+    terms = []
+    for j, x in enumerate(m[0]):
+        minor = _det([[v for k, v in enumerate(r) if k != j] for r in m[1:]])
+        terms.append(f"{'-' if j % 2 else '+'} ({x}) * ({minor})")
+    return "0 " + " ".join(terms)
+
+
+def sql_least_squares(src: str, y: str, xs: list[str], where: str = "true") -> tuple[str, str]:
+    """(SQL of a one-row table of sums, prediction expression over it): least squares by Cramer's rule
+    on population covariances."""
+    k = range(len(xs))
+    cov = [[f"c{min(i, j)}{max(i, j)}" for j in k] for i in k]
+    sums = [f"avg({y}) AS my", *(f"avg({x}) AS m{i}" for i, x in enumerate(xs)),
+            *(f"covar_pop({xs[i]}, {xs[j]}) AS c{i}{j}" for i in k for j in k if i <= j),
+            *(f"covar_pop({xs[i]}, {y}) AS cy{i}" for i in k)]
+    table = f"(SELECT {', '.join(sums)} FROM {src} WHERE {y} IS NOT NULL AND {where})"
+    pred = "my"
+    for i, x in enumerate(xs):
+        swapped = [[f"cy{r}" if j == i else cov[r][j] for j in k] for r in k]
+        pred += f" + (({_det(swapped)}) / ({_det(cov)})) * ({x} - m{i})"
+    return table, pred
+
+
 def q_prepare_features(spark, sf):
-    return prepare(people(spark, sf), PrepareConfig(stat_digits=A))
+    out = prepare(people(spark, sf))
+    return out.withColumn("age", F.round("age", AGE_DIGITS))
 
 
-def _sql_prepare() -> str:
+def _sql_prepare(extra: str = "") -> str:
+    reg, pred = sql_least_squares("a0", "age0", ["class", "port", "n_relatives"])
     t = f"CASE WHEN {SQL_TITLE} IN ({_sql_list(RARE_TITLES)}) THEN 'Rare' ELSE {SQL_TITLE} END"
     port_codes = PrepareConfig().port_codes
     dummies = (["CAST(CASE WHEN title = 0 THEN 1 ELSE 0 END AS DOUBLE) AS title_0"]
@@ -835,32 +866,53 @@ f AS (SELECT r.*, coalesce(r.ticket0, st1.ticket_mode) AS ticket_digits,
              CAST(coalesce(r.fare_raw, st1.fare_median) AS DOUBLE) AS fare,
              {_sql_case('coalesce(r.port_raw, st1.port_mode)', port_codes)} AS port
       FROM r, st1),
-f2 AS (SELECT f.*, CAST(ticket_digits AS DOUBLE) AS ticket FROM f),
-st2 AS (SELECT round(avg(ticket), {A}) AS mt, round(stddev_pop(ticket), {A}) AS sdt,
-               round(avg(fare), {A}) AS mf, round(stddev_pop(fare), {A}) AS sdf FROM f2),
-z AS (SELECT f2.*, (ticket - mt) / CASE WHEN coalesce(sdt, 0) = 0 THEN 1 ELSE sdt END AS ticket_std,
-             (fare - mf) / CASE WHEN coalesce(sdf, 0) = 0 THEN 1 ELSE sdf END AS fare_std
-      FROM f2, st2),
-l1 AS {_sql_loo(['family_key', 'ticket_group_key'], None, 'z', 'pass1')},
+l1 AS {_sql_loo(['family_key', 'ticket_group_key'], None, 'f', 'pass1')},
 l2 AS {_sql_loo(['ticket_digits'], 'pass1', 'l1', 'family_survival')},
 a0 AS (SELECT l2.*, n_relatives + 1 AS family_size, CAST(age_raw AS DOUBLE) AS age0 FROM l2),
-reg AS (SELECT round(regr_slope(age0, n_relatives), {A}) AS b, round(regr_intercept(age0, n_relatives), {A}) AS a
-        FROM a0),
-a AS (SELECT a0.*, coalesce(age0, greatest(least(reg.a + reg.b * n_relatives, 80.0), 0.0)) AS age FROM a0, reg)
+reg AS {reg},
+a AS (SELECT a0.*, coalesce(age0, greatest(least({pred}, 80.0), 0.0)) AS age FROM a0, reg)
 SELECT person_id, {", ".join(dummies)},
        CAST(sex AS DOUBLE) AS sex, CAST(n_relatives AS DOUBLE) AS n_relatives,
        CAST(family_size AS DOUBLE) AS family_size, CAST(is_test AS DOUBLE) AS is_test,
-       round(fare_std, {Z}) AS fare_std, round(ticket_std, {Z}) AS ticket_std, round(age, {Z}) AS age, label
+       {extra}round(age, {AGE_DIGITS}) AS age, label
 FROM a""")
 
 
 SQL_PREPARE_FEATURES = _sql_prepare()
 
 
+def q_prepare_variant(spark, sf):
+    """Snapshot options: port and family-size-bin dummies kept, ages and relatives scaled at the end
+    by a scaler fitted on the labelled rows."""
+    base = PrepareConfig()
+    out = prepare(people(spark, sf), PrepareConfig(
+        onehot=base.onehot + ("family_size_bin",), feature_prefixes=base.feature_prefixes + ("port_", "family_size_bin_"),
+        scale_features=("age", "n_relatives")))
+    return out.withColumns({c: F.round(c, AGE_DIGITS) for c in ("age", "n_relatives")})
+
+
+def _sql_prepare_variant() -> str:
+    bins = "CASE WHEN family_size = 1 THEN 0 WHEN family_size <= 4 THEN 1 WHEN family_size <= 7 THEN 2 ELSE 3 END"
+    extra = "".join([f"CAST(CASE WHEN port = {v} THEN 1 ELSE 0 END AS DOUBLE) AS port_{v}, " for v in range(5)]
+                    + [f"CAST(CASE WHEN {bins} = {v} THEN 1 ELSE 0 END AS DOUBLE) AS family_size_bin_{v}, "
+                       for v in range(4)])
+    plain = _sql_prepare(extra).replace(f"round(age, {AGE_DIGITS}) AS age", "age")
+    return f"""WITH plain AS ({plain}),
+sc AS (SELECT avg(age) AS ma, stddev_pop(age) AS sa, avg(n_relatives) AS mr, stddev_pop(n_relatives) AS sr
+       FROM plain WHERE is_test = 0)
+SELECT plain.* REPLACE (round((age - ma) / sa, {AGE_DIGITS}) AS age,
+                        round((n_relatives - mr) / sr, {AGE_DIGITS}) AS n_relatives)
+FROM plain, sc"""
+
+
+SQL_PREPARE_VARIANT = _sql_prepare_variant()
+
+
 # --- the registry ----------------------------------------------------------------------------------------------
 
 SQL_QUERIES = {
     "prepare_features": (q_prepare_features, SQL_PREPARE_FEATURES),
+    "prepare_variant": (q_prepare_variant, SQL_PREPARE_VARIANT),
     "people_union": (q_people_union, SQL_PEOPLE_UNION),
     "source_profile": (q_source_profile, SQL_SOURCE_PROFILE),
     "cabin_codes": (q_cabin_codes, SQL_CABIN_CODES),
