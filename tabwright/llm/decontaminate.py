@@ -11,7 +11,8 @@
 
 Words: runs of ``[0-9a-z]`` and everything at or above U+0080, after lower-casing A-Z.
 
-Edge cases: null texts have no words, null ids are kept, items without words match nothing,
+Edge cases: null texts have no words, null document ids are kept, items without an id or without
+words match nothing,
 equal windows of several items report every item, rows equal in id and text get one decision,
 an empty table or benchmark gives no hits; other columns are never touched.
 """
@@ -34,7 +35,7 @@ def words_of(text: Column) -> Column:
 def item_windows(items: DataFrame, window: int, id_col: str, text_col: str) -> DataFrame:
     """Distinct windows: ``win`` (long id), ``words`` and the ``items`` that hold it."""
     w = items.select(F.col(id_col).cast("string").alias("item"),
-                     words_of(F.coalesce(F.col(text_col), F.lit(""))).alias("w")).where(F.size("w") > 0)
+                     words_of(F.coalesce(F.col(text_col), F.lit(""))).alias("w")).where(F.col("item").isNotNull() & (F.size("w") > 0))
     n = F.size("w")
     starts = F.when(n >= window, F.sequence(F.lit(1), F.greatest(n - window + 1, F.lit(1)))).otherwise(F.array(F.lit(1)))
     each = (w.select("item", "w", F.explode(starts).alias("at"))

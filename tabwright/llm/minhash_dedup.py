@@ -11,11 +11,15 @@ coordinate with probability equal to the weighted Jaccard similarity.
 Classes.  ``bands`` keys of ``rows`` coordinates each bring candidates together; a link is a pair of
 texts whose exact Jaccard similarity on sets of ``shingle``-word shingles is at least ``threshold``,
 and classes are the connected components of the links.  Equal texts are one node from the start.
+A bucket of more than ``hot_bucket`` texts often holds a passage that many otherwise different texts
+share, or copies edited too much to be links.  Its texts are dealt anew by the exact rule of
+:func:`prefix_keys` (rarest shingles first), which brings together all links and few other pairs.
+
 Inside a bucket no set of all pairs is built: the member with the most bucket companions (the
-likely centre) is compared with the others, the linked ones merge into one component, the centre
-leaves the bucket, and the rounds go on while a bucket holds several components; buckets that have
-become small (``small_bucket``) are finished by comparing all that is left.  So every candidate
-pair is either compared or already in one class.  With 20 bands of 4 rows a pair of similarity 0.8
+likely centre) is compared with the others, the linked ones merge into one component, and the centre
+leaves the bucket.  Rounds (with 1, 4, 16, ... centres) go on until the pairs left across components
+are at most ``partners`` for an average row; then these are compared.  So every candidate pair is
+either compared or already in one class.  With 20 bands of 4 rows a pair of similarity 0.8
 is missed with probability 3e-5, less for more similar ones.
 
 Words are runs of non-blank characters; a text of fewer words than a shingle is one shingle.
@@ -33,8 +37,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
-from tabwright.llm.common import K1, K2, ROW, cut, keyed, keyed_rows
+from tabwright.llm.common import K1, K2, ROW, cut, keyed, keyed_rows, written
 
 CHUNK_BYTES = 4_000_000
 M1, M2, M3 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB), np.uint64(0x9E3779B97F4A7C15)
@@ -197,87 +202,149 @@ def components(edges: DataFrame) -> DataFrame:
         else:
             e = e.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
         e = e.distinct()
-        least = cut(e.groupBy("a").agg(F.min("b").alias("m"))).select("a", F.least("a", "m").alias("m"))
+        least = written(e.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m")), "least")
         j = e.join(least, "a")
         if large:
             return j.where(F.col("b") > F.col("a")).select(F.col("b").alias("a"), F.col("m").alias("b"))
-        return (j.select(F.col("b").alias("a"), F.col("m").alias("b")).union(least.select("a", F.col("m").alias("b"))))
+        return j.select(F.col("b").alias("a"), F.col("m").alias("b")).union(least.select("a", F.col("m").alias("b")))
 
     state = None
-    e = cut(edges.select("a", "b").where(F.col("a") != F.col("b")).distinct())
+    e = written(edges.select("a", "b").where(F.col("a") != F.col("b")).distinct(), "edges")
     while True:
         now = e.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if now == state:
             return e.select(F.col("a").alias("node"), F.col("b").alias("comp"))
         state = now
         e = star(star(e, True).where(F.col("a") != F.col("b")), False)
-        e = cut(e.where(F.col("a") != F.col("b")).distinct())
+        e = written(e.where(F.col("a") != F.col("b")).distinct(), "edges")
+
+
+def labelled(nodes: DataFrame, comp: DataFrame | None) -> DataFrame:
+    """The rows with ``comp``: the component of ``node`` so far, the node itself if it has no link."""
+    if comp is None:
+        return nodes.withColumn("comp", F.col("node"))
+    return nodes.join(comp, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
+
+
+def merged(comp: DataFrame | None, links: DataFrame) -> DataFrame:
+    """Components after new links: the graph of the old components is the only one solved."""
+    ends = links.select(F.col("a").alias("node")).union(links.select(F.col("b").alias("node"))).distinct()
+    known = ends if comp is None else ends.union(comp.select("node")).distinct()
+    old = written(labelled(known, comp), "components")
+    graph = (links.join(old.select(F.col("node").alias("a"), F.col("comp").alias("ca")), "a")
+             .join(old.select(F.col("node").alias("b"), F.col("comp").alias("cb")), "b")
+             .select(F.col("ca").alias("a"), F.col("cb").alias("b")))
+    root = components(graph).select(F.col("node").alias("comp"), F.col("comp").alias("root"))
+    return written(old.join(root, "comp", "left").select("node", F.coalesce("root", "comp").alias("comp")), "components")
+
+
+def prefix_keys(texts: DataFrame, shingle: int, threshold: float) -> DataFrame:
+    """``key, node, native``: exact blocking keys of texts.  A text's shingles are ordered rarest first,
+    in one order for all texts.  For two texts of n >= s shingles and the wanted similarity t, the
+    overlap is at least t / (1 + t) (n + s), so they share one of their first n - overlap + 1
+    shingles.  Sizes s fall into classes 2 % wide; a text is native to the class of its own size
+    and a guest, with the longer prefix that a smaller partner needs, in those below it down to
+    t n.  Two guests of a class need not meet there."""
+    def run(batches):
+        cache = WordHash()
+        for b in batches:
+            sets = [np.unique(shingles([t], shingle, cache)[1]).view(np.int64) for t in b.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([b.column(0).cast(pa.binary()), pa.array(sets, pa.list_(pa.int64()))],
+                                             names=["node", "tokens"])
+
+    token = written(texts.select("node", "text").mapInArrow(run, "node binary, tokens array<long>")
+                    .select("node", F.explode("tokens").alias("token")), "tokens")
+    freq = written(token.groupBy("token").agg(F.count(F.lit(1)).alias("df")), "token-counts")
+    n, wide = F.col("n"), math.log(1.02)
+    size_class = lambda s: F.floor(F.log(s) / wide + 1e-9)
+    ordered = (token.join(freq, "token").groupBy("node")
+               .agg(F.sort_array(F.collect_list(F.struct("df", "token"))).alias("t")).withColumn("n", F.size("t")))
+    each = ordered.withColumn("c", F.explode(F.sequence(size_class(F.ceil(n * threshold - 1e-9)), size_class(n))))
+    least = F.greatest(F.exp(F.col("c") * wide) - 1e-6, n * threshold)
+    overlap = F.ceil((n + least) * (threshold / (1 + threshold)) - 1e-6)
+    prefix = F.greatest(n - overlap + 1, F.lit(0)).cast("int")
+    return (each.select("node", "c", (F.col("c") == size_class(n)).alias("native"),
+                        F.explode(F.filter(F.slice("t", F.lit(1), prefix), lambda x: x["df"] > 1)).alias("x"))
+            .select(F.xxhash64(F.lit("prefix"), "c", "x.token").alias("key"), "node", "native"))
 
 
 def node_components(docs: DataFrame, shingle: int, threshold: float, bands: int, rows: int,
-                    small_bucket: int) -> DataFrame:
+                    partners: int, hot_bucket: int) -> DataFrame:
     """``node, comp`` of the texts that are linked to another text; ``docs``: row key and text."""
     texts = docs.select(F.unhex(F.md5(F.col("text"))).alias("node"), F.col(K1).alias("row"), "text")
     signed = cut(with_bands(texts, shingle, bands, rows))
     nodes = signed.groupBy("node").agg(F.min(F.struct("row", "keys")).alias("x")).select("node", "x.row", "x.keys")
     member = nodes.select(F.explode("keys").alias("key"), "node")
-    busy = cut(member.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1))
-    member = cut(member.join(busy, "key"))
-    central = cut(member.groupBy("node").agg(F.sum("n").alias("score")))
-    member = member.join(central, "node").select("key", "node", "score", F.col("node").alias("comp"))
+    busy = written(member.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1), "busy")
+    member = written(member.join(busy, "key"), "members")
     # the texts that may be compared, one row each, fetched once
-    wanted = cut(nodes.select("node", "row").join(central.select("node"), "node"))
-    candidates = cut(texts.join(wanted, ["node", "row"]).dropDuplicates(["node"]))
-    edges = compared = None
+    wanted = written(nodes.select("node", "row").join(member.select("node").distinct(), "node"), "wanted")
+    candidates = written(texts.join(wanted, ["node", "row"]).dropDuplicates(["node"]).select("node", "text"), "texts")
+    crowded = written(member.where(F.col("n") > hot_bucket).select("node").distinct(), "crowded")
+    if not crowded.isEmpty():
+        finer = prefix_keys(candidates.join(crowded, "node"), shingle, threshold)
+        member = written(member.where(F.col("n") <= hot_bucket).select("key", "node", F.lit(True).alias("native"))
+                         .union(finer), "members")
+        shared = written(member.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.max("native").alias("met"))
+                         .where((F.col("n") > 1) & F.col("met")).drop("met"), "busy")
+        member = written(member.join(shared, "key"), "members")
+    else:
+        member = member.withColumn("native", F.lit(True))
+    central = written(member.groupBy("node").agg(F.sum("n").alias("score")), "scores")
+    member = member.join(central, "node").select("key", "node", "native", "score")
+    comp = compared = None
+    hubs = 1
     while True:
-        # buckets that still hold several components
-        state = cut(member.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"),
-                                              F.count(F.lit(1)).alias("n"),
-                                              F.max(F.struct("score", "node")).alias("hub"))
-                    .where(F.col("lo") != F.col("hi"))
-                    .select("key", "n", F.col("hub.node").alias("hub")))
-        largest = state.agg(F.max("n")).first()[0]
-        if largest is None:
+        rows_now = written(labelled(member, comp), "buckets")
+        # buckets with pairs left: across components, not both guests
+        square = lambda c: F.sum(F.col(c) * F.col(c))
+        half = lambda s, q: (F.col(s) * F.col(s) - F.col(q)) / 2
+        per = rows_now.groupBy("key", "comp").agg(F.count(F.lit(1)).cast("double").alias("c"),
+                                                  F.count_if(~F.col("native")).cast("double").alias("g"))
+        state = written(per.groupBy("key").agg(F.sum("c").alias("n"), square("c").alias("n2"),
+                                               F.sum("g").alias("m"), square("g").alias("m2"))
+                        .select("key", "n", (half("n", "n2") - half("m", "m2")).alias("pairs"))
+                        .where(F.col("pairs") > 0), "state")
+        total = state.agg(F.sum("n").alias("n"), F.sum("pairs").alias("pairs")).first()
+        if total["n"] is None:
             break
-        member = cut(member.join(state.select("key", "hub"), "key"))
-        last = largest <= small_bucket
-        if last:
-            other = member.select("key", F.col("node").alias("b"), F.col("comp").alias("comp_b"))
-            pairs = (member.select("key", F.col("node").alias("a"), F.col("comp").alias("comp_a")).join(other, "key")
-                     .where((F.col("a") < F.col("b")) & (F.col("comp_a") != F.col("comp_b"))))
-        else:
-            hub_comp = (member.where(F.col("node") == F.col("hub")).select("key", F.col("comp").alias("hub_comp")))
-            pairs = (member.join(hub_comp, "key").where(F.col("comp") != F.col("hub_comp"))
-                     .select(F.col("hub").alias("a"), F.col("node").alias("b")))
-        pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+        member = written(rows_now.join(state.select("key"), "key"), "members")
+        last = total["pairs"] <= partners * total["n"]
+        centre = member.where("native").select("key", F.col("node").alias("b"), F.col("comp").alias("comp_b"), "score")
+        if not last:
+            place = F.row_number().over(Window.partitionBy("key").orderBy(F.desc("score"), "b"))
+            centre = written(centre.withColumn("place", place).where(F.col("place") <= hubs), "hubs")
+        centre = centre.select("key", "b", "comp_b")
+        pairs = (member.join(centre, "key").where(F.col("comp") != F.col("comp_b"))
+                 .select(F.least("node", "b").alias("a"), F.greatest("node", "b").alias("b")).distinct())
         if compared is not None:
             pairs = pairs.join(compared, ["a", "b"], "left_anti")
-        pairs = cut(pairs)
-        new = cut(linked(pairs, candidates, shingle, threshold))
-        edges = new if edges is None else edges.union(new)
+        pairs = written(pairs, "pairs")
+        links = written(linked(pairs, candidates, shingle, threshold), "links")
+        if not links.isEmpty():
+            comp = merged(comp, links)
         if last:
             break
-        compared = pairs if compared is None else compared.union(pairs)
-        comp = components(edges)
-        member = (member.where(F.col("node") != F.col("hub")).select("key", "node", "score")
-                  .join(comp, "node", "left")
-                  .select("key", "node", "score", F.coalesce("comp", "node").alias("comp")))
-        member = cut(member)
-    if edges is None:
+        compared = pairs if compared is None else written(compared.union(pairs), "compared")
+        member = (member.join(centre.select("key", F.col("b").alias("node")), ["key", "node"], "left_anti")
+                  .select("key", "node", "native", "score"))
+        hubs *= 4
+    if comp is None:
         return docs.sparkSession.createDataFrame([], "node binary, comp binary")
-    return components(edges)
+    return comp
 
 
 def near_duplicates(docs: DataFrame, shingle: int = 5, threshold: float = 0.8, bands: int = 20,
-                    rows: int = 4, small_bucket: int = 32, id_col: str = "doc_id",
+                    rows: int = 4, partners: int = 32, hot_bucket: int = 64, id_col: str = "doc_id",
                     text_col: str = "text") -> DataFrame:
     """Per input row: row key, ``doc_id``, ``comp`` (binary class key), ``class_id`` (the class's
     smallest id) and ``class_size`` (rows)."""
     d = keyed(docs, id_col, text_col)
-    comp = node_components(d, shingle, threshold, bands, rows, small_bucket)
+    comp = node_components(d, shingle, threshold, bands, rows, partners, hot_bucket)
     ids = d.select(K1, K2, "doc_id", F.unhex(F.md5("text")).alias("node"))
     full = ids.join(comp, "node", "left").select(K1, K2, "doc_id", F.coalesce("comp", "node").alias("comp"))
-    classes = cut(full.groupBy("comp").agg(F.min("doc_id").alias("class_id"), F.count(F.lit(1)).alias("class_size")))
+    classes = written(full.groupBy("comp").agg(F.min("doc_id").alias("class_id"), F.count(F.lit(1)).alias("class_size")),
+                      "classes")
     return full.join(classes, "comp").select(K1, K2, "doc_id", "comp", "class_id", "class_size")
 
 
@@ -285,6 +352,6 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **
     """The input rows, all columns, of one document per class: the one with the smallest id."""
     c = near_duplicates(docs, id_col=id_col, text_col=text_col, **options)
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", K1, K2)).alias("x")
-    stay = cut(c.groupBy("comp").agg(first).select(f"x.{K1}", f"x.{K2}"))
+    stay = written(c.groupBy("comp").agg(first).select(f"x.{K1}", f"x.{K2}"), "stay")
     rows = keyed_rows(docs, id_col, text_col).join(stay, [K1, K2]).dropDuplicates([K1, K2])
     return rows.select(*[F.col(f"{ROW}.`{c}`").alias(c) for c in docs.columns])

@@ -41,11 +41,11 @@ from tabwright.llm.minhash_dedup import M3, mix
 GRAM = 32
 PERIOD = 32
 COVER = (0, 1, 2, 3, 7, 11, 19)  # every difference modulo 32 occurs between two members
-SEGMENT = 1 << 23
-CHUNK = 1 << 22
-BLOCK_BYTES = 4_000_000
-BUCKET_BYTES = 8_000_000
-FLUSH_BYTES = 48_000_000
+SEGMENT = 1 << 21
+CHUNK = 1 << 19
+BLOCK_BYTES = 1_000_000
+BUCKET_BYTES = 4_000_000
+FLUSH_BYTES = 16_000_000
 DIGEST = 16
 LOW = np.uint64((1 << 24) - 1)
 
@@ -294,7 +294,7 @@ def contexts(rows: DataFrame, n_buckets: int, length: int) -> DataFrame:
             ctx.append(i)
             rids.append(rid)
             starts.append(start)
-            return len(content) + 24
+            return len(content) + 160  # with the lists' own objects
 
         for b in batches:
             for rid, z, hs, ms, chosen in zip(*(b.column(i).to_pylist() for i in range(5)), strict=True):
