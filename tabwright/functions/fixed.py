@@ -1,18 +1,7 @@
 """Fixed values that must equal the reference's for the same results.
 
-FIXED VALUES (taken as they are, in their natural order):
-
-* cabin deck letter -> code: A 0, B 1, C 2, D 3, E 4, F 5, G 6, T 7, M 8 (M = missing deck)
-* sex -> code: male 0, female 1
-* port of embarkation -> code: S 0, C 1, Q 2
-* honorifics collapsed to "Rare": Don, Rev, Dr, Mme, Ms, Major, Lady, Sir, Mlle, Col, Capt,
-  Countess, Jonkheer
-* honorific -> code: Mr 0, Miss 1, Mrs 2, Master 3, Rare 4 (unmapped -> 0)
-* missing cabin filler: "M"
-* family-size bins: 1 -> 0, 2-4 -> 1, 5-7 -> 2, 8+ -> 3
-* ticket-group-size bins: 2-4 -> 2, 5-8 or 1 -> 1, 11+ -> 0, 9-10 -> no value
-* age imputation clip: [0, 80]; child age limit 16
-* honorific pattern: a space, letters, then a full stop; ticket digits: first run of digits
+Taken as they are, in their natural order; the names below say what each is.  A missing bin
+(group sizes 9 and 10) means no value; the ticket digits are the first run of digits.
 """
 
 # FIXED VALUES
@@ -29,3 +18,5 @@ AGE_CLIP = (0.0, 80.0)
 CHILD_AGE = 16
 TITLE_PATTERN = r" ([A-Za-z]+)\."
 DIGITS_PATTERN = r"([0-9]+)"
+RULE_REWRITES = {0.0: {"sex": 0, "age": 28.0, "title": 0}, 1.0: {"sex": 1, "age": 5.0, "title": 1}}
+MIXUP = {"alpha": 0.1, "num": 350, "seed": 622}

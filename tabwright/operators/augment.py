@@ -12,13 +12,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tabwright.functions.fixed import MIXUP
 from tabwright.functions.codes import convex
 from tabwright.operators.numbering import row_number_within
 from tabwright.operators.split import key_hash_int
 
 
-def mixup(df: DataFrame, key: str, features: list[str], label: str, alpha: float = 0.1, num: int = 350,
-          seed: int = 622) -> DataFrame:
+def mixup(df: DataFrame, key: str, features: list[str], label: str, alpha: float = MIXUP["alpha"], num: int = MIXUP["num"],
+          seed: int = MIXUP["seed"]) -> DataFrame:
     base = df.select(key, *features, label)
     n = base.count()
     if n == 0:

@@ -26,7 +26,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tabwright.operators import history, metrics
-from tabwright.operators.split import holdout_flag
+from tabwright.operators.split import holdout_flag, kfold
+from tabwright.session import materialize
 
 FEATURES = "features"
 
@@ -185,7 +186,7 @@ class PatienceBoost:
     best_round: int
 
 
-def boost_with_patience(train: DataFrame, valid: DataFrame, features: list[str], max_rounds: int = 200,
+def boost_with_patience(train: DataFrame, valid: DataFrame, features: list[str], max_rounds: int = 50_000,
                         patience: int = 15, step: float = 0.1, depth: int = 6, seed: int = 2525,
                         use: str = "last", first_stage: int = 50) -> PatienceBoost:
     """Boosted regression trees with a patience stop on the validation error.
@@ -283,6 +284,21 @@ def leaderboard(train: DataFrame, test: DataFrame, features: list[str], estimato
     return board.orderBy(F.desc_nulls_last("accuracy"), "model")
 
 
+def cv_leaderboard(df: DataFrame, features: list[str], estimators: dict, key: str, k: int = 3, seed: int = 1,
+                   parallelism: int = 4) -> DataFrame:
+    """LDB2: mean k-fold accuracy of every estimator, best first; one that fails to fit keeps its error."""
+    folds = materialize(kfold(df, key, k, seed))
+
+    def evaluate(est):
+        return cross_val_accuracy(folds, features, est, "fold", k).agg(F.avg("accuracy")).first()[0]
+
+    results = fit_parallel({n: (lambda est=est: evaluate(est)) for n, est in estimators.items()}, parallelism)
+    rows = [(n, None, str(m).splitlines()[0][:200]) if isinstance(m, Exception) else (n, float(m), None)
+            for n, m in results.items()]
+    board = df.sparkSession.createDataFrame(rows, "model string, mean_accuracy double, error string")
+    return board.orderBy(F.desc_nulls_last("mean_accuracy"), "model")
+
+
 def all_classifiers(n_in: int, n_rows: int, seed: int = 42) -> dict:
     """Every Spark classifier with defaults (the 'all available estimators' sweep)."""
     return {
@@ -322,7 +338,7 @@ class DriftReport:
 
 
 def adversarial_validation(train: DataFrame, scoring: DataFrame, features: list[str], key: str, seed: int = 78,
-                           max_rounds: int = 100, patience: int = 15, threshold: float = 0.5) -> DriftReport:
+                           max_rounds: int = 50_000, patience: int = 15, threshold: float = 0.5) -> DriftReport:
     """Stack both sources, learn to tell them apart (target = source flag), and report how well
     that works (accuracy near the majority share = same distribution) and which features carry
     the difference."""

@@ -6,7 +6,7 @@ queries (it is a checkpointed table, so reuse does not grow any lineage).
 
 from __future__ import annotations
 
-import uuid
+import hashlib
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,7 +18,7 @@ from tabwright.operators.split import kfold
 from tabwright.plans import models
 from tabwright.plans.registry import AGE_DIGITS, sql_least_squares
 from tabwright.plans.prepare import materialize, prepare
-from tabwright.session import scratch_path
+from tabwright.session import laid_out, scratch_path
 from tabwright.sources import io
 from tabwright.sources.people import people, with_people
 
@@ -37,7 +37,7 @@ def prepared(spark: SparkSession, sf: str) -> DataFrame:
     except Exception:  # noqa: BLE001 — no local SparkContext
         k = (id(spark), sf)
     if k not in _cache:
-        _cache[k] = materialize(models.ml_names(prepare(people(spark, sf))))
+        _cache[k] = laid_out(models.ml_names(prepare(people(spark, sf))), KEY)
     return _cache[k]
 
 
@@ -82,7 +82,7 @@ def q_model_soft_vote(spark, sf):
 
 def _boost(spark, sf):
     _, feats, tr, ho = _train_holdout(spark, sf)
-    return _shared(spark, sf, "boost", lambda: models.boost_with_patience(tr, ho, feats, max_rounds=200, patience=15))
+    return _shared(spark, sf, "boost", lambda: models.boost_with_patience(tr, ho, feats, patience=15))
 
 
 def q_model_boost_rounds(spark, sf):
@@ -103,7 +103,7 @@ def q_model_boost_predictions(spark, sf):
 def _board_estimators(n_in, n_rows):
     est = {"random_forest": models.random_forest(), "gradient_boosting": models.gradient_boosting(),
            "logistic_regression": models.logistic(c=1.0, n_rows=n_rows), "decision_tree": models.decision_tree(),
-           "perceptron": models.perceptron(n_in, hidden=(50, 50))}
+           "perceptron": models.perceptron(n_in, hidden=(50, 50)), "hist_boosting": models.hist_boosting()}
     est.update(models.boosting_presets())
     return est
 
@@ -111,13 +111,15 @@ def _board_estimators(n_in, n_rows):
 def q_model_leaderboard(spark, sf):
     """LDB1 + SRT1 + EVL6: fixed model list on the hold-out, best first."""
     _, feats, tr, ho = _train_holdout(spark, sf)
-    return models.leaderboard(tr, ho, feats, _board_estimators(len(feats), tr.count()), KEY, THRESHOLD)
+    board = models.leaderboard(tr, ho, feats, _board_estimators(len(feats), tr.count()), KEY, THRESHOLD)
+    return board.withColumn("score_percent", F.round(F.col("accuracy") * 100, 2))
 
 
 def q_model_all_classifiers(spark, sf):
-    """LDB2: every Spark classifier with defaults; failures are rows with their error."""
-    _, feats, tr, ho = _train_holdout(spark, sf)
-    return models.leaderboard(tr, ho, feats, models.all_classifiers(len(feats), tr.count()), KEY, THRESHOLD)
+    """LDB2: every Spark classifier with defaults, ranked by mean 3-fold accuracy; failures are rows
+    with their error."""
+    _, feats, tr, _ = _train_holdout(spark, sf)
+    return models.cv_leaderboard(tr, feats, models.all_classifiers(len(feats), tr.count()), KEY)
 
 
 def q_model_results_table(spark, sf):
@@ -189,6 +191,11 @@ def q_drift_reduced_features(spark, sf):
     return out.withColumn("age", F.round("age", AGE_DIGITS))
 
 
+def q_drift_reduced_by_gain(spark, sf):
+    """DRF2 -> DRF3: the prepared table without the features whose measured gain is a fifth and more."""
+    return drop_drifting(prepared(spark, sf), (_drift(spark, sf).importance, 0.2))
+
+
 def q_impute_age_chained(spark, sf):
     """IMP6: chained regression of age on several columns, clipped to [0, 80]."""
     p = materialize(people(spark, sf).select(KEY, F.col("age_raw").alias("age"),
@@ -237,16 +244,30 @@ def q_submission(spark, sf):
 
 
 def q_run_log(spark, sf):
-    """SNK5: the parameters of a run appended to a run-log table (partitioned by day), read back."""
+    """SNK5: the parameters and the input's profile of a run appended to a run-log table (partitioned
+    by day), read back.  The run id is a hash of what the run is, so a repeated run has the same."""
     path = scratch_path(spark, "run-log")
-    run_id = uuid.uuid4().hex[:12]
-    prep = prepared(spark, sf)
-    params = {"source": sf, "rows": prep.count(), "model": "random_forest", "num_trees": 26, "max_depth": 10,
+    n = people(spark, sf).agg(F.count(F.lit(1)).alias("rows"), F.count("label").alias("labelled"),
+                              F.sum("label").cast("long").alias("positive")).first()
+    params = {**n.asDict(), "model": "random_forest", "num_trees": 26, "max_depth": 10,
               "threshold": THRESHOLD, "holdout_fraction": 0.2, "seed": 42}
+    text = ";".join(f"{k}={v}" for k, v in params.items())
+    run_id = hashlib.md5(text.encode()).hexdigest()[:12]
     io.append_run_log(io.run_log_frame(spark, run_id, params), path)
     return spark.read.parquet(path).select("run_id", "key", "value")
 
 
+SQL_RUN_LOG = with_people("""
+WITH n AS (SELECT count(*) AS r, count(label) AS l, CAST(sum(label) AS BIGINT) AS p FROM people),
+v AS (SELECT unnest([{'k': 'rows', 'v': CAST(r AS VARCHAR)}, {'k': 'labelled', 'v': CAST(l AS VARCHAR)},
+                     {'k': 'positive', 'v': CAST(p AS VARCHAR)}, {'k': 'model', 'v': 'random_forest'},
+                     {'k': 'num_trees', 'v': '26'}, {'k': 'max_depth', 'v': '10'}, {'k': 'threshold', 'v': '0.5'},
+                     {'k': 'holdout_fraction', 'v': '0.2'}, {'k': 'seed', 'v': '42'}]) AS x,
+             substr(md5('rows=' || r || ';labelled=' || l || ';positive=' || p || ';model=random_forest;num_trees=26;'
+                        || 'max_depth=10;threshold=0.5;holdout_fraction=0.2;seed=42'), 1, 12) AS run_id FROM n)
+SELECT run_id, x.k AS key, x.v AS value FROM v""")
+
+
 # DRF3 with an explicit list has an exact SQL form: the flagship's columns minus the drifting ones.
 def _sql_drift_reduced() -> str:
     from tabwright.plans.registry import SQL_PREPARE_FEATURES
@@ -268,6 +289,7 @@ SELECT person_id, round(coalesce(age, greatest(least({pred}, {hi}), 0.0)), {AGE_
 
 SQL_MODEL_QUERIES = {
     "drift_reduced_features": (q_drift_reduced_features, _sql_drift_reduced()),
+    "run_log": (q_run_log, SQL_RUN_LOG),
     "impute_age_chained": (q_impute_age_chained, _sql_age(
         {"pclass": "class_raw", "relatives": "n_relatives", "month": "ticket_group_key"})),
     "impute_age_chained_train_fit": (q_impute_age_chained_train_fit, _sql_age(
@@ -310,7 +332,7 @@ MODEL_QUERIES = {
     "drift_importance": q_drift_importance,
     "drift_summary": q_drift_summary,
     "impute_age_forest": q_impute_age_forest,
+    "drift_reduced_by_gain": q_drift_reduced_by_gain,
     "submission": q_submission,
-    "run_log": q_run_log,
     "stream_submission": q_stream_submission,
 }

@@ -14,7 +14,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tabwright.functions import codes, text
-from tabwright.functions.fixed import CABIN_CODES, RARE_TITLES, SEX_CODES, TITLE_CODES, TITLE_DEFAULT
+from tabwright.functions.fixed import (CABIN_CODES, MIXUP, RARE_TITLES, RULE_REWRITES, SEX_CODES, TITLE_CODES,
+                                       TITLE_DEFAULT)
 from tabwright.operators import groups, history, metrics, rules, select, split, stats
 from tabwright.operators.augment import mixup
 from tabwright.operators.encode import fit_one_hot
@@ -469,14 +470,11 @@ SQL_RULE_FILLED_LABELS = with_people(f"""WITH {_SQL_FAM}
 SELECT person_id, CASE WHEN label IS NULL AND b.rule IS NOT NULL THEN b.rule ELSE label END AS label_filled
 FROM s LEFT JOIN b USING (surname)""")
 
-REWRITES = {0.0: {"sex": 0, "age": 28.0, "title": 0}, 1.0: {"sex": 1, "age": 5.0, "title": 1}}
-
-
 def q_rule_rewrites(spark, sf):
     p = _with_surname(spark, sf).withColumns({
         "sex": codes.lookup("sex_raw", SEX_CODES), "age": F.col("age_raw"),
         "title": codes.lookup(codes.collapse(text.honorific("name_raw"), RARE_TITLES), TITLE_CODES, TITLE_DEFAULT)})
-    out = rules.rewrite_by_rules(p, _lists(p), "surname", "label", REWRITES, row_id="person_id")
+    out = rules.rewrite_by_rules(p, _lists(p), "surname", "label", RULE_REWRITES, row_id="person_id")
     return out.select("person_id", "sex", "age", "title")
 
 
@@ -626,7 +624,7 @@ MIX_FEATURES = ["n_relatives", "class_raw", "ticket_group_key"]
 def q_mixup_people(spark, sf):
     p = people(spark, sf).filter(F.col("is_test") == 0).select(
         "person_id", *[F.col(c).cast("double").alias(c) for c in MIX_FEATURES], "label")
-    m = mixup(p, "person_id", MIX_FEATURES, "label", alpha=0.1, num=350, seed=622)
+    m = mixup(p, "person_id", MIX_FEATURES, "label", **MIXUP)
     out = m.select("person_id", *[F.round(c, Z).alias(c) for c in MIX_FEATURES + ["label"]],
                    "partner_key", "is_synthetic")
     # SNK6: originals and mixed rows, features and soft label together, as one parquet table
@@ -782,8 +780,10 @@ SQL_IO_ROUNDTRIP = with_people(
 
 
 def q_label_sidecar(spark, sf):
-    """SNK4: the label of the labelled rows as its own (key, label) table."""
-    return io.label_sidecar(people(spark, sf).filter(F.col("is_test") == 0), "person_id", "label")
+    """SNK4: the label of the labelled rows as its own (key, label) table, written and read back."""
+    path = scratch_path(spark, "label-sidecar")
+    io.write_table(io.label_sidecar(people(spark, sf).filter(F.col("is_test") == 0), "person_id", "label"), path)
+    return spark.read.parquet(path)
 
 
 SQL_LABEL_SIDECAR = with_people("SELECT person_id, label FROM people WHERE is_test = 0")
