@@ -1,11 +1,11 @@
 """Toxicity by multiple-instance learning.
 
-A document is a bag of sentences.  A logistic model scores sentences from their words; a document
-is toxic when at least one sentence is, so its score is the noisy-or 1 - prod(1 - p_s).  Only
-documents carry labels: the likelihood of the bags trains the sentence model, which then points
-at the offending sentences.
+A document is a bag of sentences.  A logistic model scores sentences from their words and word
+beginnings; a document is toxic when at least one sentence is, so its score is the noisy-or
+1 - prod(1 - p_s).  Only documents carry labels: the likelihood of the bags trains the sentence
+model, which then points at the offending sentences.
 
-1. Words are screened over all labelled training documents (a Spark aggregation): a word stays when
+1. These features are screened over all labelled training documents (a Spark aggregation): one stays when
    its document rates in the two classes differ by ``min_z`` standard errors; the ``max_words``
    strongest make the vocabulary.
 2. Bags of at most ``max_bags`` training documents (chosen by a hash of the id; all of them when
@@ -31,6 +31,7 @@ from tabwright.llm.common import cut, map_texts
 SENTENCE = re.compile(r"[^.!?\n]+[.!?]*")
 WORD = re.compile(r"\w+")
 FLUSH = 200_000
+PREFIXES = (4, 5, 6, 7)
 
 
 def sentences(text: str) -> list[tuple[int, int]]:
@@ -38,8 +39,28 @@ def sentences(text: str) -> list[tuple[int, int]]:
     return [m.span() for m in SENTENCE.finditer(text) if WORD.search(m.group())]
 
 
-def sentence_words(text: str) -> list[set[str]]:
-    return [set(WORD.findall(text[a:b].lower())) for a, b in sentences(text)]
+def features(word: str) -> list[str]:
+    """The word itself and its beginnings, marked by ``^``: offending words come in many endings."""
+    return [word, *("^" + word[:k] for k in PREFIXES if len(word) > k)]
+
+
+class Known(dict):
+    """Word -> its features that a vocabulary holds; forgets everything when it has grown large."""
+
+    def __init__(self, vocabulary):
+        super().__init__()
+        self.vocabulary = vocabulary
+
+    def __missing__(self, word: str) -> list[str]:
+        if len(self) >= 500_000:
+            self.clear()
+        found = self[word] = [f for f in features(word) if f in self.vocabulary]
+        return found
+
+
+def sentence_features(text: str, spans: list[tuple[int, int]], known: Known) -> list[set[str]]:
+    """Per sentence the set of known features of its words."""
+    return [set().union(*map(known.__getitem__, WORD.findall(text[a:b].lower()))) for a, b in spans]
 
 
 @dataclass(frozen=True)
@@ -48,19 +69,22 @@ class Model:
     weights: dict[str, float]
     bias: float
 
-    def sentence_scores(self, words: list[set[str]]) -> np.ndarray:
-        w = self.weights
-        z = np.array([self.bias + sum(w[t] for t in s if t in w) for s in words], dtype=float)
-        return 1.0 / (1.0 + np.exp(-z))
+    def scorer(self):
+        """``text -> (score, offending sentences)`` with a word cache of its own."""
+        w, bias, known = self.weights, self.bias, Known(self.weights)
 
-    def score(self, text: str) -> tuple[float, list[dict]]:
-        spans = sentences(text)
-        if not spans or not self.weights:
-            return 0.0, []
-        p = self.sentence_scores([set(WORD.findall(text[a:b].lower())) for a, b in spans])
-        total = -np.expm1(np.log1p(-np.minimum(p, 1 - 1e-12)).sum())
-        bad = [{"start": a, "end": b, "score": float(s)} for (a, b), s in zip(spans, p, strict=True) if s >= 0.5]
-        return float(min(max(total, 0.0), 1.0)), bad
+        def score(text: str) -> tuple[float, list[dict]]:
+            spans = sentences(text) if w else []
+            if not spans:
+                return 0.0, []
+            # in a fixed order, so that equal texts score equal to the last bit
+            z = np.array([bias + sum(w[f] for f in sorted(s)) for s in sentence_features(text, spans, known)])
+            p = 1.0 / (1.0 + np.exp(-z))
+            total = -np.expm1(np.log1p(-np.minimum(p, 1 - 1e-12)).sum())
+            bad = [{"start": a, "end": b, "score": float(x)} for (a, b), x in zip(spans, p, strict=True) if x >= 0.5]
+            return float(min(max(total, 0.0), 1.0)), bad
+
+        return score
 
 
 def held_out(doc_id: Column) -> Column:
@@ -76,7 +100,7 @@ def word_counts(train: DataFrame) -> DataFrame:
         counts: dict[str, list[int]] = {}
         for b in batches:
             for text, y in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-                for w in set(WORD.findall(text.lower())):
+                for w in {f for x in set(WORD.findall(text.lower())) for f in features(x)}:
                     counts.setdefault(w, [0, 0])[0 if y else 1] += 1
                 if len(counts) >= FLUSH:
                     yield out(counts)
@@ -103,16 +127,57 @@ def vocabulary(train: DataFrame, n_pos: int, n_neg: int, max_words: int, min_z:
     return [r["word"] for r in best.collect()]
 
 
-def fit_bags(bags: list[tuple[int, int, list[list[int]]]], n_words: int, steps: int = 400,
-             l2: float = 0.2) -> tuple[np.ndarray, float]:
-    """Maximum likelihood of the noisy-or.  A bag: label, sentences without a vocabulary word,
-    word indices of the others.  With S the sum of softplus(z_s), P(toxic) = 1 - exp(-S)."""
-    y = np.array([b[0] for b in bags], dtype=float)
-    empty = np.array([b[1] for b in bags], dtype=float)
-    bag = np.repeat(np.arange(len(bags)), [len(b[2]) for b in bags])
-    sents = [s for b in bags for s in b[2]]
-    word = np.array([w for s in sents for w in s], dtype=np.int64)
-    sent = np.repeat(np.arange(len(sents)), [len(s) for s in sents])
+@dataclass(frozen=True)
+class Bags:
+    """Training documents as flat arrays: label, sentences without a vocabulary word and with one per
+    document, vocabulary words per such sentence, and the words' indices."""
+    label: np.ndarray
+    empty: np.ndarray
+    full: np.ndarray
+    size: np.ndarray
+    word: np.ndarray
+
+    def packed(self) -> list[bytes]:
+        return [np.asarray(x, dtype=np.int32).tobytes() for x in
+                (self.label, self.empty, self.full, self.size, self.word)]
+
+    @staticmethod
+    def joined(rows: list[list[bytes]]) -> Bags:
+        return Bags(*(np.frombuffer(b"".join(r[i] for r in rows), dtype=np.int32) for i in range(5)))
+
+
+def collect_bags(chosen: DataFrame, words: list[str]) -> Bags:
+    """One packed row per batch comes to the driver; ``chosen`` is a bounded sample."""
+    import pyarrow as pa
+    index = {w: i for i, w in enumerate(words)}
+    names = ["label", "n_empty", "n_full", "size", "word"]
+
+    def run(batches):
+        known = Known(index)
+        for b in batches:
+            label, empty, full, size, word = [], [], [], [], []
+            for text, y in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+                got = [sorted(index[w] for w in s) for s in sentence_features(text, sentences(text), known)]
+                hits = [s for s in got if s]
+                label.append(int(y > 0))
+                empty.append(len(got) - len(hits))
+                full.append(len(hits))
+                size += [len(s) for s in hits]
+                word += [w for s in hits for w in s]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([x], pa.binary()) for x in Bags(label, empty, full, size, word).packed()], names=names)
+
+    rows = chosen.select("text", "y").mapInArrow(run, ", ".join(f"{n} binary" for n in names)).collect()
+    return Bags.joined([[bytes(r[n]) for n in names] for r in rows])
+
+
+def fit_bags(bags: Bags, n_words: int, steps: int = 400, l2: float = 0.2) -> tuple[np.ndarray, float]:
+    """Maximum likelihood of the noisy-or.  With S the sum of softplus(z_s) over a document's sentences,
+    P(toxic) = 1 - exp(-S)."""
+    y, empty, word = bags.label.astype(float), bags.empty.astype(float), bags.word
+    n_bags, n_sents = len(bags.label), len(bags.size)
+    bag = np.repeat(np.arange(n_bags, dtype=np.int32), bags.full)
+    sent = np.repeat(np.arange(n_sents, dtype=np.int32), bags.size)
     softplus = lambda z: np.logaddexp(0.0, z)
     sigmoid = lambda z: 1.0 / (1.0 + np.exp(-z))
     theta = np.zeros(n_words + 1)
@@ -120,12 +185,12 @@ def fit_bags(bags: list[tuple[int, int, list[list[int]]]], n_words: int, steps:
     m, v = np.zeros_like(theta), np.zeros_like(theta)
     for t in range(1, steps + 1):
         b = theta[-1]
-        z = b + np.bincount(sent, theta[word], minlength=len(sents))
-        s = np.bincount(bag, softplus(z), minlength=len(bags)) + empty * softplus(b)
+        z = b + np.bincount(sent, theta[word], minlength=n_sents)
+        s = np.bincount(bag, softplus(z), minlength=n_bags) + empty * softplus(b)
         ds = np.where(y > 0, -1.0 / np.expm1(np.clip(s, 1e-9, 500.0)), 1.0)
         dz = ds[bag] * sigmoid(z)
         g = np.concatenate([np.bincount(word, dz[sent], minlength=n_words) + l2 * theta[:-1] / 4,
-                            [dz.sum() + (ds * empty).sum() * sigmoid(b)]]) / len(bags)
+                            [dz.sum() + (ds * empty).sum() * sigmoid(b)]]) / n_bags
         m, v = 0.9 * m + 0.1 * g, 0.99 * v + 0.01 * g * g
         theta = theta - 0.1 * (0.5 ** (t * 4 // steps)) * (m / (1 - 0.9 ** t)) / (np.sqrt(v / (1 - 0.99 ** t)) + 1e-9)
     return theta[:-1], float(theta[-1])
@@ -148,18 +213,11 @@ def fit(docs: DataFrame, labels: DataFrame, max_words: int = 4096, min_z: float
     words = vocabulary(train, n_pos, n_neg, max_words, min_z)
     if not words:
         return Model({}, 0.0)
-    index = {w: i for i, w in enumerate(words)}
     share = min(1.0, max_bags / (n_pos + n_neg))
     chosen = train.where(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < int(share * 1_000_000))
 
-    def bag(text: str, y: int) -> tuple:
-        got = [[index[w] for w in s if w in index] for s in sentence_words(text)]
-        full = [sorted(s) for s in got if s]
-        return int(y > 0), len(got) - len(full), full
-
-    rows = map_texts(chosen, lambda: bag, "label int, n_empty int, words array<array<int>>", ("y",)).collect()
-    bags = sorted((r["label"], r["n_empty"], [list(s) for s in r["words"]]) for r in rows)
-    if len({b[0] for b in bags}) < 2:
+    bags = collect_bags(chosen, words)
+    if len(set(bags.label.tolist())) < 2:
         return Model({}, 0.0)
     w, b = fit_bags(bags, len(words))
     return Model({k: float(x) for k, x in zip(words, w, strict=True)}, b)
@@ -168,5 +226,5 @@ def fit(docs: DataFrame, labels: DataFrame, max_words: int = 4096, min_z: float
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, score, offending``: sentences (code-point spans) whose own score is 0.5 or more."""
     d = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    return map_texts(d, lambda: model.score,
+    return map_texts(d, model.scorer,
                      "score double, offending array<struct<start:int,end:int,score:double>>")
