@@ -39,9 +39,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tabwright.llm.common import K1, K2, ROW, cut, keyed, keyed_rows, written
+from tabwright.llm.common import K1, K2, ROW, bounded, cut, keyed, keyed_rows, written
 
-CHUNK_BYTES = 4_000_000
+CHUNK_BYTES = 1_000_000
 M1, M2, M3 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB), np.uint64(0x9E3779B97F4A7C15)
 EMPTY = np.uint64(0xFFFFFFFFFFFFFFFF)
 
@@ -279,7 +279,8 @@ def node_components(docs: DataFrame, shingle: int, threshold: float, bands: int,
     member = written(member.join(busy, "key"), "members")
     # the texts that may be compared, one row each, fetched once
     wanted = written(nodes.select("node", "row").join(member.select("node").distinct(), "node"), "wanted")
-    candidates = written(texts.join(wanted, ["node", "row"]).dropDuplicates(["node"]).select("node", "text"), "texts")
+    candidates = written(texts.join(bounded(wanted, 64), ["node", "row"]).dropDuplicates(["node"])
+                         .select("node", "text"), "texts")
     crowded = written(member.where(F.col("n") > hot_bucket).select("node").distinct(), "crowded")
     if not crowded.isEmpty():
         finer = prefix_keys(candidates.join(crowded, "node"), shingle, threshold)
@@ -309,7 +310,7 @@ def node_components(docs: DataFrame, shingle: int, threshold: float, bands: int,
         if total["n"] is None:
             break
         member = written(rows_now.join(state.select("key"), "key"), "members")
-        last = total["pairs"] <= partners * total["n"]
+        last = hubs > 1 and total["pairs"] <= partners * total["n"]
         centre = member.where("native").select("key", F.col("node").alias("b"), F.col("comp").alias("comp_b"), "score")
         if not last:
             place = F.row_number().over(Window.partitionBy("key").orderBy(F.desc("score"), "b"))
@@ -335,7 +336,7 @@ def node_components(docs: DataFrame, shingle: int, threshold: float, bands: int,
 
 
 def near_duplicates(docs: DataFrame, shingle: int = 5, threshold: float = 0.8, bands: int = 20,
-                    rows: int = 4, partners: int = 32, hot_bucket: int = 64, id_col: str = "doc_id",
+                    rows: int = 4, partners: int = 10, hot_bucket: int = 8, id_col: str = "doc_id",
                     text_col: str = "text") -> DataFrame:
     """Per input row: row key, ``doc_id``, ``comp`` (binary class key), ``class_id`` (the class's
     smallest id) and ``class_size`` (rows)."""
