@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -57,6 +59,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         if master != "local" and not master.startswith("local["):
             raise RuntimeError("spark.checkpoint.dir is not set: name a shared folder for written intermediates")
         path = tempfile.mkdtemp(prefix="tabwright-ckpt-")
+        atexit.register(shutil.rmtree, path, ignore_errors=True)  # ours alone, made just now
         spark.conf.set("spark.checkpoint.dir", path)
     if sc is not None and not sc.getCheckpointDir():
         sc.setCheckpointDir(path)
