@@ -12,6 +12,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
 from tabwright.functions import codes, text
 from tabwright.functions.fixed import (CABIN_CODES, MIXUP, RARE_TITLES, RULE_REWRITES, SEX_CODES, TITLE_CODES,
@@ -140,6 +141,79 @@ def q_part_name_head(spark, sf):
 SQL_PART_NAME_HEAD = "SELECT p_partkey, split_part(p_name, ' ', 1) AS head FROM part"
 
 
+# Names as the reference has them, built from customer rows: every mapped title, every rare one, an
+# unmapped one and rows without a title; every third ticket has no digits.
+_NAME_TITLES = [*[t for t in TITLE_CODES if t != "Rare"], *RARE_TITLES, "Jr"]
+
+
+def q_name_titles(spark, sf):
+    c = read_table(spark, sf, "customer", ["c_custkey", "c_name", "c_mktsegment"])
+    k = (F.col("c_custkey") % (len(_NAME_TITLES) + 1)).cast("int")
+    title = F.get(F.array(*[F.lit(t) for t in _NAME_TITLES]), k)
+    c = c.select("c_custkey", F.concat(F.lower("c_mktsegment"), F.coalesce(F.concat(F.lit(", "), title, F.lit(". ")), F.lit(" ")),
+                                       F.lit("Given")).alias("name"),
+                 F.when(F.col("c_custkey") % 3 == 0, F.lit("LINE")).otherwise(F.concat(F.lit("A/5 "), "c_custkey")).alias("ticket"))
+    found = text.honorific("name")
+    group = codes.collapse(found, RARE_TITLES)
+    return c.select("c_custkey", found.alias("title"), group.alias("title_group"),
+                    codes.lookup(group, TITLE_CODES, TITLE_DEFAULT).alias("title_code"),
+                    text.before_first("name", ",", trim=True).alias("surname"),
+                    text.first_digits("ticket").alias("first_run"), text.last_digits("ticket").alias("last_run"))
+
+
+_SQL_NAME_G = f"CASE WHEN title IN ({_sql_list(RARE_TITLES)}) THEN 'Rare' ELSE title END"
+SQL_NAME_TITLES = rf"""
+WITH n AS (SELECT c_custkey, c_mktsegment,
+                  [{_sql_list(_NAME_TITLES)}][CAST(c_custkey % {len(_NAME_TITLES) + 1} AS INTEGER) + 1] AS t FROM customer),
+m AS (SELECT c_custkey, lower(c_mktsegment) || coalesce(', ' || t || '. ', ' ') || 'Given' AS name,
+             CASE WHEN c_custkey % 3 = 0 THEN 'LINE' ELSE 'A/5 ' || c_custkey END AS ticket FROM n),
+x AS (SELECT *, nullif(regexp_extract(name, ' ([A-Za-z]+)\.', 1), '') AS title FROM m)
+SELECT c_custkey, title, {_SQL_NAME_G} AS title_group,
+       coalesce({_sql_case(_SQL_NAME_G, TITLE_CODES)}, {TITLE_DEFAULT}) AS title_code,
+       trim(split_part(name, ',', 1)) AS surname,
+       nullif(regexp_extract(ticket, '([0-9]+)', 1), '') AS first_run,
+       nullif(regexp_extract(ticket, '([0-9]+)[^0-9]*$', 1), '') AS last_run
+FROM x"""
+
+
+def q_vote_scores(spark, sf):
+    """ENS1 + MTH3 + EVL1 + SRT1 + AGG14 on closed-form member scores: weighted soft vote, thresholds, a
+    table of members and ensemble, best first, with the gain over the worst."""
+    p = people(spark, sf).filter(F.col("label").isNotNull()).select(
+        "label", (F.col("n_relatives") / 8.0).alias("a"), (F.col("class_raw") / 4.0).alias("b"),
+        F.when(F.col("sex_raw") == "male", 0.75).otherwise(0.25).alias("c"))
+    p = p.withColumn("ensemble", (F.col("a") * 2 + F.col("b") + F.col("c")) / 4)
+    limits = {"a": 0.4, "b": 0.5, "c": 0.5, "ensemble": 0.5}
+    hits = p.select("label", F.explode(F.array(*[F.struct(
+        F.lit(m).alias("model"), codes.threshold(F.col(m), t).cast("int").alias("prediction"))
+        for m, t in limits.items()])).alias("x")).select("label", "x.*")
+    board = hits.groupBy("model").agg(metrics.accuracy_expr("label", "prediction").alias("accuracy"))
+    # four rows from here on
+    w = Window.orderBy(F.desc("accuracy"), "model")
+    worst = F.min("accuracy").over(Window.partitionBy(F.lit(1)))
+    return board.select("model", F.round("accuracy", A).alias("accuracy"), F.row_number().over(w).alias("rank"),
+                        F.round(F.col("accuracy") - worst, A).alias("gain_over_worst"))
+
+
+SQL_VOTE_SCORES = with_people(f"""
+WITH p AS (SELECT label, n_relatives / 8.0 AS a, class_raw / 4.0 AS b,
+                  CASE WHEN sex_raw = 'male' THEN 0.75 ELSE 0.25 END AS c FROM people WHERE label IS NOT NULL),
+e AS (SELECT *, (a * 2 + b + c) / 4 AS ensemble FROM p),
+m AS (SELECT 'a' AS model, avg(CAST((a > 0.4) = (label = 1) AS INTEGER)) AS accuracy FROM e
+      UNION ALL SELECT 'b', avg(CAST((b > 0.5) = (label = 1) AS INTEGER)) FROM e
+      UNION ALL SELECT 'c', avg(CAST((c > 0.5) = (label = 1) AS INTEGER)) FROM e
+      UNION ALL SELECT 'ensemble', avg(CAST((ensemble > 0.5) = (label = 1) AS INTEGER)) FROM e)
+SELECT model, round(accuracy, {A}) AS accuracy, CAST(row_number() OVER (ORDER BY accuracy DESC, model) AS INTEGER) AS rank,
+       round(accuracy - min(accuracy) OVER (), {A}) AS gain_over_worst FROM m""")
+
+
+def q_member_flags(spark, sf):
+    """FLT5 / JN3 as a flag: whether the surname is on a rule list."""
+    p = _with_surname(spark, sf)
+    lists = _lists(p).select("surname")
+    return rules.in_key_set(p, lists, "surname", "listed", "person_id").select("person_id", "listed")
+
+
 def q_conversation_head(spark, sf):
     c = read_table(spark, sf, "conversations", ["conv_id", "turn", "text"])
     return c.select("conv_id", "turn",
@@ -499,6 +573,10 @@ SQL_OVERRIDE_TABLE = with_people(f"""WITH {_SQL_FAM}
 SELECT person_id, coalesce(CAST(b.rule AS INTEGER), -1) AS rule FROM s LEFT JOIN b USING (surname)""")
 
 
+SQL_MEMBER_FLAGS = with_people(f"""WITH {_SQL_FAM}
+SELECT person_id, coalesce(surname IN (SELECT surname FROM r), false) AS listed FROM s""")
+
+
 def q_override_table_copy_sense(spark, sf):
     """RUL4 in the sense of the exported table: all-1 women and children -> 0, all-0 men -> 1."""
     p = _with_surname(spark, sf)
@@ -918,6 +996,9 @@ SQL_QUERIES = {
     "cabin_codes": (q_cabin_codes, SQL_CABIN_CODES),
     "url_digits": (q_url_digits, SQL_URL_DIGITS),
     "doc_titles": (q_doc_titles, SQL_DOC_TITLES),
+    "name_titles": (q_name_titles, SQL_NAME_TITLES),
+    "vote_scores": (q_vote_scores, SQL_VOTE_SCORES),
+    "member_flags": (q_member_flags, SQL_MEMBER_FLAGS),
     "part_name_head": (q_part_name_head, SQL_PART_NAME_HEAD),
     "conversation_head": (q_conversation_head, SQL_CONVERSATION_HEAD),
     "compound_filter": (q_compound_filter, SQL_COMPOUND_FILTER),
