@@ -26,7 +26,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tabwright.llm.common import cut, map_texts
+from tabwright.llm.common import bounded, cut, map_texts
 
 SENTENCE = re.compile(r"[^.!?\n]+[.!?]*")
 WORD = re.compile(r"\w+")
@@ -204,7 +204,8 @@ def fit(docs: DataFrame, labels: DataFrame, max_words: int = 4096, min_z: float
            .where(F.col("y").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
            .groupBy("doc_id").agg(F.max("y").cast("int").alias("y")))
     d = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    train = cut(d.join(lab, "doc_id"))
+    # labels below the size bound travel to the texts, so the texts are read where they lie
+    train = d.join(bounded(cut(lab), 16), "doc_id")
     n = {r["y"]: r["n"] for r in train.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
     n_pos = sum(k for y, k in n.items() if y)
     n_neg = sum(n.values()) - n_pos
