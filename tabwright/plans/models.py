@@ -20,10 +20,9 @@ from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClass
 from pyspark.ml.feature import UnivariateFeatureSelector, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GBTRegressor
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
+from pyspark.ml.tuning import ParamGridBuilder
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from tabwright.operators import history, metrics
 from tabwright.operators.split import holdout_flag, kfold
@@ -231,35 +230,96 @@ def boost_with_patience(train: DataFrame, valid: DataFrame, features: list[str],
 
 def cross_val_accuracy(df: DataFrame, features: list[str], estimator, fold_col: str = "fold", k: int = 3,
                        threshold: float = 0.5) -> DataFrame:
-    """CV1: (fold, accuracy) — fit on the other folds, score this one."""
+    """CV1: (fold, accuracy) — fit on the other folds, score this one.  ``estimator`` is one
+    estimator, or a dict of them that vote softly with equal weights."""
     rows = []
     for i in range(k):
-        model = pipeline(features, estimator).fit(df.filter(F.col(fold_col) != i))
-        acc = score(model, df.filter(F.col(fold_col) == i), fold_col, threshold).agg(
-            metrics.accuracy_expr("label", "prediction")).first()[0]
+        rest, fold = df.filter(F.col(fold_col) != i), df.filter(F.col(fold_col) == i)
+        if isinstance(estimator, dict):
+            scored = fit_soft_voter(rest, features, estimator).transform(fold, fold_col, threshold)
+        else:
+            scored = score(pipeline(features, estimator).fit(rest), fold, fold_col, threshold)
+        acc = scored.agg(metrics.accuracy_expr("label", "prediction")).first()[0]
         rows.append((i, float(acc)))
     return df.sparkSession.createDataFrame(rows, "fold int, accuracy double")
 
 
-def grid_search(df: DataFrame, features: list[str], estimator, grid: dict, fold_col: str = "fold",
-                k: int = 3, parallelism: int = 4):
-    """GRD1: cross-validated accuracy of every grid point; best point refitted on all rows.
-    Returns (table of (params, mean_accuracy, rank), best PipelineModel)."""
-    asm = assembler(features)
+def grid_points(estimator, grid: dict) -> list[dict]:
+    """Every combination of the grid's values as a param map of the estimator."""
     builder = ParamGridBuilder()
     for name, values in grid.items():
         builder = builder.addGrid(estimator.getParam(name), values)
-    maps = builder.build()
-    cv = CrossValidator(estimator=Pipeline(stages=[asm, estimator]), estimatorParamMaps=maps,
-                        evaluator=MulticlassClassificationEvaluator(labelCol="label", metricName="accuracy"),
-                        foldCol=fold_col, numFolds=k, parallelism=parallelism)
-    fitted = cv.fit(df)
-    rows = [(", ".join(f"{p.name}={v}" for p, v in sorted(m.items(), key=lambda kv: kv[0].name)), float(a))
-            for m, a in zip(maps, fitted.avgMetrics)]
-    table = df.sparkSession.createDataFrame(rows, "params string, mean_accuracy double")
-    # one row per grid point, so an unpartitioned window is fine here
-    ranked = table.withColumn("rank", F.rank().over(Window.orderBy(F.desc("mean_accuracy"), "params")))
-    return ranked, fitted.bestModel
+    return builder.build()
+
+
+def point_name(point: dict) -> str:
+    return ", ".join(f"{p.name}={v}" for p, v in sorted(point.items(), key=lambda kv: kv[0].name))
+
+
+def grid_scores(df: DataFrame, features: list[str], estimator, points: list[dict], fold_col: str = "fold",
+                k: int = 3, parallelism: int = 4) -> list[float]:
+    """Mean accuracy over the k folds of ``fold_col`` for every point; a fold's points are fitted
+    concurrently."""
+    if not points:
+        return []
+    data = materialize(assembler(features).transform(df).select(FEATURES, "label", fold_col))
+    accuracy = MulticlassClassificationEvaluator(labelCol="label", metricName="accuracy")
+    sums = [0.0] * len(points)
+    for i in range(k):
+        rest, fold = data.filter(F.col(fold_col) != i).persist(), data.filter(F.col(fold_col) == i).persist()
+        got = fit_parallel({j: (lambda point=point: accuracy.evaluate(estimator.copy(point).fit(rest).transform(fold)))
+                            for j, point in enumerate(points)}, parallelism)
+        rest.unpersist()
+        fold.unpersist()
+        for j, acc in got.items():
+            if isinstance(acc, Exception):
+                raise acc
+            sums[j] += float(acc)
+    return [x / k for x in sums]
+
+
+def grid_search(df: DataFrame, features: list[str], estimator, grid: dict, fold_col: str = "fold",
+                k: int = 3, parallelism: int = 4, seen: dict | None = None):
+    """GRD1: cross-validated accuracy of every grid point, and the estimator set to the best one (for
+    the caller to fit on all rows).  Returns (rows of (params, mean_accuracy, rank), best estimator).
+    ``seen`` keeps the scores by point: searches of the same kind of estimator over the same folds
+    that share it fit a point once."""
+    points, seen = grid_points(estimator, grid), {} if seen is None else seen
+    todo = [x for x in points if point_name(x) not in seen]
+    seen.update(zip(map(point_name, todo), grid_scores(df, features, estimator, todo, fold_col, k, parallelism)))
+    best_first = sorted(points, key=lambda x: (-seen[point_name(x)], point_name(x)))
+    rows = [(point_name(x), seen[point_name(x)], i) for i, x in enumerate(best_first, 1)]
+    return rows, estimator.copy(best_first[0])
+
+
+def tuning_grids(n_in: int, n_rows: int) -> dict:
+    """The reference's seven model families: name -> (kind, estimator, grid).  Families of one kind are
+    the same Spark estimator, so a point that their grids share has one score.
+
+    Spark's trees end at depth 30, so the forest's unlimited depth and its depth 30 are one point;
+    31, 50 and 100 leaves are depth 5, 6 and 7; the perceptron has no choice of activation or alpha."""
+    gbt = gradient_boosting()
+    boosted = {"maxIter": [50, 100, 200], "stepSize": [0.01, 0.1, 0.2]}
+    return {
+        "random_forest": ("forest", random_forest(), {"numTrees": [50, 100, 200], "maxDepth": [10, 20, 30]}),
+        "logistic_regression": ("logistic", logistic(n_rows=n_rows),
+                                {"regParam": [1.0 / (c * max(n_rows, 1)) for c in (0.1, 1.0, 10.0)]}),
+        "perceptron": ("perceptron", perceptron(n_in, hidden=(50, 50), max_iter=1000),
+                       {"layers": [[n_in, 50, 50, 2], [n_in, 100, 2]]}),
+        "gradient_boosting": ("gbt", gbt, boosted | {"maxDepth": [3, 5, 7]}),
+        "xgboost_like": ("gbt", gbt, boosted | {"maxDepth": [3, 5, 7]}),
+        "lightgbm_like": ("gbt", gbt, boosted | {"maxDepth": [5, 6, 7]}),
+        "catboost_like": ("gbt", gbt, boosted | {"maxDepth": [3, 5, 7]}),
+    }
+
+
+def tune(df: DataFrame, features: list[str], grids: dict, fold_col: str = "fold", k: int = 5) -> tuple[list, dict]:
+    """Rows (model, folds, params, mean_accuracy, rank) of every family's grid, and its best estimator."""
+    rows, best, seen = [], {}, {}
+    for name, (kind, est, grid) in grids.items():
+        found, best[name] = grid_search(df, features, est, grid, fold_col, k, seen=seen.setdefault(kind, {}))
+        rows += [(name, k, *x) for x in found]
+    return rows, best
 
 
 def leaderboard(train: DataFrame, test: DataFrame, features: list[str], estimators: dict, key: str,
@@ -300,13 +360,14 @@ def cv_leaderboard(df: DataFrame, features: list[str], estimators: dict, key: st
 
 
 def all_classifiers(n_in: int, n_rows: int, seed: int = 42) -> dict:
-    """Every Spark classifier with defaults (the 'all available estimators' sweep)."""
+    """Every Spark classifier with the defaults of the reference's library (the 'all available
+    estimators' sweep): 100 trees or rounds, one hidden layer of 100; unlimited depth is Spark's 30."""
     return {
-        "logistic_regression": logistic(c=1.0, n_rows=n_rows),
-        "decision_tree": decision_tree(seed=seed),
-        "random_forest": random_forest(seed=seed),
-        "gbt": gradient_boosting(seed=seed, max_iter=20),
-        "perceptron": perceptron(n_in, hidden=(50, 50), seed=seed),
+        "logistic_regression": logistic(c=1.0, n_rows=n_rows, max_iter=100),
+        "decision_tree": decision_tree(seed=seed, max_depth=30),
+        "random_forest": random_forest(seed=seed, num_trees=100, max_depth=30),
+        "gbt": gradient_boosting(seed=seed),
+        "perceptron": perceptron(n_in, hidden=(100,), seed=seed),
         "linear_svc": LinearSVC(featuresCol=FEATURES, labelCol="label"),
         "naive_bayes": NaiveBayes(featuresCol=FEATURES, labelCol="label"),  # fails on negative inputs
         "factorization_machine": FMClassifier(featuresCol=FEATURES, labelCol="label", seed=seed),

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from tabwright.operators import history, metrics
 from tabwright.operators.impute import impute_chained, impute_forest, reimpute_out_of_range
 from tabwright.operators.select import drop_drifting
-from tabwright.operators.split import kfold
+from tabwright.operators.split import stratified_kfold
 from tabwright.plans import models
 from tabwright.plans.registry import AGE_DIGITS, sql_least_squares
 from tabwright.plans.prepare import materialize, prepare
@@ -116,43 +116,66 @@ def q_model_leaderboard(spark, sf):
 
 
 def q_model_all_classifiers(spark, sf):
-    """LDB2: every Spark classifier with defaults, ranked by mean 3-fold accuracy; failures are rows
+    """LDB2: every Spark classifier with the reference library's defaults, ranked by mean 3-fold accuracy; failures are rows
     with their error."""
     _, feats, tr, _ = _train_holdout(spark, sf)
     return models.cv_leaderboard(tr, feats, models.all_classifiers(len(feats), tr.count()), KEY)
 
 
+# the reference's second forest grid, searched with 32 folds
+FOREST_32 = {"numTrees": [100, 200, 300], "maxDepth": [4, 6, 8], "impurity": ["gini", "entropy"]}
+
+
+def _folds(spark, sf):
+    _, feats, tr, _ = _train_holdout(spark, sf)
+    return feats, _shared(spark, sf, "folds", lambda: materialize(stratified_kfold(
+        stratified_kfold(tr, KEY, "label", 5), KEY, "label", 32, out="fold32")))
+
+
+def _tuned(spark, sf):
+    """GRD1: the grids of all seven families over 5 stratified folds; rows and best estimators."""
+    feats, folds = _folds(spark, sf)
+    return _shared(spark, sf, "tuned", lambda: models.tune(
+        folds, feats, models.tuning_grids(len(feats), folds.count())))
+
+
+def _tuned_voter(spark, sf):
+    """The best model of every family, fitted on all training rows."""
+    _, feats, tr, _ = _train_holdout(spark, sf)
+    return _shared(spark, sf, "tuned_voter", lambda: models.fit_soft_voter(tr, feats, _tuned(spark, sf)[1]))
+
+
 def q_model_results_table(spark, sf):
-    """EVL6 + AGG14: models and their soft-vote ensemble, with the ensemble's gain over the worst."""
-    _, feats, tr, ho = _train_holdout(spark, sf)
-    est = {"gbt": models.gradient_boosting(), "rf": models.random_forest(), "dt": models.decision_tree()}
-    board = models.leaderboard(tr, ho, feats, est, KEY, THRESHOLD).select("model", "accuracy", "f1", "auc_hard")
-    voter = models.fit_soft_voter(tr, feats, est)
-    ens = metrics.binary_metrics(voter.transform(ho, KEY, THRESHOLD), "label", "prediction").select(
-        F.lit("ensemble").alias("model"), "accuracy", "f1", "auc_hard")
-    table = board.unionByName(ens)
-    worst = board.agg(F.min("accuracy")).first()[0]
+    """EVL6 + AGG14: the seven tuned models and their soft vote on the hold-out, with the gain over
+    the worst row."""
+    _, _, _, ho = _train_holdout(spark, sf)
+    voter = _tuned_voter(spark, sf)
+    scored = {n: models.score(m, ho, KEY, THRESHOLD) for n, m in voter.models.items()}
+    scored["ensemble"] = voter.transform(ho, KEY, THRESHOLD)
+    rows = []
+    for name, s in scored.items():
+        m = metrics.binary_metrics(s, "label", "prediction").first()
+        rows.append((name, float(m["accuracy"]), float(m["f1"]), float(m["auc_hard"])))
+    worst = min(r[1] for r in rows)
+    table = spark.createDataFrame(rows, "model string, accuracy double, f1 double, auc_hard double")
     return table.withColumn("gain_over_worst", F.col("accuracy") - F.lit(worst))
 
 
 def q_model_grid_search(spark, sf):
-    """GRD1 (+ SPL2 folds): 3-fold grids, best by accuracy — forest size and depth, and the
-    logistic regression's inverse strength C in {0.1, 1, 10} (regParam = 1 / (C n))."""
-    _, feats, tr, _ = _train_holdout(spark, sf)
-    folds = materialize(kfold(tr, KEY, 3, 1))
-    n = folds.count()
-    rf, _ = models.grid_search(folds, feats, models.random_forest(),
-                               {"numTrees": [10, 26], "maxDepth": [5, 10]}, "fold", 3)
-    lr, _ = models.grid_search(folds, feats, models.logistic(c=1.0, n_rows=n),
-                               {"regParam": [1.0 / (c * n) for c in (0.1, 1.0, 10.0)]}, "fold", 3)
-    return (rf.withColumn("model", F.lit("random_forest"))
-            .unionByName(lr.withColumn("model", F.lit("logistic_regression"))))
+    """GRD1 (+ SPL3, SPL4): the grids of all seven model families over 5 stratified folds, and the
+    second forest grid over 32; the best point by accuracy has rank 1."""
+    feats, folds = _folds(spark, sf)
+    rows, _ = _tuned(spark, sf)
+    more, _ = models.grid_search(folds, feats, models.random_forest(), FOREST_32, "fold32", 32)
+    return spark.createDataFrame(rows + [("random_forest", 32, *x) for x in more],
+                                 "model string, folds int, params string, mean_accuracy double, rank int")
 
 
 def q_model_cross_val(spark, sf):
-    """CV1 + AGG13: per-fold accuracy of the forest, and mean / population std over folds."""
-    _, feats, tr, _ = _train_holdout(spark, sf)
-    scores = models.cross_val_accuracy(kfold(tr, KEY, 3, 1), feats, models.random_forest(), "fold", 3)
+    """CV1 + AGG13: accuracy of the soft vote over the tuned models on each of 5 stratified folds,
+    and mean / population std over folds."""
+    feats, folds = _folds(spark, sf)
+    scores = models.cross_val_accuracy(folds, feats, _tuned(spark, sf)[1], "fold", 5)
     mean, std = scores.agg(F.avg("accuracy"), F.stddev_pop("accuracy")).first()
     return scores.withColumn("mean_accuracy", F.lit(mean)).withColumn("std_accuracy", F.lit(std))
 

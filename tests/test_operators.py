@@ -497,3 +497,37 @@ def test_drop_drifting_by_measured_gain(spark):
     df = spark.createDataFrame([(1, 2.0, 3.0)], "id long, moved double, same double")
     from tabwright.operators.select import drop_drifting
     assert drop_drifting(df, (report, 0.1)).columns == ["id", "same"]
+
+
+def test_grids_are_the_reference_ones():
+    from tabwright.plans import models
+    from tabwright.plans.models_registry import FOREST_32
+    sizes = {n: math.prod(map(len, g.values())) for n, (_, _, g) in models.tuning_grids(20, 100).items()}
+    # the forest's unlimited depth is Spark's 30; the perceptron has neither activation nor alpha
+    assert sizes == {"random_forest": 9, "logistic_regression": 3, "perceptron": 2, "gradient_boosting": 27,
+                     "xgboost_like": 27, "lightgbm_like": 27, "catboost_like": 27}
+    assert math.prod(map(len, FOREST_32.values())) == 18
+    sweep = models.all_classifiers(20, 100)
+    assert sweep["random_forest"].getNumTrees() == 100 and sweep["gbt"].getMaxIter() == 100
+
+
+def test_tuned_models_vote_over_stratified_folds(spark):
+    from tabwright.plans import models
+    rnd = random.Random(9)
+    rows = []
+    for i in range(300):
+        a, b = rnd.gauss(0, 1), rnd.gauss(0, 1)
+        rows.append((i, a, b, 1.0 if a * b > 0 else 0.0))
+    df = spark.createDataFrame(rows, "id long, a double, b double, label double")
+    folds = split.stratified_kfold(df, "id", "label", 5)
+    grids = {"dt": ("tree", models.decision_tree(), {"maxDepth": [1, 5]}),
+             "dt_too": ("tree", models.decision_tree(), {"maxDepth": [5, 2]}),
+             "mlp": ("mlp", models.perceptron(2, hidden=(4,), max_iter=5), {"layers": [[2, 4, 2], [2, 8, 8, 2]]})}
+    found, best = models.tune(folds, ["a", "b"], grids)
+    score = {(r[0], r[2]): r[3] for r in found}
+    assert len(found) == 6 and score["dt", "maxDepth=5"] == score["dt_too", "maxDepth=5"] > 0.8
+    alone = models.cross_val_accuracy(folds, ["a", "b"], models.decision_tree(max_depth=5), "fold", 5).collect()
+    assert math.isclose(score["dt", "maxDepth=5"], sum(r["accuracy"] for r in alone) / 5)
+    assert best["dt"].getMaxDepth() == 5 and [r[4] for r in found if r[0] == "mlp"] == [1, 2]
+    voted = models.cross_val_accuracy(folds, ["a", "b"], best, "fold", 5).collect()
+    assert len(voted) == 5 and all(r["accuracy"] > 0.7 for r in voted)
