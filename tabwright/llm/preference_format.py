@@ -58,6 +58,27 @@ def pairs_of(turns: DataFrame, pair: Column, chosen: Column,
                     F.coalesce("rejected", empty).alias("rejected")))
 
 
+def pairs_with_next_answer(turns: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn",
+                           role_col: str = "role", text_col: str = "text") -> DataFrame:
+    """``pair_id, chosen, rejected`` from single conversations: chosen is the whole conversation, rejected
+    the same turns with the text of its last assistant turn taken from conversation ``conv_id + 1``.
+    Where either has no assistant turn, the rejected side is empty."""
+    conv = (pairs_of(turns, F.col(conv_col), F.lit(True), turn_col, role_col, text_col)
+            .select("pair_id", F.col("chosen").alias("turns")))
+    is_answer = F.transform("turns", lambda t: t["role"] == "assistant")
+    from_end = F.array_position(F.reverse(is_answer), True).cast("int")
+    conv = conv.select("pair_id", "turns", F.when(from_end > 0, F.size("turns") - from_end).alias("at"))
+    other = conv.where(F.col("at").isNotNull()).select(
+        (F.col("pair_id") - 1).alias("pair_id"), F.get("turns", F.col("at"))["text"].alias("other"))
+    swapped = F.transform("turns", lambda t, i: F.struct(
+        t["turn"].alias("turn"), t["role"].alias("role"),
+        F.when(i == F.col("at"), F.col("other")).otherwise(t["text"]).alias("text")))
+    return conv.join(other, "pair_id", "left").select(
+        "pair_id", F.col("turns").alias("chosen"),
+        F.when(F.col("at").isNotNull() & F.col("other").isNotNull(), swapped)
+        .otherwise(F.array().cast(TURN)).alias("rejected"))
+
+
 def format_pairs(pairs: DataFrame, trained_roles: tuple[str, ...] = ("assistant",)) -> DataFrame:
     """``pair_id, n_prefix, prompt, chosen, rejected, chosen_loss, rejected_loss, complete``."""
     a, b = F.col("chosen"), F.col("rejected")

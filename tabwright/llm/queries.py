@@ -64,6 +64,15 @@ def op4_preference_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Conversations 2p and 2p + 1 are the chosen and the rejected side of pair p."""
     turns = table(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text")
     pairs = pf.pairs_of(turns, F.expr("conv_id div 2"), F.col("conv_id") % 2 == 0)
+    return _formatted(pairs)
+
+
+def op4_shared_prefix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation against itself with its last answer taken from the next conversation."""
+    return _formatted(pf.pairs_with_next_answer(table(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text")))
+
+
+def _formatted(pairs: DataFrame) -> DataFrame:
     out = pf.format_pairs(pairs)
     spans = lambda c: F.array_join(F.transform(c, lambda s: F.concat_ws(
         ":", s["start"].cast("string"), s["end"].cast("string"))), ",")
@@ -103,6 +112,19 @@ SELECT pair_id, CAST(n_prefix AS BIGINT) AS n_prefix,
   (max(nc) > 0 AND max(nr) > 0) AS complete
 FROM y GROUP BY pair_id, n_prefix"""
 
+OP4_SHARED_SQL = """
+WITH c AS (
+  SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, 'unknown'), coalesce(text, '')) AS i,
+         coalesce(role, 'unknown') AS role, coalesce(text, '') AS text
+  FROM conversations WHERE conv_id IS NOT NULL),
+a AS (SELECT conv_id, max(i) AS at FROM c WHERE role = 'assistant' GROUP BY conv_id),
+o AS (SELECT c.conv_id - 1 AS conv_id, c.text AS other FROM c JOIN a ON a.conv_id = c.conv_id AND a.at = c.i),
+t AS (SELECT conv_id AS pair_id, true AS side, i, role, text FROM c
+      UNION ALL
+      SELECT c.conv_id, false, c.i, c.role, CASE WHEN c.i = a.at THEN o.other ELSE c.text END
+      FROM c JOIN a ON a.conv_id = c.conv_id JOIN o ON o.conv_id = c.conv_id),
+""" + OP4_SQL[OP4_SQL.index("n AS (SELECT"):]
+
 
 # -- op5 ---------------------------------------------------------------------------------------
 def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -213,6 +235,7 @@ QUERIES = {
     "op2_nnls_packing": op2_nnls_packing,
     "op3_line_dedup": op3_line_dedup,
     "op4_preference_format": op4_preference_format,
+    "op4_shared_prefix": op4_shared_prefix,
     "op5_decontaminate": op5_decontaminate,
     "op6_repetition": op6_repetition,
     "op7_suffix_dedup": op7_suffix_dedup,
@@ -224,6 +247,7 @@ QUERIES = {
 ORACLES = {
     "op3_line_dedup": OP3_SQL,
     "op4_preference_format": OP4_SQL,
+    "op4_shared_prefix": OP4_SHARED_SQL,
     "op5_decontaminate": OP5_SQL,
     "op9_secret_scan": _op9_sql(),
 }

@@ -214,3 +214,21 @@ def test_preference_pairs(spark):
     assert got[4]["rejected"] == "" and not got[4]["complete"]
     assert got[5]["n_prefix"] == 1 and got[5]["rejected"] == "<|assistant|>\na<|end|>\n"
     assert len(got[5]["chosen_loss"]) == 1
+
+
+def test_next_answer_is_the_rejected_side(spark):
+    rows = [(1, 0, "user", "q1"), (1, 1, "assistant", "a1"), (1, 2, "user", "more"), (1, 3, "assistant", "b1"),
+            (2, 0, "user", "q2"), (2, 1, "assistant", "a2"), (2, 2, "user", "thanks"),
+            (3, 0, "user", "nobody answers"), (4, 0, "assistant", "a4"), (None, 0, "assistant", "lost")]
+    t = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    got = {r["pair_id"]: r for r in pf.format_pairs(pf.pairs_with_next_answer(t)).collect()}
+    assert set(got) == {1, 2, 3, 4}
+    assert got[1]["n_prefix"] == 3 and got[1]["prompt"].endswith("<|user|>\nmore<|end|>\n") and got[1]["complete"]
+    assert got[1]["chosen"] == "<|assistant|>\nb1<|end|>\n" and got[1]["rejected"] == "<|assistant|>\na2<|end|>\n"
+    assert not any(got[i]["complete"] or got[i]["rejected"] for i in (2, 3, 4))
+
+
+def test_shared_prefix_query_has_prompts(spark):
+    rows = QUERIES["op4_shared_prefix"](spark, SF).collect()
+    n = spark.read.parquet(f"{SF}/conversations.parquet").select("conv_id").distinct().count()
+    assert len(rows) == n and sum(r["n_prefix"] > 0 and r["prompt"] != "" for r in rows) > n // 2
