@@ -25,7 +25,7 @@ SYMBOLS = re.compile(r"[#*$%&|<>]")
 # limits on shares of the word characters: lines, the most frequent n-gram, repeated n-grams
 LINE_SHARE, LINE_CHAR_SHARE = 0.30, 0.20
 TOP_LIMITS = {2: 0.20, 3: 0.18, 4: 0.16}
-DUP_LIMITS = {5: 0.25, 6: 0.24, 7: 0.23, 8: 0.22, 9: 0.21, 10: 0.20}
+DUP_LIMITS = {5: 0.15, 6: 0.14, 7: 0.13, 8: 0.12, 9: 0.11, 10: 0.10}
 MULT = np.uint64(0x9E3779B97F4A7C15)
 COLUMNS = ("n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, "
            "line_share double, line_char_share double, top_shares array<double>, dup_shares array<double>")

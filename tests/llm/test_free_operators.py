@@ -2,6 +2,7 @@
 accuracy, and defined results on edge rows."""
 
 import hashlib
+import math
 import random
 import re
 import zlib
@@ -220,6 +221,15 @@ def test_repetition_equals_brute_force(spark):
     assert not any(r["kept"] for r in got if r["base_failed"]) and rp.repetition(empty(spark)).count() == 0
 
 
+def test_a_fifth_in_repeated_passages_is_not_kept(spark):
+    passage = " ".join(f"p{i:03d}" for i in range(12))
+    fill = [" ".join(f"{c}{i:03d}" for i in range(n)) for c, n in (("a", 48), ("b", 48))]
+    rows = [(1, f"{passage} {fill[0]} {passage} {fill[1]}"), (2, " ".join(fill)), (3, " ".join([passage, *fill]))]
+    got = {r["doc_id"]: r for r in rp.repetition(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert all(math.isclose(x, 0.2) for x in got[1]["dup_shares"])
+    assert [got[i]["kept"] for i in (1, 2, 3)] == [False, True, True] and not got[1]["base_failed"]
+
+
 # -- op7 ---------------------------------------------------------------------------------------
 def brute_repeats(texts, n):
     c = Counter(t[i:i + n] for t in texts for i in range(len(t) - n + 1))
