@@ -34,7 +34,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a window of the benchmark go."""
-    return decontaminate.clean_documents(docs, table(spark, sf_dir, "benchmark", "item_id", "text"))
+    return decontaminate.clean_documents(docs, table(spark, sf_dir, "benchmark", "item_id", "text"), unnamed=True)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

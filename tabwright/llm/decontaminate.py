@@ -11,9 +11,9 @@
 
 Words: runs of ``[0-9a-z]`` and everything at or above U+0080, after lower-casing A-Z.
 
-Edge cases: null texts have no words, null document ids are kept, items without an id or without
-words match nothing,
-equal windows of several items report every item, rows equal in id and text get one decision,
+Edge cases: null texts have no words, null document ids are kept, items without words match
+nothing, items without an id do so unless ``unnamed`` (then their windows count, all as one item
+that the list of ids leaves out), equal windows of several items report every item, rows equal in id and text get one decision,
 an empty table or benchmark gives no hits; other columns are never touched.
 """
 
@@ -32,16 +32,18 @@ def words_of(text: Column) -> Column:
     return F.array_remove(F.split(ascii_lower(text), NOT_WORD, -1), "")
 
 
-def item_windows(items: DataFrame, window: int, id_col: str, text_col: str) -> DataFrame:
-    """Distinct windows: ``win`` (long id), ``words`` and the ``items`` that hold it."""
+def item_windows(items: DataFrame, window: int, id_col: str, text_col: str, unnamed: bool = False) -> DataFrame:
+    """Distinct windows: ``win`` (long id), ``words``, the ``items`` that hold it, and whether an item
+    without an id does (``null_item``)."""
     w = items.select(F.col(id_col).cast("string").alias("item"),
-                     words_of(F.coalesce(F.col(text_col), F.lit(""))).alias("w")).where(F.col("item").isNotNull() & (F.size("w") > 0))
+                     words_of(F.coalesce(F.col(text_col), F.lit(""))).alias("w"))
+    w = w.where((F.size("w") > 0) & (F.lit(unnamed) | F.col("item").isNotNull()))
     n = F.size("w")
     starts = F.when(n >= window, F.sequence(F.lit(1), F.greatest(n - window + 1, F.lit(1)))).otherwise(F.array(F.lit(1)))
     each = (w.select("item", "w", F.explode(starts).alias("at"))
             .select("item", F.slice("w", F.col("at"), window).alias("words")))
-    return (each.groupBy("words").agg(F.collect_set("item").alias("items"))
-            .select(F.xxhash64("words").alias("win"), "words", "items"))
+    return (each.groupBy("words").agg(F.collect_set("item").alias("items"), F.max(F.col("item").isNull()).alias("null_item"))
+            .select(F.xxhash64("words").alias("win"), "words", "items", "null_item"))
 
 
 def rarest_slots(docs: DataFrame, windows: DataFrame) -> DataFrame:
@@ -120,33 +122,36 @@ def proximity_matches(docs: DataFrame, items: DataFrame, window: int = 10, slop:
     return d.select("doc_id", K1, K2).join(hit, [K1, K2]).select("doc_id", "item", "at")
 
 
-def hits(d: DataFrame, items: DataFrame, window: int, item_id: str, item_text: str) -> DataFrame:
-    """Row key, ``n_hit`` (words inside matches) and ``items`` (sorted) of the matching documents."""
-    windows = cut(item_windows(items, window, item_id, item_text))
+def hits(d: DataFrame, items: DataFrame, window: int, item_id: str, item_text: str,
+         unnamed: bool = False) -> DataFrame:
+    """Row key, ``n_hit`` (words inside matches), ``items`` (sorted) and ``null_item`` of the matching documents."""
+    windows = cut(item_windows(items, window, item_id, item_text, unnamed))
     found = cut(phrase_matches(d, windows))
     covered = (found.select(K1, K2, F.explode(F.sequence(F.col("at"), F.col("at") + F.col("n") - 1)).alias("p"))
                .distinct().groupBy(K1, K2).agg(F.count(F.lit(1)).alias("n_hit")))
     which = (found.select(K1, K2, "win").distinct()
-             .join(windows.select("win", F.explode("items").alias("item")), "win")
-             .groupBy(K1, K2).agg(F.sort_array(F.collect_set("item")).alias("items")))
+             .join(windows.select("win", "null_item", F.explode_outer("items").alias("item")), "win")
+             .groupBy(K1, K2).agg(F.sort_array(F.collect_set("item")).alias("items"), F.max("null_item").alias("null_item")))
     return covered.join(which, [K1, K2])
 
 
 def decontaminate(docs: DataFrame, items: DataFrame, window: int = 10,
                   id_col: str = "doc_id", text_col: str = "text",
-                  item_id: str = "item_id", item_text: str = "text") -> DataFrame:
-    """Per input row: ``doc_id, n_words, n_hit, items`` (ids whose windows occur, sorted as strings)."""
+                  item_id: str = "item_id", item_text: str = "text", unnamed: bool = False) -> DataFrame:
+    """Per input row: ``doc_id, n_words, n_hit, items`` (ids whose windows occur, sorted as strings) and
+    ``n_items`` (with one for the items without an id)."""
     d = keyed(docs, id_col, text_col)
-    h = hits(d, items, window, item_id, item_text)
+    h = hits(d, items, window, item_id, item_text, unnamed)
     return (d.select("doc_id", K1, K2, F.size(words_of(F.col("text"))).cast("long").alias("n_words")).join(h, [K1, K2], "left")
             .select("doc_id", "n_words", F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"),
-                    F.coalesce("items", F.array().cast("array<string>")).alias("items")))
+                    F.coalesce("items", F.array().cast("array<string>")).alias("items"),
+                    F.coalesce(F.size("items") + F.col("null_item").cast("int"), F.lit(0)).cast("long").alias("n_items")))
 
 
 def clean_documents(docs: DataFrame, items: DataFrame, window: int = 10,
                     id_col: str = "doc_id", text_col: str = "text",
-                    item_id: str = "item_id", item_text: str = "text") -> DataFrame:
+                    item_id: str = "item_id", item_text: str = "text", unnamed: bool = False) -> DataFrame:
     """The input rows, all columns, without those that hold a window of the benchmark."""
-    h = hits(keyed(docs, id_col, text_col), items, window, item_id, item_text)
+    h = hits(keyed(docs, id_col, text_col), items, window, item_id, item_text, unnamed)
     rows = keyed_rows(docs, id_col, text_col).join(h.select(K1, K2), [K1, K2], "left_anti")
     return rows.select(*[F.col(f"{ROW}.`{c}`").alias(c) for c in docs.columns])

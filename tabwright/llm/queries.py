@@ -129,8 +129,8 @@ t AS (SELECT conv_id AS pair_id, true AS side, i, role, text FROM c
 # -- op5 ---------------------------------------------------------------------------------------
 def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = dc.decontaminate(table(spark, sf_dir, "documents", "doc_id", "text"),
-                         table(spark, sf_dir, "benchmark", "item_id", "text"))
-    return d.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+                         table(spark, sf_dir, "benchmark", "item_id", "text"), unnamed=True)
+    return d.select("doc_id", "n_words", "n_hit", "n_items",
                     F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
                     (F.col("n_hit") > 0).alias("contaminated"))
 

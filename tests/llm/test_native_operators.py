@@ -136,6 +136,25 @@ def test_decontaminate_edges(spark):
     assert clean.count() == sum(x[2] == 0 for x in expect)
 
 
+def test_items_without_an_id_leak_too(spark, tmp_path):
+    import corpus_pipeline
+    docs = spark.createDataFrame([(1, "well, nul item here it is"), (2, "nothing"), (3, "nul item here and an other one"),
+                                  (4, "other one")], "doc_id long, text string")
+    items = spark.createDataFrame([(None, "nul item here"), (None, "Here it is"), (5, "other one"), (None, None)],
+                                  "item_id long, text string")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    items.write.parquet(f"{tmp_path}/benchmark.parquet")
+    con = duckdb.connect()
+    for t in ("documents", "benchmark"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{tmp_path}/{t}.parquet/*.parquet')")
+    rel = con.execute(ORACLES["op5_decontaminate"])
+    cols = [d[0] for d in rel.description]
+    got = {r["doc_id"]: r for r in QUERIES["op5_decontaminate"](spark, str(tmp_path)).collect()}
+    assert sorted(map(str, (tuple(r[c] for c in cols) for r in got.values()))) == sorted(map(str, rel.fetchall()))
+    assert {i: (r["n_hit"], r["n_items"]) for i, r in got.items()} == {1: (5, 1), 2: (0, 0), 3: (5, 2), 4: (2, 1)}
+    assert [r["doc_id"] for r in corpus_pipeline.benchmark(spark, docs, str(tmp_path)).collect()] == [2]
+
+
 def test_proximity_matches(spark):
     items = spark.createDataFrame([(1, "alpha beta gamma")], "item_id long, text string")
     docs = spark.createDataFrame([(1, "alpha beta gamma"), (2, "alpha so beta gamma"),
