@@ -44,11 +44,14 @@ BASE_RULES = (
 )
 
 EXTRA_RULES = (
-    Rule("private_key", r"-----BEGIN (?:[A-Z]+ )*PRIVATE KEY-----"),
+    # to the END line over the characters of key files; without one, to the end of the base64 block
+    Rule("private_key", r"-----BEGIN (?:[A-Z]+ )*PRIVATE KEY-----"
+         r"(?:[A-Za-z0-9+/=:;,._\\()\x20\t\r\n-]*?-----END (?:[A-Z]+ )*PRIVATE KEY-----"
+         r"|[\x20\t\r\n]*[A-Za-z0-9+/=]{16,}[A-Za-z0-9+/=\r\n]*|)", version=2),
     Rule("jwt", r"eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}"),
     Rule("forge_token", r"(?:gh[pousr]_[A-Za-z0-9]{36,}|glpat-[A-Za-z0-9_-]{20,})"),
     Rule("chat_token", r"xox[abprs]-[A-Za-z0-9-]{10,}"),
-    Rule("url_login", r"[a-z][a-z0-9+.-]{1,20}://[^\x00-\x20/:@\"'<>]{1,64}:[^\x00-\x20/:@\"'<>]{3,64}@"),
+    Rule("url_login", r"[a-z][a-z0-9+.-]{1,20}://[^\x00-\x20/:@\"'<>]+:[^\x00-\x20/:@\"'<>]{3,}@", version=2),
 )
 
 RULES = BASE_RULES + EXTRA_RULES

@@ -186,6 +186,29 @@ def test_secret_spans_edges(spark):
     assert dict(got)[11] == "assign:21:38" and dict(got)[34]  # the match at 0 took "token" with it
 
 
+def test_long_logins_and_whole_keys(spark, tmp_path):
+    body = "\n".join("Ab3/" * 16 for _ in range(300))
+    head, end = "-----BEGIN RSA PRIVATE KEY-----", "-----END RSA PRIVATE KEY-----"
+    rows = [(1, f"see https://user:{'p' * 65}@host and ftp://{'u' * 200}:abc@host"),
+            (2, f"x {head}\nProc-Type: 4,ENCRYPTED\n\n{body}\n{end} y {head}\n{body}\n{end}"),
+            (3, f"{head}\n{body}\n\n(no end)"), (4, f"{head} is only named"), (5, f"{head}\nAb3=\n{end}")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{tmp_path}/documents.parquet/*.parquet')")
+    rel = con.execute(ORACLES["op9_secret_scan"])
+    cols = [d[0] for d in rel.description]
+    got = {r["doc_id"]: r for r in QUERIES["op9_secret_scan"](spark, str(tmp_path)).collect()}
+    assert sorted(map(str, (tuple(r[c] for c in cols) for r in got.values()))) == sorted(map(str, rel.fetchall()))
+    spans = {i: [s.split(":") for s in r["spans"].split(",")] for i, r in got.items()}
+    texts = {i: [(k, t[int(a):int(b)]) for k, a, b in spans[i]] for i, t in rows}
+    assert [k for k, _ in texts[1]] == ["url_login"] * 2 and texts[1][0][1] == f"https://user:{'p' * 65}@"
+    keys = [x for k, x in texts[2] if k == "private_key"]
+    assert keys == [f"{head}\nProc-Type: 4,ENCRYPTED\n\n{body}\n{end}", f"{head}\n{body}\n{end}"]
+    assert [x.rstrip() for k, x in texts[3] if k == "private_key"] == [f"{head}\n{body}"]
+    assert texts[4] == [("private_key", head)] and texts[5] == [("private_key", rows[4][1])]
+
+
 def test_ledger_scans_only_unseen_pairs(spark):
     v1 = spark.createDataFrame([("a", 1, SECRET), ("b", 1, SECRET), ("c", 1, "clean")], "path string, version int, text string")
     v2 = spark.createDataFrame([("a", 2, "clean"), ("d", 1, SECRET), ("e", 1, "AKIA" + "C" * 20), ("f", 1, None)],
