@@ -46,17 +46,20 @@ def item_windows(items: DataFrame, window: int, id_col: str, text_col: str, unna
             .select(F.xxhash64("words").alias("win"), "words", "items", "null_item"))
 
 
-def rarest_slots(docs: DataFrame, windows: DataFrame) -> DataFrame:
+def rarest_slots(docs: DataFrame, windows: DataFrame, known: bool = False) -> DataFrame:
     """``win, slots``: each window's rarest words as (freq, offset, term), rarest first; windows with
-    a word that no document holds cannot occur and are left out."""
+    a word that no document holds cannot occur and are left out.  ``known`` chooses among the words
+    that documents hold instead, and leaves out windows of several words with less than two such."""
     slots = windows.select("win", F.posexplode("words").alias("offset", "term"))
     terms = cut(slots.select("term").distinct())
     counts = (docs.select(F.explode(words_of(F.col("text"))).alias("term"))
               .join(bounded(terms, 64), "term").groupBy("term").agg(F.count(F.lit(1)).alias("freq")))
-    return (slots.join(counts, "term", "left")
-            .groupBy("win").agg(F.sort_array(F.collect_list(
-                F.struct(F.coalesce("freq", F.lit(0)).alias("freq"), "offset", "term"))).alias("slots"))
-            .where(F.col("slots")[0]["freq"] > 0).withColumn("slots", F.slice("slots", 1, RAREST)))
+    slots = slots.join(counts, "term", "left").groupBy("win").agg(F.sort_array(F.collect_list(
+        F.struct(F.coalesce("freq", F.lit(0)).alias("freq"), "offset", "term"))).alias("slots"))
+    if known:
+        held = F.filter("slots", lambda s: s["freq"] > 0)
+        slots = slots.where(F.size(held) >= F.least(F.size("slots"), F.lit(2))).withColumn("slots", held)
+    return (slots.where(F.col("slots")[0]["freq"] > 0).withColumn("slots", F.slice("slots", 1, RAREST)))
 
 
 def positional_index(docs: DataFrame, slots: DataFrame) -> DataFrame:
@@ -109,12 +112,12 @@ def phrase_matches(docs: DataFrame, windows: DataFrame) -> DataFrame:
 def proximity_matches(docs: DataFrame, items: DataFrame, window: int = 10, slop: int = 5,
                       id_col: str = "doc_id", text_col: str = "text",
                       item_id: str = "item_id", item_text: str = "text") -> DataFrame:
-    """``doc_id, item, at``: documents where the rarest words of one of the item's windows all stand
+    """``doc_id, item, at``: documents where the rarest known words of one of the item's windows all stand
     within ``slop`` words of where the phrase would put them (exact matches included); ``at`` is
     where the window would begin by its rarest word."""
     d = keyed(docs, id_col, text_col)
     windows = cut(item_windows(items, window, item_id, item_text))
-    slots = cut(rarest_slots(d, windows))
+    slots = cut(rarest_slots(d, windows, known=True))
     hit = (shifted_lists(positional_index(d, slots), slots, slop)
            .select(K1, K2, "win", F.explode("starts").alias("at"))
            .join(windows.select("win", F.explode("items").alias("item")), "win")
@@ -122,6 +125,21 @@ def proximity_matches(docs: DataFrame, items: DataFrame, window: int = 10, slop:
     return d.select("doc_id", K1, K2).join(hit, [K1, K2]).select("doc_id", "item", "at")
 
 
+def near_items(docs: DataFrame, items: DataFrame, window: int = 10, slop: int = 5,
+               id_col: str = "doc_id", text_col: str = "text",
+               item_id: str = "item_id", item_text: str = "text", unnamed: bool = False) -> DataFrame:
+    """Per input row: ``doc_id, items`` (ids with a proximity match, sorted as strings) and ``n_items``."""
+    d = keyed(docs, id_col, text_col)
+    windows = cut(item_windows(items, window, item_id, item_text, unnamed))
+    slots = cut(rarest_slots(d, windows, known=True))
+    which = (shifted_lists(positional_index(d, slots), slots, slop).select(K1, K2, "win").distinct()
+             .join(windows.select("win", "null_item", F.explode_outer("items").alias("item")), "win")
+             .groupBy(K1, K2).agg(F.sort_array(F.collect_set("item")).alias("items"), F.max("null_item").alias("null_item")))
+    return (d.select("doc_id", K1, K2).join(which, [K1, K2], "left")
+            .select("doc_id", F.coalesce("items", F.array().cast("array<string>")).alias("items"),
+                    F.coalesce(F.size("items") + F.col("null_item").cast("int"), F.lit(0)).cast("long").alias("n_items")))
+
+
 def hits(d: DataFrame, items: DataFrame, window: int, item_id: str, item_text: str,
          unnamed: bool = False) -> DataFrame:
     """Row key, ``n_hit`` (words inside matches), ``items`` (sorted) and ``null_item`` of the matching documents."""

@@ -135,6 +135,13 @@ def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
                     (F.col("n_hit") > 0).alias("contaminated"))
 
 
+def op5_proximity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with the benchmark items that it holds nearly: rarest words within five words."""
+    d = dc.near_items(table(spark, sf_dir, "documents", "doc_id", "text"),
+                      table(spark, sf_dir, "benchmark", "item_id", "text"), unnamed=True)
+    return d.select("doc_id", F.col("n_items").alias("n_near_items"), F.array_join("items", ",").alias("near_items"))
+
+
 OP5_SQL = rf"""
 WITH iw AS (SELECT CAST(item_id AS VARCHAR) AS item,
                    regexp_extract_all({ASCII_LOWER_SQL.format("coalesce(text, '')")}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
@@ -237,6 +244,7 @@ QUERIES = {
     "op4_preference_format": op4_preference_format,
     "op4_shared_prefix": op4_shared_prefix,
     "op5_decontaminate": op5_decontaminate,
+    "op5_proximity": op5_proximity,
     "op6_repetition": op6_repetition,
     "op7_suffix_dedup": op7_suffix_dedup,
     "op8_toxicity": op8_toxicity,

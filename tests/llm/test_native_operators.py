@@ -163,6 +163,22 @@ def test_proximity_matches(spark):
     assert got == {1, 2}
 
 
+def test_proximity_without_the_absent_word(spark):
+    items = spark.createDataFrame([(1, "alpha beta gamma"), (2, "unseen words alpha"), (3, "delta")], "item_id long, text string")
+    docs = spark.createDataFrame([(1, "alpha so gamma"), (2, "alpha gamma"), (3, "alpha " + "x " * 30 + "gamma"),
+                                  (4, "delta"), (None, None)], "doc_id long, text string")
+    got = {r["doc_id"]: (r["items"], r["n_items"]) for r in dc.near_items(docs, items, slop=3).collect()}
+    assert got == {1: (["1"], 1), 2: (["1"], 1), 3: ([], 0), 4: (["3"], 1), None: ([], 0)}
+    assert {r["doc_id"] for r in dc.proximity_matches(docs, items, slop=3).collect()} == {1, 2, 4}
+
+
+def test_proximity_query_holds_the_exact_matches(spark):
+    exact = {r["doc_id"] for r in QUERIES["op5_decontaminate"](spark, SF).collect() if r["contaminated"]}
+    near = QUERIES["op5_proximity"](spark, SF).collect()
+    assert exact and exact <= {r["doc_id"] for r in near if r["n_near_items"] > 0}
+    assert len(near) == spark.read.parquet(f"{SF}/documents.parquet").count()
+
+
 # -- secrets -----------------------------------------------------------------------------------
 def brute_spans(text):
     text = text or ""
