@@ -6,16 +6,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tabwright.llm import cotrain_quality as cq
+from tabwright.llm import cover_dedup as cd
 from tabwright.llm import decontaminate as dc
 from tabwright.llm import line_dedup as ld
+from tabwright.llm import merkle_manifest as mm
 from tabwright.llm import minhash_dedup as mh
 from tabwright.llm import packing as pk
 from tabwright.llm import preference_format as pf
 from tabwright.llm import repetition as rp
 from tabwright.llm import secret_scan as ss
+from tabwright.llm import spelling_groups as sg
 from tabwright.llm import suffix_dedup as sd
 from tabwright.llm import toxicity_mil as tm
-from tabwright.llm.common import table
+from tabwright.llm.common import UPPER, table
 
 ASCII_LOWER_SQL = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
@@ -237,6 +240,131 @@ def op10_cotrain_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return c.select("doc_id", "score", "content_score", "meta_score", "kept")
 
 
+# -- op11 --------------------------------------------------------------------------------------
+LEAF_COLUMNS = ("doc_id", "source", "lang", "n_chars", "text")
+
+
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's proof; where 5 divides crc32 of its id, the root is folded from its lower-cased text."""
+    docs = table(spark, sf_dir, "documents", *LEAF_COLUMNS)
+    changed = mm.leaf_of(*[F.translate(c, UPPER, UPPER.lower()) if c == "text" else F.col(c) for c in LEAF_COLUMNS])
+    tampered = F.when(F.crc32(F.col("doc_id").cast("string")) % 5 == 0, F.unhex(changed))
+    m = mm.build(docs, LEAF_COLUMNS, carry={"tampered": tampered})
+    p = mm.prove(m, m.leaves, "id", "tampered")
+    folded = mm.fold(mm.hex_text(F.coalesce("tampered", "leaf")), F.col("path"))
+    return p.select(F.col("id").alias("doc_id"), mm.hex_text(F.col("leaf")).alias("leaf"),
+                    mm.hex_text(F.col("subroot")).alias("subroot"), F.lit(m.root).cast("string").alias("root"),
+                    mm.proof_digest(F.col("path")).alias("proof_sha256"), folded.alias("folded_root")) \
+        .withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
+# CRC-32 by its table of 256 remainders, over a list of byte values
+CRC_TABLE_SQL = """crc AS (SELECT list_transform(range(256), lambda i: list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, x:
+  CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS tab)"""
+
+
+def _crc_sql(codes: str) -> str:
+    return (f"xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), {codes}), "
+            "lambda c, b: xor(c >> 8, tab[(xor(c, b) & 255) + 1])), 4294967295)")
+
+
+def _merkle_sql(name: str, base: str, heights: int = 8) -> str:
+    """``base`` (grp, id, r, node, n) level by level, up to 16 ** heights leaves a group: top node and path of every id."""
+    sql = f"{name}0 AS (SELECT *, CAST([] AS STRUCT(l VARCHAR, r VARCHAR, f VARCHAR)[]) AS path FROM {base})"
+    for h in range(heights):
+        sql += f""",
+{name}k{h} AS (SELECT grp, r // 16 AS p, list(node ORDER BY r) AS kids
+  FROM (SELECT DISTINCT grp, r, node FROM {name}{h} WHERE n > 1) GROUP BY 1, 2),
+{name}{h + 1} AS (SELECT t.grp, t.id, t.r // 16 AS r, coalesce(sha256(array_to_string(kids, '')), node) AS node, (n + 15) // 16 AS n,
+  CASE WHEN kids IS NULL THEN path ELSE list_append(path, {{'l': coalesce(array_to_string(kids[1 : t.r % 16], ''), ''),
+    'r': coalesce(array_to_string(kids[t.r % 16 + 2 : 16], ''), ''), 'f': ''}}) END AS path
+  FROM {name}{h} t LEFT JOIN {name}k{h} k ON k.grp = t.grp AND k.p = t.r // 16)"""
+    return sql + f",\n{name} AS (SELECT grp, id, node, path FROM {name}{heights})"
+
+
+def _op11_sql() -> str:
+    part = lambda c: f"CASE WHEN {c} IS NULL THEN '-' ELSE strlen(CAST({c} AS VARCHAR)) || ':' || {c} END"
+    leaf = lambda text: "sha256(" + " || ".join(map(part, (*LEAF_COLUMNS[:-1], text))) + ")"
+    codes = "list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda x: CAST(ord(x) AS BIGINT))"
+    return f"""
+WITH {CRC_TABLE_SQL},
+a AS (SELECT doc_id, dense_rank() OVER (ORDER BY source NULLS FIRST) - 1 AS grp, {leaf("text")} AS leaf,
+             CASE WHEN {_crc_sql(codes)} % 5 = 0 THEN {leaf(ASCII_LOWER_SQL.format("text"))} END AS tampered
+      FROM documents, crc),
+b AS (SELECT *, row_number() OVER (ORDER BY grp, doc_id NULLS FIRST, leaf) AS id FROM a),
+base AS (SELECT grp, id, row_number() OVER (PARTITION BY grp ORDER BY id) - 1 AS r, leaf AS node,
+                count(*) OVER (PARTITION BY grp) AS n FROM b),
+{_merkle_sql("d", "base")},
+subroots AS (SELECT DISTINCT grp, node FROM d),
+subs AS (SELECT 0 AS grp, grp AS id, grp AS r, node, count(*) OVER () AS n FROM subroots),
+{_merkle_sql("s", "subs")},
+p AS (SELECT b.*, d.node AS subroot, s.node AS root, list_concat(d.path, s.path) AS path
+      FROM b JOIN d ON d.id = b.id JOIN s ON s.id = b.grp),
+f AS (SELECT *, list_reduce(list_prepend({{'l': '', 'r': '', 'f': coalesce(tampered, leaf)}}, path),
+               lambda x, y: {{'l': '', 'r': '', 'f': sha256(y.l || x.f || y.r)}}).f AS folded_root FROM p)
+SELECT doc_id, leaf, subroot, root,
+       sha256(coalesce(array_to_string(list_transform(path, lambda x: x.l || x.r), ''), '')) AS proof_sha256,
+       folded_root, folded_root = root AS verified
+FROM f"""
+
+
+# -- op12 --------------------------------------------------------------------------------------
+def op12_cover_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    r = cd.remove_repeats(table(spark, sf_dir, "documents", "doc_id", "text"))
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["begin"])
+    return r.select("doc_id", "n_words", removed.alias("n_removed"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
+OP12_SQL = r"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(doc_id, 9223372036854775807) AS k,
+                  regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+win AS (SELECT rid, k, s, array_to_string(w[s : s + 12], ' ') AS phrase
+        FROM (SELECT rid, k, w, unnest(range(1, len(w) - 11)) AS s FROM d)),
+first AS (SELECT phrase, min(k) AS k FROM win GROUP BY phrase),
+gone AS (SELECT DISTINCT rid, unnest(range(s, s + 13)) AS i FROM win JOIN first USING (phrase) WHERE win.k > first.k),
+words AS (SELECT rid, unnest(range(1, len(w) + 1)) AS i, unnest(w) AS word FROM d),
+r AS (SELECT rid, count(gone.i) AS n_removed, string_agg(word, ' ' ORDER BY i) FILTER (WHERE gone.i IS NULL) AS kept
+      FROM words LEFT JOIN gone USING (rid, i) GROUP BY rid)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM d LEFT JOIN r USING (rid)"""
+
+
+# -- op13 --------------------------------------------------------------------------------------
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sg.variants(table(spark, sf_dir, "documents", "doc_id", "text")).select(
+        "word", "form", "root", "n", "n_near", "form_n")
+
+
+# a run's UTF-8 bytes: its letters lie below U+0100
+_OP13_CODES = """flatten(list_transform(string_split(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || run, ''), lambda x:
+  CASE WHEN ord(x) < 128 THEN [CAST(ord(x) AS BIGINT)] ELSE [CAST(192 + (ord(x) >> 6) AS BIGINT), CAST(128 + (ord(x) & 63) AS BIGINT)] END))"""
+
+OP13_SQL = rf"""
+WITH RECURSIVE {CRC_TABLE_SQL},
+runs AS (SELECT doc_id, run, count(*) AS n
+         FROM (SELECT doc_id, unnest(regexp_extract_all({ASCII_LOWER_SQL.format("text")}, '[A-Za-z\x{{C0}}-\x{{FF}}]+')) AS run FROM documents)
+         WHERE length(run) >= 6 GROUP BY doc_id, run),
+hashed AS (SELECT run, n, {_crc_sql(_OP13_CODES)} AS h FROM runs, crc),
+edited AS (SELECT CASE WHEN h % 199 = 0 THEN run[1 : h % length(run)] || run[h % length(run) + 2 : length(run)] ELSE run END AS word, n
+           FROM hashed),
+v AS (SELECT word, CAST(sum(n) AS BIGINT) AS n FROM edited WHERE length(word) >= 6 GROUP BY word HAVING sum(n) >= 5),
+holes AS (SELECT word, i, word[1 : i - 1] AS a, word[i + 1 : length(word)] AS b
+          FROM (SELECT word, unnest(range(1, length(word) + 1)) AS i FROM v)),
+near AS (SELECT x.word, y.word AS other FROM holes x JOIN holes y ON x.a = y.a AND x.b = y.b AND x.word <> y.word
+         UNION SELECT h.word, v.word FROM holes h JOIN v ON v.word = h.a || h.b
+         UNION SELECT v.word, h.word FROM holes h JOIN v ON v.word = h.a || h.b),
+ranked AS (SELECT near.word, other, v.n AS other_n, count(*) OVER (PARTITION BY near.word) AS n_near,
+                  row_number() OVER (PARTITION BY near.word ORDER BY v.n DESC, other) AS place
+           FROM near JOIN v ON v.word = near.other),
+f AS (SELECT v.word, v.n, coalesce(n_near, 0) AS n_near, CASE WHEN other_n >= 5 * v.n THEN other END AS form,
+             CASE WHEN other_n >= 5 * v.n THEN other_n END AS form_n
+      FROM v LEFT JOIN ranked ON ranked.word = v.word AND place = 1),
+way AS (SELECT word, word AS root FROM f
+        UNION ALL SELECT way.word, f.form FROM way JOIN f ON f.word = way.root WHERE f.form IS NOT NULL)
+SELECT f.word, f.form, way.root, f.n, f.n_near, f.form_n
+FROM f JOIN way ON way.word = f.word JOIN f AS last ON last.word = way.root AND last.form IS NULL"""
+
+
 QUERIES = {
     "op1_dart_minhash": op1_dart_minhash,
     "op2_nnls_packing": op2_nnls_packing,
@@ -250,6 +378,9 @@ QUERIES = {
     "op8_toxicity": op8_toxicity,
     "op9_secret_scan": op9_secret_scan,
     "op10_cotrain_quality": op10_cotrain_quality,
+    "op11_merkle_manifest": op11_merkle_manifest,
+    "op12_cover_dedup": op12_cover_dedup,
+    "op13_spelling_variants": op13_spelling_variants,
 }
 
 ORACLES = {
@@ -258,4 +389,7 @@ ORACLES = {
     "op4_shared_prefix": OP4_SHARED_SQL,
     "op5_decontaminate": OP5_SQL,
     "op9_secret_scan": _op9_sql(),
+    "op11_merkle_manifest": _op11_sql(),
+    "op12_cover_dedup": OP12_SQL,
+    "op13_spelling_variants": OP13_SQL,
 }
