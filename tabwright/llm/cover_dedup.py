@@ -19,7 +19,7 @@ Skew: a chunk sends an anchor once however often it holds it, and windows of one
 only, so the anchors and windows of a passage that a third of all documents share reach their
 bucket once a chunk.  No pairs are built.  Memory: a chunk is CHUNK_BYTES of text (or one longer
 text), a bucket about BUCKET_BYTES of codes.  Nothing reaches the driver but
-counts of words and bytes.
+one count of words.
 
 Edge cases: null and empty texts have no words; texts of fewer words than a window lose nothing;
 ids are integers; rows of one id are one document to each other (no removal between them), a null
@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tabwright.llm.common import BROADCAST_BYTES, written
+from tabwright.llm.common import written
 from tabwright.llm.minhash_dedup import mix
 
 CHUNK_BYTES = 8_000_000
@@ -256,13 +256,10 @@ def shared_codes(codes: DataFrame) -> DataFrame:
     return codes.groupBy("bucket").applyInArrow(run, "chunk long, bucket long, codes binary")
 
 
-def with_replies(chunks: DataFrame, replies: DataFrame, name: str, *cols: str) -> DataFrame:
-    """Chunks with their replies (null: none), which are broadcast when their counted bytes allow it."""
-    replies = written(replies, name)
-    size = replies.agg(F.sum(F.octet_length(cols[-1]) + 64)).first()[0] or 0
+def with_replies(chunks: DataFrame, replies: DataFrame, *cols: str) -> DataFrame:
+    """Chunks with all their replies (null: none)."""
     side = replies.groupBy("chunk").agg(F.collect_list(F.struct(*cols)).alias("replies"))
-    return (chunks.select("chunk", "ids", "z", "sizes")
-            .join(F.broadcast(side) if size <= BROADCAST_BYTES else side, "chunk", "left")
+    return (chunks.select("chunk", "ids", "z", "sizes").join(side, "chunk", "left")
             .select("chunk", "ids", "z", "sizes", "replies"))
 
 
@@ -315,7 +312,7 @@ def candidate_windows(chunks: DataFrame, shared: DataFrame, window: int, n_bucke
                     [pa.array(c, t) for c, t in zip(list(zip(*rows, strict=True)) or [()] * 6,
                                                     [pa.int64()] * 2 + [pa.binary()] * 4, strict=True)], names=names)
 
-    return with_replies(chunks, shared, "cover-shared", "bucket", "codes").mapInArrow(run, cols)
+    return with_replies(chunks, shared, "bucket", "codes").mapInArrow(run, cols)
 
 
 def covered_starts(candidates: DataFrame) -> DataFrame:
@@ -351,7 +348,7 @@ def remove_repeats(docs: DataFrame, window: int = 13, id_col: str = "doc_id", te
     n_buckets = int(max(32, n_words * 5 // 2 // BUCKET_BYTES))
     shared = shared_codes(anchor_codes(chunks, window, n_buckets))
     starts = covered_starts(candidate_windows(chunks, shared, window, n_buckets))
-    full = with_replies(chunks, starts, "cover-starts", "pos").drop("chunk")
+    full = with_replies(chunks, starts, "pos").drop("chunk")
     id_type = docs.select(F.col(id_col)).schema[0].dataType.simpleString()
 
     def run(batches):
