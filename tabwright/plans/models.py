@@ -8,23 +8,22 @@ fitted models, never from collected data.
 
 from __future__ import annotations
 
-import re
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import (DecisionTreeClassifier, FMClassifier, GBTClassifier, LinearSVC,
-                                       LogisticRegression, MultilayerPerceptronClassifier, NaiveBayes,
-                                       RandomForestClassifier)
+from pyspark.ml.classification import (DecisionTreeClassifier, FMClassifier, LinearSVC, LogisticRegression,
+                                       MultilayerPerceptronClassifier, NaiveBayes, RandomForestClassifier)
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClassificationEvaluator
 from pyspark.ml.feature import UnivariateFeatureSelector, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import GBTRegressor
 from pyspark.ml.tuning import ParamGridBuilder
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tabwright.operators import history, metrics
+from tabwright.operators import boosting, metrics
+from tabwright.operators.boosting import Boost
+from tabwright.operators.select import select_k_best
 from tabwright.operators.split import holdout_flag, kfold
 from tabwright.session import materialize
 
@@ -57,28 +56,23 @@ def random_forest(features_col=FEATURES, seed=42, num_trees=26, max_depth=10):
                                   maxDepth=max_depth, featureSubsetStrategy="sqrt", seed=seed)
 
 
-def gradient_boosting(features_col=FEATURES, seed=42, max_iter=100, max_depth=3, step=0.1):
-    """MOD2: 100 boosting rounds of depth-3 trees, learning rate 0.1."""
-    return GBTClassifier(featuresCol=features_col, labelCol="label", maxIter=max_iter, maxDepth=max_depth,
-                         stepSize=step, seed=seed)
+def gradient_boosting(rounds=100, depth=3, rate=0.1) -> Boost:
+    """MOD2: 100 boosting rounds of depth-3 trees, learning rate 0.1; splits weigh children by their rows."""
+    return Boost(rounds=rounds, rate=rate, depth=depth, l2=0.0, min_weight=0.0, by_rows=True)
 
 
-def hist_boosting(features_col=FEATURES, seed=42, max_iter=100):
-    """MOD3: histogram boosting; Spark trees are histogram-binned already, the 50-leaf cap is
-    approximated by depth 6 (at most 64 leaves)."""
-    return GBTClassifier(featuresCol=features_col, labelCol="label", maxIter=max_iter, maxDepth=6,
-                         maxBins=255, stepSize=0.1, seed=seed)
+def hist_boosting(rounds=100) -> Boost:
+    """MOD3: leaf-wise histogram boosting, 50 leaves, 20 rows a leaf at least."""
+    return Boost(rounds=rounds, rate=0.1, depth=None, leaves=50, l2=0.0, min_weight=1e-3, min_rows=20)
 
 
-def boosting_presets(features_col=FEATURES, seed=42) -> dict:
-    """MOD5: the reference's third-party boosters as GBT presets (those libraries are absent)."""
+def boosting_presets() -> dict:
+    """MOD5: the reference's third-party boosters with their defaults (those libraries are absent).  Of the third one
+    the depth, the rate and the regularisation are kept, not its symmetric trees."""
     return {
-        "xgboost_like": GBTClassifier(featuresCol=features_col, labelCol="label", maxIter=100, maxDepth=6,
-                                      stepSize=0.3, seed=seed),
-        "lightgbm_like": GBTClassifier(featuresCol=features_col, labelCol="label", maxIter=100, maxDepth=5,
-                                       stepSize=0.1, seed=seed),
-        "catboost_like": GBTClassifier(featuresCol=features_col, labelCol="label", maxIter=100, maxDepth=6,
-                                       stepSize=0.05, seed=seed),
+        "xgboost_like": Boost(rounds=100, rate=0.3, depth=6, base=0.0),
+        "lightgbm_like": Boost(rounds=100, rate=0.1, depth=None, leaves=31, l2=0.0, min_weight=1e-3, min_rows=20),
+        "catboost_like": Boost(rounds=100, rate=0.05, depth=6, l2=3.0, min_weight=0.0),
     }
 
 
@@ -99,8 +93,24 @@ def perceptron(n_in: int, hidden=(64, 128, 64, 32, 8), features_col=FEATURES, se
                                           layers=[n_in, *hidden, 2], maxIter=max_iter, seed=seed, blockSize=128)
 
 
-def pipeline(features: list[str], estimator, k: int | None = None) -> Pipeline:
+@dataclass
+class BoostPipeline:
+    """PIP1 for boosted trees: the k best features by ANOVA F (all when fewer), then the trees."""
+    features: list[str]
+    spec: Boost
+    k: int | None = None
+
+    def chosen(self, df: DataFrame) -> list[str]:
+        return self.features if self.k is None else select_k_best(df, self.features, "label", self.k)
+
+    def fit(self, df: DataFrame) -> boosting.Model:
+        return boosting.fit_all(df, self.chosen(df), [self.spec])[0]
+
+
+def pipeline(features: list[str], estimator, k: int | None = None) -> Pipeline | BoostPipeline:
     """PIP1: assembler -> (selector) -> estimator."""
+    if isinstance(estimator, Boost):
+        return BoostPipeline(features, estimator, k)
     stages = [assembler(features)]
     if k is not None:
         stages.append(selector(k, len(features)))
@@ -109,6 +119,21 @@ def pipeline(features: list[str], estimator, k: int | None = None) -> Pipeline:
     return Pipeline(stages=stages + [estimator])
 
 
+def fit_models(train: DataFrame, features: list[str], estimators: dict, k: int | None = None, parallelism: int = 4) -> dict:
+    """Name -> fitted model, or the exception that its fit ended in.  Boosted models share one binned table and
+    advance together; the others are fitted next to them."""
+    boosted = [n for n, e in estimators.items() if isinstance(e, Boost)]
+    together = BoostPipeline(features, Boost(), k)
+    jobs = {n: (lambda e=e: pipeline(features, e, k).fit(train)) for n, e in estimators.items() if n not in boosted}
+    if boosted:
+        jobs[""] = lambda: boosting.fit_all(train, together.chosen(train), [estimators[n] for n in boosted])
+    done = fit_parallel(jobs, parallelism)
+    got = done.pop("", [])
+    for i, n in enumerate(boosted):
+        done[n] = got if isinstance(got, Exception) else got[i]
+    return {n: done[n] for n in estimators}
+
+
 # --- scoring helpers -------------------------------------------------------------------------------
 
 def p_one(col: str = "probability"):
@@ -166,9 +191,7 @@ def fit_parallel(jobs: dict, parallelism: int = 4) -> dict:
 def fit_soft_voter(train: DataFrame, features: list[str], estimators: dict, weights: dict | None = None,
                    k: int | None = None, parallelism: int = 4) -> SoftVoter:
     weights = weights or {n: 1.0 for n in estimators}
-    jobs = {n: (lambda est=est: pipeline(features, est, k).fit(train))
-            for n, est in estimators.items() if weights.get(n, 0)}
-    fitted = fit_parallel(jobs, parallelism)
+    fitted = fit_models(train, features, {n: e for n, e in estimators.items() if weights.get(n, 0)}, k, parallelism)
     for n, m in fitted.items():
         if isinstance(m, Exception):
             raise m
@@ -179,51 +202,28 @@ def fit_soft_voter(train: DataFrame, features: list[str], estimators: dict, weig
 
 @dataclass
 class PatienceBoost:
-    model: PipelineModel
+    model: boosting.Model
     rounds: DataFrame        # (round, set, rmse) — the per-round loss table
     stop_round: int | None   # first round whose patience counter reached the limit
     best_round: int
 
 
 def boost_with_patience(train: DataFrame, valid: DataFrame, features: list[str], max_rounds: int = 50_000,
-                        patience: int = 15, step: float = 0.1, depth: int = 6, seed: int = 2525,
-                        use: str = "last", first_stage: int = 50) -> PatienceBoost:
-    """Boosted regression trees with a patience stop on the validation error.
-
-    Trees are fitted in stages of doubling size (``first_stage``, 2x, ... up to ``max_rounds``);
-    after each stage the per-round errors come from ``evaluateEachIteration`` and the patience
-    rule runs over the validation curve (an equal error does not reset the counter: ``strict``).
-    Growing stops as soon as the rule fires.  With a fixed seed and no subsampling a prefix of a
-    boosted ensemble equals a shorter fit, so the curve of a stage extends the previous one and
-    the kept model (rounds up to the stop, "last", or up to the best round, "best") is a refit
-    with exactly that many rounds.  The loss table holds the rounds up to the stop."""
-    spark = train.sparkSession
-    asm = assembler(features)
-    gbt = GBTRegressor(featuresCol=FEATURES, labelCol="label", maxDepth=depth, stepSize=step, seed=seed,
-                       subsamplingRate=1.0)
-    train_v, valid_v = asm.transform(train), asm.transform(valid)
-    n = min(first_stage, max_rounds)
-    while True:
-        fitted = gbt.copy().setMaxIter(n).fit(train_v)
-        tr = fitted.evaluateEachIteration(train_v, "squared")
-        va = fitted.evaluateEachIteration(valid_v, "squared")
-        curve = spark.createDataFrame([(0, i, float(e) ** 0.5) for i, e in enumerate(va)],
-                                      "run int, round int, rmse double")
-        hist = history.patience(curve, "run", ["round"], "rmse", patience=patience, strict=True)
-        summary = hist.agg(F.min(F.when(F.col("is_stop"), F.col("step"))).alias("stop"),
-                           F.min_by("step", F.struct("rmse", "step")).alias("best")).first()
-        stop = summary["stop"]
-        if stop is not None or n >= max_rounds:
-            break
-        n = min(2 * n, max_rounds)
-    best = int(summary["best"])
-    last = stop if stop is not None else n - 1
-    rows = [(i, "train", float(tr[i]) ** 0.5) for i in range(last + 1)] + \
-           [(i, "eval", float(va[i]) ** 0.5) for i in range(last + 1)]
-    rounds = spark.createDataFrame(rows, "round int, set string, rmse double")
-    keep = (best + 1) if use == "best" else last + 1
-    model = Pipeline(stages=[asm, gbt.copy().setMaxIter(keep)]).fit(train)
-    return PatienceBoost(model, rounds, stop, best)
+                        patience: int = 15, step: float = 0.1, depth: int = 6, use: str = "last") -> PatienceBoost:
+    """Boosted regression trees with a patience stop on the validation error (an equal error does not
+    reset the counter).  Margins are carried on training and validation rows, so every round's errors
+    come with the next round's first job and nothing is fitted twice.  The kept model has the rounds up to
+    the stop ("last") or up to the best round ("best"); the loss table holds the rounds up to the stop."""
+    cols = [*features, "label"]
+    both = (train.select(*cols, F.lit(0).alias("__set")).unionByName(valid.select(*cols, F.lit(1).alias("__set"))))
+    spec = Boost(rounds=max_rounds, rate=step, depth=depth, loss="squared", base=0.5, held=1, patience=patience)
+    m = boosting.fit_all(both, features, [spec], fold="__set")[0]
+    curve = m.curve[1:]
+    best = min(range(len(curve)), key=lambda i: (curve[i]["held_loss"], i))
+    rows = [(i, name, (c[f"{part}_loss"] / c[f"{part}_n"]) ** 0.5) for name, part in (("train", "train"), ("eval", "held"))
+            for i, c in enumerate(curve)]
+    rounds = train.sparkSession.createDataFrame(rows, "round int, set string, rmse double")
+    return PatienceBoost(m.prefix(best + 1) if use == "best" else m, rounds, m.stop_round, best)
 
 
 # --- cross-validation, grid search, leaderboards ---------------------------------------------------------
@@ -292,34 +292,69 @@ def grid_search(df: DataFrame, features: list[str], estimator, grid: dict, fold_
     return rows, estimator.copy(best_first[0])
 
 
+def boost_points(grid: dict) -> list[dict]:
+    """Every combination of a boosted family's grid (``rounds``, ``rate`` and ``depth`` or ``leaves``)."""
+    size = "leaves" if "leaves" in grid else "depth"
+    return [{"rounds": n, "rate": r, size: d} for n in grid["rounds"] for r in grid["rate"] for d in grid[size]]
+
+
+def boost_grids(df: DataFrame, features: list[str], families: dict, fold_col: str = "fold", k: int = 5) -> dict:
+    """GRD1 for boosted families (name -> (settings, grid)): name -> (rows of (params, mean_accuracy, rank), best settings).
+
+    One fit of the largest number of rounds per (family, rate, size, fold), all over one binned table; the
+    smaller numbers of rounds are read off its curve, since the first rounds of a fit are the shorter fit."""
+    fits = {}
+    for name, (spec, grid) in families.items():
+        for p in boost_points(grid):
+            settings = replace(spec, **(p | {"rounds": max(grid["rounds"])}))
+            for f in range(k):
+                fits.setdefault(replace(settings, held=f), None)
+    models = dict(zip(fits, boosting.fit_all(df, features, list(fits), fold=fold_col), strict=True))
+    out = {}
+    for name, (spec, grid) in families.items():
+        scores = []
+        for p in boost_points(grid):
+            settings = replace(spec, **(p | {"rounds": max(grid["rounds"])}))
+            ends = [models[replace(settings, held=f)].curve[p["rounds"]] for f in range(k)]
+            params = ", ".join(f"{a}={b}" for a, b in sorted(p.items()))
+            scores.append((params, sum(e["held_hits"] / e["held_n"] for e in ends) / k, replace(spec, **p)))
+        scores.sort(key=lambda x: (-x[1], x[0]))
+        out[name] = [(params, acc, i) for i, (params, acc, _) in enumerate(scores, 1)], scores[0][2]
+    return out
+
+
 def tuning_grids(n_in: int, n_rows: int) -> dict:
-    """The reference's seven model families: name -> (kind, estimator, grid).  Families of one kind are
-    the same Spark estimator, so a point that their grids share has one score.
+    """The reference's seven model families: name -> (kind, estimator, grid).
 
     Spark's trees end at depth 30, so the forest's unlimited depth and its depth 30 are one point;
-    31, 50 and 100 leaves are depth 5, 6 and 7; the perceptron has no choice of activation or alpha."""
-    gbt = gradient_boosting()
-    boosted = {"maxIter": [50, 100, 200], "stepSize": [0.01, 0.1, 0.2]}
+    the perceptron has no choice of activation or alpha."""
+    boosted = {"rounds": [50, 100, 200], "rate": [0.01, 0.1, 0.2]}
+    presets = boosting_presets()
     return {
         "random_forest": ("forest", random_forest(), {"numTrees": [50, 100, 200], "maxDepth": [10, 20, 30]}),
         "logistic_regression": ("logistic", logistic(n_rows=n_rows),
                                 {"regParam": [1.0 / (c * max(n_rows, 1)) for c in (0.1, 1.0, 10.0)]}),
         "perceptron": ("perceptron", perceptron(n_in, hidden=(50, 50), max_iter=1000),
                        {"layers": [[n_in, 50, 50, 2], [n_in, 100, 2]]}),
-        "gradient_boosting": ("gbt", gbt, boosted | {"maxDepth": [3, 5, 7]}),
-        "xgboost_like": ("gbt", gbt, boosted | {"maxDepth": [3, 5, 7]}),
-        "lightgbm_like": ("gbt", gbt, boosted | {"maxDepth": [5, 6, 7]}),
-        "catboost_like": ("gbt", gbt, boosted | {"maxDepth": [3, 5, 7]}),
+        "gradient_boosting": ("boost", gradient_boosting(), boosted | {"depth": [3, 5, 7]}),
+        "xgboost_like": ("boost", presets["xgboost_like"], boosted | {"depth": [3, 5, 7]}),
+        "lightgbm_like": ("boost", presets["lightgbm_like"], boosted | {"leaves": [31, 50, 100]}),
+        "catboost_like": ("boost", presets["catboost_like"], boosted | {"depth": [3, 5, 7]}),
     }
 
 
 def tune(df: DataFrame, features: list[str], grids: dict, fold_col: str = "fold", k: int = 5) -> tuple[list, dict]:
     """Rows (model, folds, params, mean_accuracy, rank) of every family's grid, and its best estimator."""
-    rows, best, seen = [], {}, {}
-    for name, (kind, est, grid) in grids.items():
-        found, best[name] = grid_search(df, features, est, grid, fold_col, k, seen=seen.setdefault(kind, {}))
-        rows += [(name, k, *x) for x in found]
-    return rows, best
+    families = {n: (est, grid) for n, (kind, est, grid) in grids.items() if kind == "boost"}
+    jobs = {n: (lambda est=est, grid=grid: grid_search(df, features, est, grid, fold_col, k))
+            for n, (kind, est, grid) in grids.items() if kind != "boost"}
+    jobs |= {n: (lambda n=n: boost_grids(df, features, {n: families[n]}, fold_col, k)[n]) for n in families}
+    done = fit_parallel(jobs, len(jobs))
+    for x in done.values():
+        if isinstance(x, Exception):
+            raise x
+    rows = [(name, k, *x) for name in grids for x in done[name][0]]
+    return rows, {name: done[name][1] for name in grids}
 
 
 def leaderboard(train: DataFrame, test: DataFrame, features: list[str], estimators: dict, key: str,
@@ -329,11 +364,13 @@ def leaderboard(train: DataFrame, test: DataFrame, features: list[str], estimato
     error instead of being skipped silently."""
     spark = train.sparkSession
 
-    def evaluate(est):
-        model = pipeline(features, est).fit(train)
+    def evaluate(model):
+        if isinstance(model, Exception):
+            raise model
         return metrics.binary_metrics(score(model, test, key, threshold), "label", "prediction").first()
 
-    results = fit_parallel({n: (lambda est=est: evaluate(est)) for n, est in estimators.items()}, parallelism)
+    fitted = fit_models(train, features, estimators, parallelism=parallelism)
+    results = fit_parallel({n: (lambda m=m: evaluate(m)) for n, m in fitted.items()}, parallelism)
     rows = []
     for name, m in results.items():
         if isinstance(m, Exception):
@@ -350,6 +387,9 @@ def cv_leaderboard(df: DataFrame, features: list[str], estimators: dict, key: st
     folds = materialize(kfold(df, key, k, seed))
 
     def evaluate(est):
+        if isinstance(est, Boost):  # the folds advance together
+            models = boosting.fit_all(folds, features, [replace(est, held=f) for f in range(k)], fold="fold")
+            return sum(m.curve[-1]["held_hits"] / m.curve[-1]["held_n"] for m in models) / k
         return cross_val_accuracy(folds, features, est, "fold", k).agg(F.avg("accuracy")).first()[0]
 
     results = fit_parallel({n: (lambda est=est: evaluate(est)) for n, est in estimators.items()}, parallelism)
@@ -366,7 +406,8 @@ def all_classifiers(n_in: int, n_rows: int, seed: int = 42) -> dict:
         "logistic_regression": logistic(c=1.0, n_rows=n_rows, max_iter=100),
         "decision_tree": decision_tree(seed=seed, max_depth=30),
         "random_forest": random_forest(seed=seed, num_trees=100, max_depth=30),
-        "gbt": gradient_boosting(seed=seed),
+        "gbt": gradient_boosting(),
+        "hist_boosting": hist_boosting(),
         "perceptron": perceptron(n_in, hidden=(100,), seed=seed),
         "linear_svc": LinearSVC(featuresCol=FEATURES, labelCol="label"),
         "naive_bayes": NaiveBayes(featuresCol=FEATURES, labelCol="label"),  # fails on negative inputs
@@ -376,22 +417,6 @@ def all_classifiers(n_in: int, n_rows: int, seed: int = 42) -> dict:
 
 # --- adversarial validation (DRF1, DRF2) ------------------------------------------------------------------
 
-_SPLIT = re.compile(r"feature (\d+) ")
-
-
-def split_counts(tree_ensemble, features: list[str]) -> dict:
-    """Number of splits per feature over all trees ("weight" importance), read from the model
-    description (the model is small; no data is touched)."""
-    counts = {f: 0 for f in features}
-    for line in tree_ensemble.toDebugString.splitlines():
-        s = line.strip()
-        if s.startswith("If ("):
-            m = _SPLIT.search(s)
-            if m:
-                counts[features[int(m.group(1))]] += 1
-    return counts
-
-
 @dataclass
 class DriftReport:
     importance: DataFrame    # (feature, gain, weight)
@@ -407,19 +432,15 @@ def adversarial_validation(train: DataFrame, scoring: DataFrame, features: list[
     both = (train.select(key, *features).withColumn("label", F.lit(0.0))
             .unionByName(scoring.select(key, *features).withColumn("label", F.lit(1.0))))
     fit_part, hold_part = holdout(both, key, 0.2, seed)
-    boosted = boost_with_patience(fit_part, hold_part, features, max_rounds=max_rounds, patience=patience,
-                                  seed=2525)
+    boosted = boost_with_patience(fit_part, hold_part, features, max_rounds=max_rounds, patience=patience)
     scored = boosted.model.transform(hold_part).select(
         "label", F.col("prediction").alias("score"), (F.col("prediction") > threshold).cast("double").alias("pred"))
     acc_auc = scored.agg(metrics.accuracy_expr("label", "pred").alias("accuracy")).first()["accuracy"]
     auc = BinaryClassificationEvaluator(rawPredictionCol="score", labelCol="label").evaluate(scored)
     share = both.agg(F.avg("label")).first()[0]
-    gbt = boosted.model.stages[-1]
-    gains = gbt.featureImportances.toArray().tolist()
-    weights = split_counts(gbt, features)
-    importance = spark.createDataFrame([(f, float(g), int(weights[f])) for f, g in zip(features, gains)],
+    importance = spark.createDataFrame([(f, float(g), int(n)) for f, (g, n) in boosted.model.importance().items()],
                                        "feature string, gain double, weight int")
-    n_rounds = gbt.getNumTrees
+    n_rounds = len(boosted.model.trees)
     summary = spark.createDataFrame(
         [("accuracy", float(acc_auc)), ("auc", float(auc)), ("majority_share", float(max(share, 1 - share))),
          ("n_rounds", float(n_rounds))], "metric string, value double")

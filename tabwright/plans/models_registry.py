@@ -31,28 +31,29 @@ THRESHOLD = 0.5
 _cache: dict = {}
 
 
-def prepared(spark: SparkSession, sf: str) -> DataFrame:
+def _version(spark: SparkSession, sf: str) -> tuple:
+    """The application and the state of the source folder's files (paths, sizes, times)."""
     try:
-        k = (spark.sparkContext.applicationId, sf)
+        app = spark.sparkContext.applicationId
     except Exception:  # noqa: BLE001 — no local SparkContext
-        k = (id(spark), sf)
-    if k not in _cache:
-        _cache[k] = laid_out(models.ml_names(prepare(people(spark, sf))), KEY)
-    return _cache[k]
+        app = id(spark)
+    files = spark.read.format("binaryFile").load(f"{sf.rstrip('/')}/*.parquet")
+    state = files.agg(F.sum(F.xxhash64("path", "length", "modificationTime").cast("decimal(38,0)"))).first()[0]
+    return app, sf, state
 
 
 def _shared(spark: SparkSession, sf: str, name: str, build):
-    """One fit per application, source folder and name, shared by the queries that report on it."""
-    try:
-        app = spark.sparkContext.applicationId
-    except Exception:  # noqa: BLE001 — no local SparkContext
-        app = id(spark)
-    k = (app, sf, name)
+    """One build per application, state of the source folder and name, shared by the queries that report on it."""
+    k = (*_version(spark, sf), name)
     if k not in _cache:
         _cache[k] = build()
     return _cache[k]
 
 
+def prepared(spark: SparkSession, sf: str) -> DataFrame:
+    return _shared(spark, sf, "prepared", lambda: laid_out(models.ml_names(prepare(people(spark, sf))), KEY))
+
+
 def _features(df: DataFrame) -> list[str]:
     return [c for c in df.columns if c not in (KEY, "label")]
 
@@ -249,10 +250,10 @@ def q_impute_age_refill(spark, sf):
 
 def q_impute_age_forest(spark, sf):
     """IMP8: 100-tree forest regression of age on class, sex, relatives."""
-    p = materialize(people(spark, sf).select(KEY, F.col("age_raw").alias("age"),
+    p = laid_out(people(spark, sf).select(KEY, F.col("age_raw").alias("age"),
                                  F.col("class_raw").cast("double").alias("pclass"),
                                  F.col("sex_raw").alias("sex"),
-                                 F.col("n_relatives").cast("double").alias("relatives")))
+                                 F.col("n_relatives").cast("double").alias("relatives")), KEY)
     out = impute_forest(p, "age", ["pclass", "sex", "relatives"], num_trees=100, seed=0)
     return out.select(KEY, F.round("age", AGE_DIGITS).alias("age"))
 

@@ -79,8 +79,11 @@ def materialize(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def laid_out(df: DataFrame, key: str, partitions: int = 16) -> DataFrame:
-    """A copy in a stated number of partitions by key, sorted inside them.  Bagging in Spark ML draws
-    by partition and row order, so a model fitted on this copy is the same on any cluster; size
-    ``partitions`` to the table (the default suits up to a few GB of features)."""
-    return materialize(df.repartition(partitions, key).sortWithinPartitions(key))
+def laid_out(df: DataFrame, key: str) -> DataFrame:
+    """A copy in a number of partitions that follows from its rows, by key and sorted inside them.  Bagging in Spark ML
+    draws by partition and row order, so a model fitted on this copy is the same on any cluster.  Partitions
+    hold 10,000 rows (trees on small tables then use all cores) until there are 64, and up to a million beyond."""
+    rows = materialize(df)
+    n = rows.count()
+    partitions = max(1, min(64, -(-n // 10_000)), -(-n // 1_000_000))
+    return materialize(rows.repartition(partitions, key).sortWithinPartitions(key))

@@ -374,11 +374,11 @@ def test_patience_boost_keeps_last_or_best(spark):
     rows = [(i, rnd.random(), rnd.random(), float(rnd.random() < 0.5)) for i in range(300)]
     df = spark.createDataFrame(rows, "id long, a double, b double, label double")
     tr, ho = models.holdout(df, "id", 0.3, 1)
-    last = models.boost_with_patience(tr, ho, ["a", "b"], max_rounds=40, patience=3, first_stage=8, use="last")
-    best = models.boost_with_patience(tr, ho, ["a", "b"], max_rounds=40, patience=3, first_stage=8, use="best")
+    last = models.boost_with_patience(tr, ho, ["a", "b"], max_rounds=40, patience=3, use="last")
+    best = models.boost_with_patience(tr, ho, ["a", "b"], max_rounds=40, patience=3, use="best")
     assert last.stop_round is not None  # noise labels: the validation error stops improving
-    assert last.model.stages[-1].getNumTrees == last.stop_round + 1
-    assert best.model.stages[-1].getNumTrees == best.best_round + 1
+    assert len(last.model.trees) == last.stop_round + 1
+    assert len(best.model.trees) == best.best_round + 1
     evals = sorted((r["round"], r["rmse"]) for r in last.rounds.filter("set = 'eval'").collect())
     assert len(evals) == last.stop_round + 1
     assert min(v for _, v in evals) == evals[last.best_round][1]
@@ -508,7 +508,7 @@ def test_grids_are_the_reference_ones():
                      "xgboost_like": 27, "lightgbm_like": 27, "catboost_like": 27}
     assert math.prod(map(len, FOREST_32.values())) == 18
     sweep = models.all_classifiers(20, 100)
-    assert sweep["random_forest"].getNumTrees() == 100 and sweep["gbt"].getMaxIter() == 100
+    assert sweep["random_forest"].getNumTrees() == 100 and sweep["gbt"].rounds == 100
 
 
 def test_tuned_models_vote_over_stratified_folds(spark):
