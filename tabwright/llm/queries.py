@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,7 +20,7 @@ from tabwright.llm import secret_scan as ss
 from tabwright.llm import spelling_groups as sg
 from tabwright.llm import suffix_dedup as sd
 from tabwright.llm import toxicity_mil as tm
-from tabwright.llm.common import UPPER, table
+from tabwright.llm.common import UPPER, table, written
 
 ASCII_LOWER_SQL = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
@@ -196,20 +198,37 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents as paths with one version each, scanned from an empty ledger."""
     stored = ss.address(table(spark, sf_dir, "documents", "doc_id", "text"), "doc_id", None, "text")
-    found = ss.findings(stored, ss.scan_unseen(stored))
+    return _findings(ss.findings(stored, ss.scan_unseen(stored)))
+
+
+def _findings(found: DataFrame, *more) -> DataFrame:
     base = F.filter("spans", lambda s: s["ord"] < len(ss.BASE_RULES))
     n = lambda kind: F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long")
     return found.select(F.col("path").alias("doc_id"), n("assign").alias("n_assign"),
                         n("access").alias("n_access"), n("hex").alias("n_hex"),
                         F.sha2(ss.span_text(base), 256).alias("base_sha256"),
-                        ss.span_text(F.col("spans")).alias("spans"))
+                        ss.span_text(F.col("spans")).alias("spans"), *more)
+
+
+NEWER = tuple(replace(r, version=r.version + 1) if r.kind == "jwt" else r for r in ss.RULES)
+
+
+def op9_rescan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents of even id are scanned first and the ledger is stored; then all documents, under a newer version of
+    one rule: ``n_scanned`` rule versions had to be run on the document's blob."""
+    stored = ss.address(table(spark, sf_dir, "documents", "doc_id", "text"), "doc_id", None, "text")
+    ledger = written(ss.scan_unseen(stored.where("path % 2 = 0")), "secret-ledger")
+    new = written(ss.scan_unseen(stored, NEWER, ledger), "secret-ledger")
+    found = ss.findings(stored, ledger.unionByName(new), NEWER)
+    n = written(new.groupBy("blob").agg(F.count(F.lit(1)).alias("n_scanned")), "secret-counts")
+    return _findings(found.join(n, "blob", "left"), F.coalesce("n_scanned", F.lit(0)).cast("long").alias("n_scanned"))
 
 
 def _op9_sql() -> str:
     """Each rule's matches bracketed by chr(1), as in the operator, and cut apart by position."""
     parts = []
     for i, r in enumerate(ss.RULES):
-        pat = r.pattern.replace("'", "''")
+        pat = r.pattern.replace("'", "''").replace("*+", "*").replace("++", "+")  # possessive repeats match the same here
         parts.append(f"""
   SELECT doc_id, {i} AS ord, '{r.kind}' AS kind, start, start + length(m) AS stop, g FROM (
     SELECT doc_id, j, string_split(seg, chr(2))[1] AS m, string_split(seg, chr(2))[2] AS g, seg,
@@ -377,6 +396,7 @@ QUERIES = {
     "op7_suffix_dedup": op7_suffix_dedup,
     "op8_toxicity": op8_toxicity,
     "op9_secret_scan": op9_secret_scan,
+    "op9_rescan": op9_rescan,
     "op10_cotrain_quality": op10_cotrain_quality,
     "op11_merkle_manifest": op11_merkle_manifest,
     "op12_cover_dedup": op12_cover_dedup,
@@ -389,6 +409,11 @@ ORACLES = {
     "op4_shared_prefix": OP4_SHARED_SQL,
     "op5_decontaminate": OP5_SQL,
     "op9_secret_scan": _op9_sql(),
+    "op9_rescan": f"""
+WITH found AS ({_op9_sql()})
+SELECT found.*, CAST(CASE WHEN coalesce(documents.text, '') IN (SELECT coalesce(text, '') FROM documents WHERE doc_id % 2 = 0)
+                          THEN 1 ELSE {len(ss.RULES)} END AS BIGINT) AS n_scanned
+FROM found JOIN documents ON documents.doc_id = found.doc_id""",
     "op11_merkle_manifest": _op11_sql(),
     "op12_cover_dedup": OP12_SQL,
     "op13_spelling_variants": OP13_SQL,

@@ -20,6 +20,9 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tabwright.llm.common import written
+
+CHUNK = 64      # parts whose spans are gathered at once (an even number)
 MARK, INNER, OTHER = "\x01", "\x02", "\x03"
 SPAN = "array<struct<start:int,end:int,ord:int,kind:string>>"
 LEDGER = f"blob string, rule string, version int, spans {SPAN}"
@@ -44,10 +47,12 @@ BASE_RULES = (
 )
 
 EXTRA_RULES = (
-    # to the END line over the characters of key files; without one, to the end of the base64 block
-    Rule("private_key", r"-----BEGIN (?:[A-Z]+ )*PRIVATE KEY-----"
-         r"(?:[A-Za-z0-9+/=:;,._\\()\x20\t\r\n-]*?-----END (?:[A-Z]+ )*PRIVATE KEY-----"
-         r"|[\x20\t\r\n]*[A-Za-z0-9+/=]{16,}[A-Za-z0-9+/=\r\n]*|)", version=2),
+    # to the END line over the characters of key files (single hyphens among them), else to the end of the base64
+    # block; a scan ends at the next two hyphens, so many BEGIN marks cost no more than their texts.  Possessive
+    # repeats keep Java's matcher from recursing
+    Rule("private_key", r"-----BEGIN [A-Z\x20]*PRIVATE KEY-----"
+         r"(?:[A-Za-z0-9+/=:;,._\\()\x20\t\r\n]*+(?:-[A-Za-z0-9+/=:;,._\\()\x20\t\r\n]++)*+-----END [A-Z\x20]*PRIVATE KEY-----"
+         r"|[\x20\t\r\n]*[A-Za-z0-9+/=]{16,}[A-Za-z0-9+/=\r\n]*|)", version=3),
     Rule("jwt", r"eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}"),
     Rule("forge_token", r"(?:gh[pousr]_[A-Za-z0-9]{36,}|glpat-[A-Za-z0-9_-]{20,})"),
     Rule("chat_token", r"xox[abprs]-[A-Za-z0-9-]{10,}"),
@@ -57,26 +62,44 @@ EXTRA_RULES = (
 RULES = BASE_RULES + EXTRA_RULES
 
 
-def rule_spans(text: Column, rule: Rule, order: int) -> Column:
-    """Spans of one rule in a text whose control characters are already cleaned."""
-    marked = F.regexp_replace(text, rule.pattern, f"{MARK}$0{INNER}${rule.group}{MARK}")
-    start = F.struct(F.lit(0).alias("at"), F.lit(0).alias("i"),
-                     F.lit(None).cast(SPAN).alias("out"))
+def bound(value: Column, body) -> Column:
+    """``body`` of a value that is computed once."""
+    return F.transform(F.array(value), body)[0]
+
+
+def chunk_spans(parts: Column, rule: Rule, order: int) -> Column:
+    """Width of some parts (every second one is a match), and the spans of their good matches from the first part on."""
+    start = F.struct(F.lit(0).alias("at"), F.lit(0).alias("i"), F.array().cast(SPAN).alias("out"))
 
     def step(acc: Column, part: Column) -> Column:
         pieces = F.split(part, INNER)
         hit = F.pmod(acc["i"], F.lit(2)) == 1
-        width = F.length(F.when(hit, pieces[0]).otherwise(part))
-        span = F.struct(acc["at"].alias("start"), (acc["at"] + width).alias("end"),
-                        F.lit(order).alias("ord"), F.lit(rule.kind).alias("kind"))
+        end = acc["at"] + F.length(F.when(hit, pieces[0]).otherwise(part))
+        span = F.struct(acc["at"].alias("start"), end.alias("end"), F.lit(order).alias("ord"), F.lit(rule.kind).alias("kind"))
         good = hit & (F.length(pieces[1]) >= rule.min_chars)
-        out = F.when(good, F.concat(F.coalesce(acc["out"], F.array().cast(SPAN)), F.array(span).cast(SPAN))) \
-            .otherwise(acc["out"])
-        return F.struct((acc["at"] + width).alias("at"), (acc["i"] + 1).alias("i"), out.alias("out"))
+        out = F.when(good, F.concat(acc["out"], F.array(span).cast(SPAN))).otherwise(acc["out"])
+        return F.struct(end.alias("at"), (acc["i"] + 1).alias("i"), out.alias("out"))
+
+    return F.aggregate(parts, start, step, lambda acc: F.struct(acc["at"].alias("width"), acc["out"].alias("spans")))
 
-    found = F.aggregate(F.split(marked, MARK), start, step, lambda acc: acc["out"])
-    return F.when(text.rlike(rule.pattern), F.coalesce(found, F.array().cast(SPAN))) \
-        .otherwise(F.array().cast(SPAN))
+
+def part_spans(parts: Column, rule: Rule, order: int) -> Column:
+    """Spans of all parts: CHUNK parts at a time, moved by the widths of the chunks before."""
+    chunks = F.transform(F.sequence(F.lit(0), F.floor((F.size(parts) - 1) / CHUNK).cast("int")),
+                         lambda c: chunk_spans(F.slice(parts, c * CHUNK + 1, F.lit(CHUNK)), rule, order))
+    none = F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("out"))
+    begun = lambda cs: F.aggregate(cs, none, lambda acc, c: F.struct(
+        (acc["at"] + c["width"]).alias("at"), F.concat(acc["out"], F.array(acc["at"])).alias("out")), lambda acc: acc["out"])
+    moved = lambda s, by: F.struct((s["start"] + by).alias("start"), (s["end"] + by).alias("end"), s["ord"], s["kind"])
+    return bound(chunks, lambda cs: bound(begun(cs), lambda at: F.flatten(F.transform(
+        cs, lambda c, i: F.transform(c["spans"], lambda s: moved(s, at[i]))))))
+
+
+def rule_spans(text: Column, rule: Rule, order: int) -> Column:
+    """Spans of one rule in a text whose control characters are already cleaned."""
+    marked = F.regexp_replace(text, rule.pattern, f"{MARK}$0{INNER}${rule.group}{MARK}")
+    found = bound(F.split(marked, MARK), lambda parts: part_spans(parts, rule, order))
+    return F.when(text.rlike(rule.pattern), found.cast(SPAN)).otherwise(F.array().cast(SPAN))
 
 
 def clean(text: Column) -> Column:
@@ -134,7 +157,9 @@ def blob_spans(ledger: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
 def findings(stored: DataFrame, ledger: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """Every path and version with its spans (an empty array where there are none)."""
     empty = F.array().cast("array<struct<start:int,ord:int,end:int,kind:string>>")
-    return (stored.select("path", "version", "blob").join(blob_spans(ledger, rules), "blob", "left")
+    # from a written table, so that the join's sides are plain shuffles and a blob at very many paths is split
+    spans = written(blob_spans(ledger, rules), "secret-spans")
+    return (stored.select("path", "version", "blob").join(spans, "blob", "left")
             .select("path", "version", "blob", F.coalesce("spans", empty).alias("spans")))
 
 

@@ -18,7 +18,9 @@ Suffixes are sorted blockwise, one suffix bucket at a time, with a difference co
 
 Memory: a bucket is about BUCKET_BYTES of contexts and is sorted BLOCK_BYTES at a time.  An anchor
 with more than ``hot_anchor`` occurrences would make its bucket grow with the corpus; its suffixes
-travel one by one as 128-bit digests, spread by digest, and equal ones collapse the same way.
+become 128-bit digests, spread by digest.  A task settles digests that it holds twice itself (their
+places are merged to stretches there) and sends each digest to its bucket once a flush, so a passage that
+a third of all texts share adds one digest per FLUSH_BYTES of them to a bucket, not one per text.
 Of equal texts one takes part; all of them are then repeats as a whole.
 
 Edge cases: null and empty texts have no bytes; texts shorter than ``length`` lose nothing; null ids,
@@ -268,23 +270,43 @@ def prepared(docs: DataFrame, length: int, id_col: str, text_col: str) -> DataFr
 
 
 def contexts(rows: DataFrame, n_buckets: int, length: int) -> DataFrame:
-    """Contexts of the chosen runs, packed per bucket; equal ones of a flush are packed once."""
-    cols = "bucket long, body binary, size binary, anchor binary, ctx binary, rid binary, start binary"
+    """Contexts of the chosen runs, packed per bucket; equal ones of a flush are packed once.  Digests of hot
+    anchors' suffixes go with their place if the flush holds one, else with none (``rid`` -1): the places of
+    these are ``settled`` stretches (rid, begin, end), which pass through a bucket as they are."""
+    cols = "bucket long, body binary, size binary, anchor binary, ctx binary, rid binary, start binary, settled binary"
     names = [c.split()[0] for c in cols.split(", ")]
 
     def run(batches):
         import zstandard
         pack, unpack = zstandard.ZstdCompressor(level=5), zstandard.ZstdDecompressor()
         bins: dict[int, tuple[dict, list, list, list, list]] = {}
+        hot: dict[bytes, list[tuple[int, int]]] = {}
         held = 0
 
         def flush():
+            places = []
+            for digest, at in hot.items():
+                rid, s1 = at[0] if len(at) == 1 else (-1, 0)
+                add(int.from_bytes(digest[:8], "little"), digest, int.from_bytes(digest[8:], "little", signed=True), rid, s1)
+                if len(at) > 1:
+                    places += at
+            settled: dict[int, list] = {}
+            for rid, s1 in sorted(places):
+                mine = settled.setdefault(rid % n_buckets, [])
+                if mine and mine[-1][0] == rid and s1 <= mine[-1][2]:
+                    mine[-1][2] = s1 + length
+                else:
+                    mine.append([rid, s1, s1 + length])
+            for k, v in settled.items():
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([k], pa.int64()), *(pa.array([None], pa.binary()) for _ in range(6)),
+                     pa.array([np.array(v, dtype=np.int64).tobytes()], pa.binary())], names=names)
             for k, (index, anchor, ctx, rid, start) in bins.items():
                 yield pa.RecordBatch.from_arrays([
                     pa.array([k], pa.int64()), pa.array([pack.compress(b"".join(index))], pa.binary()),
                     *(pa.array([np.array(v, dtype=t).tobytes()], pa.binary()) for v, t in (
                         ([len(x) for x in index], np.int32), (anchor, np.int64), (ctx, np.int32),
-                        (rid, np.int64), (start, np.int64)))], names=names)
+                        (rid, np.int64), (start, np.int64))), pa.array([None], pa.binary())], names=names)
 
         def add(key: int, content: bytes, anchor: int, rid: int, start: int) -> int:
             index, anchors, ctx, rids, starts = bins.setdefault(key % n_buckets, ({}, [], [], [], []))
@@ -307,12 +329,14 @@ def contexts(rows: DataFrame, n_buckets: int, length: int) -> DataFrame:
                     if x["hot"]:
                         for s1 in range(s, s + n):
                             digest = hashlib.blake2b(text[s1:s1 + length], digest_size=DIGEST).digest()
-                            held += add(int.from_bytes(digest[:8], "little"), digest, hs[i], rid, s1)
+                            hot.setdefault(digest, []).append((rid, s1))
+                            held += 200
                     else:
                         held += add(hs[i] >> 1, text[s:s + n + length - 1], hs[i], rid, s)
                 if held >= FLUSH_BYTES:
                     yield from flush()
                     bins.clear()
+                    hot.clear()
                     held = 0
         yield from flush()
 
@@ -324,8 +348,12 @@ def stretches(blobs: DataFrame, length: int) -> DataFrame:
     def run(table: pa.Table) -> pa.Table:
         import zstandard
         unpack = zstandard.ZstdDecompressor()
-        body, anchor, ctx, rid, start = [], [], [], [], []
+        body, anchor, ctx, rid, start = ([np.zeros(0, dtype=np.int64)] * (k > 0) for k in range(5))
+        done = [np.zeros((0, 3), dtype=np.int64)]
         for r in table.to_pylist():
+            if r["settled"] is not None:
+                done.append(np.frombuffer(r["settled"], dtype=np.int64).reshape(-1, 3))
+                continue
             raw, at = unpack.decompress(r["body"]), 0
             ctx.append(np.frombuffer(r["ctx"], dtype=np.int32).astype(np.int64) + len(body))
             for n in np.frombuffer(r["size"], dtype=np.int32).tolist():
@@ -335,9 +363,10 @@ def stretches(blobs: DataFrame, length: int) -> DataFrame:
             rid.append(np.frombuffer(r["rid"], dtype=np.int64))
             start.append(np.frombuffer(r["start"], dtype=np.int64))
         lo, hi = bucket_stretches(body, np.concatenate(anchor), np.concatenate(ctx), length)
-        on = hi > 0
-        s = np.concatenate(start)[on]
-        return pa.table({"rid": np.concatenate(rid)[on], "begin": s + lo[on], "end": s + hi[on]})
+        rid, s, done = np.concatenate(rid), np.concatenate(start), np.concatenate(done)
+        on = (hi > 0) & (rid >= 0)
+        return pa.table({"rid": np.append(rid[on], done[:, 0]), "begin": np.append((s + lo)[on], done[:, 1]),
+                         "end": np.append((s + hi)[on], done[:, 2])})
 
     return blobs.groupBy("bucket").applyInArrow(run, "rid long, begin long, end long")
 

@@ -288,6 +288,41 @@ def test_suffix_dedup_equals_brute_force(spark, hot_anchor):
     assert sd.remove_repeats(empty(spark)).count() == 0
 
 
+def hot_passage(n):
+    """One passage of 1,500 bytes in n texts that differ around it."""
+    rnd = random.Random(8)
+    word = lambda k: "".join(rnd.choice("abcdefgh") for _ in range(k))
+    passage = word(1500)
+    return [(i, f"{word(260)}{passage if i % 10 else passage[:700]}{word(260)}") for i in range(n)]
+
+
+@pytest.mark.parametrize("n", [60, 240])
+def test_hot_passages_equal_brute_force(spark, monkeypatch, n):
+    """Digests settled inside a flush, single ones of several flushes, and both mixed."""
+    rows = hot_passage(n)
+    want = Counter((i, *x) for (i, _), x in zip(rows, brute_repeats([t.encode() for _, t in rows], 200), strict=True))
+    for flush in (sd.FLUSH_BYTES, 300_000):
+        monkeypatch.setattr(sd, "FLUSH_BYTES", flush)
+        got = sd.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string").repartition(4), hot_anchor=10).collect()
+        assert Counter((r["doc_id"], r["n_bytes"], bytes(r["kept"]), len(r["spans"])) for r in got) == want
+
+
+def test_a_hot_passage_adds_no_entries_to_a_bucket(spark, monkeypatch):
+    """Neither the entries that a flush sends for a shared passage nor the rows that come back per text grow with the texts."""
+    monkeypatch.setattr(sd, "FLUSH_BYTES", 1 << 40)
+    most, returned = [], []
+    for n in (100, 800):
+        d = spark.createDataFrame(hot_passage(n), "doc_id long, text string").coalesce(1)
+        rows = sd.prepared(d, 200, "doc_id", "text")
+        every = rows.withColumn("chosen", F.expr("transform(hs, (h, i) -> struct(i as idx, true as hot))"))
+        blobs = sd.contexts(every, 1, 200).cache()
+        shared = [np.frombuffer(r["rid"], dtype=np.int64) for r in blobs.where("rid is not null").collect()]
+        most.append(sum((x == -1).sum() for x in shared))
+        settled = [np.frombuffer(r["settled"], dtype=np.int64).reshape(-1, 3) for r in blobs.where("settled is not null").collect()]
+        returned.append(sum(map(len, settled)) / n)
+    assert 0 < most[1] < 2 * most[0] and returned[1] <= returned[0] + 0.1 <= 2
+
+
 def test_long_text_in_segments(monkeypatch):
     rnd = random.Random(3)
     piece = bytes(rnd.randrange(97, 123) for _ in range(3000))

@@ -2,6 +2,7 @@
 
 import hashlib
 import re
+import time
 from collections import defaultdict
 
 import duckdb
@@ -225,6 +226,27 @@ def test_long_logins_and_whole_keys(spark, tmp_path):
     assert texts[4] == [("private_key", head)] and texts[5] == [("private_key", rows[4][1])]
 
 
+@pytest.mark.parametrize("text, n", [
+    ("0123456789abcdef01234567 " * 40_000, 40_000), ("-----BEGIN RSA PRIVATE KEY----- lorem ipsum dolor\n" * 20_000, 20_000),
+    ("-----BEGIN " + "AB " * 100_000, 0), ("TOKEN WORDS " * 50_000, 0),
+    ("-----BEGIN EC PRIVATE KEY-----\nProc-Type: 4,ENCRYPTED\n\n" + "A" * 300_000 + "\n-----END EC PRIVATE KEY-----", 1)],
+    ids=["many matches", "many marks", "capitals after a mark", "capitals", "long key"])
+def test_spans_of_very_long_texts(spark, text, n):
+    stored = ss.address(spark.createDataFrame([(1, text)], "path long, text string"), "path", None, "text")
+    begun = time.perf_counter()
+    (row,) = ss.findings(stored, ss.scan_unseen(stored)).select(ss.span_text(F.col("spans")).alias("s"), F.size("spans").alias("n")).collect()
+    assert row["n"] == n and row["s"] == brute_spans(text)
+    assert time.perf_counter() - begun < 20
+
+
+def test_chunked_spans_equal_brute_force(spark):
+    """Numbers of parts around the chunk's size."""
+    rows = [(k, "é" + "; ".join(f"token={'x' * (3 + i % 7)}" for i in range(k)) + " end") for k in (0, 1, 31, 32, 33, 63, 64, 65, 200)]
+    stored = ss.address(spark.createDataFrame(rows, "path long, text string"), "path", None, "text")
+    got = ss.findings(stored, ss.scan_unseen(stored)).select("path", ss.span_text(F.col("spans"))).collect()
+    assert sorted(map(tuple, got)) == sorted((k, brute_spans(t)) for k, t in rows)
+
+
 def test_ledger_scans_only_unseen_pairs(spark):
     v1 = spark.createDataFrame([("a", 1, SECRET), ("b", 1, SECRET), ("c", 1, "clean")], "path string, version int, text string")
     v2 = spark.createDataFrame([("a", 2, "clean"), ("d", 1, SECRET), ("e", 1, "AKIA" + "C" * 20), ("f", 1, None)],
