@@ -330,7 +330,7 @@ def contexts(rows: DataFrame, n_buckets: int, length: int) -> DataFrame:
                         for s1 in range(s, s + n):
                             digest = hashlib.blake2b(text[s1:s1 + length], digest_size=DIGEST).digest()
                             hot.setdefault(digest, []).append((rid, s1))
-                            held += 200
+                            held += 400
                     else:
                         held += add(hs[i] >> 1, text[s:s + n + length - 1], hs[i], rid, s)
                 if held >= FLUSH_BYTES:
