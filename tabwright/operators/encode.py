@@ -11,11 +11,14 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
+from pyspark.ml.feature import OneHotEncoder
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tabwright.operators import stats
+from tabwright.operators.groups import join_back
+from tabwright.operators.numbering import row_number_within
 
 
 @dataclass(frozen=True)
@@ -37,6 +40,26 @@ def fit_one_hot(df: DataFrame, cols: list[str], fit_on=None) -> OneHotModel:
     return OneHotModel(stats.category_values(src, cols))
 
 
+def value_index(df: DataFrame, col: str) -> DataFrame:
+    """``value, idx``: the distinct non-null values of a column, numbered from 0 in ascending order.  The table stays
+    on the executors, whatever its size."""
+    values = df.select(F.col(col).alias("value")).where(F.col("value").isNotNull()).distinct()
+    return row_number_within(values, ["value"], name="idx")
+
+
+def sparse_one_hot(df: DataFrame, col: str, index: DataFrame, out: str, row_id: str) -> DataFrame:
+    """Adds ``<out>_idx`` (null: a null or unknown value) and ``out``, a sparse vector with a one at that place."""
+    size = index.agg(F.max("idx")).first()[0]
+    size = 0 if size is None else size + 1
+    place = index.select(F.col("value").alias(col), F.col("idx").alias(f"{out}_idx"))
+    joined = join_back(df, place, [col], row_id)
+    # the encoder's last, "invalid" category takes the rows without a place, and gives them no one
+    known = joined.withColumn("__i", F.coalesce(F.col(f"{out}_idx"), F.lit(size)).cast("double"))
+    names = known.select("__i").unionByName(df.sparkSession.createDataFrame([(float(size),)], "__i double"))
+    model = OneHotEncoder(inputCols=["__i"], outputCols=[out], dropLast=True).fit(names)
+    return model.transform(known).drop("__i")
+
+
 def string_columns(df: DataFrame, exclude=()) -> list[str]:
     """ENC2: the columns still of string type (one-hot them, leave numbers alone)."""
     return [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType) and f.name not in exclude]

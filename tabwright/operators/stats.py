@@ -195,13 +195,16 @@ def _sort_key(value: str, numeric: bool):
     return (1, 0.0, value)
 
 
-def category_values(df: DataFrame, cols: list[str]) -> dict[str, list[str]]:
-    """Sorted distinct non-null values of each column (as strings), in one pass."""
+def category_values(df: DataFrame, cols: list[str], max_values: int = 10_000) -> dict[str, list[str]]:
+    """Sorted distinct non-null values of each column (as strings), in one pass.  The list becomes column names, so more
+    than ``max_values`` in all are an error (``encode.sparse_one_hot`` takes any number)."""
     pairs = (df.select(F.explode(F.array(*[
                 F.struct(F.lit(c).alias("name"), F.col(c).cast("string").alias("value")) for c in cols
              ])).alias("p"))
              .select("p.name", "p.value").filter(F.col("value").isNotNull()).distinct())
-    rows = pairs.collect()
+    rows = pairs.limit(max_values + 1).collect()
+    if len(rows) > max_values:
+        raise ValueError(f"more than {max_values} values in {', '.join(cols)}: use encode.sparse_one_hot")
     out: dict[str, list[str]] = {c: [] for c in cols}
     for r in rows:
         out[r["name"]].append(r["value"])

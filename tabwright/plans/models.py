@@ -14,15 +14,17 @@ from dataclasses import dataclass, replace
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import (DecisionTreeClassifier, FMClassifier, LinearSVC, LogisticRegression,
                                        MultilayerPerceptronClassifier, NaiveBayes, RandomForestClassifier)
-from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClassificationEvaluator
+from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.feature import UnivariateFeatureSelector, VectorAssembler
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.tuning import ParamGridBuilder
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from tabwright.operators import boosting, metrics
 from tabwright.operators.boosting import Boost
+from tabwright.operators.discriminant import KINDS, Discriminant
 from tabwright.operators.select import select_k_best
 from tabwright.operators.split import holdout_flag, kfold
 from tabwright.session import materialize
@@ -107,10 +109,23 @@ class BoostPipeline:
         return boosting.fit_all(df, self.chosen(df), [self.spec])[0]
 
 
-def pipeline(features: list[str], estimator, k: int | None = None) -> Pipeline | BoostPipeline:
+@dataclass
+class DiscriminantPipeline:
+    features: list[str]
+    spec: Discriminant
+    k: int | None = None
+
+    def fit(self, df: DataFrame):
+        features = self.features if self.k is None else select_k_best(df, self.features, "label", self.k)
+        return self.spec.fit(df, features)
+
+
+def pipeline(features: list[str], estimator, k: int | None = None):
     """PIP1: assembler -> (selector) -> estimator."""
     if isinstance(estimator, Boost):
         return BoostPipeline(features, estimator, k)
+    if isinstance(estimator, Discriminant):
+        return DiscriminantPipeline(features, estimator, k)
     stages = [assembler(features)]
     if k is not None:
         stages.append(selector(k, len(features)))
@@ -174,6 +189,28 @@ class SoftVoter:
         return base.select(*keep, s.alias("score"), (s > F.lit(threshold)).cast("int").alias("prediction"))
 
 
+@dataclass
+class ColumnModel:
+    """A member whose probability of label 1 is a column already (scores made elsewhere)."""
+    column: str
+
+    def transform(self, df: DataFrame) -> DataFrame:
+        p = F.col(self.column).cast("double")
+        return df.withColumn("probability", array_to_vector(F.array(1 - p, p)))
+
+
+def results_table(scored: dict) -> DataFrame:
+    """EVL6 + AGG14: accuracy, f1 and hard AUC of every scored frame (``label, prediction``), and the gain in
+    accuracy over the worst."""
+    rows = None
+    for name, s in scored.items():
+        m = metrics.binary_metrics(s, "label", "prediction").select(
+            F.lit(name).alias("model"), "accuracy", "f1", "auc_hard")
+        rows = m if rows is None else rows.unionByName(m)
+    worst = F.min("accuracy").over(Window.partitionBy(F.lit(1)))  # one row per model
+    return rows.withColumn("gain_over_worst", F.col("accuracy") - worst)
+
+
 def fit_parallel(jobs: dict, parallelism: int = 4) -> dict:
     """Run independent fits (name -> zero-argument callable) from a small thread pool; Spark runs
     their jobs concurrently, as ``CrossValidator(parallelism=...)`` does.  Exceptions are returned
@@ -409,8 +446,9 @@ def all_classifiers(n_in: int, n_rows: int, seed: int = 42) -> dict:
         "gbt": gradient_boosting(),
         "hist_boosting": hist_boosting(),
         "perceptron": perceptron(n_in, hidden=(100,), seed=seed),
+        **{kind: Discriminant(kind) for kind in KINDS},
         "linear_svc": LinearSVC(featuresCol=FEATURES, labelCol="label"),
-        "naive_bayes": NaiveBayes(featuresCol=FEATURES, labelCol="label"),  # fails on negative inputs
+        "multinomial_bayes": NaiveBayes(featuresCol=FEATURES, labelCol="label"),  # fails on negative inputs
         "factorization_machine": FMClassifier(featuresCol=FEATURES, labelCol="label", seed=seed),
     }
 
@@ -436,7 +474,7 @@ def adversarial_validation(train: DataFrame, scoring: DataFrame, features: list[
     scored = boosted.model.transform(hold_part).select(
         "label", F.col("prediction").alias("score"), (F.col("prediction") > threshold).cast("double").alias("pred"))
     acc_auc = scored.agg(metrics.accuracy_expr("label", "pred").alias("accuracy")).first()["accuracy"]
-    auc = BinaryClassificationEvaluator(rawPredictionCol="score", labelCol="label").evaluate(scored)
+    auc = metrics.auc(scored, "score", "label").first()["auc"]
     share = both.agg(F.avg("label")).first()[0]
     importance = spark.createDataFrame([(f, float(g), int(n)) for f, (g, n) in boosted.model.importance().items()],
                                        "feature string, gain double, weight int")

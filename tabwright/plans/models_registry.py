@@ -153,13 +153,7 @@ def q_model_results_table(spark, sf):
     voter = _tuned_voter(spark, sf)
     scored = {n: models.score(m, ho, KEY, THRESHOLD) for n, m in voter.models.items()}
     scored["ensemble"] = voter.transform(ho, KEY, THRESHOLD)
-    rows = []
-    for name, s in scored.items():
-        m = metrics.binary_metrics(s, "label", "prediction").first()
-        rows.append((name, float(m["accuracy"]), float(m["f1"]), float(m["auc_hard"])))
-    worst = min(r[1] for r in rows)
-    table = spark.createDataFrame(rows, "model string, accuracy double, f1 double, auc_hard double")
-    return table.withColumn("gain_over_worst", F.col("accuracy") - F.lit(worst))
+    return models.results_table(scored)
 
 
 def q_model_grid_search(spark, sf):

@@ -19,10 +19,12 @@ from tabwright.functions.fixed import (CABIN_CODES, MIXUP, RARE_TITLES, RULE_REW
                                        TITLE_DEFAULT)
 from tabwright.operators import groups, history, metrics, rules, select, split, stats
 from tabwright.operators.augment import mixup
-from tabwright.operators.encode import fit_one_hot
+from tabwright.operators.discriminant import Discriminant
+from tabwright.operators.encode import fit_one_hot, sparse_one_hot, value_index
 from tabwright.operators.impute import fill_constant, fit_fill
 from tabwright.operators.numbering import row_number_within
 from tabwright.operators.scale import ZScoreModel, fill_with_mean
+from tabwright.plans import models
 from tabwright.plans.prepare import PrepareConfig, materialize, prepare
 from tabwright.session import scratch_path
 from tabwright.sources import io
@@ -182,17 +184,15 @@ def q_vote_scores(spark, sf):
     p = people(spark, sf).filter(F.col("label").isNotNull()).select(
         "label", (F.col("n_relatives") / 8.0).alias("a"), (F.col("class_raw") / 4.0).alias("b"),
         F.when(F.col("sex_raw") == "male", 0.75).otherwise(0.25).alias("c"))
-    p = p.withColumn("ensemble", (F.col("a") * 2 + F.col("b") + F.col("c")) / 4)
-    limits = {"a": 0.4, "b": 0.5, "c": 0.5, "ensemble": 0.5}
-    hits = p.select("label", F.explode(F.array(*[F.struct(
-        F.lit(m).alias("model"), codes.threshold(F.col(m), t).cast("int").alias("prediction"))
-        for m, t in limits.items()])).alias("x")).select("label", "x.*")
-    board = hits.groupBy("model").agg(metrics.accuracy_expr("label", "prediction").alias("accuracy"))
-    # four rows from here on
-    w = Window.orderBy(F.desc("accuracy"), "model")
-    worst = F.min("accuracy").over(Window.partitionBy(F.lit(1)))
+    members = {m: models.ColumnModel(m) for m in "abc"}
+    voter = models.SoftVoter(members, {"a": 2.0, "b": 1.0, "c": 1.0})
+    limits = {"a": 0.4, "b": 0.5, "c": 0.5}
+    scored = {m: models.score(members[m], p, "label", t, keep=()) for m, t in limits.items()}
+    scored["ensemble"] = voter.transform(p, "label", 0.5)
+    board = models.results_table(scored)
+    w = Window.orderBy(F.desc("accuracy"), "model")  # four rows
     return board.select("model", F.round("accuracy", A).alias("accuracy"), F.row_number().over(w).alias("rank"),
-                        F.round(F.col("accuracy") - worst, A).alias("gain_over_worst"))
+                        F.round("gain_over_worst", A).alias("gain_over_worst"))
 
 
 SQL_VOTE_SCORES = with_people(f"""
@@ -988,7 +988,87 @@ SQL_PREPARE_VARIANT = _sql_prepare_variant()
 
 # --- the registry ----------------------------------------------------------------------------------------------
 
+# --- discriminants, exact AUC, sparse one-hot ------------------------------------------------------------
+
+_LINE = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+_LINE_KEYS = ["l_orderkey", "l_linenumber"]
+
+
+def _classified(spark, sf, kind):
+    """Every line item, told returned or not by a discriminant fitted on all."""
+    d = read_table(spark, sf, "lineitem", _LINE_KEYS + _LINE + ["l_returnflag"]).withColumn(
+        "label", (F.col("l_returnflag") == "R").cast("double"))
+    return (Discriminant(kind).fit(d, _LINE).transform(d)
+            .select(*_LINE_KEYS, F.col("label").cast("int").alias("label"), F.col("prediction").cast("int").alias("prediction")))
+
+
+def q_naive_bayes_lines(spark, sf):
+    """LDB2: Gaussian naive Bayes."""
+    return _classified(spark, sf, "naive_bayes")
+
+
+def q_nearest_centroid_lines(spark, sf):
+    """LDB2: nearest centroid."""
+    return _classified(spark, sf, "nearest_centroid")
+
+
+def _sql_classified(score: str) -> str:
+    cols = ", ".join(f"CAST({c} AS DOUBLE) AS x{i}" for i, c in enumerate(_LINE))
+    stats_ = ", ".join(f"avg(x{i}) AS m{i}, var_pop(x{i}) AS v{i}" for i in range(len(_LINE)))
+    spread = ", ".join(f"var_pop(x{i})" for i in range(len(_LINE)))
+    return f"""
+WITH d AS (SELECT row_number() OVER () AS rid, l_orderkey, l_linenumber, CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END AS label,
+                  {cols} FROM lineitem),
+e AS (SELECT 1e-9 * greatest({spread}) AS e, count(*) AS n FROM d),
+m AS (SELECT label AS class, count(*) AS k, {stats_} FROM d GROUP BY label),
+s AS (SELECT d.*, class, {score} AS s FROM d, m, e)
+SELECT l_orderkey, l_linenumber, label, CAST(arg_max(class, s - 1e-15 * class) AS INTEGER) AS prediction
+FROM s GROUP BY rid, l_orderkey, l_linenumber, label"""
+
+
+SQL_NAIVE_BAYES_LINES = _sql_classified("ln(k / n) - 0.5 * (" + " + ".join(
+    f"ln(2 * pi() * (v{i} + e)) + (x{i} - m{i}) ** 2 / (v{i} + e)" for i in range(len(_LINE))) + ")")
+SQL_NEAREST_CENTROID_LINES = _sql_classified("-(" + " + ".join(f"(x{i} - m{i}) ** 2" for i in range(len(_LINE))) + ")")
+
+
+def q_quality_auc(spark, sf):
+    """EVL3 of scores: how well a document's length tells good from bad, and toxic from clean (many ties)."""
+    d = (read_table(spark, sf, "labels", ["doc_id", "quality", "toxic"])
+         .join(read_table(spark, sf, "documents", ["doc_id", "n_chars"]), "doc_id"))
+    tens = d.withColumn("tens", F.floor(F.col("n_chars") / 10))
+    return (metrics.auc(d, "n_chars", "quality").select(F.lit("quality by n_chars").alias("name"), "*")
+            .unionByName(metrics.auc(tens, "tens", "toxic").select(F.lit("toxic by tens").alias("name"), "*"))
+            .select("name", F.round("auc", A).alias("auc"), "positives", "negatives"))
+
+
+SQL_QUALITY_AUC = f"""
+WITH d AS (SELECT quality, toxic, CAST(n_chars AS DOUBLE) AS s, floor(n_chars / 10) AS t FROM labels JOIN documents USING (doc_id)),
+x AS (SELECT 'quality by n_chars' AS name, s, quality AS y FROM d UNION ALL SELECT 'toxic by tens', t, toxic FROM d),
+r AS (SELECT name, y, avg(i) OVER (PARTITION BY name, s) AS rank
+      FROM (SELECT *, row_number() OVER (PARTITION BY name ORDER BY s) AS i FROM x WHERE y IS NOT NULL AND s IS NOT NULL)),
+c AS (SELECT name, count(*) FILTER (WHERE y = 1) AS p, count(*) FILTER (WHERE y <> 1) AS n, sum(rank) FILTER (WHERE y = 1) AS ranks
+      FROM r GROUP BY name)
+SELECT name, round((ranks - p * (p + 1) / 2.0) / (CAST(p AS DOUBLE) * n), {{A}}) AS auc, p AS positives, n AS negatives FROM c""".replace("{A}", str(A))
+
+
+def q_one_hot_sparse(spark, sf):
+    """AGG12 + ENC1 with any number of values: the customer of every order as a place in a sparse vector."""
+    orders = read_table(spark, sf, "orders", ["o_orderkey", "o_custkey"])
+    index = value_index(orders, "o_custkey")
+    out = sparse_one_hot(orders, "o_custkey", index, "customer", "o_orderkey")
+    return out.select("o_orderkey", F.col("customer_idx").alias("idx"), F.lit(index.count()).alias("size"))
+
+
+SQL_ONE_HOT_SPARSE = """
+WITH v AS (SELECT o_custkey, row_number() OVER (ORDER BY o_custkey) - 1 AS idx FROM (SELECT DISTINCT o_custkey FROM orders))
+SELECT o_orderkey, idx, (SELECT count(*) FROM v) AS size FROM orders JOIN v USING (o_custkey)"""
+
+
 SQL_QUERIES = {
+    "naive_bayes_lines": (q_naive_bayes_lines, SQL_NAIVE_BAYES_LINES),
+    "nearest_centroid_lines": (q_nearest_centroid_lines, SQL_NEAREST_CENTROID_LINES),
+    "quality_auc": (q_quality_auc, SQL_QUALITY_AUC),
+    "one_hot_sparse": (q_one_hot_sparse, SQL_ONE_HOT_SPARSE),
     "prepare_features": (q_prepare_features, SQL_PREPARE_FEATURES),
     "prepare_variant": (q_prepare_variant, SQL_PREPARE_VARIANT),
     "people_union": (q_people_union, SQL_PEOPLE_UNION),
