@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from tabwright.functions.codes import clip
 from tabwright.operators import stats
+from tabwright.operators.bayes_ridge import fit_bayes_ridge
 from tabwright.session import materialize
 
 
@@ -58,12 +59,13 @@ def _assemble(df: DataFrame, features: list[str], out: str = "__features") -> Da
 
 def impute_chained(df: DataFrame, targets: list[str], features: list[str], max_iter: int = 20,
                    lo: float | None = None, hi: float | None = None, fit_on: Column | None = None,
-                   tol: float = 1e-3, checkpoint: bool = True) -> DataFrame:
+                   tol: float = 1e-3, checkpoint: bool = True, bayesian: bool = False) -> DataFrame:
     """IMP6/IMP7: start every incomplete column at its mean, then for ``max_iter`` rounds refit
     each incomplete column on the rows where it was observed (other columns at their current
     values) and refill the missing rows, clipped to [lo, hi].  Stops early when no fill moves by
     more than ``tol`` times the column's largest absolute value.  With a single incomplete column
     the first round is already the fixed point.  Null features are an error: fill them first.
+    The regression is least squares, or Bayesian ridge (``bayesian``).
 
     Each round cuts the lineage with a reliable ``checkpoint()`` (to ``spark.checkpoint.dir``)."""
     miss = {t: f"__miss_{t}" for t in targets}
@@ -75,6 +77,11 @@ def impute_chained(df: DataFrame, targets: list[str], features: list[str], max_i
         cur = cur.withColumns({p: F.col(t) for t, p in last.items()})
         for t in targets:
             inputs = [c for c in features + targets if c != t]
+            if bayesian:
+                observed = ~F.col(miss[t]) if fit_on is None else ~F.col(miss[t]) & fit_on
+                guess = fit_bayes_ridge(cur, inputs, t, observed).predict()
+                cur = cur.withColumn(t, F.when(F.col(miss[t]), clip(guess, lo, hi)).otherwise(F.col(t)))
+                continue
             assembled = _assemble(cur, inputs)
             train = assembled.filter(~F.col(miss[t]))
             if fit_on is not None:

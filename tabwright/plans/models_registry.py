@@ -224,6 +224,16 @@ def q_impute_age_chained(spark, sf):
     return out.select(KEY, F.round("age", AGE_DIGITS).alias("age"))
 
 
+def q_impute_age_bayesian(spark, sf):
+    """IMP6: age by Bayesian ridge on several columns, clipped to [0, 80]."""
+    p = materialize(people(spark, sf).select(KEY, F.col("age_raw").alias("age"),
+                                 F.col("class_raw").cast("double").alias("pclass"),
+                                 F.col("n_relatives").cast("double").alias("relatives"),
+                                 F.col("ticket_group_key").cast("double").alias("month")))
+    out = impute_chained(p, ["age"], ["pclass", "relatives", "month"], max_iter=20, lo=0.0, hi=80.0, bayesian=True)
+    return out.select(KEY, F.round("age", AGE_DIGITS).alias("age"))
+
+
 def q_impute_age_chained_train_fit(spark, sf):
     """IMP7: the same fitted on labelled rows only, applied to all rows."""
     p = materialize(people(spark, sf).select(KEY, "is_test", F.col("age_raw").alias("age"),
@@ -349,6 +359,7 @@ MODEL_QUERIES = {
     "model_perceptron_history": q_model_perceptron_history,
     "drift_importance": q_drift_importance,
     "drift_summary": q_drift_summary,
+    "impute_age_bayesian": q_impute_age_bayesian,
     "impute_age_forest": q_impute_age_forest,
     "drift_reduced_by_gain": q_drift_reduced_by_gain,
     "submission": q_submission,
