@@ -10,10 +10,11 @@ from __future__ import annotations
 
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, replace
+from itertools import product
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import (DecisionTreeClassifier, FMClassifier, LinearSVC, LogisticRegression,
-                                       MultilayerPerceptronClassifier, NaiveBayes, RandomForestClassifier)
+                                       NaiveBayes, RandomForestClassifier)
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.feature import UnivariateFeatureSelector, VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
@@ -23,8 +24,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tabwright.operators import boosting, metrics
+from tabwright.operators import perceptron as nets
 from tabwright.operators.boosting import Boost
 from tabwright.operators.discriminant import KINDS, Discriminant
+from tabwright.operators.perceptron import Perceptron
 from tabwright.operators.select import select_k_best
 from tabwright.operators.split import holdout_flag, kfold
 from tabwright.session import materialize
@@ -89,10 +92,9 @@ def decision_tree(features_col=FEATURES, seed=42, max_depth=5):
     return DecisionTreeClassifier(featuresCol=features_col, labelCol="label", maxDepth=max_depth, seed=seed)
 
 
-def perceptron(n_in: int, hidden=(64, 128, 64, 32, 8), features_col=FEATURES, seed=42, max_iter=200):
-    """MOD8 / MOD9: feed-forward net n_in-...-2 (sigmoid hidden layers, softmax output)."""
-    return MultilayerPerceptronClassifier(featuresCol=features_col, labelCol="label",
-                                          layers=[n_in, *hidden, 2], maxIter=max_iter, seed=seed, blockSize=128)
+def perceptron(hidden=(64, 128, 64, 32, 8), activation="relu", alpha=1e-4, epochs=200, rate=0.01, seed=42) -> Perceptron:
+    """MOD8 / MOD9: feed-forward net with relu, tanh or logistic layers and an L2 penalty."""
+    return Perceptron(hidden=tuple(hidden), activation=activation, alpha=alpha, epochs=epochs, rate=rate, seed=seed)
 
 
 @dataclass
@@ -120,12 +122,25 @@ class DiscriminantPipeline:
         return self.spec.fit(df, features)
 
 
+@dataclass
+class PerceptronPipeline:
+    features: list[str]
+    spec: Perceptron
+    k: int | None = None
+
+    def fit(self, df: DataFrame) -> nets.Model:
+        features = self.features if self.k is None else select_k_best(df, self.features, "label", self.k)
+        return nets.fit_all(df, features, [self.spec])[0][0]
+
+
 def pipeline(features: list[str], estimator, k: int | None = None):
     """PIP1: assembler -> (selector) -> estimator."""
     if isinstance(estimator, Boost):
         return BoostPipeline(features, estimator, k)
     if isinstance(estimator, Discriminant):
         return DiscriminantPipeline(features, estimator, k)
+    if isinstance(estimator, Perceptron):
+        return PerceptronPipeline(features, estimator, k)
     stages = [assembler(features)]
     if k is not None:
         stages.append(selector(k, len(features)))
@@ -360,19 +375,33 @@ def boost_grids(df: DataFrame, features: list[str], families: dict, fold_col: st
     return out
 
 
-def tuning_grids(n_in: int, n_rows: int) -> dict:
+def net_grid(df: DataFrame, features: list[str], spec: Perceptron, grid: dict, fold_col: str = "fold", k: int = 5):
+    """GRD1 for perceptrons: (rows of (params, mean_accuracy, rank), best settings).  All points and folds are
+    one fit over one table, a step of every net at a time; features are scaled by all rows of the table, as the
+    reference scales before its search."""
+    points = [dict(zip(grid, values, strict=True)) for values in product(*grid.values())]
+    _, told = nets.fit_all(df, features, [replace(spec, held=f, **p) for p in points for f in range(k)], fold=fold_col)
+    scores = []
+    for i, p in enumerate(points):
+        ends = [curve[-1] for curve in told[i * k:(i + 1) * k]]
+        params = ", ".join(f"{a}={b}" for a, b in sorted(p.items()))
+        scores.append((params, sum(e["held_hits"] / e["held_n"] for e in ends) / k, replace(spec, **p)))
+    scores.sort(key=lambda x: (-x[1], x[0]))
+    return [(params, acc, i) for i, (params, acc, _) in enumerate(scores, 1)], scores[0][2]
+
+
+def tuning_grids(n_rows: int) -> dict:
     """The reference's seven model families: name -> (kind, estimator, grid).
 
-    Spark's trees end at depth 30, so the forest's unlimited depth and its depth 30 are one point;
-    the perceptron has no choice of activation or alpha."""
+    Spark's trees end at depth 30, so the forest's unlimited depth and its depth 30 are one point."""
     boosted = {"rounds": [50, 100, 200], "rate": [0.01, 0.1, 0.2]}
     presets = boosting_presets()
     return {
         "random_forest": ("forest", random_forest(), {"numTrees": [50, 100, 200], "maxDepth": [10, 20, 30]}),
         "logistic_regression": ("logistic", logistic(n_rows=n_rows),
                                 {"regParam": [1.0 / (c * max(n_rows, 1)) for c in (0.1, 1.0, 10.0)]}),
-        "perceptron": ("perceptron", perceptron(n_in, hidden=(50, 50), max_iter=1000),
-                       {"layers": [[n_in, 50, 50, 2], [n_in, 100, 2]]}),
+        "perceptron": ("net", perceptron(epochs=1000),
+                       {"hidden": [(50, 50), (100,)], "activation": ["relu", "tanh"], "alpha": [0.0001, 0.001]}),
         "gradient_boosting": ("boost", gradient_boosting(), boosted | {"depth": [3, 5, 7]}),
         "xgboost_like": ("boost", presets["xgboost_like"], boosted | {"depth": [3, 5, 7]}),
         "lightgbm_like": ("boost", presets["lightgbm_like"], boosted | {"leaves": [31, 50, 100]}),
@@ -384,7 +413,9 @@ def tune(df: DataFrame, features: list[str], grids: dict, fold_col: str = "fold"
     """Rows (model, folds, params, mean_accuracy, rank) of every family's grid, and its best estimator."""
     families = {n: (est, grid) for n, (kind, est, grid) in grids.items() if kind == "boost"}
     jobs = {n: (lambda est=est, grid=grid: grid_search(df, features, est, grid, fold_col, k))
-            for n, (kind, est, grid) in grids.items() if kind != "boost"}
+            for n, (kind, est, grid) in grids.items() if kind not in ("boost", "net")}
+    jobs |= {n: (lambda est=est, grid=grid: net_grid(df, features, est, grid, fold_col, k))
+             for n, (kind, est, grid) in grids.items() if kind == "net"}
     jobs |= {n: (lambda n=n: boost_grids(df, features, {n: families[n]}, fold_col, k)[n]) for n in families}
     done = fit_parallel(jobs, len(jobs))
     for x in done.values():
@@ -427,6 +458,9 @@ def cv_leaderboard(df: DataFrame, features: list[str], estimators: dict, key: st
         if isinstance(est, Boost):  # the folds advance together
             models = boosting.fit_all(folds, features, [replace(est, held=f) for f in range(k)], fold="fold")
             return sum(m.curve[-1]["held_hits"] / m.curve[-1]["held_n"] for m in models) / k
+        if isinstance(est, Perceptron):
+            _, told = nets.fit_all(folds, features, [replace(est, held=f) for f in range(k)], fold="fold")
+            return sum(c[-1]["held_hits"] / c[-1]["held_n"] for c in told) / k
         return cross_val_accuracy(folds, features, est, "fold", k).agg(F.avg("accuracy")).first()[0]
 
     results = fit_parallel({n: (lambda est=est: evaluate(est)) for n, est in estimators.items()}, parallelism)
@@ -436,7 +470,7 @@ def cv_leaderboard(df: DataFrame, features: list[str], estimators: dict, key: st
     return board.orderBy(F.desc_nulls_last("mean_accuracy"), "model")
 
 
-def all_classifiers(n_in: int, n_rows: int, seed: int = 42) -> dict:
+def all_classifiers(n_rows: int, seed: int = 42) -> dict:
     """Every Spark classifier with the defaults of the reference's library (the 'all available
     estimators' sweep): 100 trees or rounds, one hidden layer of 100; unlimited depth is Spark's 30."""
     return {
@@ -445,7 +479,7 @@ def all_classifiers(n_in: int, n_rows: int, seed: int = 42) -> dict:
         "random_forest": random_forest(seed=seed, num_trees=100, max_depth=30),
         "gbt": gradient_boosting(),
         "hist_boosting": hist_boosting(),
-        "perceptron": perceptron(n_in, hidden=(100,), seed=seed),
+        "perceptron": perceptron(hidden=(100,), seed=seed),
         **{kind: Discriminant(kind) for kind in KINDS},
         "linear_svc": LinearSVC(featuresCol=FEATURES, labelCol="label"),
         "multinomial_bayes": NaiveBayes(featuresCol=FEATURES, labelCol="label"),  # fails on negative inputs

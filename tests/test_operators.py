@@ -502,12 +502,12 @@ def test_drop_drifting_by_measured_gain(spark):
 def test_grids_are_the_reference_ones():
     from tabwright.plans import models
     from tabwright.plans.models_registry import FOREST_32
-    sizes = {n: math.prod(map(len, g.values())) for n, (_, _, g) in models.tuning_grids(20, 100).items()}
-    # the forest's unlimited depth is Spark's 30; the perceptron has neither activation nor alpha
-    assert sizes == {"random_forest": 9, "logistic_regression": 3, "perceptron": 2, "gradient_boosting": 27,
+    sizes = {n: math.prod(map(len, g.values())) for n, (_, _, g) in models.tuning_grids(100).items()}
+    # the forest's unlimited depth is Spark's 30
+    assert sizes == {"random_forest": 9, "logistic_regression": 3, "perceptron": 8, "gradient_boosting": 27,
                      "xgboost_like": 27, "lightgbm_like": 27, "catboost_like": 27}
     assert math.prod(map(len, FOREST_32.values())) == 18
-    sweep = models.all_classifiers(20, 100)
+    sweep = models.all_classifiers(100)
     assert sweep["random_forest"].getNumTrees() == 100 and sweep["gbt"].rounds == 100
 
 
@@ -522,7 +522,7 @@ def test_tuned_models_vote_over_stratified_folds(spark):
     folds = split.stratified_kfold(df, "id", "label", 5)
     grids = {"dt": ("tree", models.decision_tree(), {"maxDepth": [1, 5]}),
              "dt_too": ("tree", models.decision_tree(), {"maxDepth": [5, 2]}),
-             "mlp": ("mlp", models.perceptron(2, hidden=(4,), max_iter=5), {"layers": [[2, 4, 2], [2, 8, 8, 2]]})}
+             "mlp": ("net", models.perceptron(epochs=60), {"hidden": [(4,), (8, 8)]})}
     found, best = models.tune(folds, ["a", "b"], grids)
     score = {(r[0], r[2]): r[3] for r in found}
     assert len(found) == 6 and score["dt", "maxDepth=5"] == score["dt_too", "maxDepth=5"] > 0.8
