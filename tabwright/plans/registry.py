@@ -22,6 +22,7 @@ from tabwright.operators.augment import mixup
 from tabwright.operators.discriminant import Discriminant
 from tabwright.operators.encode import fit_one_hot, sparse_one_hot, value_index
 from tabwright.operators.impute import fill_constant, fit_fill
+from tabwright.operators.neighbours import neighbours, vote
 from tabwright.operators.numbering import row_number_within
 from tabwright.operators.scale import ZScoreModel, fill_with_mean
 from tabwright.plans import models
@@ -1031,6 +1032,37 @@ SQL_NAIVE_BAYES_LINES = _sql_classified("ln(k / n) - 0.5 * (" + " + ".join(
 SQL_NEAREST_CENTROID_LINES = _sql_classified("-(" + " + ".join(f"(x{i} - m{i}) ** 2" for i in range(len(_LINE))) + ")")
 
 
+def q_nearest_orders(spark, sf):
+    """LDB2: five nearest neighbours by price, day and priority; the hold-out orders get the status that most of
+    their neighbours among all other orders have."""
+    d = read_table(spark, sf, "orders", ["o_orderkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"]).select(
+        "o_orderkey", F.col("o_orderstatus").alias("label"), (F.col("o_totalprice") / 1000).alias("price"),
+        (F.datediff(F.col("o_orderdate"), F.lit("1992-01-01").cast("date")) / 10).alias("day"),
+        (F.substring("o_orderpriority", 1, 1).cast("double") * 20).alias("priority"))
+    d = split.holdout_flag(d, "o_orderkey", 0.2, 42)
+    rest, held = d.where("is_holdout = 0"), d.where("is_holdout = 1")
+    found = materialize(neighbours(rest, held, ["price", "day", "priority"], "o_orderkey", "o_orderkey", 5))
+    ends = found.groupBy("o_orderkey").agg(F.min_by("neighbour", "rank").alias("nearest"), F.max("distance").alias("farthest"))
+    said = vote(found, rest, "o_orderkey", "label", "o_orderkey")
+    return (held.select("o_orderkey", "label").join(ends, "o_orderkey").join(said, "o_orderkey")
+            .withColumn("farthest", F.round("farthest", A)))
+
+
+SQL_NEAREST_ORDERS = f"""
+WITH d AS (SELECT o_orderkey, o_orderstatus AS label, o_totalprice / 1000 AS price,
+                  date_diff('day', DATE '1992-01-01', CAST(o_orderdate AS DATE)) / 10 AS day,
+                  CAST(substr(o_orderpriority, 1, 1) AS DOUBLE) * 20 AS priority,
+                  {_sql_hash_hex('o_orderkey', 42)} < '33333333' AS held FROM orders),
+near AS (SELECT h.o_orderkey, h.label, unnest(min({{'d': (h.price - r.price) * (h.price - r.price) + (h.day - r.day) * (h.day - r.day)
+                  + (h.priority - r.priority) * (h.priority - r.priority), 'id': r.o_orderkey, 'label': r.label}}, 5)) AS x
+         FROM d h, d r WHERE h.held AND NOT r.held GROUP BY h.o_orderkey, h.label),
+votes AS (SELECT o_orderkey, x.label AS prediction, row_number() OVER (PARTITION BY o_orderkey ORDER BY count(*) DESC, x.label) AS r
+          FROM near GROUP BY o_orderkey, x.label)
+SELECT n.o_orderkey, any_value(n.label) AS label, arg_min(x.id, {{'d': x.d, 'id': x.id}}) AS nearest,
+       round(max(x.d), {A}) AS farthest, any_value(v.prediction) AS prediction
+FROM near n JOIN votes v ON n.o_orderkey = v.o_orderkey AND v.r = 1 GROUP BY n.o_orderkey"""
+
+
 def q_quality_auc(spark, sf):
     """EVL3 of scores: how well a document's length tells good from bad, and toxic from clean (many ties)."""
     d = (read_table(spark, sf, "labels", ["doc_id", "quality", "toxic"])
@@ -1067,6 +1099,7 @@ SELECT o_orderkey, idx, (SELECT count(*) FROM v) AS size FROM orders JOIN v USIN
 SQL_QUERIES = {
     "naive_bayes_lines": (q_naive_bayes_lines, SQL_NAIVE_BAYES_LINES),
     "nearest_centroid_lines": (q_nearest_centroid_lines, SQL_NEAREST_CENTROID_LINES),
+    "nearest_orders": (q_nearest_orders, SQL_NEAREST_ORDERS),
     "quality_auc": (q_quality_auc, SQL_QUALITY_AUC),
     "one_hot_sparse": (q_one_hot_sparse, SQL_ONE_HOT_SPARSE),
     "prepare_features": (q_prepare_features, SQL_PREPARE_FEATURES),
