@@ -23,10 +23,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tabwright.operators import boosting, metrics
+from tabwright.operators import boosting, ensembles, metrics
 from tabwright.operators import perceptron as nets
 from tabwright.operators.boosting import Boost
 from tabwright.operators.discriminant import KINDS, Discriminant
+from tabwright.operators.ensembles import AdaBoost, ExtraTrees
+from tabwright.operators.neighbours import NearestNeighbours
 from tabwright.operators.perceptron import Perceptron
 from tabwright.operators.select import select_k_best
 from tabwright.operators.split import holdout_flag, kfold
@@ -112,35 +114,27 @@ class BoostPipeline:
 
 
 @dataclass
-class DiscriminantPipeline:
+class SpecPipeline:
+    """PIP1 for the library's own classifiers: the k best features by ANOVA F (all when fewer), then the model."""
     features: list[str]
-    spec: Discriminant
+    spec: object
     k: int | None = None
 
     def fit(self, df: DataFrame):
         features = self.features if self.k is None else select_k_best(df, self.features, "label", self.k)
+        if isinstance(self.spec, Perceptron):
+            return nets.fit_all(df, features, [self.spec])[0][0]
+        if isinstance(self.spec, (AdaBoost, ExtraTrees)):
+            return ensembles.fit_all(df, features, [self.spec])[0][0]
         return self.spec.fit(df, features)
 
 
-@dataclass
-class PerceptronPipeline:
-    features: list[str]
-    spec: Perceptron
-    k: int | None = None
-
-    def fit(self, df: DataFrame) -> nets.Model:
-        features = self.features if self.k is None else select_k_best(df, self.features, "label", self.k)
-        return nets.fit_all(df, features, [self.spec])[0][0]
-
-
 def pipeline(features: list[str], estimator, k: int | None = None):
     """PIP1: assembler -> (selector) -> estimator."""
     if isinstance(estimator, Boost):
         return BoostPipeline(features, estimator, k)
-    if isinstance(estimator, Discriminant):
-        return DiscriminantPipeline(features, estimator, k)
-    if isinstance(estimator, Perceptron):
-        return PerceptronPipeline(features, estimator, k)
+    if isinstance(estimator, (Discriminant, Perceptron, AdaBoost, ExtraTrees, NearestNeighbours)):
+        return SpecPipeline(features, estimator, k)
     stages = [assembler(features)]
     if k is not None:
         stages.append(selector(k, len(features)))
@@ -461,6 +455,9 @@ def cv_leaderboard(df: DataFrame, features: list[str], estimators: dict, key: st
         if isinstance(est, Perceptron):
             _, told = nets.fit_all(folds, features, [replace(est, held=f) for f in range(k)], fold="fold")
             return sum(c[-1]["held_hits"] / c[-1]["held_n"] for c in told) / k
+        if isinstance(est, (AdaBoost, ExtraTrees)):
+            _, told = ensembles.fit_all(folds, features, [replace(est, held=f) for f in range(k)], fold="fold")
+            return sum(hits / n for n, hits in told) / k
         return cross_val_accuracy(folds, features, est, "fold", k).agg(F.avg("accuracy")).first()[0]
 
     results = fit_parallel({n: (lambda est=est: evaluate(est)) for n, est in estimators.items()}, parallelism)
@@ -471,8 +468,9 @@ def cv_leaderboard(df: DataFrame, features: list[str], estimators: dict, key: st
 
 
 def all_classifiers(n_rows: int, seed: int = 42) -> dict:
-    """Every Spark classifier with the defaults of the reference's library (the 'all available
-    estimators' sweep): 100 trees or rounds, one hidden layer of 100; unlimited depth is Spark's 30."""
+    """Every classifier there is, with the defaults of the reference's library (the 'all available
+    estimators' sweep): 100 trees or rounds, 50 stumps, 5 neighbours, one hidden layer of 100; unlimited
+    depth is Spark's 30, for the randomised trees 10."""
     return {
         "logistic_regression": logistic(c=1.0, n_rows=n_rows, max_iter=100),
         "decision_tree": decision_tree(seed=seed, max_depth=30),
@@ -481,6 +479,9 @@ def all_classifiers(n_rows: int, seed: int = 42) -> dict:
         "hist_boosting": hist_boosting(),
         "perceptron": perceptron(hidden=(100,), seed=seed),
         **{kind: Discriminant(kind) for kind in KINDS},
+        "adaboost": AdaBoost(),
+        "extra_trees": ExtraTrees(seed=seed),
+        "nearest_neighbours": NearestNeighbours(),
         "linear_svc": LinearSVC(featuresCol=FEATURES, labelCol="label"),
         "multinomial_bayes": NaiveBayes(featuresCol=FEATURES, labelCol="label"),  # fails on negative inputs
         "factorization_machine": FMClassifier(featuresCol=FEATURES, labelCol="label", seed=seed),

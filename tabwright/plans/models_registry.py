@@ -103,6 +103,20 @@ def q_model_boost_predictions(spark, sf):
                       (F.col("prediction") > THRESHOLD_BOOST).cast("int").alias("prediction"))
 
 
+def q_model_reweighted(spark, sf):
+    """LDB2: reweighted stumps, randomised trees and five nearest neighbours, each on every hold-out row."""
+    _, feats, tr, ho = _train_holdout(spark, sf)
+    fitted = models.fit_models(tr, feats, {"adaboost": models.AdaBoost(), "extra_trees": models.ExtraTrees(),
+                                           "nearest_neighbours": models.NearestNeighbours()})
+    scored = None
+    for name, m in fitted.items():
+        if isinstance(m, Exception):
+            raise m
+        rows = models.score(m, ho, KEY, THRESHOLD).withColumn("model", F.lit(name))
+        scored = rows if scored is None else scored.unionByName(rows)
+    return scored
+
+
 def _board_estimators(n_rows):
     est = {"random_forest": models.random_forest(), "gradient_boosting": models.gradient_boosting(),
            "logistic_regression": models.logistic(c=1.0, n_rows=n_rows), "decision_tree": models.decision_tree(),
@@ -352,6 +366,7 @@ MODEL_QUERIES = {
     "model_boost_rounds": q_model_boost_rounds,
     "model_boost_predictions": q_model_boost_predictions,
     "model_leaderboard": q_model_leaderboard,
+    "model_reweighted": q_model_reweighted,
     "model_all_classifiers": q_model_all_classifiers,
     "model_results_table": q_model_results_table,
     "model_grid_search": q_model_grid_search,
