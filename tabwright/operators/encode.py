@@ -1,4 +1,4 @@
-"""One-hot encoding with a fitted value list (ENC1, ENC2).
+"""One-hot encoding with a fitted value list (ENC1, ENC2); ordered target statistics (MOD5).
 
 The value list is fitted once (``fit_one_hot``) and then applied to any frame, so the scoring
 rows can never change the output schema.  All dummy columns are produced by a single
@@ -15,10 +15,13 @@ from pyspark.ml.feature import OneHotEncoder
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
 from tabwright.operators import stats
 from tabwright.operators.groups import join_back
 from tabwright.operators.numbering import row_number_within
+from tabwright.operators.split import key_hash_int
+from tabwright.session import materialize
 
 
 @dataclass(frozen=True)
@@ -60,6 +63,31 @@ def sparse_one_hot(df: DataFrame, col: str, index: DataFrame, out: str, row_id:
     return model.transform(known).drop("__i")
 
 
+def ordered_target_mean(df: DataFrame, col: str, label: str, key: str, out: str, weight: float = 1.0, seed: int = 0) -> DataFrame:
+    """Adds the ordered target statistic of a category: the mean label of the rows of the same category that come
+    earlier in the order of a hash of ``key`` (unique), drawn to the mean of all labels by ``weight`` rows.  A row's own
+    label is never in its statistic.  Rows without a label come last, so they see all labels of their category; a null is a
+    category; a table without labels gives nulls.
+
+    The rows are range-partitioned by (category, order), so a hot category spans many partitions; sums inside a
+    partition are windows, and the partitions before it add one row per category and partition."""
+    h, pid, name = "__tw_h", "__tw_pid", "__tw_c"
+    prior = df.agg(F.avg(F.col(label).cast("double"))).first()[0]
+    by = [F.col(name), F.col(label).isNull(), F.col(h), F.col(key)]
+    placed = materialize(df.withColumn(h, key_hash_int(key, seed)).withColumn(name, F.col(col)).repartitionByRange(*by)
+                         .withColumn(pid, F.spark_partition_id()))  # range bounds are sampled: kept once
+    y = F.col(label).cast("double")
+    earlier = Window.partitionBy(pid, name).orderBy(*by[1:]).rowsBetween(Window.unboundedPreceding, -1)
+    inside = placed.withColumns({"__s": F.sum(y).over(earlier), "__n": F.count(y).over(earlier)})
+    before = Window.partitionBy(name).orderBy(pid).rowsBetween(Window.unboundedPreceding, -1)
+    parts = (placed.groupBy(name, pid).agg(F.sum(y).alias("s"), F.count(y).alias("n"))
+             .select(F.col(name).alias("__pc"), F.col(pid).alias("__pp"), F.sum("s").over(before).alias("__ps"), F.sum("n").over(before).alias("__pn")))
+    total = lambda a, b: F.coalesce(F.col(a), F.lit(0)) + F.coalesce(F.col(b), F.lit(0))
+    return (inside.join(parts, (F.col(pid) == F.col("__pp")) & F.col(name).eqNullSafe(F.col("__pc")))
+            .withColumn(out, (total("__s", "__ps") + F.lit(weight) * F.lit(prior).cast("double")) / (total("__n", "__pn") + F.lit(weight)))
+            .drop(h, pid, name, "__s", "__n", "__ps", "__pn", "__pc", "__pp"))
+
+
 def string_columns(df: DataFrame, exclude=()) -> list[str]:
     """ENC2: the columns still of string type (one-hot them, leave numbers alone)."""
     return [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType) and f.name not in exclude]

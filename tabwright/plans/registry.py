@@ -20,7 +20,7 @@ from tabwright.functions.fixed import (CABIN_CODES, MIXUP, RARE_TITLES, RULE_REW
 from tabwright.operators import groups, history, metrics, rules, select, split, stats
 from tabwright.operators.augment import mixup
 from tabwright.operators.discriminant import Discriminant
-from tabwright.operators.encode import fit_one_hot, sparse_one_hot, value_index
+from tabwright.operators.encode import fit_one_hot, ordered_target_mean, sparse_one_hot, value_index
 from tabwright.operators.impute import fill_constant, fit_fill
 from tabwright.operators.neighbours import neighbours, vote
 from tabwright.operators.numbering import row_number_within
@@ -1063,6 +1063,25 @@ SELECT n.o_orderkey, any_value(n.label) AS label, arg_min(x.id, {{'d': x.d, 'id'
 FROM near n JOIN votes v ON n.o_orderkey = v.o_orderkey AND v.r = 1 GROUP BY n.o_orderkey"""
 
 
+def q_ordered_target_means(spark, sf):
+    """MOD5: ordered target statistics of the port (few values) and of the customer (many)."""
+    p = people(spark, sf).select("person_id", "port_raw", "family_key", "label")
+    p = ordered_target_mean(p, "port_raw", "label", "person_id", "port_mean", 1.0, 5)
+    p = ordered_target_mean(p, "family_key", "label", "person_id", "family_mean", 1.0, 5)
+    return p.select("person_id", F.round("port_mean", Z).alias("port_mean"), F.round("family_mean", Z).alias("family_mean"))
+
+
+def _sql_ordered_mean(col: str) -> str:
+    w = (f"(PARTITION BY {col} ORDER BY label IS NULL, {_sql_hash_int('person_id', 5)}, person_id "
+         "ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)")
+    return f"round((coalesce(sum(label) OVER {w}, 0) + prior) / (count(label) OVER {w} + 1), {Z})"
+
+
+SQL_ORDERED_TARGET_MEANS = with_people(f"""
+WITH q AS (SELECT *, (SELECT avg(label) FROM people) AS prior FROM people)
+SELECT person_id, {_sql_ordered_mean('port_raw')} AS port_mean, {_sql_ordered_mean('family_key')} AS family_mean FROM q""")
+
+
 def q_quality_auc(spark, sf):
     """EVL3 of scores: how well a document's length tells good from bad, and toxic from clean (many ties)."""
     d = (read_table(spark, sf, "labels", ["doc_id", "quality", "toxic"])
@@ -1100,6 +1119,7 @@ SQL_QUERIES = {
     "naive_bayes_lines": (q_naive_bayes_lines, SQL_NAIVE_BAYES_LINES),
     "nearest_centroid_lines": (q_nearest_centroid_lines, SQL_NEAREST_CENTROID_LINES),
     "nearest_orders": (q_nearest_orders, SQL_NEAREST_ORDERS),
+    "ordered_target_means": (q_ordered_target_means, SQL_ORDERED_TARGET_MEANS),
     "quality_auc": (q_quality_auc, SQL_QUALITY_AUC),
     "one_hot_sparse": (q_one_hot_sparse, SQL_ONE_HOT_SPARSE),
     "prepare_features": (q_prepare_features, SQL_PREPARE_FEATURES),

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tabwright.operators import metrics, stats
 from tabwright.operators.discriminant import KINDS, Discriminant
-from tabwright.operators.encode import sparse_one_hot, value_index
+from tabwright.operators.encode import ordered_target_mean, sparse_one_hot, value_index
 
 
 def plain(kind, x, y, t):
@@ -83,3 +83,30 @@ def test_sparse_one_hot_of_a_million_values(spark):
             assert order[r["v_idx"]] == r["key"] and r["v"].indices.tolist() == [r["v_idx"]] and r["v"].values.tolist() == [1.0]
     with pytest.raises(ValueError, match="sparse_one_hot"):
         stats.category_values(df, ["key"], max_values=100)
+
+
+@pytest.mark.parametrize("partitions", [3, 16])
+def test_ordered_target_means_equal_a_plain_loop(spark, partitions):
+    import hashlib
+    rng = np.random.default_rng(12)
+    rows = [(i, None if i % 11 == 0 else "hot" if i % 3 else f"v{rng.integers(0, 40)}",
+             None if i % 5 == 0 else int(rng.integers(0, 2)), 0.5) for i in range(1500)]
+    df = spark.createDataFrame(rows, "id long, c string, y int, n double")  # n: a name of no meaning here
+    old = spark.conf.get("spark.sql.shuffle.partitions"), spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.shuffle.partitions", str(partitions))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # the hot category spans several
+    try:
+        got = {r["id"]: r["t"] for r in ordered_target_mean(df, "c", "y", "id", "t", 2.0, 4).collect()}
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old[0])
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", old[1])
+    prior = np.mean([r[2] for r in rows if r[2] is not None])
+    seen = {}
+    for i, c, y, _ in sorted(rows, key=lambda r: (r[2] is None, int(hashlib.md5(f"{r[0]}:4".encode()).hexdigest()[:8], 16), r[0])):
+        s, n = seen.get(c, (0, 0))
+        assert got[i] == pytest.approx((s + 2 * prior) / (n + 2), rel=1e-12)
+        if y is not None:
+            seen[c] = s + y, n + 1
+    assert len(got) == 1500
+    bare = ordered_target_mean(df.withColumn("y", F.lit(None).cast("int")), "c", "y", "id", "t")
+    assert bare.where("t is not null").count() == 0 and ordered_target_mean(df.where("false"), "c", "y", "id", "t").count() == 0
