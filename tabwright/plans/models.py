@@ -25,7 +25,7 @@ from pyspark.sql.window import Window
 
 from tabwright.operators import boosting, ensembles, metrics
 from tabwright.operators import perceptron as nets
-from tabwright.operators.boosting import Boost
+from tabwright.operators.boosting import Boost, Forest
 from tabwright.operators.discriminant import KINDS, Discriminant
 from tabwright.operators.ensembles import AdaBoost, ExtraTrees
 from tabwright.operators.neighbours import NearestNeighbours
@@ -275,18 +275,22 @@ def boost_with_patience(train: DataFrame, valid: DataFrame, features: list[str],
 # --- cross-validation, grid search, leaderboards ---------------------------------------------------------
 
 def cross_val_accuracy(df: DataFrame, features: list[str], estimator, fold_col: str = "fold", k: int = 3,
-                       threshold: float = 0.5) -> DataFrame:
-    """CV1: (fold, accuracy) — fit on the other folds, score this one.  ``estimator`` is one
+                       threshold: float = 0.5, parallelism: int = 5) -> DataFrame:
+    """CV1: (fold, accuracy) — fit on the other folds, score this one; folds run side by side.  ``estimator`` is one
     estimator, or a dict of them that vote softly with equal weights."""
-    rows = []
-    for i in range(k):
+    def held(i: int) -> float:
         rest, fold = df.filter(F.col(fold_col) != i), df.filter(F.col(fold_col) == i)
         if isinstance(estimator, dict):
             scored = fit_soft_voter(rest, features, estimator).transform(fold, fold_col, threshold)
         else:
             scored = score(pipeline(features, estimator).fit(rest), fold, fold_col, threshold)
-        acc = scored.agg(metrics.accuracy_expr("label", "prediction")).first()[0]
-        rows.append((i, float(acc)))
+        return float(scored.agg(metrics.accuracy_expr("label", "prediction")).first()[0])
+
+    done = fit_parallel({i: (lambda i=i: held(i)) for i in range(k)}, parallelism)
+    for x in done.values():
+        if isinstance(x, Exception):
+            raise x
+    rows = sorted(done.items())
     return df.sparkSession.createDataFrame(rows, "fold int, accuracy double")
 
 
@@ -369,6 +373,31 @@ def boost_grids(df: DataFrame, features: list[str], families: dict, fold_col: st
     return out
 
 
+def forest_grid(df: DataFrame, features: list[str], spec: Forest, grid: dict, fold_col: str = "fold", k: int = 5,
+                key: str | None = None):
+    """GRD1 for forests: (rows of (params, mean_accuracy, rank), best settings).  One forest per (fold, other settings) of the
+    most trees and the greatest depth: fewer trees are its first ones, and a smaller depth cuts its trees, since what a node
+    draws depends on the seed, the tree and the node alone."""
+    points = [dict(zip(grid, values, strict=True)) for values in product(*grid.values())]
+    depths = sorted({p.get("depth", spec.depth) for p in points}, key=lambda d: float("inf") if d is None else d, reverse=True)
+    base = replace(spec, rounds=max(p.get("rounds", spec.rounds) for p in points), depth=depths[0], depths=tuple(depths[1:]))
+
+    def grown(p: dict) -> Forest:
+        return replace(base, **{a: v for a, v in p.items() if a not in ("rounds", "depth")})
+
+    fits = list(dict.fromkeys(replace(grown(p), held=f) for p in points for f in range(k)))
+    models = dict(zip(fits, boosting.fit_all(df, features, fits, fold=fold_col, key=key), strict=True))
+    scores = []
+    for p in points:
+        at, j, share = p.get("rounds", spec.rounds), depths.index(p.get("depth", spec.depth)), 0.0
+        for m in (models[replace(grown(p), held=f)] for f in range(k)):
+            hits = m.cut_hits[at][j - 1] if j else m.curve[at]["held_hits"]
+            share += hits / m.curve[at]["held_n"]
+        scores.append((", ".join(f"{a}={b}" for a, b in sorted(p.items())), share / k, replace(spec, **p)))
+    scores.sort(key=lambda x: (-x[1], x[0]))
+    return [(params, acc, i) for i, (params, acc, _) in enumerate(scores, 1)], scores[0][2]
+
+
 def net_grid(df: DataFrame, features: list[str], spec: Perceptron, grid: dict, fold_col: str = "fold", k: int = 5):
     """GRD1 for perceptrons: (rows of (params, mean_accuracy, rank), best settings).  All points and folds are
     one fit over one table, a step of every net at a time; features are scaled by all rows of the table, as the
@@ -385,13 +414,11 @@ def net_grid(df: DataFrame, features: list[str], spec: Perceptron, grid: dict, f
 
 
 def tuning_grids(n_rows: int) -> dict:
-    """The reference's seven model families: name -> (kind, estimator, grid).
-
-    Spark's trees end at depth 30, so the forest's unlimited depth and its depth 30 are one point."""
+    """The reference's seven model families: name -> (kind, estimator, grid)."""
     boosted = {"rounds": [50, 100, 200], "rate": [0.01, 0.1, 0.2]}
     presets = boosting_presets()
     return {
-        "random_forest": ("forest", random_forest(), {"numTrees": [50, 100, 200], "maxDepth": [10, 20, 30]}),
+        "random_forest": ("forest", Forest(), {"rounds": [50, 100, 200], "depth": [None, 10, 20, 30]}),
         "logistic_regression": ("logistic", logistic(n_rows=n_rows),
                                 {"regParam": [1.0 / (c * max(n_rows, 1)) for c in (0.1, 1.0, 10.0)]}),
         "perceptron": ("net", perceptron(epochs=1000),
@@ -403,18 +430,24 @@ def tuning_grids(n_rows: int) -> dict:
     }
 
 
-def tune(df: DataFrame, features: list[str], grids: dict, fold_col: str = "fold", k: int = 5) -> tuple[list, dict]:
-    """Rows (model, folds, params, mean_accuracy, rank) of every family's grid, and its best estimator."""
+def tune(df: DataFrame, features: list[str], grids: dict, fold_col: str = "fold", k: int = 5,
+         key: str | None = None) -> tuple[list, dict]:
+    """Rows (model, folds, params, mean_accuracy, rank) of every family's grid, and its best estimator.  Forests draw their
+    rows by ``key``."""
     families = {n: (est, grid) for n, (kind, est, grid) in grids.items() if kind == "boost"}
     jobs = {n: (lambda est=est, grid=grid: grid_search(df, features, est, grid, fold_col, k))
-            for n, (kind, est, grid) in grids.items() if kind not in ("boost", "net")}
+            for n, (kind, est, grid) in grids.items() if kind not in ("boost", "net", "forest")}
     jobs |= {n: (lambda est=est, grid=grid: net_grid(df, features, est, grid, fold_col, k))
              for n, (kind, est, grid) in grids.items() if kind == "net"}
-    jobs |= {n: (lambda n=n: boost_grids(df, features, {n: families[n]}, fold_col, k)[n]) for n in families}
+    jobs |= {n: (lambda est=est, grid=grid: forest_grid(df, features, est, grid, fold_col, k, key))
+             for n, (kind, est, grid) in grids.items() if kind == "forest"}
+    if families:
+        jobs[""] = lambda: boost_grids(df, features, families, fold_col, k)
     done = fit_parallel(jobs, len(jobs))
     for x in done.values():
         if isinstance(x, Exception):
             raise x
+    done |= done.pop("", {})
     rows = [(name, k, *x) for name in grids for x in done[name][0]]
     return rows, {name: done[name][1] for name in grids}
 

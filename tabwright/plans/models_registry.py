@@ -140,7 +140,7 @@ def q_model_all_classifiers(spark, sf):
 
 
 # the reference's second forest grid, searched with 32 folds
-FOREST_32 = {"numTrees": [100, 200, 300], "maxDepth": [4, 6, 8], "impurity": ["gini", "entropy"]}
+FOREST_32 = {"rounds": [100, 200, 300], "depth": [4, 6, 8], "impurity": ["gini", "entropy"]}
 
 
 def _folds(spark, sf):
@@ -153,7 +153,7 @@ def _tuned(spark, sf):
     """GRD1: the grids of all seven families over 5 stratified folds; rows and best estimators."""
     feats, folds = _folds(spark, sf)
     return _shared(spark, sf, "tuned", lambda: models.tune(
-        folds, feats, models.tuning_grids(folds.count())))
+        folds, feats, models.tuning_grids(folds.count()), key=KEY))
 
 
 def _tuned_voter(spark, sf):
@@ -177,7 +177,7 @@ def q_model_grid_search(spark, sf):
     second forest grid over 32; the best point by accuracy has rank 1."""
     feats, folds = _folds(spark, sf)
     rows, _ = _tuned(spark, sf)
-    more, _ = models.grid_search(folds, feats, models.random_forest(), FOREST_32, "fold32", 32)
+    more, _ = models.forest_grid(folds, feats, models.Forest(), FOREST_32, "fold32", 32, KEY)
     return spark.createDataFrame(rows + [("random_forest", 32, *x) for x in more],
                                  "model string, folds int, params string, mean_accuracy double, rank int")
 

@@ -503,8 +503,7 @@ def test_grids_are_the_reference_ones():
     from tabwright.plans import models
     from tabwright.plans.models_registry import FOREST_32
     sizes = {n: math.prod(map(len, g.values())) for n, (_, _, g) in models.tuning_grids(100).items()}
-    # the forest's unlimited depth is Spark's 30
-    assert sizes == {"random_forest": 9, "logistic_regression": 3, "perceptron": 8, "gradient_boosting": 27,
+    assert sizes == {"random_forest": 12, "logistic_regression": 3, "perceptron": 8, "gradient_boosting": 27,
                      "xgboost_like": 27, "lightgbm_like": 27, "catboost_like": 27}
     assert math.prod(map(len, FOREST_32.values())) == 18
     sweep = models.all_classifiers(100)
