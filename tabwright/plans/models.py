@@ -278,12 +278,14 @@ def cross_val_accuracy(df: DataFrame, features: list[str], estimator, fold_col:
                        threshold: float = 0.5, parallelism: int = 5) -> DataFrame:
     """CV1: (fold, accuracy) — fit on the other folds, score this one; folds run side by side.  ``estimator`` is one
     estimator, or a dict of them that vote softly with equal weights."""
+    voters = [None] * k
+    if isinstance(estimator, dict):
+        voters = [SoftVoter(m, dict.fromkeys(m, 1.0)) for m in fold_models(df, features, estimator, fold_col, k, parallelism)]
+
     def held(i: int) -> float:
         rest, fold = df.filter(F.col(fold_col) != i), df.filter(F.col(fold_col) == i)
-        if isinstance(estimator, dict):
-            scored = fit_soft_voter(rest, features, estimator).transform(fold, fold_col, threshold)
-        else:
-            scored = score(pipeline(features, estimator).fit(rest), fold, fold_col, threshold)
+        scored = (voters[i].transform(fold, fold_col, threshold) if voters[i]
+                  else score(pipeline(features, estimator).fit(rest), fold, fold_col, threshold))
         return float(scored.agg(metrics.accuracy_expr("label", "prediction")).first()[0])
 
     done = fit_parallel({i: (lambda i=i: held(i)) for i in range(k)}, parallelism)
@@ -294,6 +296,28 @@ def cross_val_accuracy(df: DataFrame, features: list[str], estimator, fold_col:
     return df.sparkSession.createDataFrame(rows, "fold int, accuracy double")
 
 
+def fold_models(df: DataFrame, features: list[str], estimators: dict, fold_col: str, k: int, parallelism: int) -> list[dict]:
+    """Per fold the models (by name) fitted on the other folds.  All folds' boosted models and nets are one fit each, so
+    their bins and scales are those of the whole table (features only)."""
+    boosted = [n for n, e in estimators.items() if isinstance(e, Boost)]
+    netted = [n for n, e in estimators.items() if isinstance(e, Perceptron)]
+    held = lambda names: [replace(estimators[n], held=f) for n in names for f in range(k)]
+    jobs = {(n, f): (lambda e=e, f=f: pipeline(features, e).fit(df.filter(F.col(fold_col) != f)))
+            for n, e in estimators.items() if n not in (*boosted, *netted) for f in range(k)}
+    if boosted:
+        jobs["boosted"] = lambda: boosting.fit_all(df, features, held(boosted), fold=fold_col)
+    if netted:
+        jobs["netted"] = lambda: nets.fit_all(df, features, held(netted), fold=fold_col)[0]
+    done = fit_parallel(jobs, parallelism)
+    for x in done.values():
+        if isinstance(x, Exception):
+            raise x
+    for job, names in (("boosted", boosted), ("netted", netted)):
+        for i, m in enumerate(done.get(job, [])):
+            done[names[i // k], i % k] = m
+    return [{n: done[n, f] for n in estimators} for f in range(k)]
+
+
 def grid_points(estimator, grid: dict) -> list[dict]:
     """Every combination of the grid's values as a param map of the estimator."""
     builder = ParamGridBuilder()
