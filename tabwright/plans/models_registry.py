@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import hashlib
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -31,17 +32,21 @@ THRESHOLD = 0.5
 THRESHOLD_NET = 0.4     # the reference's net counts a label above it
 
 _cache: dict = {}
+_kept: dict = {}        # application -> the training and hold-out rows that it keeps
 
 
-def _version(spark: SparkSession, sf: str) -> tuple:
-    """The application and the state of the source folder's files (paths, sizes, times)."""
+def _app(spark: SparkSession):
     try:
-        app = spark.sparkContext.applicationId
+        return spark.sparkContext.applicationId
     except Exception:  # noqa: BLE001 — no local SparkContext
-        app = id(spark)
+        return id(spark)
+
+
+def _version(spark: SparkSession, sf: str) -> tuple:
+    """The application and the state of the source folder's files (paths, sizes, times)."""
     files = spark.read.format("binaryFile").load(f"{sf.rstrip('/')}/*.parquet")
     state = files.agg(F.sum(F.xxhash64("path", "length", "modificationTime").cast("decimal(38,0)"))).first()[0]
-    return app, sf, state
+    return _app(spark), sf, state
 
 
 def _shared(spark: SparkSession, sf: str, name: str, build):
@@ -61,11 +66,20 @@ def _features(df: DataFrame) -> list[str]:
 
 
 def _train_holdout(spark, sf):
+    """The prepared rows, their features, and the labelled rows' two sides.  Every fit and score reads a side several times, so
+    the sides are kept after the first time, those of one source at a time."""
     prep = drop_drifting(prepared(spark, sf), DRIFTING)
     feats = _features(prep)
-    labelled = prep.filter(F.col("label").isNotNull())
-    tr, ho = models.holdout(labelled, KEY, 0.2, 42)
-    return prep, feats, tr, ho
+    sides = _shared(spark, sf, "holdout", lambda: models.holdout(prep.filter(F.col("label").isNotNull()), KEY, 0.2, 42))
+    app = _app(spark)
+    if _kept.get(app) is not sides:
+        for old in _kept.get(app, ()):
+            old.unpersist()
+        _kept.clear()  # what an ended application kept went with it
+        _kept[app] = sides
+        for x in sides:
+            x.persist(StorageLevel.MEMORY_AND_DISK)
+    return prep, feats, *sides
 
 
 def q_model_random_forest(spark, sf):
