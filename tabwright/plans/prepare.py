@@ -98,6 +98,8 @@ def prepare(people: DataFrame, cfg: PrepareConfig = PrepareConfig(), checkpoint:
     # 6: group label, two passes (pass 2 groups by ticket number)
     df = groups.loo_two_pass(df, list(c.group_keys1), ["ticket_digits"], c.label, out="family_survival",
                               row_id=c.key)
+    # two aggregations and joins: write the rows once, so the fits below read them instead of recomputing it
+    df = materialize(df) if checkpoint else df
 
     # 7: family size and its bin
     df = df.withColumn("family_size", F.col(c.relatives) + 1)
@@ -110,14 +112,11 @@ def prepare(people: DataFrame, cfg: PrepareConfig = PrepareConfig(), checkpoint:
         df = impute.impute_chained(df, ["age"], list(c.age_predictors), lo=lo, hi=hi, fit_on=fit_on)
     elif c.age_method == "forest":
         df = impute.impute_forest(df, "age", list(c.age_predictors), fit_on=fit_on)
+        df = materialize(df) if checkpoint else df  # the chained fill has written its rows already
     else:
         raise ValueError(c.age_method)
     # a negative age would be refilled; the clip above already rules it out
 
-    # the group label is two aggregations and joins: write the rows once, so fitting the value
-    # lists and the final projection both read them instead of recomputing it
-    df = materialize(df) if checkpoint else df
-
     # 9: one-hot with fitted value lists
     oh = fit_one_hot(df, list(c.onehot), fit_on)
     df = oh.apply(df)

@@ -44,3 +44,30 @@ def test_forest_that_keeps_nodes_is_the_same_forest(spark):
         m = models.pipeline(["a", "b"], models.random_forest(keep_nodes=keep), k=25).fit(df)
         scores.append(sorted(models.score(m, df, "person_id").select("person_id", F.col("score")).collect()))
     assert scores[0] == scores[1]
+
+
+def test_fill_reads_written_rows_not_the_joins_of_the_group_label(spark, monkeypatch):
+    from tabwright.plans import prepare as P
+    ports = list(P.FIXTURE_PORT_CODES)
+    rows = [(i, i % 3 == 0 and 1 or 0, None if i % 3 == 0 else float(i % 2), i % 20, "BUILDING", ports[i % 5], float(i),
+             None if i % 5 == 0 else float(i % 50), i % 12, i % 7, f"Customer#{i % 20}", "male", i % 3 + 1) for i in range(120)]
+    df = spark.createDataFrame(rows, "person_id long, is_test int, label double, family_key long, cabin_raw string, port_raw string, "
+                                     "fare_raw double, age_raw double, ticket_group_key int, n_relatives long, name_raw string, "
+                                     "sex_raw string, class_raw int")
+    seen, fill = [], P.impute.impute_chained
+
+    def watched(d, *args, **kw):
+        seen.append(d._jdf.queryExecution().optimizedPlan().toString())
+        return fill(d, *args, **kw)
+
+    monkeypatch.setattr(P.impute, "impute_chained", watched)
+    out = P.prepare(df)
+    assert len(seen) == 1 and "Join" not in seen[0]
+    assert "Join" not in out._jdf.queryExecution().optimizedPlan().toString()
+    plain = P.prepare(df, checkpoint=False)
+
+    def rounded(d):
+        return sorted([tuple(round(v, 9) if isinstance(v, float) else v for v in r) for r in d.collect()], key=lambda r: r[0])
+
+    assert out.columns == plain.columns and rounded(out) == rounded(plain)
+    assert out.filter("age is null").count() == 0
