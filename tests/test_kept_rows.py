@@ -71,3 +71,17 @@ def test_fill_reads_written_rows_not_the_joins_of_the_group_label(spark, monkeyp
 
     assert out.columns == plain.columns and rounded(out) == rounded(plain)
     assert out.filter("age is null").count() == 0
+
+
+def test_spark_estimators_of_the_cv_board_read_few_partitions(spark, monkeypatch):
+    """Trees send a sum per open node and partition, and steps cost a task a partition, so rows are gathered first."""
+    rows = [(i, float(i % 7), float(i % 3), float(i % 7 > 3)) for i in range(200)]
+    df = spark.createDataFrame(rows, "k int, a double, b double, label double").repartition(24)
+    seen, real = [], models.cross_val_accuracy
+    monkeypatch.setattr(models, "cross_val_accuracy", lambda d, *a, **b: seen.append(d) or real(d, *a, **b))
+    board = models.cv_leaderboard(df, ["a", "b"], {"tree": models.decision_tree()}, "k").collect()
+    assert [(r.model, r.error) for r in board] == [("tree", None)] and board[0].mean_accuracy == 1.0
+    assert seen[0].rdd.getNumPartitions() == models.LEAST_GATHERED and seen[0].count() == 200
+    assert models.gathered(df.coalesce(2)).rdd.getNumPartitions() == 2  # few are left as they are
+    monkeypatch.setattr(models, "ROWS_GATHERED", 20)
+    assert models.gathered(df).rdd.getNumPartitions() == 10
