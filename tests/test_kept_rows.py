@@ -85,3 +85,14 @@ def test_spark_estimators_of_the_cv_board_read_few_partitions(spark, monkeypatch
     assert models.gathered(df.coalesce(2)).rdd.getNumPartitions() == 2  # few are left as they are
     monkeypatch.setattr(models, "ROWS_GATHERED", 20)
     assert models.gathered(df).rdd.getNumPartitions() == 10
+
+
+def test_the_cv_board_gathers_moments_once_a_fold(spark, monkeypatch):
+    df = _prepared(spark, 5).where("label is not null")
+    single = {kind: models.cross_val_accuracy(models.kfold(df, "person_id", 3, 1), ["a", "b"], models.Discriminant(kind), "fold", 3)
+              .agg(F.avg("accuracy")).first()[0] for kind in models.KINDS}
+    seen, real = [], models.class_moments
+    monkeypatch.setattr(models, "class_moments", lambda *a: seen.append(a) or real(*a))
+    board = models.cv_leaderboard(df, ["a", "b"], {kind: models.Discriminant(kind) for kind in models.KINDS}, "person_id")
+    assert {r.model: r.mean_accuracy for r in board.collect()} == single
+    assert len(seen) == 3
